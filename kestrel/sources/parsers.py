@@ -111,11 +111,14 @@ def parse_movies(df: DataFrame, sep: str = "::", strict: bool = False, value: st
 
 
 def parse_vectors(df: DataFrame, sep: str = " ", value: str = "value", strict: bool = True,
-                  output: str = "features") -> DataFrame:
-    """Drop empty lines, split on ``sep``, parse doubles into a dense vector column."""
+                  output: str = "features", keep: list[str] | None = None) -> DataFrame:
+    """Drop empty lines, split on ``sep``, parse doubles into a dense vector column.
+
+    ``keep`` carries other columns (an id) through.
+    """
     nums = F.split(F.col(value), _literal_regex(sep), -1)
     arr = F.transform(nums, lambda x: x.cast("double") if strict else x.try_cast("double"))
-    return df.where(F.length(value) > 0).select(array_to_vector(arr).alias(output))
+    return df.where(F.length(value) > 0).select(*(keep or []), array_to_vector(arr).alias(output))
 
 
 # The crawl's ``(name,text)`` line. The name stops at the first comma (H8).
