@@ -5,7 +5,14 @@ from .registry import ORACLE_SQL, QUERIES, table
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from . import graph_queries, ml_queries, parse_queries, relational_queries, text_queries  # noqa: F401
+    from . import (  # noqa: F401
+        graph_queries,
+        ml_queries,
+        parse_queries,
+        relational_queries,
+        stream_queries,
+        text_queries,
+    )
 
 
 _load_all()
