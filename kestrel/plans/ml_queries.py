@@ -37,7 +37,7 @@ select doc_id, arg_max(y, sc) pred from p group by 1"""
 
 
 def training_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return docs.join(labels, "doc_id")
 
@@ -49,7 +49,7 @@ def nb_model(spark: SparkSession, sf_dir: str) -> nb.NBTables:
 @query("nb_predict", nb_oracle_sql())
 def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = nb_model(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return nb.predict_tables(model, docs, doc="doc_id", text="text", prediction="pred")
 
 
@@ -57,7 +57,7 @@ def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nb_hashed_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original job's form: hashed features (2^20) + spark.ml naive Bayes pipeline."""
     model = nb.fit(training_docs(spark, sf_dir), text="text", label="label", mode="hash")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return nb.predict(model, docs).select("doc_id", F.col("predicted_label").cast("int").alias("pred"))
 
 

@@ -27,7 +27,7 @@ c as (select word, doc_id, count(*) n from t where word not in ({_sql_list(SPANI
 
 @query("crawl_normalize", f"select doc_id, {_NORMALIZE_SQL} as text from documents")
 def crawl_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     return docs.select("doc_id", normalize("text").alias("text"))
 
 
@@ -38,7 +38,7 @@ def crawl_basename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("index_counts", _COUNTS_SQL + "select word, doc_id, n from c")
 def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     return tx.term_counts(docs, doc="doc_id", text="text")
 
 
@@ -49,7 +49,7 @@ def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 string_agg('(' || doc_id || ',' || n || ')', ', ' order by n desc, doc_id) postings from c group by 1, 2""",
 )
 def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     counts = tx.term_counts(docs, doc="doc_id", text="text")
     return tx.postings(counts, doc="doc_id").orderBy("word", "block")
 
@@ -60,7 +60,7 @@ def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def crawl_pairs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 text format + S10: crawl lines ``(name,text)`` written as text, parsed back."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     crawled = docs.select(F.col("doc_id").cast("string").alias("name"), normalize("text").alias("text"))
     parsed = parse_pairs(format_pairs(crawled))
     return parsed.where("ok").select("name", "text")
