@@ -5,6 +5,7 @@ from .jobs import (
     ETL_PARTITIONS,
     count_batch,
     count_per_batch,
+    land_batch,
     parse_numbers,
     partitioned_etl,
     read_partitioned,
@@ -20,6 +21,7 @@ __all__ = [
     "count_per_batch",
     "create_partitioned_table",
     "filter_posts",
+    "land_batch",
     "list_partitions",
     "parse_numbers",
     "partitioned_etl",

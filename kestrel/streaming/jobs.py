@@ -116,6 +116,21 @@ def score(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], sink: str
 ETL_PARTITIONS = ["depYear", "depMonth", "depDay"]
 
 
+def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns: list[str], sep: str = "|") -> None:
+    """K4: write one batch under ``depYear=YYYY/depMonth=MM/depDay=DD/batch_id=N``.
+
+    Dynamic partition overwrite: writing the same ``batch_id`` again replaces
+    only that batch's folders, so a replayed batch adds nothing.
+    """
+    year, month, day = date_parts(ts_col)
+    out = batch.select(
+        *columns,
+        year.alias("depYear"), month.alias("depMonth"), day.alias("depDay"),
+        F.lit(batch_id).cast("long").alias("batch_id"),
+    )
+    _write_batch(out, path, [*ETL_PARTITIONS, "batch_id"], fmt="csv", sep=sep, nullValue="null")
+
+
 def partitioned_etl(
     stream: DataFrame,
     path: str,
@@ -126,23 +141,16 @@ def partitioned_etl(
     on_batch: Callable[[int], None] | None = None,
     **run_options,
 ) -> StreamingQuery:
-    """Land each micro-batch as ``sep``-delimited text under
-    ``depYear=YYYY/depMonth=MM/depDay=DD/batch_id=N``.
+    """Land each micro-batch as ``sep``-delimited text, partitioned by day and batch.
 
     One partitioned write per batch (no driver loop over days). Two batches of
     the same day land in different ``batch_id`` folders; replaying a batch id
     overwrites only its own folders. ``on_batch`` runs after each write (e.g.
     register new partitions in the catalog with :func:`kestrel.streaming.catalog.repair`).
     """
-    year, month, day = date_parts(ts_col)
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        out = batch.select(
-            *columns,
-            year.alias("depYear"), month.alias("depMonth"), day.alias("depDay"),
-            F.lit(batch_id).cast("long").alias("batch_id"),
-        )
-        _write_batch(out, path, [*ETL_PARTITIONS, "batch_id"], fmt="csv", sep=sep, nullValue="null")
+        land_batch(batch, batch_id, path, ts_col, columns, sep)
         if on_batch is not None:
             on_batch(batch_id)
 

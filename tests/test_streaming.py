@@ -1,0 +1,113 @@
+"""Structured Streaming jobs (T1-T8, K3-K6) and H4, H9."""
+
+from __future__ import annotations
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from kestrel import streaming as st
+from kestrel.operators import classify as nb
+
+from .conftest import rows
+
+
+def _write_text(path, name, text):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, name), "w") as fh:
+        fh.write(text)
+
+
+def test_count_per_batch_is_stateless_and_restart_safe(spark, tmp_dir):
+    # Fixture row 12: batch 1 "1 1 2", batch 2 "1" plus a blank line.
+    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    _write_text(src, "a.txt", "1 1 2\n")
+    _write_text(src, "b.txt", "1\n\n")
+    lines = st.read_text_stream(spark, src, max_files_per_trigger=1)
+    st.count_per_batch(st.parse_numbers(lines), sink, ckpt, available_now=True)
+    out = spark.read.parquet(sink)
+    assert rows(out, "batch_id", "number", "n") == [(0, 1, 2), (0, 2, 1), (1, 1, 1)]
+    # restart with the same checkpoint: nothing is reprocessed (T6) ...
+    st.count_per_batch(st.parse_numbers(st.read_text_stream(spark, src)), sink, ckpt, available_now=True)
+    assert spark.read.parquet(sink).count() == 3
+    # ... and a new file becomes one new batch
+    _write_text(src, "c.txt", " 7  7 x\n")
+    st.count_per_batch(st.parse_numbers(st.read_text_stream(spark, src)), sink, ckpt, available_now=True)
+    assert rows(spark.read.parquet(sink).where("batch_id = 2"), "number", "n") == [(7, 2)]
+
+
+def test_many_small_batches_sum_to_batch_result(spark, tmp_dir):
+    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    for i in range(5):
+        _write_text(src, f"f{i}.txt", " ".join(str((i * j) % 4) for j in range(10)) + "\n")
+    st.count_per_batch(st.parse_numbers(st.read_text_stream(spark, src, max_files_per_trigger=1)), sink, ckpt,
+                       available_now=True)
+    streamed = spark.read.parquet(sink).groupBy("number").agg(F.sum("n").alias("n"))
+    batch = st.parse_numbers(spark.read.text(src)).groupBy("number").agg(F.count("*").alias("n"))
+    assert rows(streamed) == rows(batch)
+    assert spark.read.parquet(sink).select("batch_id").distinct().count() == 5
+
+
+def test_posts_filter_and_stream_scoring(spark, tmp_dir):
+    # Fixture row 13: lang en/es x sensitive true/false; only (en, false) passes.
+    src = os.path.join(tmp_dir, "posts")
+    recs = [{"user": {"lang": lang, "name": f"{lang}-{s}"}, "text": "i love this day", "possiblySensitive": s}
+            for lang in ("en", "es") for s in (True, False)]
+    _write_text(src, "p.json", "\n".join(json.dumps(r) for r in recs))
+    posts = st.filter_posts(st.read_posts(spark, src, keywords=["LOVE"]))
+    train = spark.createDataFrame([(4, "i love this day"), (0, "so sad today")], "label int, text string")
+    model = nb.fit(train, text="text", label="label", mode="hash")
+    scored = nb.predict(model, posts)  # a PipelineModel transforms the stream directly (T5)
+    sink = os.path.join(tmp_dir, "scored")
+    q = (scored.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert rows(spark.read.parquet(sink), "name", "predicted_label") == [("en-False", "4")]
+
+
+def test_land_batch_replay_and_string_partitions(spark, tmp_dir):
+    # Fixture row 14: two batches of one day both kept; replay adds nothing; "01" stays "01".
+    path = os.path.join(tmp_dir, "etl")
+    day = spark.createDataFrame([(1, "2008-01-05 10:00:00"), (2, "2008-01-05 11:00:00")], "id long, t string") \
+        .select("id", F.col("t").cast("timestamp").alias("ts"))
+    st.land_batch(day, 0, path, "ts", ["id"])
+    st.land_batch(day.where("id = 1"), 1, path, "ts", ["id"])
+    st.land_batch(day, 0, path, "ts", ["id"])  # replay of batch 0
+    back = st.read_partitioned(spark, path, [("id", "bigint")])
+    assert back.count() == 3
+    assert {r.depMonth for r in back.collect()} == {"01"}
+    st.create_partitioned_table(spark, "etl_test_flights", path, [("id", "bigint")], [*st.ETL_PARTITIONS, "batch_id"])
+    st.repair(spark, "etl_test_flights")
+    parts = st.list_partitions(spark, "etl_test_flights")
+    assert rows(parts, "depYear", "depMonth", "depDay", "batch_id") == [("2008", "01", "05", "0"),
+                                                                      ("2008", "01", "05", "1")]
+    assert spark.table("etl_test_flights").count() == 3
+    with open(next(os.path.join(dp, f) for dp, _, fs in os.walk(path) for f in fs if f.endswith(".csv"))) as fh:
+        assert fh.read().strip().splitlines()[0].isdigit()
+
+
+def test_partitioned_etl_stream(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "ev")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.write.parquet(src)
+    stream = st.read_stream(spark, src, ev.schema)
+    path = os.path.join(tmp_dir, "out")
+    seen = []
+    st.partitioned_etl(stream, path, "ts", ["event_id", "user_id"], os.path.join(tmp_dir, "ck"),
+                       on_batch=seen.append, available_now=True)
+    back = st.read_partitioned(spark, path, [("event_id", "bigint"), ("user_id", "bigint")])
+    assert back.count() == ev.count() and seen == [0]
+
+
+def test_run_with_interval_and_timeout(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    _write_text(src, "a.txt", "5 5\n")
+    seen = []
+
+    def body(batch, batch_id):
+        seen.append((batch_id, batch.count()))
+
+    q = st.run(st.read_text_stream(spark, src), body, os.path.join(tmp_dir, "ck"), interval="1 second", timeout_s=8)
+    assert not q.isActive
+    assert seen and seen[0] == (0, 1)
