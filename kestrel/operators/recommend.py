@@ -68,8 +68,12 @@ def false_positives(
     item: str = "movieId",
     user: str = "userId",
     title: str = "title",
+    limit: int | None = None,
 ) -> DataFrame:
-    """Rated at most ``low`` but predicted at least ``high``, with titles.
+    """Rated at most ``low`` but predicted at least ``high``, with titles.
+
+    ``limit`` gives the first ``limit`` rows in (user, item) order, a repeatable
+    sample (the original printed 100 arbitrary rows); by default all rows.
 
     NaN predictions (unseen keys) are excluded: Spark orders NaN above every
     number, so ``NaN >= high`` would otherwise be true (H1). The join is a plain
@@ -78,4 +82,5 @@ def false_positives(
     hits = predictions.where(
         (F.col("rating") <= F.lit(low)) & ~F.isnan("prediction") & (F.col("prediction") >= F.lit(high))
     )
-    return hits.join(items.select(item, title), item).select(user, item, title, "rating", "prediction")
+    out = hits.join(items.select(item, title), item).select(user, item, title, "rating", "prediction")
+    return out.orderBy(user, item, "rating", "prediction").limit(limit) if limit is not None else out

@@ -74,20 +74,39 @@ def enrich(
     on: Sequence[tuple[str, str]],
     how: str = "left_outer",
     keep_right_keys: bool = False,
+    skew_safe: bool = True,
 ) -> DataFrame:
     """Equi-join on a composite key (default left outer).
 
     Unmatched left rows keep null right columns; duplicate right keys fan out;
     null keys never match. Right key columns are dropped unless asked for.
+
+    With ``skew_safe`` (default) a left outer join is computed as
+    ``inner join UNION ALL (left anti-join distinct right keys)``: AQE can split a
+    hot key on either side of an inner join, but only on the left side of an
+    outer join, and the distinct right keys collapse a hot key in the partial
+    aggregate. The left side's shuffle is shared by both branches (exchange reuse).
     """
-    cond: Column | None = None
-    for lk, rk in on:
-        term = left[lk] == right[rk]
-        cond = term if cond is None else (cond & term)
-    joined = left.join(right, cond, how)
+    def cond_for(r: DataFrame) -> Column:
+        cond: Column | None = None
+        for lk, rk in on:
+            term = left[lk] == r[rk]
+            cond = term if cond is None else (cond & term)
+        return cond
+
+    right_keys = [rk for _, rk in on]
+    if how in ("left_outer", "left", "leftouter") and skew_safe and not keep_right_keys:
+        matched = left.join(right, cond_for(right), "inner").select(
+            *[left[c] for c in left.columns], *[right[c] for c in right.columns if c not in right_keys]
+        )
+        keys = right.select(*right_keys).distinct()
+        unmatched = left.join(keys, cond_for(keys), "left_anti")
+        payload = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in right_keys]
+        return matched.unionByName(unmatched.select(*left.columns, *payload))
+
+    joined = left.join(right, cond_for(right), how)
     if keep_right_keys:
         return joined
-    right_keys = {rk for _, rk in on}
     keep = [left[c] for c in left.columns] + [right[c] for c in right.columns if c not in right_keys]
     return joined.select(*keep)
 
