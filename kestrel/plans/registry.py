@@ -31,15 +31,15 @@ def query(name: str, sql: str | None = None):
 SPREAD_CONF = "kestrel.spread.partitions"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One of the given parquet tables; column pruning and filters reach the scan.
 
-    ``spread=True`` marks CPU-heavy per-row work (regex tokenizing of long texts).
-    A Parquet row group is read by one task, so a small file written as a single
-    row group gives one busy core. When the session sets ``kestrel.spread.partitions``
-    to N > 0, such scans are dealt round-robin to N tasks before the heavy work.
-    It is off by default: large inputs (many row groups) are already read in
-    parallel and must not pay an extra shuffle of their raw text.
+    A Parquet row group is read by one task, so a file written as a single row
+    group gives one busy core however many there are. When the session sets
+    ``kestrel.spread.partitions`` to N > 0, scans are dealt round-robin to N tasks
+    right after the (pruned, filtered) scan. It is off by default: large inputs
+    (many row groups) are already read in parallel and must not pay an extra
+    shuffle. ``spread=False`` opts a scan out.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     n = int(spark.conf.get(SPREAD_CONF, "0") or 0)

@@ -13,10 +13,18 @@ from kestrel.operators import classify as nb
 from .conftest import rows
 
 
+_MTIME = [1_700_000_000]
+
+
 def _write_text(path, name, text):
+    """Write a file with a strictly increasing modification time (the file
+    source orders new files by it)."""
     os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, name), "w") as fh:
+    full = os.path.join(path, name)
+    with open(full, "w") as fh:
         fh.write(text)
+    _MTIME[0] += 10
+    os.utime(full, (_MTIME[0], _MTIME[0]))
 
 
 def test_count_per_batch_is_stateless_and_restart_safe(spark, tmp_dir):
