@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as g
 from ..operators import recommend as rec
-from ..sources import parse_delimited, parse_movies, parse_ratings
+from ..session import scratch_path
+from ..sources import parse_delimited, parse_movies, parse_ratings, read_csv, read_csv_strings, write
 from .registry import query, table
 
 
@@ -108,3 +109,35 @@ select src, dst, n, concat(src, ' -> ', dst, ': ', n) route from e order by n de
 def flights_top_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = g.parse_flights(flight_lines(spark, sf_dir), header_token="first")
     return g.top_routes(g.edges(flights, "Origin", "Dest"), 10)
+
+
+# --- CSV readers (S3, S4, P2): rows written as CSV to the shared folder, read back ---------------
+
+
+@query(
+    "csv_header_strings",
+    "select cast(c_custkey as varchar) c_custkey, c_name, cast(c_nationkey as varchar) c_nationkey, "
+    "c_mktsegment from customer",
+)
+def csv_header_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: CSV with a header row read back with every column a string (no inference)."""
+    path = scratch_path(spark, "csv-header")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    write(cust, path, fmt="csv", header="true")
+    return read_csv_strings(spark, path)
+
+
+@query(
+    "csv_positional",
+    "select quality polarity, doc_id id, lang date, source query, cast(toxic as varchar) \"user\" from labels "
+    "join documents using (doc_id)",
+)
+def csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headerless CSV read with an explicit schema, columns renamed by position."""
+    path = scratch_path(spark, "csv-positional")
+    labels = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    rows = labels.join(docs, "doc_id").select("quality", "doc_id", "lang", "source", "toxic")
+    write(rows, path, fmt="csv")
+    raw = read_csv(spark, path, schema="_c0 int, _c1 long, _c2 string, _c3 string, _c4 string")
+    return raw.toDF("polarity", "id", "date", "query", "user")

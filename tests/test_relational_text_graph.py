@@ -124,3 +124,22 @@ def test_graph_properties_on_events(spark):
     assert g.in_degrees(e).agg(F.sum("degree")).first()[0] == n_edges
     assert g.out_degrees(e).agg(F.sum("degree")).first()[0] == n_edges
     assert g.summary(v, e).first()["n_edges"] == n_edges
+
+
+def test_skew_safe_enrich_equals_plain_left_outer(spark):
+    # One right key holds a third of the rows; nulls on both sides; duplicates fan out.
+    import random
+
+    rnd = random.Random(5)
+    left = [(rnd.choice([None, 1, 2, 3]), rnd.choice([None, "a", "b", "hot"]), i) for i in range(300)]
+    right = [(2, "hot", j) for j in range(100)] + [
+        (rnd.choice([None, 1, 2, 3]), rnd.choice([None, "a", "b", "c"]), 1000 + j) for j in range(200)
+    ]
+    l_df = spark.createDataFrame(left, "y int, m string, lid int")
+    r_df = spark.createDataFrame(right, "ry int, rm string, rid int")
+    on = [("y", "ry"), ("m", "rm")]
+    safe = rel.enrich(l_df, r_df, on)
+    plain = rel.enrich(l_df, r_df, on, skew_safe=False)
+    assert safe.columns == plain.columns == ["y", "m", "lid", "rid"]
+    assert rows(safe) == rows(plain)
+    assert safe.count() > 300
