@@ -57,6 +57,22 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).select(F.col("name").alias("doc_id"), "pred")
 
 
+@query("stream_score_hashed")
+def stream_score_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5, direct form: the hashed spark.ml pipeline transforms the stream itself."""
+    from .ml_queries import training_docs
+
+    model = nb.fit(training_docs(spark, sf_dir), text="text", label="label", mode="hash")
+    docs = _stream(spark, sf_dir, "documents")
+    posts = st.filter_posts(docs, lang="en", lang_col="lang", sensitive_col=None, name_col="doc_id")
+    scored = nb.predict(model, posts).select(F.col("name").alias("doc_id"), F.col("predicted_label").cast("int").alias("pred"))
+    sink, ckpt = scratch_path(spark, "scores-hashed"), scratch_path(spark, "scores-hashed-ckpt")
+    q = (scored.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 _ETL_COLUMNS = [("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string")]
 
 

@@ -34,17 +34,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root of the shared work folder (``spark.checkpoint.dir``), set if unset.
+    """Root of the shared work folder: ``spark.checkpoint.dir``, else the context's
+    checkpoint folder, else (bare local sessions only) a fresh local folder.
 
     On a cluster this is the shared storage the operators agreed on; jobs that
-    must survive executor loss cut lineage or stage output there.
+    must survive executor loss cut lineage or stage output there. The core
+    setting itself cannot be changed at runtime, so only the context's
+    checkpoint folder is set when nothing is configured.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="kestrel-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
