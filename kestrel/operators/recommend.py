@@ -32,9 +32,17 @@ def fit(
     rating: str = "rating",
     reg_param: float = 0.1,
     cold_start: str = "nan",
+    num_blocks: int | None = None,
 ) -> ALSModel:
-    """M4: fit ALS (rank 10, 10 iterations by default, as in the original job)."""
-    shared_dir(ratings.sparkSession)  # ALS checkpoints its factor lineage here
+    """M4: fit ALS (rank 10, 10 iterations by default, as in the original job).
+
+    Each iteration runs one task per user block and per item block. spark.ml's
+    default of 10 blocks would cap a large cluster at 10 tasks, so by default the
+    block count follows the cluster's parallelism (at least 10).
+    """
+    spark = ratings.sparkSession
+    shared_dir(spark)  # ALS checkpoints its factor lineage here
+    blocks = num_blocks or max(10, spark.sparkContext.defaultParallelism)
     als = ALS(
         rank=rank,
         maxIter=max_iter,
@@ -45,6 +53,8 @@ def fit(
         seed=seed,
         coldStartStrategy=cold_start,
         checkpointInterval=5,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
     )
     return als.fit(ratings)
 
