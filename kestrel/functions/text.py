@@ -65,14 +65,18 @@ def tokenize(c, unicode: bool = False) -> Column:
 
 
 def split_words(c, sep: str = " ") -> Column:
-    """M1 tokens: split on one literal separator, dropping trailing separators first.
+    """M1 tokens: split on one literal separator exactly like JVM ``String.split``.
 
-    JVM ``String.split`` drops trailing empty strings while Spark's ``split`` keeps
-    them (H3); stripping the trailing run first gives the JVM result. Inner empty
-    tokens stay, as they do on the JVM.
+    The JVM drops trailing empty strings while Spark's ``split`` keeps them (H3):
+    the trailing run of separators is stripped first. A text made only of
+    separators gives no token at all on the JVM (every part is a trailing
+    empty), an empty text gives one empty token. Inner empty tokens stay.
     """
     quoted = "\\Q" + sep + "\\E"
-    return F.split(F.regexp_replace(as_col(c), f"(?:{quoted})+\\z", ""), quoted, -1)
+    col = as_col(c)
+    stripped = F.regexp_replace(col, f"(?:{quoted})+\\z", "")
+    only_separators = (stripped == F.lit("")) & (col != F.lit(""))
+    return F.when(only_separators, F.array().cast("array<string>")).otherwise(F.split(stripped, quoted, -1))
 
 
 def split_whitespace(c) -> Column:

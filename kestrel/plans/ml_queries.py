@@ -22,7 +22,8 @@ from .registry import query, table
 def nb_oracle_sql(where: str = "") -> str:
     """Exact multinomial NB (smoothing 1) in SQL; ``where`` filters the scored documents."""
     return f"""
-with tok as (select doc_id, unnest(string_split(regexp_replace(text, ' +$', ''), ' ')) w from documents),
+with tok as (select doc_id, unnest(case when text <> '' and regexp_replace(text, ' +$', '') = '' then []::varchar[]
+   else string_split(regexp_replace(text, ' +$', ''), ' ') end) w from documents),
  tr as (select t.doc_id, t.w, l.quality y from tok t join labels l using (doc_id)),
  nc as (select quality y, count(*) c from labels join documents using (doc_id) group by 1),
  v as (select count(distinct w) v from tr),

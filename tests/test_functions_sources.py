@@ -49,9 +49,9 @@ def test_tokenize_ascii_word_chars(spark):
 
 def test_split_words_drops_trailing_empties(spark):
     # H3: "Need a hug " gives 3 tokens on the JVM; inner empties stay.
-    df = spark.createDataFrame([("Need a hug ",), ("a  b",), ("",)], "s string")
+    df = spark.createDataFrame([("Need a hug ",), ("a  b",), ("",), ("   ",)], "s string")
     got = [r[0] for r in df.select(kf.split_words("s")).collect()]
-    assert got == [["Need", "a", "hug"], ["a", "", "b"], [""]]
+    assert got == [["Need", "a", "hug"], ["a", "", "b"], [""], []]
 
 
 def test_route_text_and_join_fields(spark):

@@ -7,6 +7,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from kestrel.functions import split_words
 from kestrel.operators import classify as nb
 from kestrel.operators import cluster as km
 from kestrel.operators import recommend as rec
@@ -87,9 +88,11 @@ def _tweets(spark):
 
 
 def test_tokenizer_matches_jvm_split(spark):
-    df = spark.createDataFrame([("Need a hug ",), ("aim  now",)], "t string")
+    df = spark.createDataFrame([("Need a hug ",), ("aim  now",), ("   ",)], "t string")
     got = [r.w for r in nb.tokenizer("t", "w").transform(df).collect()]
-    assert got == [["Need", "a", "hug"], ["aim", "", "now"]]  # H3
+    assert got == [["Need", "a", "hug"], ["aim", "", "now"], []]  # H3
+    same = [r.w for r in df.select(split_words("t").alias("w")).collect()]
+    assert same == got  # the exact tables tokenize like the pipeline
 
 
 def test_naive_bayes_predicts_original_labels(spark):
