@@ -56,12 +56,18 @@ UNICODE_TOKEN_SPLIT = "[^\\p{L}\\p{N}_']"
 
 
 def tokenize(c, unicode: bool = False) -> Column:
-    """F4 + F5: lower-case and split on anything but word chars and apostrophes.
+    """F4 + F5: lower-case, trim, split on anything but word chars and apostrophes.
 
-    Empty tokens are kept (the stop-word filter removes them, as it did originally).
+    Same tokens as JVM ``text.trim.split("[^\\w']")``: leading and inner empty
+    tokens are kept (the default stop-word set holds ``""`` and removes them),
+    trailing empty tokens are dropped, and a text made only of delimiters gives
+    no token.
     """
     pattern = UNICODE_TOKEN_SPLIT if unicode else ASCII_TOKEN_SPLIT
-    return F.split(F.lower(as_col(c)), pattern, -1)
+    text = jvm_trim(F.lower(as_col(c)))
+    stripped = F.regexp_replace(text, f"{pattern}+\\z", "")
+    only_delims = (stripped == F.lit("")) & (text != F.lit(""))
+    return F.when(only_delims, F.array().cast("array<string>")).otherwise(F.split(stripped, pattern, -1))
 
 
 def split_words(c, sep: str = " ") -> Column:

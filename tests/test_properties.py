@@ -58,3 +58,21 @@ def test_split_words_matches_jvm_split(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(kf.split_words("t")).collect()]
     assert got == [jvm_split(t) for t in texts]
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="aB' ,.\t\né_", max_size=12), min_size=1, max_size=5))
+def test_tokenize_matches_jvm_split(spark, texts):
+    # JVM: text.toLowerCase.trim.split("[^\\w']") with ASCII \w.
+    def jvm_tokens(s):
+        t = s.lower().strip("".join(chr(i) for i in range(0x21)))
+        if t == "":
+            return [""]
+        parts = re.split(r"[^A-Za-z0-9_']", t)
+        while parts and parts[-1] == "":
+            parts.pop()
+        return parts
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(kf.tokenize("t")).collect()]
+    assert got == [jvm_tokens(t) for t in texts]
