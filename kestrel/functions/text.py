@@ -55,16 +55,18 @@ ASCII_TOKEN_SPLIT = "[^\\w']"
 UNICODE_TOKEN_SPLIT = "[^\\p{L}\\p{N}_']"
 
 
-def tokenize(c, unicode: bool = False) -> Column:
+def tokenize(c, unicode: bool = False, jvm_empties: bool = True) -> Column:
     """F4 + F5: lower-case, trim, split on anything but word chars and apostrophes.
 
     Same tokens as JVM ``text.trim.split("[^\\w']")``: leading and inner empty
-    tokens are kept (the default stop-word set holds ``""`` and removes them),
-    trailing empty tokens are dropped, and a text made only of delimiters gives
-    no token.
+    tokens are kept, trailing empty tokens are dropped, and a text made only of
+    delimiters gives no token. ``jvm_empties=False`` skips the (regex) pass that
+    drops trailing empties: use it only when empty tokens are filtered anyway.
     """
     pattern = UNICODE_TOKEN_SPLIT if unicode else ASCII_TOKEN_SPLIT
     text = jvm_trim(F.lower(as_col(c)))
+    if not jvm_empties:
+        return F.split(text, pattern, -1)
     stripped = F.regexp_replace(text, f"{pattern}+\\z", "")
     only_delims = (stripped == F.lit("")) & (text != F.lit(""))
     return F.when(only_delims, F.array().cast("array<string>")).otherwise(F.split(stripped, pattern, -1))

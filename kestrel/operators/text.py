@@ -35,9 +35,10 @@ def crawl(df: DataFrame, name: str = "name", text: str = "text", strip_path: boo
     return df.select(key.alias(name), normalize(text).alias(text))
 
 
-def tokens(df: DataFrame, doc: str = "doc", text: str = "text", unicode: bool = False) -> DataFrame:
+def tokens(df: DataFrame, doc: str = "doc", text: str = "text", unicode: bool = False,
+           jvm_empties: bool = True) -> DataFrame:
     """One row per token -> ``(doc, word)`` (lower-cased, ASCII ``\\w`` by default)."""
-    return df.select(F.col(doc), F.explode(tokenize(text, unicode=unicode)).alias("word"))
+    return df.select(F.col(doc), F.explode(tokenize(text, unicode=unicode, jvm_empties=jvm_empties)).alias("word"))
 
 
 def remove_stop_words(toks: DataFrame, stop_words: Iterable[str] | DataFrame = SPANISH_STOP_WORDS,
@@ -57,8 +58,15 @@ def term_counts(
     stop_words: Iterable[str] | DataFrame = SPANISH_STOP_WORDS,
     unicode: bool = False,
 ) -> DataFrame:
-    """A3: occurrences of each word in each document -> ``(word, doc, n)``."""
-    kept = remove_stop_words(tokens(df, doc, text, unicode), stop_words)
+    """A3: occurrences of each word in each document -> ``(word, doc, n)``.
+
+    When the stop words include ``""`` (the default set does) every empty token
+    is dropped anyway, so the tokenizer skips its pass that drops trailing empties.
+    """
+    if not isinstance(stop_words, DataFrame):
+        stop_words = tuple(stop_words)
+    empties_filtered = not isinstance(stop_words, DataFrame) and "" in stop_words
+    kept = remove_stop_words(tokens(df, doc, text, unicode, jvm_empties=not empties_filtered), stop_words)
     return kept.groupBy("word", doc).agg(F.count(F.lit(1)).alias("n"))
 
 

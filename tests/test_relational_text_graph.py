@@ -143,3 +143,11 @@ def test_skew_safe_enrich_equals_plain_left_outer(spark):
     assert safe.columns == plain.columns == ["y", "m", "lid", "rid"]
     assert rows(safe) == rows(plain)
     assert safe.count() > 300
+
+
+def test_term_counts_custom_stop_words_keep_jvm_empties(spark):
+    # Without "" in the stop list, empty tokens count like on the JVM: leading and
+    # inner ones are kept, trailing ones are not.
+    docs = spark.createDataFrame([(1, ",a,,b,,"), (2, "...")], "doc long, text string")
+    counts = tx.term_counts(docs, stop_words=iter(["b"]))
+    assert rows(counts) == [("", 1, 2), ("a", 1, 1)]
