@@ -85,7 +85,8 @@ def postings(
     """
     dtype = counts.schema[doc].dataType
     if isinstance(dtype, IntegralType):
-        blocked = counts.withColumn("block", F.floor(F.col(doc) / F.lit(block_size)).cast("long"))
+        # Integral division (a double quotient would round ids above 2^53).
+        blocked = counts.withColumn("block", F.expr(f"`{doc}` div {int(block_size)}").cast("long"))
     else:
         # String keys: hash buckets, as many per word as its document count needs.
         df_w = counts.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))

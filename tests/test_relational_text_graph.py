@@ -151,3 +151,10 @@ def test_term_counts_custom_stop_words_keep_jvm_empties(spark):
     docs = spark.createDataFrame([(1, ",a,,b,,"), (2, "...")], "doc long, text string")
     counts = tx.term_counts(docs, stop_words=iter(["b"]))
     assert rows(counts) == [("", 1, 2), ("a", 1, 1)]
+
+
+def test_postings_blocks_exact_for_large_ids(spark):
+    big = 2**60 + 7
+    counts = spark.createDataFrame([("w", big, 1), ("w", big + 1, 2)], "word string, doc long, n long")
+    out = tx.postings(counts, block_size=2, as_text=False).collect()
+    assert sorted(r.block for r in out) == [big // 2, (big + 1) // 2]
