@@ -30,9 +30,13 @@ DEFAULT_BLOCK_SIZE = 100_000
 
 
 def crawl(df: DataFrame, name: str = "name", text: str = "text", strip_path: bool = True) -> DataFrame:
-    """Crawl step: base name of each file (trimmed) and its text on one line."""
+    """Crawl step: base name of each file (trimmed) and its text on one line.
+
+    Other columns (e.g. partition columns of the folder layout) are kept.
+    """
     key = basename(name) if strip_path else F.col(name)
-    return df.select(key.alias(name), normalize(text).alias(text))
+    rest = [c for c in df.columns if c not in (name, text)]
+    return df.select(key.alias(name), normalize(text).alias(text), *rest)
 
 
 def tokens(df: DataFrame, doc: str = "doc", text: str = "text", unicode: bool = False,

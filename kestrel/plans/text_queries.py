@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import basename, normalize
 from ..operators import text as tx
-from ..sources import format_pairs, parse_pairs
+from ..session import scratch_path
+from ..sources import format_pairs, parse_pairs, read_documents, write
 from ..sources.stopwords import SPANISH_STOP_WORDS
 from .registry import query, table
 
@@ -31,6 +32,22 @@ def crawl_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", normalize("text").alias("text"))
 
 
+@query("crawl_files", f"select doc_id, {_NORMALIZE_SQL} as text from documents")
+def crawl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 end to end: every document lands as its own file (``doc_id=N/part-*.txt``) in the
+    shared folder; the folder is read back one row per file and crawled.
+
+    The write only lays out the input the whole-file reader expects (a folder with
+    one file per document); on real data that folder already exists and only the
+    read + crawl part runs.
+    """
+    path = scratch_path(spark, "crawl-files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    write(docs, path, fmt="text", partition_by="doc_id")
+    crawled = tx.crawl(read_documents(spark, path))
+    return crawled.select("doc_id", "text")
+
+
 @query("crawl_basename", "select page_id, " + _TRIM_SQL.format("regexp_extract(url, '[^/]*$')") + " as name from pages")
 def crawl_basename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", basename("url").alias("name"))

@@ -18,12 +18,14 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file -> ``(name, text)``; ``name`` is the decoded base name.
 
     ``wholetext`` keeps each file in one row, like ``wholeTextFiles``. The file name
-    comes from the hidden ``_metadata`` column (URL-encoded, see H10).
+    comes from the hidden ``_metadata`` column (URL-encoded, see H10). Partition
+    columns found in the folder layout (``key=value`` directories) are kept.
     """
     raw = spark.read.text(path, wholetext=True)
     return raw.select(
         jvm_trim(decode_file_name(F.col("_metadata.file_name"))).alias("name"),
         F.col("value").alias("text"),
+        *[c for c in raw.columns if c != "value"],
     )
 
 
@@ -68,9 +70,14 @@ def format_pairs(df: DataFrame, name: str = "name", text: str = "text") -> DataF
     return df.select(F.concat(F.lit("("), F.col(name).cast("string"), F.lit(","), F.col(text), F.lit(")")).alias("value"))
 
 
-def write(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
-    """K1: replace whatever is at ``path`` with ``df``.
+def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | str | None = None,
+          **options) -> None:
+    """K1: replace whatever is at ``path`` with ``df`` (optionally in ``key=value`` folders).
 
-    ``fmt="text"`` needs a single string column (use :func:`format_pairs`).
+    ``fmt="text"`` needs a single string column besides the partition columns
+    (use :func:`format_pairs`).
     """
-    df.write.mode("overwrite").format(fmt).options(**options).save(path)
+    writer = df.write.mode("overwrite").format(fmt).options(**options)
+    if partition_by:
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    writer.save(path)
