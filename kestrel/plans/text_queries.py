@@ -53,6 +53,17 @@ def crawl_basename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", basename("url").alias("name"))
 
 
+@query(
+    "crawl_pages",
+    "select page_id, " + _TRIM_SQL.format("regexp_extract(url, '[^/]*$')") + " as name, "
+    + _NORMALIZE_SQL.replace("(text", "(html") + " as text from pages",
+)
+def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crawl step on web pages: base name of the URL and the page on one line."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("name"), F.col("html").alias("text"))
+    return tx.crawl(pages)
+
+
 @query("index_counts", _COUNTS_SQL + "select word, doc_id, n from c")
 def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
