@@ -76,3 +76,83 @@ def test_tokenize_matches_jvm_split(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(kf.tokenize("t")).collect()]
     assert got == [jvm_tokens(t) for t in texts]
+
+
+edge_lists = st.lists(st.tuples(st.sampled_from("ABCDEF"), st.sampled_from("ABCDEF")), min_size=1, max_size=40)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(edge_lists)
+def test_graph_operators_match_brute_force(spark, trips):
+    from collections import Counter
+
+    from kestrel.operators import graph as g
+
+    df = spark.createDataFrame(trips, "src string, dst string")
+    v, e = g.vertices(df), g.edges(df)
+    weights = Counter(trips)
+    verts = {x for t in trips for x in t}
+    assert sorted(r.id for r in v.collect()) == sorted(verts)
+    assert tuple(g.summary(v, e).first()) == (len(verts), len(weights))
+    top = sorted(weights.items(), key=lambda kv: (-kv[1], kv[0][0], kv[0][1]))[:3]
+    assert [(r.src, r.dst, r.n) for r in g.top_routes(e, 3).collect()] == [(s, d, n) for (s, d), n in top]
+    out_w = Counter()
+    for (s, _), n in weights.items():
+        out_w[s] += n
+    assert [tuple(r) for r in g.busiest(e, 2).collect()] == sorted(out_w.items(), key=lambda kv: (-kv[1], kv[0]))[:2]
+    in_d = Counter(d for _, d in weights)
+    out_d = Counter(s for s, _ in weights)
+    assert [tuple(r) for r in g.least_in(v, e, 4).collect()] == sorted(in_d.items(), key=lambda kv: (kv[1], kv[0]))[:4]
+    assert [tuple(r) for r in g.most_out(v, e, 4).collect()] == sorted(out_d.items(), key=lambda kv: (-kv[1], kv[0]))[:4]
+
+
+corpus = st.lists(st.tuples(st.sampled_from([0, 1, 2]), st.text(alphabet="ab c", min_size=0, max_size=12)),
+                  min_size=2, max_size=12)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(corpus, st.lists(st.text(alphabet="abc d", max_size=10), min_size=1, max_size=4))
+def test_exact_naive_bayes_matches_brute_force(spark, train, test_texts):
+    import math
+    from collections import Counter
+
+    from kestrel.operators import classify as nb
+
+    def jvm_split(s):
+        if s == "":
+            return [""]
+        parts = s.split(" ")
+        while parts and parts[-1] == "":
+            parts.pop()
+        return parts
+
+    docs = Counter(y for y, _ in train)
+    words = {y: Counter() for y in docs}
+    for y, t in train:
+        words[y].update(jvm_split(t))
+    vocab = {w for c in words.values() for w in c}
+    labels = sorted(docs, key=lambda y: (-docs[y], str(y)))
+    n_docs, n_cls = sum(docs.values()), len(docs)
+
+    def score(text, y):
+        s = math.log(docs[y] + 1) - math.log(n_docs + n_cls)
+        den = math.log(sum(words[y].values()) + len(vocab))
+        for w, k in Counter(jvm_split(text)).items():
+            if w in vocab:
+                s += k * (math.log(words[y][w] + 1) - den)
+        return s
+
+    def brute(text):
+        scores = [score(text, y) for y in labels]
+        best = max(scores)
+        # ties (within rounding) go to the earlier class, as in spark.ml
+        return labels[next(i for i, sc in enumerate(scores) if sc >= best - 1e-9)]
+
+    model = nb.fit_tables(spark.createDataFrame(train, "label int, text string"))
+    test = spark.createDataFrame(list(enumerate(test_texts)), "doc_id long, text string")
+    got = {r.doc_id: r.prediction for r in nb.predict_tables(model, test).collect()}
+    for i, t in enumerate(test_texts):
+        scores = sorted((score(t, y) for y in labels), reverse=True)
+        if len(scores) > 1 and scores[0] - scores[1] < 1e-9:
+            continue  # exact ties: floating-point order decides, skip
+        assert got[i] == brute(t)
