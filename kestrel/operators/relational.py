@@ -85,7 +85,8 @@ def enrich(
     ``inner join UNION ALL (left anti-join distinct right keys)``: AQE can split a
     hot key on either side of an inner join, but only on the left side of an
     outer join, and the distinct right keys collapse a hot key in the partial
-    aggregate. The left side's shuffle is shared by both branches (exchange reuse).
+    aggregate. The price is a second read of the left side (the inner branch
+    carries an inferred null filter, so the two left shuffles are not reused).
     """
     def cond_for(r: DataFrame) -> Column:
         cond: Column | None = None
