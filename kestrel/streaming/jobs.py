@@ -10,6 +10,7 @@ own output instead of adding to it.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -29,12 +30,15 @@ def run(
     available_now: bool = False,
     timeout_s: float | None = None,
     name: str | None = None,
+    grace_s: float = 30.0,
 ) -> StreamingQuery:
     """Run ``foreach_batch`` on each micro-batch.
 
     ``available_now=True`` processes what is there and stops (tests, backfills);
     otherwise batches fire every ``interval`` and, with ``timeout_s``, the query is
-    stopped after that long (the original ran 30 s / 60 s). Returns the query.
+    stopped after that long (the original ran 30 s / 60 s). The stop is graceful:
+    a micro-batch in progress may finish first (up to ``grace_s`` more seconds).
+    Returns the query.
     """
     writer = stream.writeStream.foreachBatch(foreach_batch).option("checkpointLocation", checkpoint)
     if name:
@@ -47,13 +51,21 @@ def run(
     if available_now:
         q.awaitTermination()
     elif timeout_s is not None:
-        q.awaitTermination(timeout_s)
-        q.stop()
+        if not q.awaitTermination(timeout_s):
+            _stop_gracefully(q, grace_s)
     if q.exception() is not None:
         raise q.exception()
     return q
 
 
+def _stop_gracefully(q: StreamingQuery, grace_s: float) -> None:
+    """Stop ``q`` between micro-batches: wait (bounded) for the active trigger to end."""
+    deadline = time.monotonic() + grace_s
+    while q.isActive and q.status.get("isTriggerActive") and time.monotonic() < deadline:
+        time.sleep(0.1)
+    q.stop()
+
+
 def _write_batch(df: DataFrame, path: str, partitions: list[str], fmt: str = "parquet", **options) -> None:
     (
         df.write.mode("overwrite")
