@@ -12,7 +12,16 @@ from .jobs import (
     run,
     score,
 )
-from .sources import POST_SCHEMA, filter_posts, read_posts, read_socket, read_stream, read_text_stream
+from .sources import (
+    POST_SCHEMA,
+    filter_posts,
+    parse_posts,
+    read_posts,
+    read_posts_kafka,
+    read_socket,
+    read_stream,
+    read_text_stream,
+)
 
 __all__ = [
     "ETL_PARTITIONS",
@@ -24,9 +33,11 @@ __all__ = [
     "land_batch",
     "list_partitions",
     "parse_numbers",
+    "parse_posts",
     "partitioned_etl",
     "read_partitioned",
     "read_posts",
+    "read_posts_kafka",
     "read_socket",
     "read_stream",
     "read_text_stream",

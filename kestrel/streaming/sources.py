@@ -47,6 +47,24 @@ def read_posts(spark: SparkSession, path: str, keywords: list[str] | None = None
     return posts.where(keyword_match("text", keywords)) if keywords else posts
 
 
+def parse_posts(df: DataFrame, value: str = "value", schema: str = POST_SCHEMA) -> DataFrame:
+    """JSON post records in a string (or binary) column -> the post columns."""
+    parsed = F.from_json(F.col(value).cast("string"), schema)
+    return df.select(parsed.alias("_post")).select("_post.*")
+
+
+def read_posts_kafka(spark: SparkSession, servers: str, topic: str, keywords: list[str] | None = None,
+                     schema: str = POST_SCHEMA, **options) -> DataFrame:
+    """S14 from Kafka: the record values are JSON posts.
+
+    Needs Spark's Kafka connector on the classpath (not bundled with PySpark).
+    """
+    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+           .option("subscribe", topic).options(**options).load())
+    posts = parse_posts(raw, "value", schema)
+    return posts.where(keyword_match("text", keywords)) if keywords else posts
+
+
 def filter_posts(posts: DataFrame, lang: str = "en", lang_col: str = "user.lang",
                  sensitive_col: str | None = "possiblySensitive", name_col: str = "user.name",
                  text_col: str = "text") -> DataFrame:

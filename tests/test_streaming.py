@@ -119,3 +119,11 @@ def test_run_with_interval_and_timeout(spark, tmp_dir):
     q = st.run(st.read_text_stream(spark, src), body, os.path.join(tmp_dir, "ck"), interval="1 second", timeout_s=8)
     assert not q.isActive
     assert seen and seen[0] == (0, 1)
+
+
+def test_parse_posts_from_json_values(spark):
+    recs = [json.dumps({"user": {"lang": "en", "name": "a"}, "text": "hi", "possiblySensitive": None}),
+            json.dumps({"user": {"lang": "es", "name": "b"}, "text": "hola", "possiblySensitive": False})]
+    df = spark.createDataFrame([(r.encode(),) for r in recs], "value binary")
+    posts = st.parse_posts(df)
+    assert rows(st.filter_posts(posts)) == [("a", "hi")]  # null sensitivity counts as not sensitive
