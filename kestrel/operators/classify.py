@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import split_words
+from ..session import shared_dir
 
 HASH_FEATURES = 1 << 20
 MAX_CLASSES = 10_000
@@ -124,6 +125,12 @@ def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothin
     log_den = [math.log((r["tokens"] or 0) + vocab * smoothing) for r in classes]
     word_counts = per_class_word.groupBy("word").pivot("_y", labels).agg(F.first("n"))
     word_counts = word_counts.toDF("word", *[f"c{i}" for i in range(n_classes)])
+    # The model table is used by every later prediction (every micro-batch of a
+    # stream): materialize it once in the shared checkpoint folder, which also cuts
+    # its lineage so a lost executor never re-runs the training.
+    shared_dir(df.sparkSession)
+    word_counts = word_counts.checkpoint(eager=True)
+    per_class_word.unpersist()
     return NBTables(word_counts, labels, log_prior, log_den, smoothing)
 
 
