@@ -55,3 +55,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared work folder."""
     root = shared_dir(spark)
     return f"{root}/kestrel/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_settings(
+    input_bytes: int,
+    executor_memory_bytes: int = 16 << 30,
+    executor_cores: int = 4,
+    target_partition_bytes: int = 256 << 20,
+) -> dict[str, str]:
+    """Session settings sized for a large run (pass them to ``SparkSession.builder.config``).
+
+    * Input splits of ``target_partition_bytes`` (``spark.sql.files.maxPartitionBytes``).
+    * Initial shuffle partitions so that one partition holds about
+      ``target_partition_bytes`` of the input; AQE then coalesces small ones and
+      splits skewed ones (a key holding a third of a side is cut into pieces of
+      the advisory size).
+    * The partition target is capped so that ``executor_cores`` concurrent tasks
+      fit in the execution memory of one executor (about 60% of the heap).
+    """
+    per_task = int(executor_memory_bytes * 0.6 / max(1, executor_cores))
+    part = max(32 << 20, min(target_partition_bytes, per_task // 2))
+    shuffle_partitions = max(200, -(-input_bytes // part))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * part),
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": str(part),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -158,3 +158,27 @@ def test_postings_blocks_exact_for_large_ids(spark):
     counts = spark.createDataFrame([("w", big, 1), ("w", big + 1, 2)], "word string, doc long, n long")
     out = tx.postings(counts, block_size=2, as_text=False).collect()
     assert sorted(r.block for r in out) == [big // 2, (big + 1) // 2]
+
+
+def test_skew_safe_enrich_plan_shape(spark):
+    # With broadcasts off (large inputs), the left outer join is an inner join plus a
+    # left-anti join against the aggregated distinct right keys.
+    left = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    right = spark.range(100).select((F.col("id") % 5).alias("rk"), F.col("id").alias("w"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rel.enrich(left, right, [("k", "rk")])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Union" in plan and "Inner" in plan and "LeftAnti" in plan and "LeftOuter" not in plan
+
+
+def test_cluster_settings_scale_with_input():
+    from kestrel.session import cluster_settings
+
+    small = cluster_settings(10 << 30)
+    big = cluster_settings(100 << 40)
+    assert int(big["spark.sql.shuffle.partitions"]) > int(small["spark.sql.shuffle.partitions"]) >= 200
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(big["spark.sql.files.maxPartitionBytes"]) <= 256 << 20
