@@ -128,11 +128,18 @@ def score(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], sink: str
 ETL_PARTITIONS = ["depYear", "depMonth", "depDay"]
 
 
-def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns: list[str], sep: str = "|") -> None:
+def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns: list[str], sep: str = "|",
+               files_per_day: int | None = None) -> None:
     """K4: write one batch under ``depYear=YYYY/depMonth=MM/depDay=DD/batch_id=N``.
 
     Dynamic partition overwrite: writing the same ``batch_id`` again replaces
     only that batch's folders, so a replayed batch adds nothing.
+
+    By default each task writes the days it holds (no shuffle, but up to
+    tasks x days files). ``files_per_day=k`` first shuffles rows by day and a
+    hash of the row into k buckets: at most k files per day, and a day holding
+    a third of the batch is still written by k tasks. The hash is deterministic,
+    so a replayed batch lands the same way.
     """
     year, month, day = date_parts(ts_col)
     out = batch.select(
@@ -140,6 +147,9 @@ def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns:
         year.alias("depYear"), month.alias("depMonth"), day.alias("depDay"),
         F.lit(batch_id).cast("long").alias("batch_id"),
     )
+    if files_per_day:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(int(files_per_day)))
+        out = out.repartition(*[F.col(c) for c in ETL_PARTITIONS], salt)
     _write_batch(out, path, [*ETL_PARTITIONS, "batch_id"], fmt="csv", sep=sep, nullValue="null")
 
 
@@ -151,6 +161,7 @@ def partitioned_etl(
     checkpoint: str,
     sep: str = "|",
     on_batch: Callable[[int], None] | None = None,
+    files_per_day: int | None = None,
     **run_options,
 ) -> StreamingQuery:
     """Land each micro-batch as ``sep``-delimited text, partitioned by day and batch.
@@ -162,7 +173,7 @@ def partitioned_etl(
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, batch_id, path, ts_col, columns, sep)
+        land_batch(batch, batch_id, path, ts_col, columns, sep, files_per_day)
         if on_batch is not None:
             on_batch(batch_id)
 

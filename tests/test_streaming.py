@@ -127,3 +127,17 @@ def test_parse_posts_from_json_values(spark):
     df = spark.createDataFrame([(r.encode(),) for r in recs], "value binary")
     posts = st.parse_posts(df)
     assert rows(st.filter_posts(posts)) == [("a", "hi")]  # null sensitivity counts as not sensitive
+
+
+def test_land_batch_files_per_day(spark, tmp_dir):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(8)
+    path = os.path.join(tmp_dir, "etl")
+    st.land_batch(ev, 0, path, "ts", ["event_id", "user_id"], files_per_day=2)
+    per_day = {}
+    for dp, _, fs in os.walk(path):
+        n = sum(1 for f in fs if f.endswith(".csv"))
+        if n:
+            per_day[dp] = n
+    assert per_day and max(per_day.values()) <= 2
+    back = st.read_partitioned(spark, path, [("event_id", "bigint"), ("user_id", "bigint")])
+    assert back.count() == ev.count()
