@@ -70,6 +70,16 @@ def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx.term_counts(docs, doc="doc_id", text="text")
 
 
+_UNICODE_COUNTS_SQL = _COUNTS_SQL.replace("'[^\\w'']'", "'[^\\p{L}\\p{N}_'']'")
+
+
+@query("index_counts_unicode", _UNICODE_COUNTS_SQL + "select word, doc_id, n from c")
+def index_counts_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H7 option: letters of every script stay in one token (accented stop words can match)."""
+    docs = table(spark, sf_dir, "documents")
+    return tx.term_counts(docs, doc="doc_id", text="text", unicode=True)
+
+
 @query(
     "index_postings",
     _COUNTS_SQL
