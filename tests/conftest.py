@@ -37,6 +37,17 @@ class _Rows(list):
     __hash__ = None
 
 
+def plan_text(df, mode: str = "simple") -> str:
+    """The text ``df.explain(mode)`` prints."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
+
+
 def rows(df, *cols):
     """Collected rows as plain tuples (order-insensitive comparisons)."""
     sel = df.select(*cols) if cols else df

@@ -8,7 +8,7 @@ from kestrel.operators import graph as g
 from kestrel.operators import relational as rel
 from kestrel.operators import text as tx
 
-from .conftest import rows
+from .conftest import plan_text, rows
 
 
 def test_enrich_fan_out_nulls_and_count_join(spark):
@@ -34,13 +34,13 @@ def test_group_max_string_vs_cast(spark):
 def test_join_bounded_broadcasts_only_small(spark):
     big = spark.range(1000).select((F.col("id") % 3).alias("k"))
     small = big.groupBy("k").count()
-    plan = rel.join_bounded(big, small, "k")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(rel.join_bounded(big, small, "k"))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert rel.join_bounded(big, small, "k", max_rows=1).count() == 1000
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        off = rel.join_bounded(big, small, "k")._jdf.queryExecution().executedPlan().toString()
+        off = plan_text(rel.join_bounded(big, small, "k"))
         assert "BroadcastExchange" not in off  # no hint once broadcasting is switched off
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
@@ -168,7 +168,7 @@ def test_skew_safe_enrich_plan_shape(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = rel.enrich(left, right, [("k", "rk")])._jdf.queryExecution().executedPlan().toString()
+        plan = plan_text(rel.enrich(left, right, [("k", "rk")]))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Union" in plan and "Inner" in plan and "LeftAnti" in plan and "LeftOuter" not in plan

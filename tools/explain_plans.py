@@ -10,6 +10,8 @@ Usage: python tools/explain_plans.py [SF_DIR]
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -50,7 +52,10 @@ def _shape(plan: str) -> str:
 
 def tree(df, width: int = 230) -> str:
     """The physical plan with each node's details inline (``explain()``), lines cut to ``width``."""
-    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="simple")
+    text = buf.getvalue()
     text = text.replace(JVM_TRIM_CHARS, "<U+0000..U+0020>")
     text = re.sub(r"INSET [^)\]\n]{120,}", "INSET (…stop words…)", text)
     text = re.sub(r"file:/\S+/(\w+\.parquet)", r"\1", text)
