@@ -63,3 +63,14 @@ def test_query_matches_oracle(spark, con, name):
 def test_query_without_oracle_runs(spark, name):
     df = queries()[name](spark, SF_SMALL)
     assert df.count() > 0
+
+
+def test_cli_lists_every_query():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "kestrel", "--list"], cwd=root, capture_output=True, text=True,
+                         timeout=120, check=True).stdout.split()
+    assert sorted(out) == sorted(queries())
