@@ -20,7 +20,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizer, HashingTF, IndexToString, RegexTokenizer, StringIndexer
@@ -102,35 +101,36 @@ def _doc_words(df: DataFrame, doc: str, text: str) -> DataFrame:
 def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothing: float = 1.0) -> NBTables:
     """M2 (exact form): per-class word counts as a DataFrame; class totals on the driver.
 
-    The driver receives one row per class (checked to be at most ``MAX_CLASSES``)
-    and one number, the vocabulary size; all per-word data stays distributed.
+    Three passes: the documents per class (one row per class reaches the driver,
+    checked to be at most ``MAX_CLASSES``); the per-word table, one column per
+    class, checkpointed in the shared folder; then one aggregate over that table
+    for the vocabulary size and the tokens per class. All per-word data stays
+    distributed.
     """
     rows = df.select(F.col(label).alias("_y"), F.col(text).alias("_t"))
-    toks = rows.select("_y", F.explode(split_words("_t")).alias("word"))
-    # Used three times below (class totals, vocabulary size, the table itself).
-    per_class_word = toks.groupBy("_y", "word").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-
-    docs_per_class = rows.groupBy("_y").agg(F.count(F.lit(1)).alias("docs"))
-    tokens_per_class = per_class_word.groupBy("_y").agg(F.sum("n").alias("tokens"))
-    classes = docs_per_class.join(tokens_per_class, "_y", "left").limit(MAX_CLASSES + 1).collect()
+    classes = rows.groupBy("_y").agg(F.count(F.lit(1)).alias("docs")).limit(MAX_CLASSES + 1).collect()
     if len(classes) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
     classes.sort(key=lambda r: (-r["docs"], str(r["_y"])))
     labels = [r["_y"] for r in classes]
-    vocab = per_class_word.select("word").distinct().count()
-
-    total_docs = sum(r["docs"] for r in classes)
     n_classes = len(classes)
-    log_prior = [math.log(r["docs"] + smoothing) - math.log(total_docs + n_classes * smoothing) for r in classes]
-    log_den = [math.log((r["tokens"] or 0) + vocab * smoothing) for r in classes]
-    word_counts = per_class_word.groupBy("word").pivot("_y", labels).agg(F.first("n"))
+
+    toks = rows.select("_y", F.explode(split_words("_t")).alias("word"))
+    word_counts = toks.groupBy("word").pivot("_y", labels).agg(F.count(F.lit(1)))
     word_counts = word_counts.toDF("word", *[f"c{i}" for i in range(n_classes)])
     # The model table is used by every later prediction (every micro-batch of a
     # stream): materialize it once in the shared checkpoint folder, which also cuts
     # its lineage so a lost executor never re-runs the training.
     shared_dir(df.sparkSession)
     word_counts = word_counts.checkpoint(eager=True)
-    per_class_word.unpersist()
+
+    totals = word_counts.agg(
+        F.count(F.lit(1)).alias("vocab"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(n_classes)]
+    ).first()
+    vocab = totals["vocab"]
+    total_docs = sum(r["docs"] for r in classes)
+    log_prior = [math.log(r["docs"] + smoothing) - math.log(total_docs + n_classes * smoothing) for r in classes]
+    log_den = [math.log((totals[f"t{i}"] or 0) + vocab * smoothing) for i in range(n_classes)]
     return NBTables(word_counts, labels, log_prior, log_den, smoothing)
 
 

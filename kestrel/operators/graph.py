@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import route_text
-from .relational import join_bounded
+from .relational import join_bounded, size_checked
 
 # The 29 fields of a flight record, in file order.
 FLIGHT_FIELDS = (
@@ -66,18 +66,19 @@ def _vertex_side(v: DataFrame, end: str) -> DataFrame:
     return v.select(F.col("id").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in v.columns if c != "id"])
 
 
-def _attach(df: DataFrame, v: DataFrame, end: str) -> DataFrame:
-    side = _vertex_side(v, end)
-    how = "left_semi" if len(side.columns) == 1 else "inner"
-    return join_bounded(df, side, end, how)
-
-
 def triplets(v: DataFrame, e: DataFrame) -> DataFrame:
     """Edges with the attributes of both end vertices (``src_*``, ``dst_*``).
 
-    Edges whose ends are not vertices drop out, as in a property graph.
+    Edges whose ends are not vertices drop out, as in a property graph. The
+    vertex table is size-checked once and, when small, broadcast to both joins.
     """
-    return _attach(_attach(e, v, "src"), v, "dst")
+    v, fits = size_checked(v)
+    out = e
+    for end in ("src", "dst"):
+        side = _vertex_side(v, end)
+        how = "left_semi" if len(side.columns) == 1 else "inner"
+        out = out.join(F.broadcast(side) if fits else side, end, how)
+    return out
 
 
 def top_routes(e: DataFrame, k: int = 10) -> DataFrame:

@@ -46,6 +46,20 @@ def broadcast_limit_bytes(spark) -> int:
     return int(raw)
 
 
+def size_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Persist ``df``, count it (one job) and say whether it may be broadcast.
+
+    True when it has at most ``max_rows`` rows and its estimated size fits the
+    session's ``spark.sql.autoBroadcastJoinThreshold``. Later joins read the
+    cached rows, so the side is computed once however many joins use it.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    limit_bytes = broadcast_limit_bytes(df.sparkSession)
+    rows = cached.count()
+    fits = limit_bytes > 0 and rows <= max_rows and rows * _row_bytes(cached) <= limit_bytes
+    return cached, fits
+
+
 def join_bounded(
     big: DataFrame,
     small: DataFrame,
@@ -55,16 +69,11 @@ def join_bounded(
 ) -> DataFrame:
     """Join ``big`` with ``small``, broadcasting ``small`` only when it is proven small.
 
-    ``small`` is persisted and counted first (one job over the small side; the
-    join then reads the cached rows). If it has at most ``max_rows`` rows and
-    fits the session's broadcast threshold, it is broadcast; otherwise the join
-    is left to a shuffle join (AQE splits skewed partitions).
+    ``small`` is persisted and counted first (:func:`size_checked`). If it fits,
+    it is broadcast; otherwise the join is left to a shuffle join (AQE splits
+    skewed partitions).
     """
-    spark = big.sparkSession
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    limit_bytes = broadcast_limit_bytes(spark)
-    rows = small.count()
-    fits = limit_bytes > 0 and rows <= max_rows and rows * _row_bytes(small) <= limit_bytes
+    small, fits = size_checked(small, max_rows)
     return big.join(F.broadcast(small) if fits else small, on, how)
 
 
