@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import split_words
 from ..session import shared_dir
+from .relational import DEFAULT_BROADCAST_ROWS, broadcast_limit_bytes
 
 HASH_FEATURES = 1 << 20
 MAX_CLASSES = 10_000
@@ -91,6 +92,7 @@ class NBTables:
     log_prior: list  # per class
     log_denominator: list  # per class: ln(tokens_c + V * smoothing)
     smoothing: float
+    vocab_size: int  # rows of word_counts (known exactly, used to pick the join strategy)
 
 
 def _doc_words(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -131,7 +133,7 @@ def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothin
     total_docs = sum(r["docs"] for r in classes)
     log_prior = [math.log(r["docs"] + smoothing) - math.log(total_docs + n_classes * smoothing) for r in classes]
     log_den = [math.log((totals[f"t{i}"] or 0) + vocab * smoothing) for i in range(n_classes)]
-    return NBTables(word_counts, labels, log_prior, log_den, smoothing)
+    return NBTables(word_counts, labels, log_prior, log_den, smoothing, vocab)
 
 
 def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: str = "text",
@@ -140,13 +142,21 @@ def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: st
 
     score(c) = log_prior(c) + sum over in-vocabulary words w of
     k(d, w) * (ln(n(c, w) + s) - ln_den(c)); unseen words are ignored.
-    One join on the word (shuffle; AQE splits hot words) and one per-document
-    aggregate; documents without known words get the prior alone.
+    One join on the word and one per-document aggregate; documents without
+    known words get the prior alone. The model table's row count is known
+    exactly, so it is broadcast when it fits the session's broadcast limit;
+    otherwise both sides are shuffled on the word (sort-merge, AQE splits hot
+    words) and the document side is never broadcast.
     """
     s = model.smoothing
     n = len(model.labels)
     dw = _doc_words(df, doc, text)
-    joined = dw.join(model.word_counts, "word")
+    table_bytes = model.vocab_size * (20 + 8 * n)
+    limit = broadcast_limit_bytes(df.sparkSession)
+    if 0 < limit and model.vocab_size <= DEFAULT_BROADCAST_ROWS and table_bytes <= limit:
+        joined = dw.join(F.broadcast(model.word_counts), "word")
+    else:
+        joined = dw.join(model.word_counts.hint("merge"), "word")
     ln_s = math.log(s)
     sums = [F.sum(F.col("k") * (F.log(F.coalesce(F.col(f"c{i}"), F.lit(0)) + F.lit(s)) - F.lit(ln_s))).alias(f"s{i}")
             for i in range(n)]

@@ -123,3 +123,22 @@ def test_exact_tables_equal_spark_ml_count_model(spark):
     ex3 = {r.doc_id: r.prediction for r in nb.predict_tables(nb.fit_tables(tw, "tweet", "polarity"), with_id,
                                                                text="tweet").collect()}
     assert ml3 == ex3
+
+
+def test_exact_predict_same_with_and_without_broadcast(spark):
+    from kestrel.plans.ml_queries import training_docs
+
+    from .conftest import plan_text
+
+    tables = nb.fit_tables(training_docs(spark, SF_SMALL), text="text", label="label")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    small = nb.predict_tables(tables, docs)
+    assert "BuildRight" in plan_text(small) or "BroadcastExchange" in plan_text(small)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = nb.predict_tables(tables, docs)
+        assert "SortMergeJoin" in plan_text(large)
+        assert rows(large) == rows(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
