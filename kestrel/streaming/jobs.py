@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -119,8 +120,15 @@ def score(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], sink: str
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        out = scorer(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        _write_batch(out, sink, ["batch_id"])
+        # A scorer may read its input more than once (the exact naive Bayes reads
+        # the documents for the tokens and for the final per-document join):
+        # keep the micro-batch for the length of this body only.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            out = scorer(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            _write_batch(out, sink, ["batch_id"])
+        finally:
+            batch.unpersist()
 
     return run(stream, body, checkpoint, **run_options)
 
