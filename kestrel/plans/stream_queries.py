@@ -76,11 +76,12 @@ def stream_score_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ETL_COLUMNS = [("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string")]
 
 
-def _run_etl(spark: SparkSession, sf_dir: str, on_batch=None) -> str:
+def _run_etl(spark: SparkSession, sf_dir: str, table: str | None = None) -> str:
     path, ckpt = scratch_path(spark, "etl"), scratch_path(spark, "etl-ckpt")
+    if table is not None:
+        st.create_partitioned_table(spark, table, path, _ETL_COLUMNS, [*st.ETL_PARTITIONS, "batch_id"])
     events = _stream(spark, sf_dir, "events")
-    st.partitioned_etl(events, path, "ts", [c for c, _ in _ETL_COLUMNS], ckpt, on_batch=on_batch,
-                       available_now=True)
+    st.partitioned_etl(events, path, "ts", [c for c, _ in _ETL_COLUMNS], ckpt, table=table, available_now=True)
     return path
 
 
@@ -100,11 +101,10 @@ def stream_partitioned_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select strftime(ts, '%Y') y, strftime(ts, '%m') m, strftime(ts, '%d') d, count(*) n from events group by 1, 2, 3",
 )
 def etl_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5 + K6: land the stream, register it as a partitioned catalog table, count per day."""
+    """K5 + K6: a partitioned catalog table fed by the stream; every batch registers its
+    own partitions; rows counted per day through the catalog."""
     name = f"kestrel_flights_{uuid.uuid4().hex[:10]}"
-    path = _run_etl(spark, sf_dir)
-    st.create_partitioned_table(spark, name, path, _ETL_COLUMNS, [*st.ETL_PARTITIONS, "batch_id"])
-    st.repair(spark, name)
+    _run_etl(spark, sf_dir, table=name)
     t = spark.table(name)
     return t.groupBy(F.col("depYear").alias("y"), F.col("depMonth").alias("m"), F.col("depDay").alias("d")).agg(
         F.count(F.lit(1)).alias("n")

@@ -1,6 +1,6 @@
 """Structured Streaming jobs: sources, per-batch jobs and the partitioned ETL."""
 
-from .catalog import create_partitioned_table, list_partitions, repair
+from .catalog import add_partitions, create_partitioned_table, list_partitions, repair
 from .jobs import (
     ETL_PARTITIONS,
     count_batch,
@@ -24,6 +24,7 @@ from .sources import (
 )
 
 __all__ = [
+    "add_partitions",
     "ETL_PARTITIONS",
     "POST_SCHEMA",
     "count_batch",

@@ -52,3 +52,28 @@ def list_partitions(spark: SparkSession, table: str) -> DataFrame:
         "partition",
         *[F.regexp_extract(F.get(parts, i), "=(.*)$", 1).alias(k) for i, k in enumerate(keys)],
     )
+
+
+def add_partitions(spark: SparkSession, table: str, parts: DataFrame, max_partitions: int = 100_000) -> int:
+    """K6, incremental: register the partitions listed in ``parts`` (one column per
+    partition key, in table order) with one ``ALTER TABLE ... ADD IF NOT EXISTS``.
+
+    Meant for the partitions of one micro-batch (a few days), so the distinct
+    values are collected; unlike ``MSCK REPAIR`` it never lists the whole table
+    folder. Returns the number of partitions named.
+    """
+    keys = parts.columns
+    rows = parts.distinct().limit(max_partitions + 1).collect()
+    if len(rows) > max_partitions:
+        raise ValueError(f"more than {max_partitions} partitions in one call; use repair()")
+    if not rows:
+        return 0
+
+    def lit(v) -> str:
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    specs = " ".join(
+        "PARTITION (" + ", ".join(f"`{_check(k)}` = {lit(r[k])}" for k in keys) + ")" for r in rows
+    )
+    spark.sql(f"ALTER TABLE {_check(table)} ADD IF NOT EXISTS {specs}")
+    return len(rows)

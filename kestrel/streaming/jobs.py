@@ -137,7 +137,7 @@ ETL_PARTITIONS = ["depYear", "depMonth", "depDay"]
 
 
 def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns: list[str], sep: str = "|",
-               files_per_day: int | None = None) -> None:
+               files_per_day: int | None = None, table: str | None = None) -> None:
     """K4: write one batch under ``depYear=YYYY/depMonth=MM/depDay=DD/batch_id=N``.
 
     Dynamic partition overwrite: writing the same ``batch_id`` again replaces
@@ -148,6 +148,10 @@ def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns:
     hash of the row into k buckets: at most k files per day, and a day holding
     a third of the batch is still written by k tasks. The hash is deterministic,
     so a replayed batch lands the same way.
+
+    With ``table`` (a catalog table over ``path``, see
+    :func:`kestrel.streaming.catalog.create_partitioned_table`) the batch's new
+    partitions are registered right after the write.
     """
     year, month, day = date_parts(ts_col)
     out = batch.select(
@@ -158,7 +162,17 @@ def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns:
     if files_per_day:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(int(files_per_day)))
         out = out.repartition(*[F.col(c) for c in ETL_PARTITIONS], salt)
-    _write_batch(out, path, [*ETL_PARTITIONS, "batch_id"], fmt="csv", sep=sep, nullValue="null")
+    if table is not None:
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)  # written, then its partitions listed
+    try:
+        _write_batch(out, path, [*ETL_PARTITIONS, "batch_id"], fmt="csv", sep=sep, nullValue="null")
+        if table is not None:
+            from .catalog import add_partitions
+
+            add_partitions(out.sparkSession, table, out.select(*ETL_PARTITIONS, F.col("batch_id").cast("string")))
+    finally:
+        if table is not None:
+            out.unpersist()
 
 
 def partitioned_etl(
@@ -170,18 +184,20 @@ def partitioned_etl(
     sep: str = "|",
     on_batch: Callable[[int], None] | None = None,
     files_per_day: int | None = None,
+    table: str | None = None,
     **run_options,
 ) -> StreamingQuery:
     """Land each micro-batch as ``sep``-delimited text, partitioned by day and batch.
 
     One partitioned write per batch (no driver loop over days). Two batches of
     the same day land in different ``batch_id`` folders; replaying a batch id
-    overwrites only its own folders. ``on_batch`` runs after each write (e.g.
-    register new partitions in the catalog with :func:`kestrel.streaming.catalog.repair`).
+    overwrites only its own folders. With ``table`` each batch registers its
+    own new partitions in the catalog (no full-folder repair); ``on_batch`` runs
+    after each write.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, batch_id, path, ts_col, columns, sep, files_per_day)
+        land_batch(batch, batch_id, path, ts_col, columns, sep, files_per_day, table)
         if on_batch is not None:
             on_batch(batch_id)
 

@@ -141,3 +141,22 @@ def test_land_batch_files_per_day(spark, tmp_dir):
     assert per_day and max(per_day.values()) <= 2
     back = st.read_partitioned(spark, path, [("event_id", "bigint"), ("user_id", "bigint")])
     assert back.count() == ev.count()
+
+
+def test_partitioned_etl_registers_batch_partitions(spark, tmp_dir):
+    # Two batches (two files), each registering only its own partitions: no repair.
+    src = os.path.join(tmp_dir, "ev")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.where("event_id % 2 = 0").coalesce(1).write.parquet(os.path.join(src, "a"))
+    ev.where("event_id % 2 = 1").coalesce(1).write.parquet(os.path.join(src, "b"))
+    path = os.path.join(tmp_dir, "out")
+    cols = [("event_id", "bigint"), ("user_id", "bigint")]
+    st.create_partitioned_table(spark, "etl_batch_parts", path, cols, [*st.ETL_PARTITIONS, "batch_id"])
+    stream = st.read_stream(spark, f"{src}/*/*.parquet", ev.schema, max_files_per_trigger=1)
+    st.partitioned_etl(stream, path, "ts", ["event_id", "user_id"], os.path.join(tmp_dir, "ck"),
+                       table="etl_batch_parts", available_now=True)
+    parts = st.list_partitions(spark, "etl_batch_parts")
+    days = ev.select(F.date_format("ts", "yyyy-MM-dd")).distinct().count()
+    assert parts.select("batch_id").distinct().count() == 2
+    assert parts.select("depYear", "depMonth", "depDay").distinct().count() == days
+    assert spark.table("etl_batch_parts").count() == ev.count()
