@@ -45,7 +45,8 @@ def crawl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     write(docs, path, fmt="text", partition_by="doc_id")
     crawled = tx.crawl(read_documents(spark, path))
-    return crawled.select("doc_id", "text")
+    # Partition discovery infers the smallest integral type; the table's key is bigint.
+    return crawled.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 @query("crawl_basename", "select page_id, " + _TRIM_SQL.format("regexp_extract(url, '[^/]*$')") + " as name from pages")
