@@ -26,6 +26,10 @@ def con():
     return c
 
 
+_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT",
+         "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else float(f"{v:.9g}")
@@ -56,6 +60,9 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(oracle_sql()[name])
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
+    duck_types = {d[0]: str(d[1]).upper() for d in res.description}
+    for col, t in df.dtypes:
+        assert _DUCK.get(t, t.upper()) == duck_types[col], (col, t, duck_types[col])
     assert _canon(df.columns, got) == _canon(cols, res.fetchall())
 
 
