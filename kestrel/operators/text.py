@@ -79,13 +79,20 @@ def postings(
     doc: str = "doc",
     block_size: int = DEFAULT_BLOCK_SIZE,
     as_text: bool = True,
+    sort: bool = False,
 ) -> DataFrame:
-    """Per word and block, the ``(doc, n)`` list sorted by (-n, doc).
+    """Per word and block, the ``(doc, n)`` list sorted by (-n, doc).
 
     Output ``(word, block, postings)``; ``postings`` is ``"(doc,n), (doc,n)"`` text
     or, with ``as_text=False``, an array of ``struct(doc, n)``. A word with fewer
     than ``block_size`` documents (all of them, below that many documents) has
     a single block 0.
+
+    ``sort=True`` returns the rows ordered by (word, block) (O2) with a single
+    shuffle: the counts are range-partitioned on (word, block) before grouping
+    (that partitioning already clusters each group, so the aggregate adds no
+    exchange) and each partition is then sorted locally. A hot word's blocks
+    land in different ranges; one block holds at most ``block_size`` entries.
     """
     dtype = counts.schema[doc].dataType
     if isinstance(dtype, IntegralType):
@@ -97,6 +104,8 @@ def postings(
         with_df = counts.join(df_w, "word")
         nb = F.greatest(F.lit(1), F.ceil(F.col("_df") / F.lit(block_size)))
         blocked = with_df.withColumn("block", F.pmod(F.xxhash64(F.col(doc)), nb).cast("long")).drop("_df")
+    if sort:
+        blocked = blocked.repartitionByRange("word", "block")
     grouped = blocked.groupBy("word", "block").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("neg_n"), F.col(doc).alias("doc")))).alias("_p")
     )
@@ -106,4 +115,5 @@ def postings(
         body = F.array_join(F.transform("_p", entry), ", ")
     else:
         body = F.transform("_p", lambda x: F.struct(x["doc"].alias("doc"), (-x["neg_n"]).alias("n")))
-    return grouped.select("word", "block", body.alias("postings"))
+    out = grouped.select("word", "block", body.alias("postings"))
+    return out.sortWithinPartitions("word", "block") if sort else out

@@ -90,7 +90,7 @@ string_agg('(' || doc_id || ',' || n || ')', ', ' order by n desc, doc_id) posti
 def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = tx.term_counts(docs, doc="doc_id", text="text")
-    return tx.postings(counts, doc="doc_id").orderBy("word", "block")
+    return tx.postings(counts, doc="doc_id", sort=True)
 
 
 @query(

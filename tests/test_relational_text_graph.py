@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from kestrel.operators import graph as g
@@ -182,3 +184,18 @@ def test_cluster_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) > int(small["spark.sql.shuffle.partitions"]) >= 200
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(big["spark.sql.files.maxPartitionBytes"]) <= 256 << 20
+
+
+def test_postings_sorted_output_is_global_order(spark):
+    from kestrel.plans import table
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    counts = tx.term_counts(docs, doc="doc_id")
+    out = tx.postings(counts, doc="doc_id", block_size=50, sort=True)
+    keys = [(r.word, r.block) for r in out.collect()]
+    assert keys == sorted(keys) and len(keys) == len(set(keys))
+    plan = plan_text(out)
+    hashed = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert hashed and all("doc_id" in h for h in hashed)  # only the counts' shuffle is hashed
+    assert "Exchange rangepartitioning(word" in plan  # the postings need just one range shuffle
+    assert rows(out) == rows(tx.postings(counts, doc="doc_id", block_size=50))
