@@ -144,20 +144,25 @@ def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: st
     k(d, w) * (ln(n(c, w) + s) - ln_den(c)); unseen words are ignored.
     One join on the word and one per-document aggregate; documents without
     known words get the prior alone. The model table's row count is known
-    exactly, so it is broadcast when it fits the session's broadcast limit;
-    otherwise both sides are shuffled on the word (sort-merge, AQE splits hot
-    words) and the document side is never broadcast.
+    exactly: when it fits the session's broadcast limit the raw tokens are
+    joined map-side (no shuffle before the per-document partial aggregate);
+    otherwise (doc, word) counts are shuffled against the table on the word
+    (sort-merge, AQE splits hot words). The document side is never broadcast.
     """
     s = model.smoothing
     n = len(model.labels)
-    dw = _doc_words(df, doc, text)
     table_bytes = model.vocab_size * (20 + 8 * n)
     limit = broadcast_limit_bytes(df.sparkSession)
+    ln_s = math.log(s)
     if 0 < limit and model.vocab_size <= DEFAULT_BROADCAST_ROWS and table_bytes <= limit:
-        joined = dw.join(F.broadcast(model.word_counts), "word")
+        # Broadcast model: join the raw tokens map-side and sum per document; the
+        # per-document partial aggregate is the only shuffle.
+        toks = df.select(F.col(doc), F.explode(split_words(text)).alias("word"))
+        joined = toks.join(F.broadcast(model.word_counts), "word").withColumn("k", F.lit(1))
     else:
-        joined = dw.join(model.word_counts.hint("merge"), "word")
-    ln_s = math.log(s)
+        # Large model: count (doc, word) pairs first so the shuffle join on the
+        # word moves one row per pair; sort-merge, AQE splits hot words.
+        joined = _doc_words(df, doc, text).join(model.word_counts.hint("merge"), "word")
     sums = [F.sum(F.col("k") * (F.log(F.coalesce(F.col(f"c{i}"), F.lit(0)) + F.lit(s)) - F.lit(ln_s))).alias(f"s{i}")
             for i in range(n)]
     per_doc = joined.groupBy(doc).agg(F.sum("k").alias("_K"), *sums)
