@@ -34,14 +34,16 @@ NOTES = {
                           "checked count; the final range sort has the order key as last key so hot (y, q) pairs split.",
     "index_counts": "One Generate (explode of the split) feeding an InSet stop-word filter and a partial aggregate: "
                     "one shuffle, keyed by (word, doc).",
-    "index_postings": "Second aggregate over (word, block) holds at most block_size entries per group; the range sort "
-                      "on (word, block) has unique keys.",
+    "index_postings": "The counts are range-partitioned on (word, block) before grouping: that partitioning already "
+                      "clusters each group, so the aggregate adds no exchange and a local sort gives the global "
+                      "order (one shuffle after the counts). A group holds at most block_size entries.",
     "graph_top_routes": "Partial aggregate of trips into edges, then TakeOrderedAndProject: no global sort.",
     "graph_least_in": "Vertex semi-join below the degree aggregate; vertices come from a cached, counted table.",
     "graph_triplets": "Two semi-joins of edges with vertices (broadcast only after the size check).",
     "rating_stats": "Exact distinct users and items in one pass: Expand + partial aggregate.",
-    "nb_predict": "Document word counts joined once to the per-word class counts; per-document sums; the class "
-                  "priors and denominators are literals.",
+    "nb_predict": "The model table (exact row count known) is broadcast, so raw tokens join it map-side and the "
+                  "per-document partial aggregate is the only shuffle; without broadcasts, (doc, word) counts meet "
+                  "the table in a sort-merge join. Class priors and denominators are literals.",
     "stream_count_per_batch": "Reads the landed per-batch counts back and sums them (the stream itself ran per batch).",
 }
 
