@@ -2,8 +2,9 @@
 
 Scale notes
 -----------
-* ``enrich`` joins two large tables: left to Catalyst (sort-merge join, both
-  sides shuffled on the key; AQE splits skewed key partitions).
+* ``enrich`` joins two large tables (sort-merge join, both sides shuffled on
+  the key). A hot right key, which AQE cannot split in an outer join, is
+  detected from the per-key counts and then handled by an inner + anti-join split.
 * ``with_group_count`` attaches per-key counts to every row. The keys can be
   few (years), so a shuffle join on them would leave only a handful of busy
   tasks. The counts side is therefore broadcast, but only after
@@ -37,7 +38,10 @@ def _row_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit_bytes(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    return _parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
+def _parse_bytes(raw: str) -> int:
     raw = raw.strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     for suffix in sorted(units, key=len, reverse=True):
@@ -77,25 +81,37 @@ def join_bounded(
     return big.join(F.broadcast(small) if fits else small, on, how)
 
 
+def skew_threshold_bytes(spark) -> int:
+    """Size above which Spark's AQE treats a join partition as skewed (session setting)."""
+    raw = spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB")
+    return _parse_bytes(raw)
+
+
 def enrich(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[tuple[str, str]],
     how: str = "left_outer",
     keep_right_keys: bool = False,
-    skew_safe: bool = True,
+    skew_safe: bool | str = "auto",
+    hot_key_bytes: int | None = None,
 ) -> DataFrame:
     """Equi-join on a composite key (default left outer).
 
     Unmatched left rows keep null right columns; duplicate right keys fan out;
     null keys never match. Right key columns are dropped unless asked for.
 
-    With ``skew_safe`` (default) a left outer join is computed as
-    ``inner join UNION ALL (left anti-join distinct right keys)``: AQE can split a
-    hot key on either side of an inner join, but only on the left side of an
-    outer join, and the distinct right keys collapse a hot key in the partial
-    aggregate. The price is a second read of the left side (the inner branch
-    carries an inferred null filter, so the two left shuffles are not reused).
+    Skew: AQE splits a hot key on either side of an inner join but only on the
+    left side of an outer join. A left outer join can therefore be computed as
+    ``inner join UNION ALL (left anti-join distinct right keys)``, safe for a hot
+    right key but reading the left side twice. ``skew_safe``:
+
+    * ``"auto"`` (default): count the rows per right key (the same aggregate gives
+      the distinct keys of the anti branch) and look at the hottest key. If its
+      rows fit ``hot_key_bytes`` (default: the session's skewed-partition
+      threshold) a plain left outer join runs, reading each side once;
+      otherwise the split form runs.
+    * ``True``: always the split form. ``False``: always the plain join.
     """
     def cond_for(r: DataFrame) -> Column:
         cond: Column | None = None
@@ -105,14 +121,24 @@ def enrich(
         return cond
 
     right_keys = [rk for _, rk in on]
-    if how in ("left_outer", "left", "leftouter") and skew_safe and not keep_right_keys:
-        matched = left.join(right, cond_for(right), "inner").select(
-            *[left[c] for c in left.columns], *[right[c] for c in right.columns if c not in right_keys]
-        )
-        keys = right.select(*right_keys).distinct()
-        unmatched = left.join(keys, cond_for(keys), "left_anti")
-        payload = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in right_keys]
-        return matched.unionByName(unmatched.select(*left.columns, *payload))
+    left_outer = how in ("left_outer", "left", "leftouter")
+    if left_outer and skew_safe and not keep_right_keys:
+        key_counts = right.groupBy(*right_keys).agg(F.count(F.lit(1)).alias("_n"))
+        split = True
+        if skew_safe == "auto":
+            # One aggregation job; only the (rare) split path computes the key counts again.
+            hottest = key_counts.agg(F.max("_n")).first()[0] or 0
+            limit = hot_key_bytes if hot_key_bytes is not None else skew_threshold_bytes(left.sparkSession)
+            split = hottest * _row_bytes(right) > limit
+        if split:
+            matched = left.join(right, cond_for(right), "inner").select(
+                *[left[c] for c in left.columns], *[right[c] for c in right.columns if c not in right_keys]
+            )
+            keys = key_counts.select(*right_keys)
+            unmatched = left.join(keys, cond_for(keys), "left_anti")
+            payload = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields
+                       if f.name not in right_keys]
+            return matched.unionByName(unmatched.select(*left.columns, *payload))
 
     joined = left.join(right, cond_for(right), how)
     if keep_right_keys:

@@ -140,11 +140,15 @@ def test_skew_safe_enrich_equals_plain_left_outer(spark):
     l_df = spark.createDataFrame(left, "y int, m string, lid int")
     r_df = spark.createDataFrame(right, "ry int, rm string, rid int")
     on = [("y", "ry"), ("m", "rm")]
-    safe = rel.enrich(l_df, r_df, on)
     plain = rel.enrich(l_df, r_df, on, skew_safe=False)
-    assert safe.columns == plain.columns == ["y", "m", "lid", "rid"]
-    assert rows(safe) == rows(plain)
-    assert safe.count() > 300
+    split = rel.enrich(l_df, r_df, on, skew_safe=True)
+    auto_plain = rel.enrich(l_df, r_df, on)  # tiny hot key: below the skew threshold
+    auto_split = rel.enrich(l_df, r_df, on, hot_key_bytes=0)  # any key counts as hot
+    for df in (split, auto_plain, auto_split):
+        assert df.columns == plain.columns == ["y", "m", "lid", "rid"]
+        assert rows(df) == rows(plain)
+    assert "LeftAnti" in plan_text(auto_split) and "LeftAnti" not in plan_text(auto_plain)
+    assert plain.count() > 300
 
 
 def test_term_counts_custom_stop_words_keep_jvm_empties(spark):
@@ -170,7 +174,7 @@ def test_skew_safe_enrich_plan_shape(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_text(rel.enrich(left, right, [("k", "rk")]))
+        plan = plan_text(rel.enrich(left, right, [("k", "rk")], skew_safe=True))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Union" in plan and "Inner" in plan and "LeftAnti" in plan and "LeftOuter" not in plan
