@@ -29,9 +29,10 @@ HEADLINE = [
 
 
 NOTES = {
-    "enrich_with_counts": "Left outer join written as inner join + left-anti join on distinct right keys (hot keys split "
-                          "by AQE on either side); per-year counts come from a cached aggregate, broadcast after a "
-                          "checked count; the final range sort has the order key as last key so hot (y, q) pairs split.",
+    "enrich_with_counts": "The right side's hottest key is measured first (one aggregation job): no hot key here, so "
+                          "a plain left outer join (a hot right key would switch to inner join + anti join on the "
+                          "distinct keys). Per-year counts come from a cached aggregate, broadcast after a checked "
+                          "count; the range sort ends with the order key so hot (y, q) pairs split.",
     "index_counts": "One Generate (explode of the split) feeding an InSet stop-word filter and a partial aggregate: "
                     "one shuffle, keyed by (word, doc).",
     "index_postings": "The counts are range-partitioned on (word, block) before grouping: that partitioning already "
