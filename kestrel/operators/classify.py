@@ -93,6 +93,7 @@ class NBTables:
     log_denominator: list  # per class: ln(tokens_c + V * smoothing)
     smoothing: float
     vocab_size: int  # rows of word_counts (known exactly, used to pick the join strategy)
+    count_unseen: bool = False  # hashed feature space: unseen words still weigh in (smoothed zero count)
 
 
 def _doc_words(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -100,9 +101,16 @@ def _doc_words(df: DataFrame, doc: str, text: str) -> DataFrame:
     return toks.groupBy(doc, "word").agg(F.count(F.lit(1)).alias("k"))
 
 
-def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothing: float = 1.0) -> NBTables:
+def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothing: float = 1.0,
+               feature_space: int | None = None) -> NBTables:
     """M2 (exact form): per-class word counts as a DataFrame; class totals on the driver.
 
+    Smoothing spreads over the vocabulary (as with ``CountVectorizer``) unless
+    ``feature_space`` is given: then over that many features, and words unseen in
+    training still count at prediction (a smoothed zero count), which is the
+    model a hashed feature space of that size gives (``HashingTF``), minus
+    hash collisions.
+
     Three passes: the documents per class (one row per class reaches the driver,
     checked to be at most ``MAX_CLASSES``); the per-word table, one column per
     class, checkpointed in the shared folder; then one aggregate over that table
@@ -132,8 +140,9 @@ def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothin
     vocab = totals["vocab"]
     total_docs = sum(r["docs"] for r in classes)
     log_prior = [math.log(r["docs"] + smoothing) - math.log(total_docs + n_classes * smoothing) for r in classes]
-    log_den = [math.log((totals[f"t{i}"] or 0) + vocab * smoothing) for i in range(n_classes)]
-    return NBTables(word_counts, labels, log_prior, log_den, smoothing, vocab)
+    space = feature_space or vocab
+    log_den = [math.log((totals[f"t{i}"] or 0) + space * smoothing) for i in range(n_classes)]
+    return NBTables(word_counts, labels, log_prior, log_den, smoothing, vocab, count_unseen=feature_space is not None)
 
 
 def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: str = "text",
@@ -154,15 +163,18 @@ def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: st
     table_bytes = model.vocab_size * (20 + 8 * n)
     limit = broadcast_limit_bytes(df.sparkSession)
     ln_s = math.log(s)
+    # Unseen words are dropped (inner join) unless the model counts them (left join:
+    # a null count adds ln(s) - ln_den, the smoothed weight of a zero count).
+    how = "left" if model.count_unseen else "inner"
     if 0 < limit and model.vocab_size <= DEFAULT_BROADCAST_ROWS and table_bytes <= limit:
         # Broadcast model: join the raw tokens map-side and sum per document; the
         # per-document partial aggregate is the only shuffle.
         toks = df.select(F.col(doc), F.explode(split_words(text)).alias("word"))
-        joined = toks.join(F.broadcast(model.word_counts), "word").withColumn("k", F.lit(1))
+        joined = toks.join(F.broadcast(model.word_counts), "word", how).withColumn("k", F.lit(1))
     else:
         # Large model: count (doc, word) pairs first so the shuffle join on the
         # word moves one row per pair; sort-merge, AQE splits hot words.
-        joined = _doc_words(df, doc, text).join(model.word_counts.hint("merge"), "word")
+        joined = _doc_words(df, doc, text).join(model.word_counts.hint("merge"), "word", how)
     sums = [F.sum(F.col("k") * (F.log(F.coalesce(F.col(f"c{i}"), F.lit(0)) + F.lit(s)) - F.lit(ln_s))).alias(f"s{i}")
             for i in range(n)]
     per_doc = joined.groupBy(doc).agg(F.sum("k").alias("_K"), *sums)

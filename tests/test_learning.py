@@ -142,3 +142,17 @@ def test_exact_predict_same_with_and_without_broadcast(spark):
         assert rows(large) == rows(small)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hashed_model_agrees_with_exact_model(spark):
+    # M1: with 2^20 hashed features, naive Bayes smooths over 2^20 features; the exact
+    # tables with the same feature space differ only where hashes collide, which is rare.
+    from kestrel.plans.ml_queries import training_docs
+
+    train = training_docs(spark, SF_SMALL)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    hashed = {r.doc_id: int(r.predicted_label) for r in nb.predict(nb.fit(train, mode="hash"), docs).collect()}
+    tables = nb.fit_tables(train, feature_space=nb.HASH_FEATURES)
+    exact = {r.doc_id: r.prediction for r in nb.predict_tables(tables, docs).collect()}
+    same = sum(hashed[d] == exact[d] for d in exact)
+    assert same >= 0.99 * len(exact)
