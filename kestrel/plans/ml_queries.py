@@ -19,8 +19,15 @@ from ..sources import parse_vectors
 from .registry import query, table
 
 
-def nb_oracle_sql(where: str = "") -> str:
-    """Exact multinomial NB (smoothing 1) in SQL; ``where`` filters the scored documents."""
+def nb_oracle_sql(where: str = "", feature_space: int | None = None) -> str:
+    """Exact multinomial NB (smoothing 1) in SQL; ``where`` filters the scored documents.
+
+    With ``feature_space`` the smoothing spreads over that many features and words
+    unseen in training still count (the hashed-feature model without collisions).
+    """
+    space = str(feature_space) if feature_space else "(select v from v)"
+    doc_words = ("select doc_id, w, count(*) k from tok group by 1, 2" if feature_space else
+                 "select doc_id, w, count(*) k from tok join voc using (w) group by 1, 2")
     return f"""
 with tok as (select doc_id, unnest(case when text <> '' and regexp_replace(text, ' +$', '') = '' then []::varchar[]
    else string_split(regexp_replace(text, ' +$', ''), ' ') end) w from documents),
@@ -29,8 +36,8 @@ with tok as (select doc_id, unnest(case when text <> '' and regexp_replace(text,
  v as (select count(distinct w) v from tr),
  cw as (select y, w, count(*) n from tr group by 1, 2), ct as (select y, sum(n) n from cw group by 1),
  voc as (select distinct w from tr),
- dw as (select doc_id, w, count(*) k from tok join voc using (w) group by 1, 2),
- s as (select d.doc_id, nc.y, sum(d.k * (ln(coalesce(cw.n, 0) + 1.0) - ln(ct.n + (select v from v)))) ll
+ dw as ({doc_words}),
+ s as (select d.doc_id, nc.y, sum(d.k * (ln(coalesce(cw.n, 0) + 1.0) - ln(ct.n + {space}))) ll
        from dw d cross join nc join ct on ct.y = nc.y left join cw on cw.y = nc.y and cw.w = d.w group by 1, 2),
  p as (select d.doc_id, nc.y, coalesce(s.ll, 0) + ln(nc.c + 1.0) - ln((select sum(c) + count(*) from nc)) sc
        from documents d cross join nc left join s on s.doc_id = d.doc_id and s.y = nc.y {where})
@@ -54,6 +61,15 @@ def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nb.predict_tables(model, docs, doc="doc_id", text="text", prediction="pred")
 
 
+@query("nb_hash_space_predict", nb_oracle_sql(feature_space=nb.HASH_FEATURES))
+def nb_hash_space_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original job's model (2^20 hashed features) computed exactly, i.e. without
+    hash collisions: smoothing over 2^20 features, unseen words count."""
+    model = nb.fit_tables(training_docs(spark, sf_dir), text="text", label="label", feature_space=nb.HASH_FEATURES)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return nb.predict_tables(model, docs, doc="doc_id", text="text", prediction="pred")
+
+
 @query("nb_hashed_predict")
 def nb_hashed_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original job's form: hashed features (2^20) + spark.ml naive Bayes pipeline."""
