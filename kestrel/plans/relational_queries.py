@@ -41,6 +41,13 @@ def left_outer_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("y").cast("string").alias("y"), F.col("m").cast("string").alias("m"), "q")
 
 
+@query("enrich_count", _ENRICH_CTE + "select count(*) n from j")
+def enrich_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of rows of the enriched table (the original counted them to size its preview)."""
+    joined = rel.enrich(_films(spark, sf_dir), _rated(spark, sf_dir), on=[("y", "ry"), ("m", "rm")])
+    return joined.agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("group_count", "select cast(year(o_orderdate) as varchar) y, count(*) n from orders group by 1")
 def group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = rel.group_count(_films(spark, sf_dir), "y", "n")
