@@ -83,3 +83,16 @@ def group_max_string(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").cast("string").alias("y"), F.col("o_custkey").cast("string").alias("c")
     )
     return rel.group_max(orders, "y", "c", name="v")
+
+
+@query(
+    "group_max_numeric",
+    "select cast(year(o_orderdate) as varchar) y, max(o_totalprice) v from orders group by 1",
+)
+def group_max_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 with ``cast`` (H5): values held as strings (as a header-only CSV read gives
+    them) compared as numbers instead of text."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").cast("string").alias("y"), F.col("o_totalprice").cast("string").alias("p")
+    )
+    return rel.group_max(orders, "y", "p", cast="double", name="v")
