@@ -81,3 +81,18 @@ def test_cli_lists_every_query():
     out = subprocess.run([sys.executable, "-m", "kestrel", "--list"], cwd=root, capture_output=True, text=True,
                          timeout=120, check=True).stdout.split()
     assert sorted(out) == sorted(queries())
+
+
+def test_cli_runs_a_query_as_a_job(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    import pyarrow.parquet as pq
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = str(tmp_path / "routes")
+    subprocess.run([sys.executable, "-m", "kestrel", "graph_top_routes", SF_SMALL, out], cwd=root,
+                   capture_output=True, text=True, timeout=300, check=True)
+    result = pq.read_table(out)
+    assert result.num_rows == 10 and result.column_names == ["src", "dst", "n", "route"]
