@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, records, sharding
+from . import decontaminate, mixing, quality, records, sharding, simhash
 from .common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents over 3-word shingles, linked at 2 or fewer differing bits."""
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, max_distance=2)
+    return rows.select("doc_id", simhash.hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 40 shards of near equal bytes; equal texts stay together."""
     docs = table(spark, sf_dir, "documents")
@@ -45,6 +51,31 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items of which 80 % of the 5-word shingles occur in a document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contained_items(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_matched", "n_shingles", "containment")
+
+
+OP8_SQL = r"""
+WITH w AS (
+  SELECT item_id, NULL::BIGINT AS doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+  UNION ALL
+  SELECT NULL, doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM documents
+), s AS (
+  SELECT DISTINCT item_id, doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM w WHERE len(w) >= 5
+), i AS (
+  SELECT item_id, s, count(*) OVER (PARTITION BY item_id) AS n FROM s WHERE item_id IS NOT NULL
+), m AS (
+  SELECT d.doc_id, i.item_id, count(*) AS n_matched, any_value(i.n) AS n_shingles
+  FROM s d JOIN i ON d.s = i.s WHERE d.doc_id IS NOT NULL GROUP BY d.doc_id, i.item_id
+)
+SELECT doc_id, item_id, n_matched, n_shingles, n_matched / n_shingles AS containment
+FROM m WHERE 10 * n_matched >= 8 * n_shingles
+""".replace("\\\\", "\\")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources mixed to weights 1, 2, 3, ...; words taken per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -64,10 +95,14 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op3_sharding": op3_sharding,
     "op4_quality": op4_quality,
+    "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_records": op10_records,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_decontamination": OP8_SQL,
+}
