@@ -4,16 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, records, sharding, simhash
+from . import chat, decontaminate, lines, mixing, quality, records, sharding, simhash, urls
 from .common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and read back from the formatted strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    # each logged turn is one event; turns with one number stay messages of their own
+    same = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    events = rows.unionByName(trap).withColumn("message", F.struct("turn", F.row_number().over(same).alias("nth")))
+    events = events.withColumns({"seq": F.col("turn"), "kind": F.lit("delta")})
+    out = chat.render(chat.reconstruct(events))
+    turns = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    read = out.select("conv", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return read.select(
+        F.col("conv").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP1_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), s AS (
+  SELECT conv_id, count(*) AS n_turns,
+    coalesce(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text), '') AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(10 + length(regexp_replace(role, '[<\[\\|]', '..', 'g')) + length(regexp_replace(text, '[<\[\\]', '..', 'g'))) AS formatted_chars
+  FROM t GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  formatted_chars::BIGINT AS formatted_chars
+FROM s
+"""
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents over 3-word shingles, linked at 2 or fewer differing bits."""
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, max_distance=2)
@@ -51,6 +95,47 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of each host dropped from all pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    host, _ = urls.host_and_path(F.col("url"))
+    return lines.drop_boilerplate(pages, lines.html_lines(F.col("html")), host, drop_cols=("html",))
+
+
+OP5_SQL = rf"""
+WITH p AS (
+  SELECT page_id, url,
+    translate(regexp_extract(regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '{lines.HIDDEN}', '', 'g'), '{lines.BREAKS}', chr(10), 'g'), '{lines.TAGS}', '', 'g'), chr(10)),
+      lambda x: trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS lines
+  FROM pages
+), t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+l AS (SELECT host, unnest(list_distinct(lines)) AS line FROM p),
+f AS (SELECT host, line, count(*) AS n FROM l GROUP BY host, line),
+b AS (SELECT f.host, list(line) AS drop_ FROM f JOIN t ON f.host = t.host WHERE n > 1 AND pages >= {lines.MIN_PAGES} AND n > {lines.RATIO} * pages GROUP BY f.host),
+k AS (
+  SELECT page_id, url, len(lines) AS n_lines, list_filter(lines, lambda x: NOT list_contains(coalesce(drop_, []), x)) AS kept
+  FROM p LEFT JOIN b ON p.host = b.host
+)
+SELECT page_id, url, array_to_string(kept, chr(10)) AS clean_text, n_lines, n_lines - len(kept) AS n_dropped FROM k
+"""
+
+URL_RULES = [
+    urls.Rule("allow", "org"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict by rule, else by trust and distrust over the host graph."""
+    rows = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
+    return rows.withColumnRenamed("id", "page_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items of which 80 % of the 5-word shingles occur in a document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,14 +180,19 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_chat": op1_chat,
     "op2_simhash": op2_simhash,
     "op3_sharding": op3_sharding,
     "op4_quality": op4_quality,
+    "op5_line_dedup": op5_line_dedup,
+    "op7_url_filters": op7_url_filters,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_records": op10_records,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat": OP1_SQL,
+    "op5_line_dedup": OP5_SQL,
     "op8_decontamination": OP8_SQL,
 }
