@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import mixing, quality, sharding
+from kestrel.llm import decontaminate, mixing, quality, sharding, simhash
 from kestrel.llm.common import staged, table
 
 SHARDS = 40
@@ -23,6 +23,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rows.where(quality.passes("v2")).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each SimHash group (3-word shingles, at most 2 differing bits)."""
+    return simhash.keep_one(docs, shingle=3, max_distance=2).select(*docs.columns)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops every document that contains 80 % of a benchmark item's 5-word shingles."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draws the sources to their target weights; a document drawn twice is two rows."""
     return mixing.mix(docs).select(*docs.columns)
@@ -36,6 +46,8 @@ def shard_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("drop_near_duplicates", drop_near_duplicates),
+    ("drop_benchmark_leaks", drop_benchmark_leaks),
     ("mix_sources", mix_sources),
     ("shard_rows", shard_rows),
 ]

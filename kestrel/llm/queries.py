@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, lines, mixing, quality, records, sharding, simhash, urls
+from . import chat, decontaminate, katz, lines, mixing, quality, records, sharding, simhash, urls
 from .common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +121,23 @@ k AS (
 SELECT page_id, url, array_to_string(kept, chr(10)) AS clean_text, n_lines, n_lines - len(kept) AS n_dropped FROM k
 """
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bigram Katz model of nine tenths of the documents; all documents scored."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 10 == 0
+    model = katz.fit(docs, ~held_out, order=2)
+    rows = katz.score(model)
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.levels[0].total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 URL_RULES = [
     urls.Rule("allow", "org"),
     urls.Rule("block", "example.org", "/es/"),
@@ -185,6 +202,7 @@ QUERIES: dict[str, Query] = {
     "op3_sharding": op3_sharding,
     "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_url_filters": op7_url_filters,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
