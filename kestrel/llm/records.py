@@ -53,7 +53,7 @@ _HEAD = struct.Struct("<QI")
 _KEY = struct.Struct("<qBB")
 _CRC = struct.Struct("<I")
 #: Distinct pieces of text whose ids one Python worker remembers at a time.
-MEMO = 1_000_000
+MEMO = 500_000
 
 
 def masked(data: bytes) -> int:
@@ -84,16 +84,27 @@ def parse(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
         at += n + 17
 
 
+def byte_letters() -> dict[int, str]:
+    """Latin-1 character of each byte -> the printable character that byte-level vocabularies write for it."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of whole texts by the ``tokenizers`` library.
 
-    A byte-level BPE never merges across the blank before a word, so such a text
-    is encoded blank by blank and a piece seen before is looked up. Texts in which
-    a blank meets another white space, and other kinds of tokenizer, go to the
-    library as a whole; both ways give the same ids.
+    A byte-level BPE never merges across the white space before a word, so such a text
+    is cut at blanks and line ends, and each distinct piece of a block of texts is encoded
+    once. A piece that is a Latin word with punctuation behind it is two units, which the
+    library's model merges; every other piece goes through the whole library. Units are
+    remembered. Texts in which white space meets other white space than line feeds, and other
+    kinds of tokenizer, go to the library as a whole. All ways give the same ids.
     """
 
-    _odd = re.compile(r" (?:\s|\Z)")
+    _odd = re.compile(r" (?:\s|\Z)|[^\S\n]\n")
+    _word = "^ ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
+    _marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -101,15 +112,18 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
         self.by_piece = (
             spec.get("normalizer") is None
             and pre.get("type") == "ByteLevel"
             and not pre.get("add_prefix_space")
             and pre.get("use_regex", True)
-            and spec["model"]["type"] == "BPE"
-            and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", []))
+            and model["type"] == "BPE"
+            and not any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+            # an added token must be such that no word with punctuation behind it can hold it
+            and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or not re.match(r"[^\w\s].*[a-z]", t["content"]) for t in spec.get("added_tokens", []))
         )
+        self._letters = byte_letters()
         self._clear()
 
     def _clear(self) -> None:
@@ -119,20 +133,62 @@ class Encoder:
         self.count = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
-        n = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(n.sum()))
-        k = len(self.memo)
-        self.memo.update(zip(pieces, range(k, k + len(pieces)), strict=True))
-        if k + len(n) > len(self.begin):
-            self.begin, self.count = (np.concatenate([x, np.zeros(len(x) + len(n), np.int64)]) for x in (self.begin, self.count))
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
-        self.begin[k : k + len(n)] = self.used + np.cumsum(n) - n
-        self.count[k : k + len(n)] = n
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
+    def _merge(self, unit: str) -> list[int]:
+        """Ids of one unit that is a single word, mark or line end to the library."""
+        return [t.id for t in self.tokenizer.model.tokenize(unit.encode().decode("latin-1").translate(self._letters))]
+
+    def _units(self, units: list[str], merged: list[bool]) -> np.ndarray:
+        """Numbers of the units in the memory; new ones are encoded, those in ``merged`` by the model alone."""
+        memo = self.memo
+        new = dict.fromkeys((u, m) for u, m in zip(units, merged, strict=True) if u not in memo)
+        if new:
+            whole = [u for u, m in new if not m]
+            ids = dict(zip(whole, (e.ids for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)), strict=True))
+            ids |= {u: self._merge(u) for u, m in new if m}
+            n = np.fromiter(map(len, ids.values()), np.int64, len(ids))
+            flat = np.fromiter(itertools.chain.from_iterable(ids.values()), np.uint32, int(n.sum()))
+            k = len(memo)
+            memo.update(zip(ids, range(k, k + len(ids)), strict=True))
+            if k + len(n) > len(self.begin):
+                self.begin, self.count = (np.concatenate([x, np.zeros(len(x) + len(n), np.int64)]) for x in (self.begin, self.count))
+            if self.used + len(flat) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(flat), np.uint32)])
+            self.begin[k : k + len(n)] = self.used + np.cumsum(n) - n
+            self.count[k : k + len(n)] = n
+            self.flat[self.used : self.used + len(flat)] = flat
+            self.used += len(flat)
+        return np.fromiter(map(memo.__getitem__, units), np.int64, len(units))
+
+    def _gather(self, flat: np.ndarray, begin: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(n)
+        return flat[np.repeat(begin - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flat ids, begins and counts of distinct pieces: line ends before a word, the word, the marks behind it."""
+        if len(self.memo) > MEMO:
+            self._clear()
+        body = pc.utf8_ltrim(pa.array(pieces, pa.large_string()), "\n")
+        core = pc.utf8_rtrim(body, self._marks)
+        simple = pc.match_substring_regex(core, self._word).to_numpy(zero_copy_only=False).tolist()
+        cores, bodies = core.to_pylist(), body.to_pylist()
+        unit = self._units([c if s else p for c, p, s in zip(cores, pieces, simple, strict=True)], simple)
+        parts = np.full((len(pieces), 4), -1, np.int64)
+        parts[:, 2] = unit
+        ends = [i for i, s in enumerate(simple) if s and len(bodies[i]) < len(pieces[i])]
+        if ends:  # all line ends but the last are one word to the library, the last is another
+            before = [len(pieces[i]) - len(bodies[i]) - 1 for i in ends]
+            parts[ends, 1] = self._units(["\n"], [True])[0]
+            more = [(i, "\n" * k) for i, k in zip(ends, before, strict=True) if k]
+            if more:
+                parts[[i for i, _ in more], 0] = self._units([x for _, x in more], [True] * len(more))
+        tails = [i for i, s in enumerate(simple) if s and len(cores[i]) < len(bodies[i])]
+        if tails:
+            parts[tails, 3] = self._units([bodies[i][len(cores[i]) :] for i in tails], [True] * len(tails))
+        at = parts.ravel()
+        n = np.where(at < 0, 0, self.count[at])
+        flat, _ = self._gather(self.flat, self.begin[at], n)
+        count = n.reshape(-1, 4).sum(axis=1)
+        return flat, np.cumsum(count) - count, count
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -143,23 +199,24 @@ class Encoder:
         rest = sorted({*range(len(texts))}.difference(whole))
         if not rest:
             return out
-        split = pc.split_pattern(pa.array([texts[i] for i in rest], pa.large_string()), " ")
+        cut = []
+        for i in rest:
+            text = texts[i].replace("\n", " \n")  # a cut before each run of line ends
+            while "\n \n" in text:
+                text = text.replace("\n \n", "\n\n")
+            cut.append(text)
+        split = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
         bounds, found = split.offsets.to_numpy(), split.flatten().dictionary_encode()
-        firsts = found.take(pa.array(bounds[:-1])).to_pylist()
-        keys = [" " + x for x in found.dictionary.to_pylist()]
-        if len(self.memo) > MEMO:
-            self._clear()
-        memo = self.memo
-        if missing := [x for x in dict.fromkeys([*keys, *firsts]) if x not in memo]:
-            self._learn(missing)
-        at = np.fromiter(map(memo.__getitem__, keys), np.int64, len(keys))[found.indices.to_numpy()]
-        at[bounds[:-1]] = np.fromiter(map(memo.__getitem__, firsts), np.int64, len(firsts))
-        n = self.count[at]
-        ends = np.cumsum(n)
-        flat = self.flat[np.repeat(self.begin[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        first = found.take(pa.array(bounds[:-1])).to_pylist()
+        numbers = {x: i for i, x in enumerate(dict.fromkeys(first))}
+        inner = [x if x.startswith("\n") else " " + x for x in found.dictionary.to_pylist()]
+        flat, begin, count = self._pieces([*inner, *numbers])
+        at = found.indices.to_numpy().astype(np.int64)
+        at[bounds[:-1]] = [len(inner) + numbers[x] for x in first]
+        ids, ends = self._gather(flat, begin[at], count[at])
         edges = np.concatenate([np.zeros(1, np.int64), ends])[bounds]
         for k, i in enumerate(rest):
-            out[i] = flat[edges[k] : edges[k + 1]]
+            out[i] = ids[edges[k] : edges[k + 1]]
         return out
 
 
@@ -189,7 +246,7 @@ def write(df: DataFrame, path: str, tokenizer: str, key_col: str = "doc_id", tex
         encoder = _encoder(tokenizer)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
-            for lo, hi in blocks(texts, 8 << 20):
+            for lo, hi in blocks(texts, 4 << 20):
                 ids = encoder.encode([t.decode("utf-8", "replace") for t in texts[lo:hi]])
                 out = [frame(key, np.concatenate([x, end]), width) for key, x in zip(keys[lo:hi], ids, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
