@@ -35,8 +35,8 @@ def escape(text: Column, extra: str = "") -> Column:
     return F.regexp_replace(text, rf"([<\[\\{extra}])", r"$1\\")
 
 
-def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"([<\[\\|])\\", "$1")
+def unescape(text: Column, extra: str = "") -> Column:
+    return F.regexp_replace(text, rf"([<\[\\{extra}])\\", "$1")
 
 
 def reconstruct(events: DataFrame, conv: str = "conv_id", message: str = "message", seq: str = "seq", kind: str = "kind", role: str = "role", text: str = "text") -> DataFrame:
@@ -83,7 +83,7 @@ def read_turns(formatted: Column) -> Column:
     def turn(piece: Column) -> Column:
         role = F.substring_index(piece, CLOSE, 1)
         text = F.substr(piece, F.length(role) + len(CLOSE) + 1)
-        return F.struct(unescape(F.substr(role, F.lit(len(OPEN) + 1))).alias("role"), unescape(text).alias("text"))
+        return F.struct(unescape(F.substr(role, F.lit(len(OPEN) + 1)), "|").alias("role"), unescape(text).alias("text"))
 
     return F.transform(turns, turn)
 

@@ -184,8 +184,7 @@ class Chunk:
             own, own_count = self.word, self.known
         else:
             has = place >= 0
-            own_count = np.where(has, count[place], 0)
-            own = np.where(has, number[place], UNSEEN)
+            own_count, own = np.append(count, 0)[place], np.append(number, UNSEEN)[place]
             p = level.probability(own_count, self.context_count)
             weight = np.ones(len(place))
             table = self.weights[order - 1]

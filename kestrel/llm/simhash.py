@@ -62,17 +62,17 @@ def fingerprints(texts: list[bytes], shingle: int = 3, seed: int = SEED) -> np.n
     return np.concatenate(out)
 
 
-def with_fingerprint(df: DataFrame, text_col: str, out: str, shingle: int = 3, seed: int = SEED) -> DataFrame:
-    """``df`` without its text, with the text's fingerprint as a signed long."""
+def with_fingerprint(df: DataFrame, text_col: str, out: str, keep: list[str], shingle: int = 3, seed: int = SEED) -> DataFrame:
+    """Columns ``keep`` of ``df`` and the text's fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = fingerprints(as_bytes(batch.column(batch.num_columns - 1)), shingle, seed)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))], names=[*batch.schema.names[:-1], out])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))], names=[*keep, out])
 
-    kept = [f for f in df.schema.fields if f.name != text_col]
-    rows = df.select(*[ref(f.name) for f in kept], ref(text_col))
-    return rows.mapInArrow(run, T.StructType([*kept, T.StructField(out, T.LongType())]))
+    kept = df.select(*[ref(c) for c in keep])
+    rows = df.select(*[ref(c) for c in keep], ref(text_col).alias(fresh(df, "sim_text")[0]))
+    return rows.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.LongType())]))
 
 
 def position_masks(max_distance: int) -> list[int]:
@@ -162,8 +162,8 @@ def links(distinct: DataFrame, fp_col: str, max_distance: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
     """One row per input row: id, columns ``keep``, ``fingerprint`` (long) and ``component_id``."""
-    keep = list(keep or [])
-    prints = staged(with_fingerprint(df.select(*[ref(c) for c in dict.fromkeys([id_col, *keep, text_col])]), text_col, "fingerprint", shingle, seed), "fingerprints")
+    keep = [c for c in keep or [] if c != id_col]
+    prints = staged(with_fingerprint(df, text_col, "fingerprint", [id_col, *keep], shingle, seed), "fingerprints")
     distinct = prints.groupBy("fingerprint").agg(F.min(ref(id_col)).alias("first"))
     found = components(links(distinct.select("fingerprint"), "fingerprint", max_distance))
     rooted = distinct.join(found, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
