@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from .common import as_bytes, fresh, mix64, ref, split_words, staged
 
 BLOCK_WORDS = 1 << 16
-SLICE_ROWS = 1 << 16
+SLICE_ROWS = 1 << 11
 
 
 def word_counts(df: DataFrame, text_col: str, out: str) -> DataFrame:
