@@ -95,6 +95,40 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP4_SQL = r"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT r, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda i: w[i:i+7])) AS win FROM t WHERE len(w) >= 8
+), often AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM win
+), inside AS (
+  SELECT r, count(DISTINCT i + j) AS n_repeat_words FROM often, range(8) AS x(j) WHERE n > 1 GROUP BY r
+), m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutter,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+    length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits,
+    length(regexp_replace(text, '[^!?]', '', 'g')) AS n_marks
+  FROM t LEFT JOIN inside ON t.r = inside.r
+), f AS (
+  SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines FROM m
+), b AS (
+  SELECT *, ((n_words < 20)::INT + (100 * n_repeat_words > 30 * n_words)::INT * 2 + (word_chars < 2 * n_words)::INT * 4
+    + (word_chars > 15 * n_words)::INT * 8 + (10 * n_symbols > n_words)::INT * 16 + (2 * n_dup_lines > n_lines)::INT * 32
+    + (2 * n_upper > word_chars)::INT * 64 + (2 * n_digits > word_chars)::INT * 128 + (100 * n_marks > 50 * n_words)::INT * 256
+    + (2 * n_stutter > n_words)::INT * 512 + (n_words > 10000000)::INT * 1024)::BIGINT AS failed_bits
+  FROM f
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  (failed_bits & 3) <> 0 AS base_failed, (failed_bits & 1023) = 0 AS kept, failed_bits
+FROM b
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each host dropped from all pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -211,6 +245,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat": OP1_SQL,
+    "op4_quality": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
     "op8_decontamination": OP8_SQL,
 }
