@@ -18,6 +18,7 @@ JVM_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
 # Java's ``\s`` (what the jobs' regexes meant). Spelled out so the same class can be
 # used by engines whose ``\s`` differs (RE2 has no vertical tab).
 JAVA_SPACE_CLASS = "[ \\t\\n\\x0B\\f\\r]"
+SPACE_CHARS = " \t\n\x0b\f\r"
 
 
 def jvm_trim(c) -> Column:
@@ -31,8 +32,13 @@ def basename(c, sep: str = "/") -> Column:
 
 
 def collapse_newlines(c) -> Column:
-    """every newline with the whitespace around it becomes a single space."""
-    return F.regexp_replace(as_col(c), f"{JAVA_SPACE_CLASS}*\\n{JAVA_SPACE_CLASS}*", " ")
+    """every newline with the whitespace around it becomes a single space.
+
+    Line by line (split, trim, drop the empty ones, join): linear in the text, also
+    for long runs of blanks. Whitespace at the text's ends is dropped with them.
+    """
+    lines = F.transform(F.split(as_col(c), "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)))
+    return F.array_join(F.filter(lines, lambda x: x != F.lit("")), " ")
 
 
 def normalize(c) -> Column:
@@ -40,6 +46,22 @@ def normalize(c) -> Column:
     return collapse_newlines(jvm_trim(c))
 
 
+def _jvm_parts(text: Column, pattern: str) -> Column:
+    """JVM ``String.split``: trailing empty parts are dropped; an empty text has one empty part.
+
+    The parts are computed once per row (bound to a lambda variable) and looked at from
+    the end, so a long run of separators costs no more than its length.
+    """
+
+    def strip(parts: Column) -> Column:
+        last = F.array_position(F.transform(F.reverse(parts), lambda x: x != F.lit("")), F.lit(True))
+        kept = F.slice(parts, F.lit(1), (F.size(parts) - last + 1).cast("int"))
+        empty = F.when(F.size(parts) == 1, parts).otherwise(F.array().cast("array<string>"))
+        return F.when(last > 0, kept).otherwise(empty)
+
+    return F.get(F.transform(F.array(F.split(text, pattern, -1)), strip), 0)
+
+
 def decode_file_name(c) -> Column:
     """``_metadata.file_name`` is URL-encoded; turn it back into the plain name.
 
@@ -60,31 +82,24 @@ def tokenize(c, unicode: bool = False, jvm_empties: bool = True) -> Column:
 
     Same tokens as JVM ``text.trim.split("[^\\w']")``: leading and inner empty
     tokens are kept, trailing empty tokens are dropped, and a text made only of
-    delimiters gives no token. ``jvm_empties=False`` skips the (regex) pass that
+    delimiters gives no token. ``jvm_empties=False`` skips the pass that
     drops trailing empties: use it only when empty tokens are filtered anyway.
     """
     pattern = UNICODE_TOKEN_SPLIT if unicode else ASCII_TOKEN_SPLIT
     text = jvm_trim(F.lower(as_col(c)))
     if not jvm_empties:
         return F.split(text, pattern, -1)
-    stripped = F.regexp_replace(text, f"{pattern}+\\z", "")
-    only_delims = (stripped == F.lit("")) & (text != F.lit(""))
-    return F.when(only_delims, F.array().cast("array<string>")).otherwise(F.split(stripped, pattern, -1))
+    return _jvm_parts(text, pattern)
 
 
 def split_words(c, sep: str = " ") -> Column:
     """M1 tokens: split on one literal separator exactly like JVM ``String.split``.
 
-    The JVM drops trailing empty strings while Spark's ``split`` keeps them (H3):
-    the trailing run of separators is stripped first. A text made only of
-    separators gives no token at all on the JVM (every part is a trailing
-    empty), an empty text gives one empty token. Inner empty tokens stay.
+    The JVM drops trailing empty strings while Spark's ``split`` keeps them (H3).
+    A text made only of separators gives no token at all on the JVM (every part is
+    a trailing empty), an empty text gives one empty token. Inner empty tokens stay.
     """
-    quoted = "\\Q" + sep + "\\E"
-    col = as_col(c)
-    stripped = F.regexp_replace(col, f"(?:{quoted})+\\z", "")
-    only_separators = (stripped == F.lit("")) & (col != F.lit(""))
-    return F.when(only_separators, F.array().cast("array<string>")).otherwise(F.split(stripped, quoted, -1))
+    return _jvm_parts(as_col(c), "\\Q" + sep + "\\E")
 
 
 def split_whitespace(c) -> Column:

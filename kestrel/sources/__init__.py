@@ -1,6 +1,6 @@
 """Sources, parsers and sinks."""
 
-from .files import format_pairs, read_csv, read_csv_strings, read_documents, read_lines, write
+from .files import CSV_EXACT, format_pairs, read_csv, read_csv_strings, read_documents, read_lines, write
 from .parsers import (
     MOVIE_SCHEMA,
     RATING_SCHEMA,
@@ -13,6 +13,7 @@ from .parsers import (
 from .stopwords import SPANISH_STOP_WORDS, stop_words_frame
 
 __all__ = [
+    "CSV_EXACT",
     "MOVIE_SCHEMA",
     "RATING_SCHEMA",
     "SPANISH_STOP_WORDS",

@@ -29,9 +29,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line -> ``(value)``."""
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
+    """One row per line -> ``(value)``.
+
+    Lines end at ``\\n``, ``\\r`` or ``\\r\\n``; with ``line_sep`` only there (texts that may
+    hold a lone carriage return).
+    """
+    return spark.read.text(path, lineSep=line_sep)
+
+
+#: CSV settings under which every text comes back as it was: quotes doubled, line breaks inside
+#: quotes, blanks kept. Null is the control character U+0001, which no text consists of.
+CSV_EXACT = {
+    "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\x01",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_csv_strings(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
@@ -54,9 +66,14 @@ def read_csv(
     header: bool = False,
     names: list[str] | None = None,
     infer: bool = False,
+    **options,
 ) -> DataFrame:
-    """CSV with an explicit schema (preferred) or inferred types, renamed by position."""
-    reader = spark.read.option("header", str(header).lower())
+    """CSV with an explicit schema (preferred) or inferred types, renamed by position.
+
+    ``options`` go to Spark's reader; ``**CSV_EXACT`` reads free text with quotes and line
+    breaks (such files are read one task per file).
+    """
+    reader = spark.read.option("header", str(header).lower()).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     else:

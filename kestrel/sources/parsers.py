@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType, _parse_datatype_string
 
-from ..functions import element, empty_as, jvm_trim, to_type
+from ..functions import element, empty_as, jvm_trim, split_words, to_type
 
 
 def _schema(schema) -> StructType:
@@ -49,7 +49,8 @@ def parse_delimited(
     parsed = df.select(fields.alias("_f"))
 
     if header_token == "first":
-        first = parsed.select(element("_f", 0).alias("h")).first()
+        probe = jvm_trim(element("_f", 0)) if trim_fields else element("_f", 0)
+        first = parsed.select(probe.alias("h")).first()
         header_token = None if first is None else first["h"]
     if header_token is not None:
         first_field = element("_f", 0)
@@ -112,17 +113,26 @@ def parse_movies(df: DataFrame, sep: str = "::", strict: bool = False, value: st
 
 def parse_vectors(df: DataFrame, sep: str = " ", value: str = "value", strict: bool = True,
                   output: str = "features", keep: list[str] | None = None) -> DataFrame:
-    """Drop empty lines, split on ``sep``, parse doubles into a dense vector column.
+    """Drop empty lines, split on ``sep``, parse doubles into a dense vector column.
 
-    ``keep`` carries other columns (an id) through.
+    Trailing separators are dropped as the JVM's ``split`` does (H3). ``strict=False``
+    gives lines with a bad number a null vector instead of failing the job, so they
+    stay countable. ``keep`` carries other columns (an id) through.
     """
-    nums = F.split(F.col(value), _literal_regex(sep), -1)
-    arr = F.transform(nums, lambda x: x.cast("double") if strict else x.try_cast("double"))
-    return df.where(F.length(value) > 0).select(*(keep or []), array_to_vector(arr).alias(output))
-
-
-# The crawl's ``(name,text)`` line. The name stops at the first comma (H8).
-_PAIR_REGEX = "^\\(([^,]+),(.*)\\)[ \\t\\n\\x0B\\f\\r]*\\z"
+    numbers = F.transform(split_words(value, sep), lambda x: x.cast("double") if strict else x.try_cast("double"))
+    rows = df.where(F.length(value) > 0).select(*(keep or []), numbers.alias("_numbers"))
+    good = F.size("_numbers") > 0
+    if not strict:
+        good = good & ~F.exists("_numbers", lambda x: x.isNull())
+    # The vector function must not see a null number: bad lines hand it an empty array.
+    plain = F.transform(F.when(good, F.col("_numbers")).otherwise(F.array().cast("array<double>")),
+                        lambda x: F.coalesce(x, F.lit(0.0)))
+    return rows.select(*(keep or []), F.when(good, array_to_vector(plain)).alias(output))
+
+
+# The crawl's ``(name,text)`` line. The name stops at the first comma (H8); the text may
+# hold any character, also those that a regex dot leaves out by default (CR, U+2028).
+_PAIR_REGEX = "(?s)^\\(([^,]+),(.*)\\)[ \\t\\n\\x0B\\f\\r]*\\z"
 
 
 def parse_pairs(df: DataFrame, value: str = "value") -> DataFrame:
