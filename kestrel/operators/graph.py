@@ -9,8 +9,8 @@ hub vertex holding a third of all rows is pre-aggregated on each map task
 before the shuffle. Top-k results use ``orderBy().limit(k)``, which Spark plans as
 ``TakeOrderedAndProject`` (per-partition top-k, then a merge of k rows per
 partition): no global sort. Ties are always broken by the key columns (H11).
-Vertex tables are joined through :func:`join_bounded`, which broadcasts them
-only after checking their size.
+Vertex tables are joined only when they carry attributes or come from elsewhere;
+adaptive execution broadcasts a small one.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import route_text
-from .relational import join_bounded, size_checked
 
 # The 29 fields of a flight record, in file order.
 FLIGHT_FIELDS = (
@@ -69,15 +68,12 @@ def _vertex_side(v: DataFrame, end: str) -> DataFrame:
 def triplets(v: DataFrame, e: DataFrame) -> DataFrame:
     """Edges with the attributes of both end vertices (``src_*``, ``dst_*``).
 
-    Edges whose ends are not vertices drop out, as in a property graph. The
-    vertex table is size-checked once and, when small, broadcast to both joins.
+    Edges whose ends are not vertices drop out, as in a property graph.
     """
-    v, fits = size_checked(v)
     out = e
     for end in ("src", "dst"):
         side = _vertex_side(v, end)
-        how = "left_semi" if len(side.columns) == 1 else "inner"
-        out = out.join(F.broadcast(side) if fits else side, end, how)
+        out = out.join(side, end, "left_semi" if len(side.columns) == 1 else "inner")
     return out
 
 
@@ -107,17 +103,22 @@ def out_degrees(e: DataFrame) -> DataFrame:
     return e.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
 
 
-def _with_vertices(deg: DataFrame, v: DataFrame) -> DataFrame:
+def _with_vertices(deg: DataFrame, v: DataFrame | None) -> DataFrame:
     # Degree x vertex inner join; vertices without a degree are not listed.
+    if v is None:
+        return deg
     extra = [c for c in v.columns if c != "id"]
-    return join_bounded(deg, v, "id", "inner" if extra else "left_semi")
+    return deg.join(v, "id", "inner" if extra else "left_semi")
 
 
-def least_in(v: DataFrame, e: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` vertices with the fewest distinct incoming routes."""
+def least_in(v: DataFrame | None, e: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` vertices with the fewest distinct incoming routes.
+
+    ``v=None`` stands for the edges' own end points: no join is needed then.
+    """
     return _with_vertices(in_degrees(e), v).orderBy(F.asc("degree"), F.asc("id")).limit(k)
 
 
-def most_out(v: DataFrame, e: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` vertices with the most distinct outgoing routes."""
+def most_out(v: DataFrame | None, e: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` vertices with the most distinct outgoing routes (``v`` as above)."""
     return _with_vertices(out_degrees(e), v).orderBy(F.desc("degree"), F.asc("id")).limit(k)

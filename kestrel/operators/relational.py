@@ -1,91 +1,24 @@
-"""Relational operators of the DataFrame job (J1, J2, A1, A12, O1) and join helpers.
+"""Relational operators of the DataFrame job.
 
 Scale notes
 -----------
-* ``enrich`` joins two large tables (sort-merge join, both sides shuffled on
-  the key). A hot right key, which AQE cannot split in an outer join, is
-  detected from the per-key counts and then handled by an inner + anti-join split.
-* ``with_group_count`` attaches per-key counts to every row. The keys can be
-  few (years), so a shuffle join on them would leave only a handful of busy
-  tasks. The counts side is therefore broadcast, but only after
-  :func:`join_bounded` has checked its real size; past the limit it falls back to
-  a shuffle join with AQE skew handling.
+* Nothing is counted, sampled or cached while a plan is built: adaptive execution picks the
+  join from the sizes it has really shuffled (a small side is broadcast at run time), so a
+  plan sees the data as it is when it runs.
+* ``enrich`` joins two large tables (sort-merge join, both sides shuffled on the key). A hot
+  key on the left, or on either side of an inner join, is split by adaptive execution; a hot
+  right key of a left outer join is split when ``skew_safe=True`` asks for that form.
+* ``with_group_count`` attaches per-key counts to every row. The keys can be few (years); the
+  counts are then small and adaptive execution reads the big side in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on what we ever broadcast (rows); the byte bound comes from the
-# session's ``spark.sql.autoBroadcastJoinThreshold``.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def _field_bytes(dtype) -> int:
-    # Same spirit as Catalyst's default sizes: fixed types by width, strings ~20 bytes.
-    name = dtype.typeName()
-    fixed = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4,
-             "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
-    return fixed.get(name, 20 if name in ("string", "binary") else 64)
-
-
-def _row_bytes(df: DataFrame) -> int:
-    return max(8, sum(_field_bytes(f.dataType) for f in df.schema.fields))
-
-
-def broadcast_limit_bytes(spark) -> int:
-    return _parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-
-
-def _parse_bytes(raw: str) -> int:
-    raw = raw.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * units[suffix])
-    return int(raw)
-
-
-def size_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Persist ``df``, count it (one job) and say whether it may be broadcast.
-
-    True when it has at most ``max_rows`` rows and its estimated size fits the
-    session's ``spark.sql.autoBroadcastJoinThreshold``. Later joins read the
-    cached rows, so the side is computed once however many joins use it.
-    """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    limit_bytes = broadcast_limit_bytes(df.sparkSession)
-    rows = cached.count()
-    fits = limit_bytes > 0 and rows <= max_rows and rows * _row_bytes(cached) <= limit_bytes
-    return cached, fits
-
-
-def join_bounded(
-    big: DataFrame,
-    small: DataFrame,
-    on,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only when it is proven small.
-
-    ``small`` is persisted and counted first (:func:`size_checked`). If it fits,
-    it is broadcast; otherwise the join is left to a shuffle join (AQE splits
-    skewed partitions).
-    """
-    small, fits = size_checked(small, max_rows)
-    return big.join(F.broadcast(small) if fits else small, on, how)
-
-
-def skew_threshold_bytes(spark) -> int:
-    """Size above which Spark's AQE treats a join partition as skewed (session setting)."""
-    raw = spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB")
-    return _parse_bytes(raw)
-
 
 def enrich(
     left: DataFrame,
@@ -93,27 +26,21 @@ def enrich(
     on: Sequence[tuple[str, str]],
     how: str = "left_outer",
     keep_right_keys: bool = False,
-    skew_safe: bool | str = "auto",
-    hot_key_bytes: int | None = None,
+    skew_safe: bool = False,
 ) -> DataFrame:
     """Equi-join on a composite key (default left outer).
 
     Unmatched left rows keep null right columns; duplicate right keys fan out;
-    null keys never match. Right key columns are dropped unless asked for.
-
-    Skew: AQE splits a hot key on either side of an inner join but only on the
-    left side of an outer join. A left outer join can therefore be computed as
-    ``inner join UNION ALL (left anti-join distinct right keys)``, safe for a hot
-    right key but reading the left side twice. ``skew_safe``:
-
-    * ``"auto"`` (default): count the rows per right key (the same aggregate gives
-      the distinct keys of the anti branch) and look at the hottest key. If its
-      rows fit ``hot_key_bytes`` (default: the session's skewed-partition
-      threshold) a plain left outer join runs, reading each side once;
-      otherwise the split form runs.
-    * ``True``: always the split form. ``False``: always the plain join.
+    null keys never match. The result has the left columns, then the right ones (its key
+    columns only if asked for), by position: a name that both sides use appears twice.
+
+    Adaptive execution splits a hot key on either side of an inner join but only on the
+    left side of a left outer join. ``skew_safe=True`` computes the left outer join as
+    ``inner join UNION ALL (left anti-join distinct right keys)``: the same rows and columns,
+    safe for a hot right key, at the price of reading the left side twice.
     """
-    def cond_for(r: DataFrame) -> Column:
+
+    def matches(r: DataFrame) -> Column:
         cond: Column | None = None
         for lk, rk in on:
             term = left[lk] == r[rk]
@@ -121,30 +48,17 @@ def enrich(
         return cond
 
     right_keys = [rk for _, rk in on]
-    left_outer = how in ("left_outer", "left", "leftouter")
-    if left_outer and skew_safe and not keep_right_keys:
-        key_counts = right.groupBy(*right_keys).agg(F.count(F.lit(1)).alias("_n"))
-        split = True
-        if skew_safe == "auto":
-            # One aggregation job; only the (rare) split path computes the key counts again.
-            hottest = key_counts.agg(F.max("_n")).first()[0] or 0
-            limit = hot_key_bytes if hot_key_bytes is not None else skew_threshold_bytes(left.sparkSession)
-            split = hottest * _row_bytes(right) > limit
-        if split:
-            matched = left.join(right, cond_for(right), "inner").select(
-                *[left[c] for c in left.columns], *[right[c] for c in right.columns if c not in right_keys]
-            )
-            keys = key_counts.select(*right_keys)
-            unmatched = left.join(keys, cond_for(keys), "left_anti")
-            payload = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields
-                       if f.name not in right_keys]
-            return matched.unionByName(unmatched.select(*left.columns, *payload))
-
-    joined = left.join(right, cond_for(right), how)
-    if keep_right_keys:
-        return joined
-    keep = [left[c] for c in left.columns] + [right[c] for c in right.columns if c not in right_keys]
-    return joined.select(*keep)
+    payload = [f for f in right.schema.fields if keep_right_keys or f.name not in right_keys]
+
+    def both(joined: DataFrame) -> DataFrame:
+        return joined.select(*[left[c] for c in left.columns], *[right[f.name] for f in payload])
+
+    if not (skew_safe and how in ("left_outer", "left", "leftouter")):
+        return both(left.join(right, matches(right), how))
+    keys = right.select(*right_keys).distinct()
+    unmatched = left.join(keys, matches(keys), "left_anti")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in payload]
+    return both(left.join(right, matches(right), "inner")).union(unmatched.select(*left.columns, *nothing))
 
 
 def group_count(df: DataFrame, key: str | Sequence[str], name: str = "count") -> DataFrame:
@@ -158,7 +72,6 @@ def with_group_count(
     counts: DataFrame,
     key: str,
     counts_key: str | None = None,
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Attach the per-key count to every row (inner join: null keys drop out).
 
@@ -168,7 +81,7 @@ def with_group_count(
     counts_key = counts_key or key
     if counts_key != key:
         counts = counts.withColumnRenamed(counts_key, key)
-    return join_bounded(df, counts, key, "inner", max_rows=max_rows)
+    return df.join(counts, key, "inner")
 
 
 def group_max(df: DataFrame, key: str, value: str, cast: str | None = None, name: str | None = None) -> DataFrame:

@@ -6,8 +6,8 @@ Scale notes
   hash aggregate keyed by ``(word, doc)``. A word that occurs everywhere spreads
   over as many groups as documents, so no task holds a hot word whole (H6).
 * Stop words given as a list become an ``InSet`` filter inside the generated
-  code (no join at all). A stop-word DataFrame goes through a left-anti join that
-  is broadcast only after its size is checked.
+  code (no join at all). A stop-word DataFrame goes through a left-anti join, which
+  adaptive execution broadcasts if the list is small and else splits on hot words.
 * ``postings`` never collects a word's whole list into one group: postings are
   cut into blocks of at most ``block_size`` documents. For integral document
   ids the block is ``doc div block_size``, an exact bound without any ranking.
@@ -24,7 +24,6 @@ from pyspark.sql.types import IntegralType
 
 from ..functions import basename, normalize, tokenize
 from ..sources.stopwords import SPANISH_STOP_WORDS
-from .relational import join_bounded
 
 DEFAULT_BLOCK_SIZE = 100_000
 
@@ -47,10 +46,10 @@ def tokens(df: DataFrame, doc: str = "doc", text: str = "text", unicode: bool =
 
 def remove_stop_words(toks: DataFrame, stop_words: Iterable[str] | DataFrame = SPANISH_STOP_WORDS,
                       word: str = "word") -> DataFrame:
-    """Drop stop words (list -> in-set filter, DataFrame -> checked left-anti join)."""
+    """Drop stop words (list -> in-set filter, DataFrame -> left-anti join)."""
     if isinstance(stop_words, DataFrame):
         sw = stop_words.select(F.col(stop_words.columns[0]).alias(word)).distinct()
-        return join_bounded(toks, sw, word, "left_anti")
+        return toks.join(sw, word, "left_anti")
     words = list(dict.fromkeys(stop_words))
     return toks.where(~F.col(word).isin(words)) if words else toks
 

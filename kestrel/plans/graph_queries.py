@@ -61,17 +61,44 @@ def graph_in_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("graph_least_in", _E + "select dst id, count(*) degree from e group by 1 order by 2, 1 limit 10")
 def graph_least_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = _graph(spark, sf_dir)
-    return g.least_in(v, e, 10)
+    return g.least_in(None, g.edges(routes(spark, sf_dir)), 10)
 
 
 @query("graph_most_out", _E + "select src id, count(*) degree from e group by 1 order by 2 desc, 1 limit 10")
 def graph_most_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = _graph(spark, sf_dir)
-    return g.most_out(v, e, 10)
+    return g.most_out(None, g.edges(routes(spark, sf_dir)), 10)
 
 
 @query("graph_triplets", _E + "select src, dst, n from e")
 def graph_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, e = _graph(spark, sf_dir)
     return g.triplets(v, e)
+
+
+# Vertices with attributes from another table (customers): only some end points are known.
+_V = _E + ", v as (select c_custkey id, c_name as name, c_nationkey nation from customer)\n"
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer")
+    return customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+
+
+@query("graph_triplets_named", _V + """select src, dst, n, s.name src_name, s.nation src_nation, d.name dst_name,
+d.nation dst_nation from e join v s on e.src = s.id join v d on e.dst = d.id""")
+def graph_triplets_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges between customers, with both customers' names and nations."""
+    return g.triplets(_customers(spark, sf_dir), g.edges(routes(spark, sf_dir)))
+
+
+@query("graph_least_in_named", _V + """select id, degree, name, nation from (select dst id, count(*) degree from e group by 1)
+join v using (id) order by degree, id limit 10""")
+def graph_least_in_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least reached customers, with their attributes."""
+    return g.least_in(_customers(spark, sf_dir), g.edges(routes(spark, sf_dir)), 10)
+
+
+@query("graph_most_out_named", _V + """select id, degree, name, nation from (select src id, count(*) degree from e group by 1)
+join v using (id) order by degree desc, id limit 10""")
+def graph_most_out_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return g.most_out(_customers(spark, sf_dir), g.edges(routes(spark, sf_dir)), 10)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import basename, normalize
 from ..operators import text as tx
 from ..session import scratch_path
-from ..sources import format_pairs, parse_pairs, read_documents, write
+from ..sources import format_pairs, parse_pairs, read_documents, read_lines, stop_words_frame, write
 from ..sources.stopwords import SPANISH_STOP_WORDS
 from .registry import query, table
 
@@ -32,21 +32,24 @@ def crawl_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", normalize("text").alias("text"))
 
 
-@query("crawl_files", f"select doc_id, {_NORMALIZE_SQL} as text from documents")
+@query("crawl_files", f"select doc_id, {_NORMALIZE_SQL} as text, 1::bigint as n_of_name from documents")
 def crawl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 end to end: every document lands as its own file (``doc_id=N/part-*.txt``) in the
-    shared folder; the folder is read back one row per file and crawled.
+    """S1 end to end: every document lands as a file of its own in one folder of the shared
+    folder; the folder is read back one row per file and crawled, and file names are compared.
 
     The write only lays out the input the whole-file reader expects (a folder with
-    one file per document); on real data that folder already exists and only the
-    read + crawl part runs.
+    one file per document, the id on the first line); on real data that folder already exists
+    and only the read + crawl part runs.
     """
     path = scratch_path(spark, "crawl-files")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    write(docs, path, fmt="text", partition_by="doc_id")
-    crawled = tx.crawl(read_documents(spark, path))
-    # Partition discovery infers the smallest integral type; the table's key is bigint.
-    return crawled.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = table(spark, sf_dir, "documents")
+    write(docs.select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value")), path, fmt="text", maxRecordsPerFile="1")
+    files = read_documents(spark, path)
+    split = F.instr("text", "\n")
+    named = files.select("name", F.substring_index("text", "\n", 1).cast("long").alias("doc_id"), F.substr("text", split + 1).alias("text"))
+    crawled = tx.crawl(named)
+    names = crawled.groupBy("name").agg(F.count("*").alias("n_of_name"))
+    return crawled.join(names, "name").select("doc_id", "text", "n_of_name")
 
 
 @query("crawl_basename", "select page_id, " + _TRIM_SQL.format("regexp_extract(url, '[^/]*$')") + " as name from pages")
@@ -95,11 +98,31 @@ def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "crawl_pairs_roundtrip",
-    f"select cast(doc_id as varchar) name, lower({_NORMALIZE_SQL}) as text from documents",
+    f"select cast(doc_id as varchar) name, lower({_NORMALIZE_SQL}) as text, true as ok from documents",
 )
 def crawl_pairs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 text format + S10: crawl lines ``(name,text)`` written as text, parsed back."""
+    """K1 text format + S10: crawl lines ``(name,text)`` written as text files, read and parsed back."""
     docs = table(spark, sf_dir, "documents")
     crawled = docs.select(F.col("doc_id").cast("string").alias("name"), normalize("text").alias("text"))
-    parsed = parse_pairs(format_pairs(crawled))
-    return parsed.where("ok").select("name", "text")
+    path = scratch_path(spark, "pairs")
+    write(format_pairs(crawled), path, fmt="text")
+    return parse_pairs(read_lines(spark, path, line_sep="\n")).select("name", "text", "ok")
+
+
+@query("index_counts_stop_table", _COUNTS_SQL + "select word, doc_id, n from c")
+def index_counts_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stop words as a table (anti-join) instead of a list."""
+    docs = table(spark, sf_dir, "documents")
+    return tx.term_counts(docs, doc="doc_id", text="text", stop_words=stop_words_frame(spark))
+
+
+@query(
+    "index_postings_blocks",
+    _COUNTS_SQL
+    + """select word, doc_id // 50 as block,
+string_agg('(' || doc_id || ',' || n || ')', ', ' order by n desc, doc_id) postings from c group by 1, 2""",
+)
+def index_postings_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: frequent words have several blocks of at most 50 documents."""
+    counts = tx.term_counts(table(spark, sf_dir, "documents"), doc="doc_id", text="text")
+    return tx.postings(counts, doc="doc_id", block_size=50)

@@ -35,7 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared work folder: ``spark.checkpoint.dir``, else the context's
-    checkpoint folder, else (bare local sessions only) a fresh local folder.
+    checkpoint folder, else (bare local sessions only) a fresh local folder. On a cluster
+    without either it raises: executors must not write to their own disks.
 
     On a cluster this is the shared storage the operators agreed on; jobs that
     must survive executor loss cut lineage or stage output there. The core
@@ -45,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
@@ -57,6 +60,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/kestrel/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared work folder once nothing reads it any more."""
+    root = f"{shared_dir(spark)}/kestrel/"
+    if not path.startswith(root):
+        raise ValueError(f"{path} is not a scratch folder under {root}")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
 def cluster_settings(
     input_bytes: int,
     executor_memory_bytes: int = 16 << 30,
@@ -67,15 +83,16 @@ def cluster_settings(
 
     * Input splits of ``target_partition_bytes`` (``spark.sql.files.maxPartitionBytes``).
     * Initial shuffle partitions so that one partition holds about
-      ``target_partition_bytes`` of the input; AQE then coalesces small ones and
-      splits skewed ones (a key holding a third of a side is cut into pieces of
-      the advisory size).
+      ``target_partition_bytes`` of ``input_bytes``, at most 20,000: shuffle blocks grow with map
+      tasks x partitions, and the driver keeps a status for each. Pass the bytes that reach the
+      shuffle (after column pruning and partial aggregation), not the raw table. AQE then
+      coalesces small partitions and splits skewed ones into pieces of the advisory size.
     * The partition target is capped so that ``executor_cores`` concurrent tasks
       fit in the execution memory of one executor (about 60% of the heap).
     """
     per_task = int(executor_memory_bytes * 0.6 / max(1, executor_cores))
     part = max(32 << 20, min(target_partition_bytes, per_task // 2))
-    shuffle_partitions = max(200, -(-input_bytes // part))
+    shuffle_partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // part)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
