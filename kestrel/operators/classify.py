@@ -5,14 +5,16 @@ Two forms of the same model:
 * :func:`fit` builds a spark.ml ``PipelineModel``: JVM-side tokenizer (split on
   one space like ``String.split``), ``HashingTF`` with 2^20 features (the
   original job's hashing size; hashing runs in the JVM, never in Python, see
-  H14) or an exact ``CountVectorizer``, ``NaiveBayes`` and ``IndexToString`` so
+  H14), ``NaiveBayes`` and ``IndexToString`` so
   that predictions are the original labels (H15). It transforms batch and
   streaming frames alike.
 * :func:`fit_tables` / :func:`predict_tables` compute the exact model as plain
   DataFrame jobs: word counts per class are a grouped aggregate, scoring is a
-  join of each document's word counts with the per-word class counts and a
-  per-document sum. Nothing grows on the driver with the vocabulary (only the
-  per-class totals, one row per label), so it scales with the data.
+  join of the rows' words with the per-word class counts and two sums per row.
+  Nothing grows on the driver with the vocabulary (only the per-class totals,
+  one row per label), so it scales with the data. With ``hashed=True`` the words
+  are first mapped to ``feature_space`` numbers: the hashed model without
+  gathering a class's whole vector in one task.
 """
 
 from __future__ import annotations
@@ -22,16 +24,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizer, HashingTF, IndexToString, RegexTokenizer, StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import split_words
-from ..session import shared_dir
-from .relational import DEFAULT_BROADCAST_ROWS, broadcast_limit_bytes
+from ..session import scratch_path
 
 HASH_FEATURES = 1 << 20
-MAX_CLASSES = 10_000
 
 
 def tokenizer(text: str = "text", output: str = "words") -> RegexTokenizer:
@@ -51,18 +51,16 @@ def fit(
     df: DataFrame,
     text: str = "text",
     label: str = "label",
-    mode: str = "hash",
     smoothing: float = 1.0,
     num_features: int = HASH_FEATURES,
     prediction: str = "predicted_label",
 ) -> PipelineModel:
-    """M2: fit tokenizer -> features -> naive Bayes; ``prediction`` holds the label as text."""
-    if mode == "hash":
-        vec = HashingTF(inputCol="_words", outputCol="_features", numFeatures=num_features)
-    elif mode == "count":
-        vec = CountVectorizer(inputCol="_words", outputCol="_features", vocabSize=1 << 24, minDF=1.0)
-    else:
-        raise ValueError(f"mode must be 'hash' or 'count', not {mode!r}")
+    """M2: fit tokenizer -> hashed features -> naive Bayes; ``prediction`` holds the label as text.
+
+    spark.ml gathers one vector of ``num_features`` per label; for the exact model, or
+    for labels with very many rows, use :func:`fit_tables`.
+    """
+    vec = HashingTF(inputCol="_words", outputCol="_features", numFeatures=num_features)
     indexer = StringIndexer(inputCol=label, outputCol="_label", handleInvalid="error")
     labelled = df.withColumn(label, F.col(label).cast("string"))
     indexer_model = indexer.fit(labelled)
@@ -85,108 +83,113 @@ def predict(model: PipelineModel, df: DataFrame, prediction: str = "predicted_la
 
 @dataclass
 class NBTables:
-    """Exact multinomial naive Bayes as DataFrames plus the per-class totals."""
+    """Exact multinomial naive Bayes as a DataFrame plus the per-class totals."""
 
-    word_counts: DataFrame  # (word, c0, c1, ...): count of the word in each class (nulls = 0)
+    word_counts: DataFrame  # (word, counts: array of (y, n)): occurrences of the word in the classes that have it
     labels: list  # class labels in index order (frequency desc, then text), like StringIndexer
     log_prior: list  # per class
     log_denominator: list  # per class: ln(tokens_c + V * smoothing)
     smoothing: float
-    vocab_size: int  # rows of word_counts (known exactly, used to pick the join strategy)
-    count_unseen: bool = False  # hashed feature space: unseen words still weigh in (smoothed zero count)
+    vocab_size: int  # rows of word_counts
+    feature_space: int | None = None  # unseen words still weigh in (smoothed zero count)
+    hashed: bool = False  # words are hash numbers below feature_space
 
 
-def _doc_words(df: DataFrame, doc: str, text: str) -> DataFrame:
-    toks = df.select(F.col(doc), F.explode(split_words(text)).alias("word"))
-    return toks.groupBy(doc, "word").agg(F.count(F.lit(1)).alias("k"))
+def _words(text: str, hashed: bool, feature_space: int | None) -> Column:
+    words = split_words(text)
+    if not hashed:
+        return words
+    return F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(feature_space)).cast("string"))
 
 
 def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothing: float = 1.0,
-               feature_space: int | None = None) -> NBTables:
+               feature_space: int | None = None, hashed: bool = False) -> NBTables:
     """M2 (exact form): per-class word counts as a DataFrame; class totals on the driver.
 
-    Smoothing spreads over the vocabulary (as with ``CountVectorizer``) unless
-    ``feature_space`` is given: then over that many features, and words unseen in
-    training still count at prediction (a smoothed zero count), which is the
-    model a hashed feature space of that size gives (``HashingTF``), minus
-    hash collisions.
-
-    Three passes: the documents per class (one row per class reaches the driver,
-    checked to be at most ``MAX_CLASSES``); the per-word table, one column per
-    class, checkpointed in the shared folder; then one aggregate over that table
-    for the vocabulary size and the tokens per class. All per-word data stays
-    distributed.
+    Smoothing spreads over the vocabulary unless ``feature_space`` is given: then over
+    that many features, and words unseen in training still count at prediction (a
+    smoothed zero count), which is the model a hashed feature space of that size gives,
+    minus hash collisions; ``hashed=True`` adds those too (words become hash numbers).
+
+    Classes are counted as rows (word, class, n), pre-aggregated on the map side, so
+    neither many classes nor a class with most of the rows gathers in one task. The
+    word table is written to the shared folder.
     """
+    if hashed and not feature_space:
+        raise ValueError("hashed=True needs feature_space")
     rows = df.select(F.col(label).alias("_y"), F.col(text).alias("_t"))
-    classes = rows.groupBy("_y").agg(F.count(F.lit(1)).alias("docs")).limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    classes = rows.groupBy("_y").agg(F.count(F.lit(1)).alias("docs")).collect()  # one row per label
     classes.sort(key=lambda r: (-r["docs"], str(r["_y"])))
     labels = [r["_y"] for r in classes]
-    n_classes = len(classes)
 
-    toks = rows.select("_y", F.explode(split_words("_t")).alias("word"))
-    word_counts = toks.groupBy("word").pivot("_y", labels).agg(F.count(F.lit(1)))
-    word_counts = word_counts.toDF("word", *[f"c{i}" for i in range(n_classes)])
+    toks = rows.select("_y", F.explode(_words("_t", hashed, feature_space)).alias("word"))
+    counted = toks.groupBy("word", "_y").agg(F.count(F.lit(1)).alias("n"))
     # The model table is used by every later prediction (every micro-batch of a
-    # stream): materialize it once in the shared checkpoint folder, which also cuts
-    # its lineage so a lost executor never re-runs the training.
-    shared_dir(df.sparkSession)
-    word_counts = word_counts.checkpoint(eager=True)
-
-    totals = word_counts.agg(
-        F.count(F.lit(1)).alias("vocab"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(n_classes)]
-    ).first()
-    vocab = totals["vocab"]
+    # stream): write it once to the shared folder, which also cuts its lineage (a lost
+    # executor never re-runs the training) and tells the planner its size.
+    word_counts = counted.groupBy("word").agg(F.collect_list(F.struct(F.col("_y").alias("y"), "n")).alias("counts"))
+    path = scratch_path(df.sparkSession, "word-counts")
+    word_counts.write.parquet(path)
+    word_counts = df.sparkSession.read.schema(word_counts.schema).parquet(path)
+
+    vocab = word_counts.count()
+    per_class = word_counts.select(F.explode("counts").alias("c")).groupBy("c.y").agg(F.sum("c.n").alias("t"))
+    tokens = {r["y"]: r["t"] for r in per_class.collect()}
     total_docs = sum(r["docs"] for r in classes)
-    log_prior = [math.log(r["docs"] + smoothing) - math.log(total_docs + n_classes * smoothing) for r in classes]
+    log_prior = [math.log(r["docs"] + smoothing) - math.log(total_docs + len(classes) * smoothing) for r in classes]
     space = feature_space or vocab
-    log_den = [math.log((totals[f"t{i}"] or 0) + space * smoothing) for i in range(n_classes)]
-    return NBTables(word_counts, labels, log_prior, log_den, smoothing, vocab, count_unseen=feature_space is not None)
+    log_den = [math.log(tokens.get(y, 0) + space * smoothing) for y in labels]
+    return NBTables(word_counts, labels, log_prior, log_den, smoothing, vocab, feature_space, hashed)
 
 
 def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: str = "text",
-                   prediction: str = "prediction") -> DataFrame:
-    """M3 (exact form): ``(doc, prediction)`` for every row of ``df``.
+                   prediction: str = "prediction", keep: list[str] | None = None) -> DataFrame:
+    """M3 (exact form): one prediction for every row of ``df``, with the columns ``keep`` (default: ``doc``).
 
     score(c) = log_prior(c) + sum over in-vocabulary words w of
-    k(d, w) * (ln(n(c, w) + s) - ln_den(c)); unseen words are ignored.
-    One join on the word and one per-document aggregate; documents without
-    known words get the prior alone. The model table's row count is known
-    exactly: when it fits the session's broadcast limit the raw tokens are
-    joined map-side (no shuffle before the per-document partial aggregate);
-    otherwise (doc, word) counts are shuffled against the table on the word
-    (sort-merge, AQE splits hot words). The document side is never broadcast.
+    k(row, w) * (ln(n(c, w) + s) - ln_den(c)); unseen words are ignored unless the model
+    has a feature space. Rows are told apart by a number given before their words are
+    exploded, so repeated keys and equal texts stay rows of their own. One scan: the
+    kept columns ride on the row's first word, rows without words keep one empty entry.
+    The word table is joined by its written size: a small one is broadcast, else adaptive
+    execution splits hot words.
     """
-    s = model.smoothing
-    n = len(model.labels)
-    table_bytes = model.vocab_size * (20 + 8 * n)
-    limit = broadcast_limit_bytes(df.sparkSession)
+    keep = [doc] if keep is None else keep
+    s, n = model.smoothing, len(model.labels)
     ln_s = math.log(s)
-    # Unseen words are dropped (inner join) unless the model counts them (left join:
-    # a null count adds ln(s) - ln_den, the smoothed weight of a zero count).
-    how = "left" if model.count_unseen else "inner"
-    if 0 < limit and model.vocab_size <= DEFAULT_BROADCAST_ROWS and table_bytes <= limit:
-        # Broadcast model: join the raw tokens map-side and sum per document; the
-        # per-document partial aggregate is the only shuffle.
-        toks = df.select(F.col(doc), F.explode(split_words(text)).alias("word"))
-        joined = toks.join(F.broadcast(model.word_counts), "word", how).withColumn("k", F.lit(1))
-    else:
-        # Large model: count (doc, word) pairs first so the shuffle join on the
-        # word moves one row per pair; sort-merge, AQE splits hot words.
-        joined = _doc_words(df, doc, text).join(model.word_counts.hint("merge"), "word", how)
-    sums = [F.sum(F.col("k") * (F.log(F.coalesce(F.col(f"c{i}"), F.lit(0)) + F.lit(s)) - F.lit(ln_s))).alias(f"s{i}")
-            for i in range(n)]
-    per_doc = joined.groupBy(doc).agg(F.sum("k").alias("_K"), *sums)
-    base = df.select(doc).join(per_doc, doc, "left")
-    scored = []
-    for i in range(n):
-        score = (
-            F.lit(model.log_prior[i])
-            + F.coalesce(F.col(f"s{i}"), F.lit(0.0))
-            + F.coalesce(F.col("_K"), F.lit(0)).cast("double") * F.lit(ln_s - model.log_denominator[i])
-        )
+    names = [f"_kept{i}" for i in range(len(keep))]
+    # the number is given in a projection of its own: beside the explode it would count words
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).alias(k) for c, k in zip(keep, names, strict=True)],
+                     _words(text, model.hashed, model.feature_space).alias("_words"))
+    rows = rows.select("_row", *names, F.posexplode_outer("_words").alias("_at", "word"))
+    # ``_at`` is null for a row without words
+    lead = F.coalesce(F.col("_at"), F.lit(0)) == 0
+    toks = rows.select("_row", "word", *[F.when(lead, F.col(k)).alias(k) for k in names])
+    hit = F.lit(1) if model.feature_space else F.when(F.col("counts").isNotNull(), 1).otherwise(0)
+    known = F.when(F.col("word").isNull(), 0).otherwise(hit)
+    joined = toks.join(model.word_counts, "word", "left").select("_row", *names, known.alias("_k"), F.posexplode_outer("counts").alias("_i", "_c"))
+    # a word is counted once, with the first of its classes (``_i`` is null for an unknown word)
+    once = F.coalesce(F.col("_i"), F.lit(0)) == 0
+    gain = F.log(F.col("_c.n") + F.lit(s)) - F.lit(ln_s)
+    per_class = joined.groupBy("_row", F.col("_c.y").alias("_y")).agg(
+        F.sum(F.when(once, F.col("_k")).otherwise(0)).alias("_k"), F.sum(gain).alias("_s"),
+        *[F.first(F.when(once, F.col(k)), ignorenulls=True).alias(k) for k in names],
+    )
+    per_row = per_class.groupBy("_row").agg(
+        F.sum("_k").alias("_K"), F.collect_list(F.struct("_y", "_s")).alias("_sums"), *[F.first(k, ignorenulls=True).alias(k) for k in names]
+    )
+    kept = [F.col(k).alias(c) for c, k in zip(keep, names, strict=True)]
+    if n == 0:
+        return per_row.select(*kept, F.lit(None).alias(prediction))
+    label_type = per_class.schema["_y"].dataType
+    classes = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(y).cast(label_type).alias("y"), F.lit(p).alias("prior"), F.lit(d).alias("den"))
+                        for i, (y, p, d) in enumerate(zip(model.labels, model.log_prior, model.log_denominator, strict=True))])
+
+    def score(c: Column) -> Column:
+        own = F.get(F.filter("_sums", lambda x: x["_y"].eqNullSafe(c["y"])), 0)["_s"]
+        total = c["prior"] + F.coalesce(own, F.lit(0.0)) + F.col("_K").cast("double") * (F.lit(ln_s) - c["den"])
         # Highest score wins; on a tie the earlier class (lower index) wins, as in spark.ml.
-        scored.append(F.struct(score.alias("score"), F.lit(-i).alias("order"), F.lit(model.labels[i]).alias("label")))
-    best = F.array_max(F.array(*scored))
-    return base.select(F.col(doc), best["label"].alias(prediction))
+        return F.struct(total.alias("score"), (-c["i"]).alias("order"), c["y"].alias("label"))
+
+    best = F.array_max(F.transform(classes, score))
+    return per_row.select(*kept, best["label"].alias(prediction))

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
+RATINGS_PER_BLOCK = 2_000_000
+
+
 def rating_stats(ratings: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
     """One row ``(n_ratings, n_users, n_items)`` in one aggregation (exact distincts)."""
     return ratings.agg(
@@ -36,13 +39,14 @@ def fit(
 ) -> ALSModel:
     """M4: fit ALS (rank 10, 10 iterations by default, as in the original job).
 
-    Each iteration runs one task per user block and per item block. spark.ml's
-    default of 10 blocks would cap a large cluster at 10 tasks, so by default the
-    block count follows the cluster's parallelism (at least 10).
+    Each iteration runs one task per user block and per item block and moves factors
+    between all pairs of blocks. By default a block holds about ``RATINGS_PER_BLOCK``
+    ratings (one count of the ratings; at least 10 blocks), so the number of pairs
+    follows the data and not the size of the cluster. Keys must fit an int, as
+    spark.ml's ALS demands.
     """
-    spark = ratings.sparkSession
-    shared_dir(spark)  # ALS checkpoints its factor lineage here
-    blocks = num_blocks or max(10, spark.sparkContext.defaultParallelism)
+    shared_dir(ratings.sparkSession)  # ALS checkpoints its factor lineage here
+    blocks = num_blocks or max(10, -(-ratings.count() // RATINGS_PER_BLOCK))
     als = ALS(
         rank=rank,
         maxIter=max_iter,

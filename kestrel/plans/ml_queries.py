@@ -1,14 +1,15 @@
 """Learning queries: naive Bayes on ``documents``/``labels``, ALS on customer x part
 ratings, k-means on ``embeddings``.
 
-Only the exact naive Bayes has an oracle (its scores are sums of logs of
-counts, which SQL reproduces). ALS and k-means results depend on iterative
-floating-point fits, so they are checked by row counts here and by property
-tests in ``tests/``.
+The exact naive Bayes has an oracle (its scores are sums of logs of counts, which
+SQL reproduces). ALS, k-means and hashed naive Bayes depend on iterative fits or on
+Spark's hash; for them ``*_facts`` queries state what SQL can: which predictions must be
+NaN, that titles match, that no rule of the operator is violated.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from ..sources import parse_vectors
 from .registry import query, table
 
 
-def nb_oracle_sql(where: str = "", feature_space: int | None = None) -> str:
+def nb_oracle_sql(where: str = "", feature_space: int | None = None, keys: str | None = None) -> str:
     """Exact multinomial NB (smoothing 1) in SQL; ``where`` filters the scored documents.
 
     With ``feature_space`` the smoothing spreads over that many features and words
@@ -28,7 +29,7 @@ def nb_oracle_sql(where: str = "", feature_space: int | None = None) -> str:
     space = str(feature_space) if feature_space else "(select v from v)"
     doc_words = ("select doc_id, w, count(*) k from tok group by 1, 2" if feature_space else
                  "select doc_id, w, count(*) k from tok join voc using (w) group by 1, 2")
-    return f"""
+    sql = f"""
 with tok as (select doc_id, unnest(case when text <> '' and regexp_replace(text, ' +$', '') = '' then []::varchar[]
    else string_split(regexp_replace(text, ' +$', ''), ' ') end) w from documents),
  tr as (select t.doc_id, t.w, l.quality y from tok t join labels l using (doc_id)),
@@ -41,7 +42,9 @@ with tok as (select doc_id, unnest(case when text <> '' and regexp_replace(text,
        from dw d cross join nc join ct on ct.y = nc.y left join cw on cw.y = nc.y and cw.w = d.w group by 1, 2),
  p as (select d.doc_id, nc.y, coalesce(s.ll, 0) + ln(nc.c + 1.0) - ln((select sum(c) + count(*) from nc)) sc
        from documents d cross join nc left join s on s.doc_id = d.doc_id and s.y = nc.y {where})
-select doc_id, arg_max(y, sc) pred from p group by 1"""
+"""
+    best = "select doc_id, arg_max(y, sc) pred from p group by 1"
+    return sql + (f"select {keys}, pred from ({best}) join documents using (doc_id)" if keys else best)
 
 
 def training_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,10 +75,35 @@ def nb_hash_space_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("nb_hashed_predict")
 def nb_hashed_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The original job's form: hashed features (2^20) + spark.ml naive Bayes pipeline."""
-    model = nb.fit(training_docs(spark, sf_dir), text="text", label="label", mode="hash")
+    """The original job's model, 2^20 hashed features, as tables keyed by the feature's number."""
+    return _hashed(spark, sf_dir)
+
+
+def hashed_model(spark: SparkSession, sf_dir: str) -> nb.NBTables:
+    return nb.fit_tables(training_docs(spark, sf_dir), text="text", label="label", feature_space=nb.HASH_FEATURES, hashed=True)
+
+
+def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return nb.predict(model, docs).select("doc_id", F.col("predicted_label").cast("int").alias("pred"))
+    return nb.predict_tables(hashed_model(spark, sf_dir), docs, doc="doc_id", text="text", prediction="pred")
+
+
+@query("nb_hashed_facts", """select count(*) n, count(distinct doc_id) n_docs, 0::bigint n_unlabelled from documents""")
+def nb_hashed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One prediction per document, each a label of the training set."""
+    known = F.col("pred").isin(hashed_model(spark, sf_dir).labels)
+    return _hashed(spark, sf_dir).agg(
+        F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"), F.count(F.when(F.coalesce(~known, F.lit(True)), 1)).alias("n_unlabelled")
+    )
+
+
+@query("nb_features_facts", """select count(*) n, sum(n_words)::double n_words from (select case when text <> '' and
+regexp_replace(text, ' +$', '') = '' then 0 else len(string_split(regexp_replace(text, ' +$', ''), ' ')) end n_words from documents)""")
+def nb_features_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the hashed term-frequency vectors hold every word once."""
+    docs = table(spark, sf_dir, "documents").select("text")
+    vectors = nb.features(docs).select(vector_to_array("features").alias("f"))
+    return vectors.agg(F.count("*").alias("n"), F.sum(F.aggregate("f", F.lit(0.0), lambda a, x: a + x)).alias("n_words"))
 
 
 # --- ALS: ratings before 1999 train the model, later ratings are the test set -----------------
@@ -145,6 +173,50 @@ def als_score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.score_pairs(model, test.select("userId", "movieId").distinct())
 
 
+_SPLIT_SQL = f"""
+with r as (select cast(o_custkey as integer) u, cast(l_partkey as integer) i, cast(1 + l_linenumber % 5 as double) rating,
+  l_shipdate < timestamp '{SPLIT_DATE}' tr from lineitem join orders on l_orderkey = o_orderkey),
+t as (select u, i, rating, (u not in (select u from r where tr) or i not in (select i from r where tr)) cold from r where not tr)
+"""
+
+
+@query("als_cold_start_facts", _SPLIT_SQL + 'select u "userId", i "movieId", cold, count(*) n from t group by all')
+def als_cold_start_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prediction is NaN exactly where the training set lacks the user or the item (M4, M5)."""
+    model, test = _als(spark, sf_dir)
+    cold = F.isnan("prediction").alias("cold")
+    return rec.predict(model, test, cold_start="nan").groupBy("userId", "movieId", cold).agg(F.count("*").alias("n"))
+
+
+@query("als_pair_facts", _SPLIT_SQL + 'select distinct u "userId", i "movieId", cold from t')
+def als_pair_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: scored pairs, NaN exactly where the training set lacks the user or the item."""
+    model, test = _als(spark, sf_dir)
+    return rec.score_pairs(model, test.select("userId", "movieId").distinct()).select("userId", "movieId", F.isnan("prediction").alias("cold"))
+
+
+@query("als_false_positive_facts", """select 0::bigint n_wrong_title, 0::bigint n_wrong_rating, 0::bigint n_wrong_prediction,
+0::bigint n_missing, 0::bigint n_over_limit, true found""")
+def als_false_positive_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations of what a false positive is, against the predictions and ``part``."""
+    model, test = _als(spark, sf_dir)
+    predictions = rec.predict(model, test)
+    fp = rec.false_positives(predictions, _items(spark, sf_dir), low=FP_LOW, high=FP_HIGH)
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("p"), "p_name")
+    checked = fp.join(parts, F.col("movieId") == F.col("p"), "left")
+    facts = checked.agg(
+        F.count(F.when(~F.col("title").eqNullSafe(F.col("p_name")), 1)).alias("n_wrong_title"),
+        F.count(F.when(F.col("rating") > FP_LOW, 1)).alias("n_wrong_rating"),
+        F.count(F.when(F.isnan("prediction") | (F.col("prediction") < FP_HIGH), 1)).alias("n_wrong_prediction"),
+        F.count("*").alias("n"),
+    )
+    due = predictions.agg(F.sum(F.when((F.col("rating") <= FP_LOW) & ~F.isnan("prediction") & (F.col("prediction") >= FP_HIGH), 1).otherwise(0)).alias("due"))
+    examples = rec.false_positives(predictions, _items(spark, sf_dir), low=FP_LOW, high=FP_HIGH, limit=100).agg(F.count("*").alias("shown"))
+    one = facts.join(due).join(examples)  # three rows of one line each
+    return one.select("n_wrong_title", "n_wrong_rating", "n_wrong_prediction", (F.col("due") - F.col("n")).alias("n_missing"),
+                      (F.col("shown") - F.least(F.col("n"), F.lit(100))).alias("n_over_limit"), (F.col("n") > 0).alias("found"))
+
+
 # --- k-means on the embeddings, read through the vector text format -----------------------------
 
 
@@ -165,3 +237,23 @@ def kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _vectors(spark, sf_dir)
     model = km.fit(data, k=3, max_iter=10)
     return km.predict(model, data).select("vec_id", "prediction")
+
+
+@query("kmeans_facts", """select count(*) n, 3::bigint n_centers, 0::bigint n_not_nearest, 0::bigint n_far_centers from embeddings""")
+def kmeans_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every point has the nearest of 3 centres, and the centres are (nearly) the means of their points."""
+    data = _vectors(spark, sf_dir)
+    model = km.fit(data, k=3, max_iter=100)
+    centers = km.centers(model, spark)
+    points = km.predict(model, data).select("vec_id", "prediction", vector_to_array("features").alias("x"))
+    near = F.aggregate(F.zip_with("x", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
+    by_center = points.join(F.broadcast(centers)).withColumn("d", near)  # k = 3 centres beside each point
+    best = by_center.groupBy("vec_id", "prediction").agg(
+        F.min("d").alias("least"), F.min(F.when(F.col("cluster") == F.col("prediction"), F.col("d"))).alias("own")
+    )
+    facts = best.agg(F.count("*").alias("n"), F.count(F.when(F.col("own") > F.col("least") * (1 + 1e-9) + 1e-9, 1)).alias("n_not_nearest"))
+    means = points.select("prediction", F.posexplode("x").alias("i", "v")).groupBy("prediction", "i").agg(F.avg("v").alias("mean"))
+    moved = means.join(centers.select("cluster", F.posexplode("center").alias("j", "c")), (F.col("prediction") == F.col("cluster")) & (F.col("i") == F.col("j")))
+    far = moved.agg(F.count(F.when(F.abs(F.col("mean") - F.col("c")) > 0.05, 1)).alias("n_far_centers"))
+    n_centers = centers.agg(F.count("*").alias("n_centers"))
+    return facts.join(n_centers).join(far).select("n", "n_centers", "n_not_nearest", "n_far_centers")

@@ -4,13 +4,25 @@ The work grows with the tables; the oracle is the table itself."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import join_fields
 from ..operators import graph as g
 from ..operators import recommend as rec
 from ..session import scratch_path
-from ..sources import parse_delimited, parse_movies, parse_ratings, read_csv, read_csv_strings, write
+from ..sources import (
+    CSV_EXACT,
+    parse_delimited,
+    parse_movies,
+    parse_ratings,
+    parse_vectors,
+    read_csv,
+    read_csv_strings,
+    read_lines,
+    write,
+)
 from .registry import query, table
 
 
@@ -129,15 +141,45 @@ def csv_header_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "csv_positional",
-    "select quality polarity, doc_id id, lang date, source query, cast(toxic as varchar) \"user\" from labels "
+    "select quality polarity, doc_id id, lang date, source query, cast(toxic as varchar) \"user\", text tweet from labels "
     "join documents using (doc_id)",
 )
 def csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headerless CSV read with an explicit schema, columns renamed by position."""
+    """Headerless CSV of six columns (free text last) with an explicit schema, renamed by position."""
     path = scratch_path(spark, "csv-positional")
     labels = table(spark, sf_dir, "labels")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    rows = labels.join(docs, "doc_id").select("quality", "doc_id", "lang", "source", "toxic")
-    write(rows, path, fmt="csv")
-    raw = read_csv(spark, path, schema="_c0 int, _c1 long, _c2 string, _c3 string, _c4 string")
-    return raw.toDF("polarity", "id", "date", "query", "user")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    rows = labels.join(docs, "doc_id").select("quality", "doc_id", "lang", "source", "toxic", "text")
+    write(rows, path, fmt="csv", **CSV_EXACT)
+    schema = "_c0 int, _c1 long, _c2 string, _c3 string, _c4 string, _c5 string"
+    return read_csv(spark, path, schema=schema, names=["polarity", "id", "date", "query", "user", "tweet"], **CSV_EXACT)
+
+
+@query("read_lines_counts", """select line, count(*) n from (select unnest(string_split(replace(replace(text, chr(13) || chr(10), chr(10)),
+chr(13), chr(10)), chr(10))) line from documents) group by 1""")
+def read_lines_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts written to files, read back line by line, lines counted."""
+    path = scratch_path(spark, "lines")
+    write(table(spark, sf_dir, "documents").select("text"), path, fmt="text")
+    return read_lines(spark, path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
+@query("parse_vector_lines", """select vec_id, list_sum(embedding[1:4]::double[]) s, len(embedding) n, vec_id % 5 <> 0 good from embeddings""")
+def parse_vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vector lines with trailing blanks; every fifth line has a bad number, empty lines are dropped."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    text = F.concat(F.array_join(F.col("embedding").cast("array<double>").cast("array<string>"), " "), F.when(F.col("vec_id") % 5 == 0, " bad  ").otherwise("  "))
+    lines = emb.select("vec_id", "embedding", text.alias("value")).unionByName(emb.select("vec_id", "embedding", F.lit("").alias("value")))
+    parsed = parse_vectors(lines, keep=["vec_id", "embedding"], strict=False)
+    x = F.when(F.col("features").isNotNull(), vector_to_array("features")).otherwise(F.col("embedding").cast("array<double>"))
+    total = F.get(x, 0) + F.get(x, 1) + F.get(x, 2) + F.get(x, 3)
+    return parsed.select("vec_id", total.alias("s"), F.size(x).cast("long").alias("n"), F.col("features").isNotNull().alias("good"))
+
+
+@query("join_fields_lines", """select c_custkey, concat_ws('|', c_custkey, coalesce(nullif(c_name, 'x'), 'null'),
+case when c_nationkey % 3 = 0 then 'null' else cast(c_nationkey as varchar) end) line from customer""")
+def join_fields_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rows printed as delimited lines, nulls as the text ``null``."""
+    cust = table(spark, sf_dir, "customer")
+    nation = F.when(F.col("c_nationkey") % 3 != 0, F.col("c_nationkey"))
+    return cust.select("c_custkey", join_fields([F.col("c_custkey"), F.col("c_name"), nation]).alias("line"))

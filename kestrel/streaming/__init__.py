@@ -7,8 +7,10 @@ from .jobs import (
     count_per_batch,
     land_batch,
     parse_numbers,
+    parse_tokens,
     partitioned_etl,
     read_partitioned,
+    rejected_per_batch,
     run,
     score,
 )
@@ -34,9 +36,11 @@ __all__ = [
     "land_batch",
     "list_partitions",
     "parse_numbers",
+    "parse_tokens",
     "parse_posts",
     "partitioned_etl",
     "read_partitioned",
+    "rejected_per_batch",
     "read_posts",
     "read_posts_kafka",
     "read_socket",

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import CSV_EXACT
+
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_.]*$")
 
 
@@ -27,10 +29,11 @@ def create_partitioned_table(
     """K5: ``CREATE TABLE IF NOT EXISTS`` over ``path``: delimited text, string partition columns."""
     cols = ", ".join(f"`{_check(n)}` {t}" for n, t in columns)
     parts = ", ".join(f"`{_check(p)}` STRING" for p in partitions)
+    exact = ", ".join(f"{k} '{v}'" for k, v in CSV_EXACT.items())
     sep_sql = sep.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_check(table)} ({cols}, {parts}) USING csv "
-        f"OPTIONS (sep '{sep_sql}') PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)}) "
+        f"OPTIONS (sep '{sep_sql}', {exact}) PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)}) "
         f"LOCATION '{path}'"
     )
 
@@ -54,26 +57,30 @@ def list_partitions(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
-def add_partitions(spark: SparkSession, table: str, parts: DataFrame, max_partitions: int = 100_000) -> int:
+def add_partitions(spark: SparkSession, table: str, parts: DataFrame, per_statement: int = 1_000) -> int:
     """K6, incremental: register the partitions listed in ``parts`` (one column per
-    partition key, in table order) with one ``ALTER TABLE ... ADD IF NOT EXISTS``.
+    partition key, in table order) with ``ALTER TABLE ... ADD IF NOT EXISTS``.
 
-    Meant for the partitions of one micro-batch (a few days), so the distinct
-    values are collected; unlike ``MSCK REPAIR`` it never lists the whole table
-    folder. Returns the number of partitions named.
+    Meant for the partitions of one micro-batch (a few days); the distinct values
+    are streamed to the driver and sent in statements of ``per_statement``
+    partitions, however many there are. Unlike ``MSCK REPAIR`` it never lists the
+    whole table folder. Returns the number of partitions named.
     """
-    keys = parts.columns
-    rows = parts.distinct().limit(max_partitions + 1).collect()
-    if len(rows) > max_partitions:
-        raise ValueError(f"more than {max_partitions} partitions in one call; use repair()")
-    if not rows:
-        return 0
+    keys = [_check(k) for k in parts.columns]
 
     def lit(v) -> str:
         return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    specs = " ".join(
-        "PARTITION (" + ", ".join(f"`{_check(k)}` = {lit(r[k])}" for k in keys) + ")" for r in rows
-    )
-    spark.sql(f"ALTER TABLE {_check(table)} ADD IF NOT EXISTS {specs}")
-    return len(rows)
+    def send(specs: list[str]) -> None:
+        if specs:
+            spark.sql(f"ALTER TABLE {_check(table)} ADD IF NOT EXISTS {' '.join(specs)}")
+
+    named, specs = 0, []
+    for r in parts.distinct().toLocalIterator():
+        specs.append("PARTITION (" + ", ".join(f"`{k}` = {lit(r[k])}" for k in keys) + ")")
+        named += 1
+        if len(specs) == per_statement:
+            send(specs)
+            specs = []
+    send(specs)
+    return named

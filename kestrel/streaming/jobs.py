@@ -13,12 +13,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import date_parts, split_whitespace
+from ..sources.files import CSV_EXACT
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -78,16 +78,26 @@ def _write_batch(df: DataFrame, path: str, partitions: list[str], fmt: str = "pa
     )
 
 
+def parse_tokens(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Trim each line, split on whitespace runs -> ``(token, number)``, ``number`` a bigint.
+
+    A blank line gives no row; a token that is no bigint gives a null number, so it can
+    be counted (H4).
+    """
+    toks = lines.select(F.explode(split_whitespace(value)).alias("token")).where("token <> ''")
+    return toks.select("token", F.col("token").try_cast("bigint").alias("number"))
+
+
 def parse_numbers(lines: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    """Trim each line, split on whitespace runs, convert to int -> ``(number)``.
+    """The numbers of each line -> ``(number bigint)``.
 
-    Lenient by default (H4): a blank line or a bad token gives no row instead
-    of failing the stream; ``strict=True`` fails like the original did.
+    Lenient by default (H4): bad tokens give no row; count them with :func:`parse_tokens`
+    (``count_per_batch`` does). ``strict=True`` fails the stream like the original did.
     """
-    toks = lines.select(F.explode(split_whitespace(value)).alias("tok"))
     if strict:
-        return toks.select(F.col("tok").cast("int").alias("number"))
-    return toks.select(F.col("tok").try_cast("int").alias("number")).where(F.col("number").isNotNull())
+        toks = lines.select(F.explode(split_whitespace(value)).alias("token"))
+        return toks.select(F.col("token").cast("bigint").alias("number"))
+    return parse_tokens(lines, value).select("number").where(F.col("number").isNotNull())
 
 
 def count_batch(batch: DataFrame, batch_id: int, value: str = "number") -> DataFrame:
@@ -101,7 +111,9 @@ def count_per_batch(numbers: DataFrame, sink: str, checkpoint: str, value: str =
 
     Counts reset at every batch: this is not a running aggregate (a streaming
     ``groupBy`` would keep totals in state). The counts are computed and written
-    on the executors; nothing goes to the driver.
+    on the executors; nothing goes to the driver. Fed with :func:`parse_tokens`, a
+    batch's row with a null value counts its rejected tokens
+    (:func:`rejected_per_batch` reads them).
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
@@ -110,6 +122,15 @@ def count_per_batch(numbers: DataFrame, sink: str, checkpoint: str, value: str =
     return run(numbers, body, checkpoint, **run_options)
 
 
+def rejected_per_batch(counts: DataFrame, value: str = "number") -> DataFrame:
+    """``(batch_id, accepted, rejected)`` from the sink of :func:`count_per_batch` over :func:`parse_tokens`."""
+    bad = F.col(value).isNull()
+    return counts.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
+        F.coalesce(F.sum(F.when(~bad, F.col("n"))), F.lit(0)).cast("long").alias("accepted"),
+        F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).cast("long").alias("rejected"),
+    )
+
+
 def score(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
           **run_options) -> StreamingQuery:
     """T5: apply a batch-trained model (``scorer(batch) -> DataFrame``) to each micro-batch.
@@ -120,15 +141,8 @@ def score(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], sink: str
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        # A scorer may read its input more than once (the exact naive Bayes reads
-        # the documents for the tokens and for the final per-document join):
-        # keep the micro-batch for the length of this body only.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            out = scorer(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            _write_batch(out, sink, ["batch_id"])
-        finally:
-            batch.unpersist()
+        out = scorer(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        _write_batch(out, sink, ["batch_id"])
 
     return run(stream, body, checkpoint, **run_options)
 
@@ -141,13 +155,13 @@ def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns:
     """K4: write one batch under ``depYear=YYYY/depMonth=MM/depDay=DD/batch_id=N``.
 
     Dynamic partition overwrite: writing the same ``batch_id`` again replaces
-    only that batch's folders, so a replayed batch adds nothing.
-
-    By default each task writes the days it holds (no shuffle, but up to
-    tasks x days files). ``files_per_day=k`` first shuffles rows by day and a
-    hash of the row into k buckets: at most k files per day, and a day holding
-    a third of the batch is still written by k tasks. The hash is deterministic,
-    so a replayed batch lands the same way.
+    only that batch's folders, so a replayed batch adds nothing. Rows are first
+    rebalanced by day: adaptive execution gives each day as many files as its
+    size asks for and splits a day that holds most of the batch.
+    ``files_per_day=k`` instead shuffles rows by day and a hash of the row into k
+    buckets: at most k files per day. The text format is CSV with doubled quotes
+    (``CSV_EXACT``): line breaks, quotes, the separator and the text ``null`` all
+    come back as they were.
 
     With ``table`` (a catalog table over ``path``, see
     :func:`kestrel.streaming.catalog.create_partitioned_table`) the batch's new
@@ -159,20 +173,16 @@ def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns:
         year.alias("depYear"), month.alias("depMonth"), day.alias("depDay"),
         F.lit(batch_id).cast("long").alias("batch_id"),
     )
+    dealt = out.hint("rebalance", *ETL_PARTITIONS)
     if files_per_day:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(int(files_per_day)))
-        out = out.repartition(*[F.col(c) for c in ETL_PARTITIONS], salt)
+        dealt = out.repartition(*[F.col(c) for c in ETL_PARTITIONS], salt)
+    _write_batch(dealt, path, [*ETL_PARTITIONS, "batch_id"], fmt="csv", sep=sep, **CSV_EXACT)
     if table is not None:
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)  # written, then its partitions listed
-    try:
-        _write_batch(out, path, [*ETL_PARTITIONS, "batch_id"], fmt="csv", sep=sep, nullValue="null")
-        if table is not None:
-            from .catalog import add_partitions
+        from .catalog import add_partitions
 
-            add_partitions(out.sparkSession, table, out.select(*ETL_PARTITIONS, F.col("batch_id").cast("string")))
-    finally:
-        if table is not None:
-            out.unpersist()
+        # The days alone: a second, pruned look at the batch instead of a cached copy of it.
+        add_partitions(out.sparkSession, table, out.select(*ETL_PARTITIONS, F.col("batch_id").cast("string")))
 
 
 def partitioned_etl(
@@ -209,4 +219,4 @@ def read_partitioned(spark, path: str, columns: list[tuple[str, str]], sep: str
     """Read the ETL output back; partition columns stay strings (``01`` stays ``01``, H9)."""
     parts = partitions or [*ETL_PARTITIONS, "batch_id"]
     ddl = ", ".join([f"`{n}` {t}" for n, t in columns] + [f"`{p}` string" for p in parts])
-    return spark.read.schema(ddl).option("sep", sep).option("nullValue", "null").csv(path)
+    return spark.read.schema(ddl).options(sep=sep, **CSV_EXACT).csv(path)
