@@ -144,3 +144,72 @@ def test_read_csv_readers(spark, tmp_dir):
     assert tw.first()["tweet"] == "I love this day"
     inferred = sources.read_csv(spark, t, infer=True, names=["polarity", "id", "date", "query", "user", "tweet"])
     assert inferred.columns[0] == "polarity"
+
+
+def test_text_functions_are_linear_in_runs_of_blanks(spark):
+    import time
+
+    from kestrel.functions import normalize, split_whitespace, split_words, tokenize
+    from kestrel.sources import parse_pairs
+
+    n = 1_000_000
+    blanks = F.concat(F.lit("a"), F.repeat(F.lit(" "), n), F.lit("b"), F.repeat(F.lit(" "), n))
+    df = spark.range(1).select(blanks.alias("t"))
+    began = time.time()
+    got = df.select(
+        F.length(normalize("t")), F.size(split_words("t")), F.size(split_whitespace("t")), F.size(tokenize("t")), F.size(tokenize(F.concat("t", F.repeat(F.lit(","), n))))
+    ).first()
+    assert tuple(got) == (n + 2, n + 1, 2, n + 1, n + 1)
+    lines = spark.range(1).select(F.concat(F.repeat(F.lit(" \n\t"), n), F.lit("x"), F.repeat(F.lit(" \n"), n), F.lit("y")).alias("t"))
+    assert lines.select(normalize("t").alias("n")).first()["n"] == "x y"
+    pairs = spark.range(1).select(F.concat(F.lit("(n,"), F.repeat(F.lit(") "), n), F.lit("x)"), F.repeat(F.lit(" "), n)).alias("value"))
+    assert parse_pairs(pairs).first()["ok"]
+    assert time.time() - began < 60
+
+
+def test_jvm_split_corner_cases(spark):
+    from kestrel.functions import split_words, tokenize
+
+    cases = {"": [""], " ": [], "   ": [], "a": ["a"], "a ": ["a"], " a": ["", "a"], "a  b  ": ["a", "", "b"], "  a": ["", "", "a"]}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.w for r in df.select("t", split_words("t").alias("w")).collect()} == cases
+    assert df.sparkSession.range(1).select(split_words(F.lit("a::b::::"), "::").alias("w")).first().w == ["a", "b"]
+    toks = {"": [""], "...": [], "a.b..": ["a", "b"], ".a": ["", "a"]}
+    df = spark.createDataFrame([(k,) for k in toks], "t string")
+    assert {r.t: r.w for r in df.select("t", tokenize("t").alias("w")).collect()} == toks
+
+
+def test_pairs_keep_any_character(spark):
+    from kestrel.sources import format_pairs, parse_pairs
+
+    texts = ["a\rb", "a\u2028b", "x) (y", ""]
+    df = spark.createDataFrame([("n", t) for t in texts], "name string, text string")
+    got = parse_pairs(format_pairs(df))
+    assert rows(got) == [("n", t, True) for t in texts]
+
+
+def test_vectors_trailing_blanks_and_bad_numbers(spark):
+    from kestrel.sources import parse_vectors
+
+    df = spark.createDataFrame([("1.0 2.0 ",), ("3.0 x",), ("",), ("4 5",), ("  ",)], "value string")
+    got = [None if r.features is None else r.features.toArray().tolist() for r in parse_vectors(df, strict=False).collect()]
+    assert got == [[1.0, 2.0], None, [4.0, 5.0], None]
+    assert parse_vectors(df.where("value like '1%'")).first().features.toArray().tolist() == [1.0, 2.0]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        parse_vectors(df.where("value like '3%'")).collect()
+
+
+def test_padded_header_is_dropped(spark):
+    from kestrel.sources import parse_delimited
+
+    df = spark.createDataFrame([(" Year,Month",), ("2008,1",), ("Year ,Month",)], "value string").coalesce(1)
+    assert rows(parse_delimited(df, "y string, m string", header_token="first")) == [("2008", "1")]
+
+
+def test_csv_exact_round_trip(spark, tmp_dir):
+    from kestrel.sources import CSV_EXACT, read_csv, write
+
+    texts = ['a"b', "a\nb", "a\r\nb", " x ", "", None, "null", "\\", "a,b", "\\N", '""', "#c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    write(df, f"{tmp_dir}/c", fmt="csv", **CSV_EXACT)
+    assert rows(read_csv(spark, f"{tmp_dir}/c", "i int, t string", **CSV_EXACT)) == list(enumerate(texts))

@@ -98,28 +98,41 @@ def test_tokenizer_matches_jvm_split(spark):
 def test_naive_bayes_predicts_original_labels(spark):
     # Labels 0/2/4 come back as labels, not class positions; H14: JVM hashing.
     train = _tweets(spark)
-    model = nb.fit(train, text="tweet", label="polarity", mode="hash")
+    model = nb.fit(train, text="tweet", label="polarity")
     test = spark.createDataFrame([("I love this day",), ("This product sucks",), ("Need a hug ",)], "tweet string")
     preds = [int(r.predicted_label) for r in nb.predict(model, test).collect()]
     assert set(preds) <= {0, 2, 4}
     assert preds[0] == 4
 
 
+def _count_model(train, docs, text, label):
+    """spark.ml's naive Bayes on exact word counts: a second opinion on the tables."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizer, IndexToString, StringIndexer
+
+    train = train.withColumn(label, F.col(label).cast("string"))
+    index = StringIndexer(inputCol=label, outputCol="_y").fit(train)
+    stages = [index, nb.tokenizer(text, "_w"), CountVectorizer(inputCol="_w", outputCol="_f"),
+              NaiveBayes(featuresCol="_f", labelCol="_y", predictionCol="_p"), IndexToString(inputCol="_p", outputCol="label_text", labels=index.labels)]
+    fitted = Pipeline(stages=stages).fit(train)
+    scored = docs.withColumn(label, F.lit(index.labels[0]))
+    return {r.doc_id: int(r.label_text) for r in fitted.transform(scored).collect()}
+
+
 def test_exact_tables_equal_spark_ml_count_model(spark):
     from kestrel.plans.ml_queries import training_docs
 
     train = training_docs(spark, SF_SMALL)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    pipe = nb.fit(train, text="text", label="label", mode="count")
-    ml = {r.doc_id: int(r.predicted_label) for r in nb.predict(pipe, docs).select("doc_id", "predicted_label").collect()}
+    ml = _count_model(train, docs, "text", "label")
     tables = nb.fit_tables(train, text="text", label="label")
     exact = {r.doc_id: r.prediction for r in nb.predict_tables(tables, docs).collect()}
     assert exact == ml
     # on the literal tweets too (three classes)
     tw = _tweets(spark)
-    pipe3 = nb.fit(tw, text="tweet", label="polarity", mode="count")
     with_id = tw.withColumn("doc_id", F.monotonically_increasing_id())
-    ml3 = {r.doc_id: int(r.predicted_label) for r in nb.predict(pipe3, with_id).collect()}
+    ml3 = _count_model(tw, with_id, "tweet", "polarity")
     ex3 = {r.doc_id: r.prediction for r in nb.predict_tables(nb.fit_tables(tw, "tweet", "polarity"), with_id,
                                                                text="tweet").collect()}
     assert ml3 == ex3
@@ -151,8 +164,43 @@ def test_hashed_model_agrees_with_exact_model(spark):
 
     train = training_docs(spark, SF_SMALL)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    hashed = {r.doc_id: int(r.predicted_label) for r in nb.predict(nb.fit(train, mode="hash"), docs).collect()}
+    hashed = {r.doc_id: int(r.predicted_label) for r in nb.predict(nb.fit(train), docs).collect()}
     tables = nb.fit_tables(train, feature_space=nb.HASH_FEATURES)
     exact = {r.doc_id: r.prediction for r in nb.predict_tables(tables, docs).collect()}
     same = sum(hashed[d] == exact[d] for d in exact)
     assert same >= 0.99 * len(exact)
+
+
+def test_every_post_gets_its_own_label(spark):
+    train = spark.createDataFrame([("good good nice", 4), ("bad sad", 0), ("bad", 0)], "text string, label int")
+    model = nb.fit_tables(train)
+    posts = [("ann", "bad bad sad"), ("ann", "good"), ("bob", "good"), ("ann", "good"), ("cid", ""), ("cid", None), ("dan", "unknown words"), (None, "good")]
+    df = spark.createDataFrame(posts, "name string, text string")
+    got = rows(nb.predict_tables(model, df, keep=["name", "text"]))
+    assert got == [(n, t, 4 if t == "good" else 0) for n, t in posts]
+    assert len(nb.predict_tables(model, df, doc="name").collect()) == len(posts)
+
+
+def test_hashed_tables_many_classes(spark):
+    train = spark.createDataFrame([(f"w{i} w{i} x", i) for i in range(300)], "text string, label int")
+    for options in ({}, {"feature_space": 1 << 20}, {"feature_space": 1 << 20, "hashed": True}):
+        model = nb.fit_tables(train, **options)
+        got = {r.doc_id: r.prediction for r in nb.predict_tables(model, train.withColumnRenamed("label", "doc_id")).collect()}
+        assert got == {i: i for i in range(300)}
+
+
+def test_als_blocks_follow_the_ratings(spark, monkeypatch):
+    from kestrel.operators import recommend as rec
+
+    ratings = spark.createDataFrame([(i % 20, i % 7, float(i % 5)) for i in range(200)], "userId int, movieId int, rating double")
+    seen = {}
+    real = rec.ALS
+
+    def spy(**kwargs):
+        seen.update(kwargs)
+        return real(**kwargs)
+
+    monkeypatch.setattr(rec, "ALS", spy)
+    monkeypatch.setattr(rec, "RATINGS_PER_BLOCK", 10)
+    rec.fit(ratings, max_iter=1)
+    assert seen["numUserBlocks"] == seen["numItemBlocks"] == 20

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from kestrel.operators import graph as g
@@ -33,19 +35,18 @@ def test_group_max_string_vs_cast(spark):
     assert rows(rel.group_max(df, "y", "v", cast="double", name="m")) == [("2008", 10.0)]
 
 
-def test_join_bounded_broadcasts_only_small(spark):
-    big = spark.range(1000).select((F.col("id") % 3).alias("k"))
-    small = big.groupBy("k").count()
-    plan = plan_text(rel.join_bounded(big, small, "k"))
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    assert rel.join_bounded(big, small, "k", max_rows=1).count() == 1000
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        off = plan_text(rel.join_bounded(big, small, "k"))
-        assert "BroadcastExchange" not in off  # no hint once broadcasting is switched off
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_group_counts_see_files_added_later(spark, tmp_dir):
+    # Nothing is cached: the same call on the same folder reads what is there now.
+    path = f"{tmp_dir}/t"
+
+    def run():
+        df = spark.read.parquet(path)
+        return rows(rel.with_group_count(df, rel.group_count(df, "k", "n"), "k"))
+
+    spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int").write.parquet(path)
+    assert run() == [("a", 1, 2), ("a", 2, 2)]
+    spark.createDataFrame([("a", 3), ("b", 4)], "k string, v int").write.mode("append").parquet(path)
+    assert run() == [("a", 1, 3), ("a", 2, 3), ("a", 3, 3), ("b", 4, 1)]
 
 
 def test_term_counts_and_postings(spark):
@@ -142,13 +143,19 @@ def test_skew_safe_enrich_equals_plain_left_outer(spark):
     on = [("y", "ry"), ("m", "rm")]
     plain = rel.enrich(l_df, r_df, on, skew_safe=False)
     split = rel.enrich(l_df, r_df, on, skew_safe=True)
-    auto_plain = rel.enrich(l_df, r_df, on)  # tiny hot key: below the skew threshold
-    auto_split = rel.enrich(l_df, r_df, on, hot_key_bytes=0)  # any key counts as hot
-    for df in (split, auto_plain, auto_split):
-        assert df.columns == plain.columns == ["y", "m", "lid", "rid"]
-        assert rows(df) == rows(plain)
-    assert "LeftAnti" in plan_text(auto_split) and "LeftAnti" not in plan_text(auto_plain)
+    assert split.columns == plain.columns == ["y", "m", "lid", "rid"]
+    assert rows(split) == rows(plain)
+    assert "LeftAnti" in plan_text(split) and "LeftAnti" not in plan_text(plain)
     assert plain.count() > 300
+    # the same columns on both paths, with right keys and with a name that both sides use
+    same = r_df.withColumnRenamed("rid", "lid")
+    for keep in (False, True):
+        plain = rel.enrich(l_df, same, on, keep_right_keys=keep)
+        split = rel.enrich(l_df, same, on, keep_right_keys=keep, skew_safe=True)
+        names = ["y", "m", "lid", *(["ry", "rm"] if keep else []), "lid"]
+        assert split.columns == plain.columns == names
+        unique = [f"c{i}" for i in range(len(names))]
+        assert rows(split.toDF(*unique)) == rows(plain.toDF(*unique))
 
 
 def test_term_counts_custom_stop_words_keep_jvm_empties(spark):
@@ -188,6 +195,34 @@ def test_cluster_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) > int(small["spark.sql.shuffle.partitions"]) >= 200
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(big["spark.sql.files.maxPartitionBytes"]) <= 256 << 20
+    assert int(big["spark.sql.shuffle.partitions"]) <= 20_000
+
+
+def test_shared_dir_needs_a_setting_on_a_cluster(spark, monkeypatch):
+    from kestrel import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.remove_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        session.remove_scratch(spark, "/root")
 
 
 def test_postings_sorted_output_is_global_order(spark):

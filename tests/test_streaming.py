@@ -65,7 +65,7 @@ def test_posts_filter_and_stream_scoring(spark, tmp_dir):
     _write_text(src, "p.json", "\n".join(json.dumps(r) for r in recs))
     posts = st.filter_posts(st.read_posts(spark, src, keywords=["LOVE"]))
     train = spark.createDataFrame([(4, "i love this day"), (0, "so sad today")], "label int, text string")
-    model = nb.fit(train, text="text", label="label", mode="hash")
+    model = nb.fit(train, text="text", label="label")
     scored = nb.predict(model, posts)  # a PipelineModel transforms the stream directly (T5)
     sink = os.path.join(tmp_dir, "scored")
     q = (scored.writeStream.format("parquet").option("path", sink)
@@ -160,3 +160,33 @@ def test_partitioned_etl_registers_batch_partitions(spark, tmp_dir):
     assert parts.select("batch_id").distinct().count() == 2
     assert parts.select("depYear", "depMonth", "depDay").distinct().count() == days
     assert spark.table("etl_batch_parts").count() == ev.count()
+
+
+def test_rejected_tokens_are_counted_per_batch(spark, tmp_dir):
+    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "sink", "ckpt"))
+    for k, text in enumerate(("1 3000000000 x 2\n\n", "x 99999999999999999999\n 5 5 ")):
+        _write_text(src, f"{k}.txt", text)
+        st.count_per_batch(st.parse_tokens(st.read_text_stream(spark, src)), sink, ckpt, available_now=True)
+    counts = spark.read.parquet(sink)
+    assert rows(counts.where("number is not null"), "batch_id", "number", "n") == [(0, 1, 1), (0, 3000000000, 1), (0, 2, 1), (1, 5, 2)]
+    assert rows(st.rejected_per_batch(counts)) == [(0, 3, 1), (1, 2, 2)]
+
+
+def test_etl_file_count_follows_the_data(spark, tmp_dir):
+    # 8 tasks and 10 days: rebalanced by day, not tasks x days files
+    df = spark.range(0, 4000, 1, 8).select(F.col("id"), F.expr("date_add(date'2024-01-01', int(id % 10))").alias("d"))
+    st.land_batch(df, 0, f"{tmp_dir}/etl", "d", ["id"])
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp_dir}/etl").where("path like '%.csv'").count()
+    assert 10 <= files <= 20
+    assert st.read_partitioned(spark, f"{tmp_dir}/etl", [("id", "long")]).count() == 4000
+
+
+def test_add_partitions_in_many_statements(spark, tmp_dir):
+    name = "kestrel_many_parts"
+    st.create_partitioned_table(spark, name, f"{tmp_dir}/t", [("id", "bigint")], ["k"])
+    try:
+        parts = spark.range(25).select(F.col("id").cast("string").alias("k"))
+        assert st.add_partitions(spark, name, parts, per_statement=4) == 25
+        assert st.list_partitions(spark, name).count() == 25
+    finally:
+        spark.sql(f"DROP TABLE {name}")
