@@ -251,3 +251,13 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     same = [ref(k).eqNullSafe(F.col(f"p_{i}")) for i, k in enumerate(keys)]
     joined = rows.join(planned, same[0] & same[1] & same[2]).drop(*[f"p_{i}" for i in range(len(keys))])
     return joined.withColumn(order, F.xxhash64(ref(id_col), ref(digest), ref(shard), F.lit(seed))).drop(digest)
+
+
+def write_shards(mixed: DataFrame, path: str, shard_col: str = "mix_shard", order_col: str = "mix_order") -> None:
+    """Write the mix, one folder per shard, rows inside a shard shuffled by ``order_col``.
+
+    A shard's rows are dealt to as many tasks as its size asks for, by ranges of the
+    order, so reading a shard's files by name gives the shuffled order.
+    """
+    dealt = mixed.repartitionByRange(ref(shard_col), ref(order_col)).sortWithinPartitions(ref(shard_col), ref(order_col))
+    dealt.drop(order_col).write.partitionBy(shard_col).parquet(path)

@@ -87,3 +87,13 @@ def test_mix_returns_rows(request, name):
 
 def test_weights_cycle_by_code_point_null_last():
     assert mixing.cycle_weights(["b", None, "a", "Z", "é"]) == {"Z": 1, "a": 2, "b": 3, "é": 1, None: 2}
+
+
+def test_shards_are_written_in_shuffled_order(spark, documents, tmp_path):
+    mixed = mixing.mix(documents, shards=3)
+    mixing.write_shards(mixed, f"{tmp_path}/mix")
+    for shard in range(3):
+        want = [r["doc_id"] for r in mixed.where(f"mix_shard = {shard}").orderBy("mix_order").collect()]
+        files = sorted((tmp_path / "mix" / f"mix_shard={shard}").glob("*.parquet"))
+        got = [r["doc_id"] for f in files for r in spark.read.parquet(str(f)).collect()]
+        assert sorted(got) == sorted(want) and got == want and got != sorted(got)
