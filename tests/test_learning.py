@@ -50,8 +50,8 @@ def test_als_covers_every_known_pair(spark):
 
 def test_kmeans_fixture_groups(spark):
     # Fixture row 10: three tight groups plus a blank line.
-    lines = ["0.0 0.0 0.0", "0.1 0.1 0.1", "0.2 0.2 0.2", "9.0 9.0 9.0", "9.1 9.1 9.1", "9.2 9.2 9.2",
-             "9.0 0.0 0.0", "9.1 0.1 0.0", "", "9.2 0.2 0.1"]
+    lines = ["1.0 1.1 1.0", "1.1 1.0 1.2", "1.2 1.2 1.1", "7.0 7.1 7.0", "7.1 7.0 7.2", "7.2 7.2 7.1",
+             "7.0 1.1 1.0", "7.1 1.0 1.1", "", "7.2 1.2 1.0"]
     df = parse_vectors(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert df.count() == 9
     model = km.fit(df, k=3, max_iter=10, seed=1)
@@ -80,17 +80,17 @@ def test_kmeans_prediction_is_nearest_center(spark):
 
 def _tweets(spark):
     data = [
-        (0, "this product sucks i am sad"), (0, "so sad and down today"), (0, "i hate rain sad"),
-        (2, "about to file taxes "), (2, "the meeting is at noon"), (2, "taxes are due at noon"),
-        (4, "i love this day"), (4, "love love this product"), (4, "great day i love it"),
+        (0, "the soup was cold and grim"), (0, "grim weather and cold feet"), (0, "a cold grim evening"),
+        (2, "the train leaves at six "), (2, "lunch is ready at noon"), (2, "the library opens at noon"),
+        (4, "what a bright warm garden"), (4, "bright bright morning"), (4, "warm bread and bright faces"),
     ]
     return spark.createDataFrame(data, "polarity int, tweet string")
 
 
 def test_tokenizer_matches_jvm_split(spark):
-    df = spark.createDataFrame([("Need a hug ",), ("aim  now",), ("   ",)], "t string")
+    df = spark.createDataFrame([("wait right here ",), ("aim  now",), ("   ",)], "t string")
     got = [r.w for r in nb.tokenizer("t", "w").transform(df).collect()]
-    assert got == [["Need", "a", "hug"], ["aim", "", "now"], []]  # H3
+    assert got == [["wait", "right", "here"], ["aim", "", "now"], []]  # H3
     same = [r.w for r in df.select(split_words("t").alias("w")).collect()]
     assert same == got  # the exact tables tokenize like the pipeline
 
@@ -99,7 +99,7 @@ def test_naive_bayes_predicts_original_labels(spark):
     # Labels 0/2/4 come back as labels, not class positions; H14: JVM hashing.
     train = _tweets(spark)
     model = nb.fit(train, text="tweet", label="polarity")
-    test = spark.createDataFrame([("I love this day",), ("This product sucks",), ("Need a hug ",)], "tweet string")
+    test = spark.createDataFrame([("bright warm day",), ("cold grim soup",), ("wait right here ",)], "tweet string")
     preds = [int(r.predicted_label) for r in nb.predict(model, test).collect()]
     assert set(preds) <= {0, 2, 4}
     assert preds[0] == 4

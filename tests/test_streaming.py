@@ -60,11 +60,11 @@ def test_many_small_batches_sum_to_batch_result(spark, tmp_dir):
 def test_posts_filter_and_stream_scoring(spark, tmp_dir):
     # Fixture row 13: lang en/es x sensitive true/false; only (en, false) passes.
     src = os.path.join(tmp_dir, "posts")
-    recs = [{"user": {"lang": lang, "name": f"{lang}-{s}"}, "text": "i love this day", "possiblySensitive": s}
+    recs = [{"user": {"lang": lang, "name": f"{lang}-{s}"}, "text": "a bright warm day", "possiblySensitive": s}
             for lang in ("en", "es") for s in (True, False)]
     _write_text(src, "p.json", "\n".join(json.dumps(r) for r in recs))
-    posts = st.filter_posts(st.read_posts(spark, src, keywords=["LOVE"]))
-    train = spark.createDataFrame([(4, "i love this day"), (0, "so sad today")], "label int, text string")
+    posts = st.filter_posts(st.read_posts(spark, src, keywords=["BRIGHT"]))
+    train = spark.createDataFrame([(4, "a bright warm day"), (0, "cold grim soup")], "label int, text string")
     model = nb.fit(train, text="text", label="label")
     scored = nb.predict(model, posts)  # a PipelineModel transforms the stream directly (T5)
     sink = os.path.join(tmp_dir, "scored")
