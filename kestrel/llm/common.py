@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +77,18 @@ def blocks(texts: Sequence[bytes], size: int = 4 << 20) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+def spans(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """``blocks`` of a string column, from its lengths alone."""
+    start = total = 0
+    for i, n in enumerate(pc.binary_length(column).to_pylist()):
+        if i > start and total + (n or 0) > size:
+            yield start, i
+            start, total = i, 0
+        total += n or 0
+    if start < len(column):
+        yield start, len(column)
+
+
 def split_words(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray]:
     """All words in order, and each text's number of words."""
     words = [t.split() for t in texts]

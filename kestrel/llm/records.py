@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from kestrel.session import scratch_path
 
-from .common import as_bytes, blocks, ref, staged
+from .common import as_bytes, ref, spans, staged
 
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
@@ -102,7 +102,8 @@ class Encoder:
     kinds of tokenizer, go to the library as a whole. All ways give the same ids.
     """
 
-    _odd = re.compile(r" (?:\s|\Z)|[^\S\n]\n")
+    _space = r"\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    _odd = rf" (?:[ \n{_space}]|$)|[ {_space}]\n"
     _word = "^ ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
     _marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -138,13 +139,12 @@ class Encoder:
         return [t.id for t in self.tokenizer.model.tokenize(unit.encode().decode("latin-1").translate(self._letters))]
 
     def _units(self, units: list[str], merged: list[bool]) -> np.ndarray:
-        """Numbers of the units in the memory; new ones are encoded, those in ``merged`` by the model alone."""
+        """Numbers of distinct units in the memory; new ones are encoded, those in ``merged`` by the model alone."""
         memo = self.memo
-        new = dict.fromkeys((u, m) for u, m in zip(units, merged, strict=True) if u not in memo)
-        if new:
-            whole = [u for u, m in new if not m]
+        if missing := [(u, m) for u, m in zip(units, merged, strict=True) if u not in memo]:
+            whole = [u for u, m in missing if not m]
             ids = dict(zip(whole, (e.ids for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)), strict=True))
-            ids |= {u: self._merge(u) for u, m in new if m}
+            ids |= {u: self._merge(u) for u, m in missing if m}
             n = np.fromiter(map(len, ids.values()), np.int64, len(ids))
             flat = np.fromiter(itertools.chain.from_iterable(ids.values()), np.uint32, int(n.sum()))
             k = len(memo)
@@ -163,27 +163,30 @@ class Encoder:
         ends = np.cumsum(n)
         return flat[np.repeat(begin - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)], ends
 
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids, begins and counts of distinct pieces: line ends before a word, the word, the marks behind it."""
         if len(self.memo) > MEMO:
             self._clear()
-        body = pc.utf8_ltrim(pa.array(pieces, pa.large_string()), "\n")
+        body = pc.utf8_ltrim(pieces, "\n")
         core = pc.utf8_rtrim(body, self._marks)
-        simple = pc.match_substring_regex(core, self._word).to_numpy(zero_copy_only=False).tolist()
-        cores, bodies = core.to_pylist(), body.to_pylist()
-        unit = self._units([c if s else p for c, p, s in zip(cores, pieces, simple, strict=True)], simple)
+        match = pc.match_substring_regex(core, self._word)
+        simple = match.to_numpy(zero_copy_only=False)
+        unit = pc.if_else(match, core, pieces).dictionary_encode()
+        merged = pc.match_substring_regex(unit.dictionary, self._word).to_pylist()
         parts = np.full((len(pieces), 4), -1, np.int64)
-        parts[:, 2] = unit
-        ends = [i for i, s in enumerate(simple) if s and len(bodies[i]) < len(pieces[i])]
-        if ends:  # all line ends but the last are one word to the library, the last is another
-            before = [len(pieces[i]) - len(bodies[i]) - 1 for i in ends]
-            parts[ends, 1] = self._units(["\n"], [True])[0]
-            more = [(i, "\n" * k) for i, k in zip(ends, before, strict=True) if k]
-            if more:
-                parts[[i for i, _ in more], 0] = self._units([x for _, x in more], [True] * len(more))
-        tails = [i for i, s in enumerate(simple) if s and len(cores[i]) < len(bodies[i])]
-        if tails:
-            parts[tails, 3] = self._units([bodies[i][len(cores[i]) :] for i in tails], [True] * len(tails))
+        parts[:, 2] = self._units(unit.dictionary.to_pylist(), merged)[unit.indices.to_numpy()]
+        length, inner = pc.utf8_length(pieces).to_numpy(), pc.utf8_length(body).to_numpy()
+        # all line ends but the last are one word to the library, the last is another
+        ends = np.where(simple, length - inner, 0)
+        if ends.any():
+            parts[ends > 0, 1] = self._units(["\n"], [True])[0]
+            for k in np.unique(ends[ends > 1]):
+                parts[ends == k, 0] = self._units(["\n" * int(k - 1)], [True])[0]
+        marked = np.flatnonzero(simple & (pc.utf8_length(core).to_numpy() < inner))
+        if len(marked):
+            tail = pc.replace_substring_regex(body.take(pa.array(marked)), self._word[:-1], "", max_replacements=1).dictionary_encode()
+            tails = tail.dictionary.to_pylist()
+            parts[marked, 3] = self._units(tails, [True] * len(tails))[tail.indices.to_numpy()]
         at = parts.ravel()
         n = np.where(at < 0, 0, self.count[at])
         flat, _ = self._gather(self.flat, self.begin[at], n)
@@ -192,7 +195,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        whole = [i for i, t in enumerate(texts) if not self.by_piece or self._odd.search(t)]
+        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), self._odd).to_pylist() if self.by_piece else [True] * len(texts)
+        whole = [i for i, x in enumerate(odd) if x]
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         for i, e in zip(whole, self.tokenizer.encode_batch([texts[i] for i in whole], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, np.uint32)
@@ -209,8 +213,9 @@ class Encoder:
         bounds, found = split.offsets.to_numpy(), split.flatten().dictionary_encode()
         first = found.take(pa.array(bounds[:-1])).to_pylist()
         numbers = {x: i for i, x in enumerate(dict.fromkeys(first))}
-        inner = [x if x.startswith("\n") else " " + x for x in found.dictionary.to_pylist()]
-        flat, begin, count = self._pieces([*inner, *numbers])
+        inner = found.dictionary
+        inner = pc.if_else(pc.starts_with(inner, "\n"), inner, pc.binary_join_element_wise(pa.scalar("", pa.large_string()), inner, pa.scalar(" ", pa.large_string())))
+        flat, begin, count = self._pieces(pa.concat_arrays([inner, pa.array(list(numbers), pa.large_string())]))
         at = found.indices.to_numpy().astype(np.int64)
         at[bounds[:-1]] = [len(inner) + numbers[x] for x in first]
         ids, ends = self._gather(flat, begin[at], count[at])
@@ -245,9 +250,9 @@ def write(df: DataFrame, path: str, tokenizer: str, key_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
-            for lo, hi in blocks(texts, 4 << 20):
-                ids = encoder.encode([t.decode("utf-8", "replace") for t in texts[lo:hi]])
+            keys = batch.column(0).to_pylist()
+            for lo, hi in spans(batch.column(1), 4 << 20):
+                ids = encoder.encode([t.decode("utf-8", "replace") for t in as_bytes(batch.column(1).slice(lo, hi - lo))])
                 out = [frame(key, np.concatenate([x, end]), width) for key, x in zip(keys[lo:hi], ids, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
@@ -306,3 +311,28 @@ def write_records(df: DataFrame, tokenizer: str, path: str | None = None, **opti
     path = path or scratch_path(spark, "records")
     write(df, f"{path}/data", tokenizer, **options)
     return path, build_index(spark, f"{path}/data", f"{path}/index")
+
+
+def read_shuffled(spark: SparkSession, path: str, index: DataFrame, seed: int) -> DataFrame:
+    """The records that ``index`` lists (all of it or a part), in a random order fixed by ``seed``: position, key, ids.
+
+    Each file is opened once, beside its own index rows; a record is cut out by offset and
+    length and verified. ``position`` (a keyed hash) orders the result.
+    """
+    wanted = index.select("file", "offset", "length", F.xxhash64("file", "offset", F.lit(seed)).alias("position"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = files.select(F.substring_index("path", "/", -1).alias("file"), "content")
+
+    def cut(rows: pa.Table, file: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return pa.table({"position": pa.array([], pa.int64()), "key": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64()))})
+        data = file["content"][0].as_buffer()
+        found = []
+        for at, n, position in zip(rows["offset"].to_pylist(), rows["length"].to_pylist(), rows["position"].to_pylist(), strict=True):
+            ((_, _, key, ids),) = parse(data.slice(at, n).to_pybytes())
+            found.append((position, key, ids.astype(np.int64)))
+        position, key, ids = zip(*found, strict=True)
+        return pa.table({"position": pa.array(position, pa.int64()), "key": pa.array(key, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64()))})
+
+    out = wanted.groupBy("file").cogroup(files.groupBy("file")).applyInArrow(cut, "position long, key long, ids array<long>")
+    return out.orderBy("position")

@@ -79,3 +79,9 @@ def test_files_read_back(spark, request, name):
         assert key == r["key"] and zlib.crc32(ids.tobytes()) == r["ids_crc32"]
     ids = records.read(spark, f"{path}/data", with_ids=True)
     assert ids.count() == len(rows) and all(len(r["ids"]) == r["n_tokens"] for r in ids.collect())
+    some = index.where("offset % 3 <> 0")
+    got = records.read_shuffled(spark, f"{path}/data", some, seed=5).collect()
+    crcs = lambda found: sorted((repr(k), c) for k, c in found)
+    assert crcs((r["key"], zlib.crc32(np.array(r["ids"], "<u4").tobytes())) for r in got) == crcs((r["key"], r["ids_crc32"]) for r in some.collect())
+    other = records.read_shuffled(spark, f"{path}/data", some, seed=6).collect()
+    assert len(got) < 20 or [r["key"] for r in got] not in ([r["key"] for r in other], sorted(r["key"] for r in got))
