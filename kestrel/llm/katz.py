@@ -12,7 +12,8 @@ How the work is spread:
 2. Order by order, each chunk sends its distinct n-grams, counted, to the hash bucket of their
    context; contexts with more than ``HOT`` occurrences are dealt over several buckets by word.
    So a frequent n-gram is one row per chunk, however many documents hold it. A bucket adds up
-   the counts, writes its part of the n-gram table (context, word, count, number) and answers
+   the counts, writes its part of the n-gram table (one packed row of contexts, words, counts
+   and numbers; ``Model.table`` gives them a row each) and answers
    each chunk in the chunk's own order: counts and numbers, nothing else travels back.
 3. The discounts follow from the counts of counts, backoff weights from sums per context (the
    probability that discounting freed, over the lower-order probability of unseen words).
@@ -20,7 +21,7 @@ How the work is spread:
    else the context's weight times the probability of the next shorter context.
 
 Only counts of counts and totals reach the driver. Words and contexts are held by 64-bit hash or
-dense number, so the tables hold numbers; ``unigrams`` keeps each word's hash.
+dense number, so the tables hold numbers; the order-1 table has each word's hash.
 
 Defined results: a null or empty text is just its end token; null ids are kept; repeated rows
 count and are scored each; with no training rows every token has the unknown word's
@@ -35,6 +36,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -42,11 +44,11 @@ from pyspark.sql import functions as F
 
 from kestrel.session import scratch_path
 
-from .common import as_bytes, blocks, mix64, ref, split_words, staged, starts
+from .common import as_bytes, mix64, ref, spans, staged, starts, sums
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 #: Tokens that a bucket of n-grams gets on average; contexts beyond HOT tokens are dealt over several buckets.
-BUCKET_TOKENS, HOT = 2_000_000, 500_000
+BUCKET_TOKENS, HOT = 3_000_000, 500_000
 CUTOFF = 5
 END, START, UNSEEN = 0, 1, 2  # hash of the end token; numbers of the start context and of all that training did not see
 FIRST = 3  # first free number
@@ -67,6 +69,16 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
+def by_pair(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the (context, word) pairs that puts equal ones together by context, and where each distinct one begins in it."""
+    if not len(word):
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    small = word.min() >= 0 and max(context.max(), word.max()) < 1 << 31
+    by = np.argsort((context << 32) | word) if small else np.lexsort((word, context))
+    context, word = context[by], word[by]
+    return by, np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])])
+
+
 CHUNK_SCHEMA = "chunk long, ids array<long>, train array<boolean>, lengths array<long>, words binary, tokens binary"
 
 
@@ -74,17 +86,23 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns id, train, text -> chunks."""
     task, number = TaskContext.get().partitionId(), 0
     for batch in batches:
-        texts = as_bytes(batch.column(2))
-        for lo, hi in blocks(texts, CHUNK_BYTES):
-            flat, n = split_words([t.lower() for t in texts[lo:hi]])
-            found = pa.array(flat, pa.binary()).dictionary_encode()
-            hashes = np.fromiter((xxhash.xxh64_intdigest(w) or 1 for w in found.dictionary.to_pylist()), np.uint64, len(found.dictionary))
-            words, place = np.unique(np.concatenate([hashes, np.array([END], np.uint64)]), return_inverse=True)
-            lengths, at = n + 1, starts(n)
+        for lo, hi in spans(batch.column(2), CHUNK_BYTES):
+            texts = pa.array(as_bytes(batch.column(2).slice(lo, hi - lo)), pa.large_binary())
+            split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+            found, bounds = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+            vocabulary = found.dictionary.cast(pa.large_binary()).to_pylist()
+            # blanks at a text's ends leave empty parts
+            real = np.array([bool(w) for w in vocabulary], bool)[found.indices.to_numpy()] if len(found) else np.zeros(0, bool)
+            n = sums(real, bounds)
+            hashes = np.fromiter((xxhash.xxh64_intdigest(w) or 1 for w in vocabulary), np.uint64, len(vocabulary))
+            hashes = np.concatenate([hashes, np.array([END], np.uint64)])
+            hashes[:-1][[not w for w in vocabulary]] = END
+            words, place = np.unique(hashes, return_inverse=True)
+            lengths = n + 1
             tokens = np.zeros(int(lengths.sum()), np.uint32)  # place 0 is the end token
             inner = np.ones(len(tokens), bool)
             inner[np.cumsum(lengths) - 1] = False
-            tokens[inner] = place[found.indices.to_numpy()] if at[-1] else 0
+            tokens[inner] = place[found.indices.to_numpy()[real]]
             columns = [
                 pa.array([(task << 32) | number], pa.int64()),
                 pa.array([batch.column(0).slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
@@ -94,6 +112,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([pack(tokens)], pa.binary()),
             ]
             number += 1
+            del texts, split, found, vocabulary
+            pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "train", "lengths", "words", "tokens"])
 
 
@@ -138,7 +158,7 @@ class Chunk:
 
     def __post_init__(self):
         self.lengths = np.array(self.row["lengths"], np.int64)
-        self.words, self.tokens = unpack(self.row["words"], np.uint64), unpack(self.row["tokens"], np.uint32).astype(np.int64)
+        self.words, self.tokens = unpack(self.row["words"], np.uint64), unpack(self.row["tokens"], np.uint32)
         first = starts(self.lengths)[:-1]
         self.first = np.zeros(len(self.tokens), bool)
         self.first[first] = True
@@ -149,24 +169,27 @@ class Chunk:
             self._answer(order, reply)
 
     def grams(self, order: int):
-        """Distinct n-grams of this order: context, word, training count, lower probability, context count, bucket; and each token's place."""
+        """Distinct n-grams of this order: context, word, training count, what gives the lower probability, context count, bucket; and each token's place.
+
+        The lower probability of a bigram follows from its word's count, which packs better than the number itself.
+        """
         if order == 1:
             n = np.bincount(self.tokens[self.trained], minlength=len(self.words))
-            context, lower, heavy = np.zeros(len(n), np.int64), np.zeros(len(n)), np.zeros(len(n), np.int64)
+            context, lower, heavy = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
             return context, self.words.view(np.int64), n, lower, heavy, (mix64(self.words) % np.uint64(self.buckets)).astype(np.int64), self.tokens
         live = np.flatnonzero(self.context != UNSEEN)
         context, word = self.context[live], self.word[live]
-        by = np.lexsort((word, context))
+        by, new = by_pair(context, word)
         context, word = context[by], word[by]
-        new = np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])]) if len(by) else np.zeros(0, bool)
-        place = np.full(len(self.tokens), -1, np.int64)
-        place[live[by]] = np.cumsum(new) - 1
-        n = np.bincount(place[live[by]], weights=self.trained[live[by]], minlength=int(new.sum())).astype(np.int64)
-        one = live[by][new]
+        live = live[by]
+        place = np.full(len(self.tokens), -1, np.int32)
+        place[live] = np.cumsum(new, dtype=np.int32) - 1
+        n = np.bincount(place[live[self.trained[live]]], minlength=int(new.sum()))
+        one = live[new]
         heavy = self.context_count[one]
         spread = np.maximum(1, -(-heavy // HOT)).astype(np.uint64)
         bucket = (mix64(context[new] + 1) + mix64(word[new] + 7) % spread) % np.uint64(self.buckets)
-        return context[new], word[new], n, self.probability[one], heavy, bucket.astype(np.int64), place
+        return context[new], word[new], n, (self.known if order == 2 else self.probability)[one], heavy, bucket.astype(np.int64), place
 
     def _answer(self, order: int, reply: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
         context, word, _, _, _, bucket, place = self.grams(order)
@@ -216,14 +239,18 @@ def _chunk_of(row: dict, buckets: int, train_docs: int, levels: list[Level]) ->
     return Chunk(row, buckets, train_docs, levels, replies, weights)
 
 
-REQUEST_SCHEMA = "bucket int, chunk long, contexts binary, runs binary, hot binary, words binary, counts binary, lower binary"
-ANSWER_SCHEMA = (
-    "kind string, bucket int, chunk long, counts binary, numbers binary, context long, word long, count long, number long, "
-    "low array<long>, big long, freed double"
-)
+REQUEST_SCHEMA = "bucket int, chunk long, contexts binary, runs binary, hot binary, words binary, counts binary, levels binary, lower binary"
 _ANSWER = pa.schema(
-    [("kind", pa.string()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("counts", pa.binary()), ("numbers", pa.binary()), ("context", pa.int64()), ("word", pa.int64()), ("count", pa.int64()), ("number", pa.int64()), ("low", pa.list_(pa.int64())), ("big", pa.int64()), ("freed", pa.float64())]
+    [("kind", pa.string()), ("bucket", pa.int32()), ("chunk", pa.int64())]
+    + [(c, pa.binary()) for c in ("contexts", "words", "counts", "numbers")]
+    + [("context", pa.int64()), ("total", pa.int64()), ("distinct", pa.int64()), ("low", pa.list_(pa.int64())), ("big", pa.int64()), ("freed", pa.float64())]
+)
+ANSWER_SCHEMA = (
+    "kind string, bucket int, chunk long, contexts binary, words binary, counts binary, numbers binary, "
+    "context long, total long, distinct long, low array<long>, big long, freed double"
 )
+#: One row per n-gram of a model table, as ``Model.table`` gives it.
+GRAM_SCHEMA = "bucket int, context long, word long, count long, number long"
 
 
 def _requests(order: int, buckets: int, train_docs: int, levels: list[Level]):
@@ -241,50 +268,67 @@ def _requests(order: int, buckets: int, train_docs: int, levels: list[Level]):
                     if len(at):
                         new = np.flatnonzero(np.concatenate([[True], context[at][1:] != context[at][:-1]]))
                         runs = np.diff(np.concatenate([new, [len(at)]]))
-                        out.append((b, row["chunk"], pack(context[at][new]), pack(runs), pack(heavy[at][new] > HOT), pack(word[at]), pack(n[at]), pack(lower[at])))
+                        distinct, code = np.unique(lower[at], return_inverse=True)  # few values
+                        out.append((
+                            b, row["chunk"], pack(np.diff(context[at][new], prepend=0)), pack(runs), pack(heavy[at][new] > HOT),
+                            pack(word[at]), pack(n[at].astype(np.int32)), pack(distinct), pack(code.astype(np.uint32)),
+                        ))
+                pa.default_memory_pool().release_unused()
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.int64() if i == 1 else pa.binary()) for i, c in enumerate(zip(*out, strict=True))], names=names)
 
     return run
 
 
+def _lower(row: dict, levels: list[Level]) -> np.ndarray:
+    """Lower-order probabilities of one request's n-grams."""
+    code = unpack(row["lower"], np.uint32)
+    if len(levels) > 1:
+        return unpack(row["levels"], np.float64)[code]
+    count = unpack(row["levels"], np.int64)
+    return np.where(count > 0, levels[0].probability(count, np.int64(levels[0].total)), levels[0].unknown)[code]
+
+
 def _frame(**columns) -> pa.Table:
     n = len(next(iter(columns.values())))
     return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _ANSWER], schema=_ANSWER)
 
 
-def _count(order: int, buckets: int, numbered: bool):
+def _count(order: int, buckets: int, numbered: bool, levels: list[Level]):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         bucket = rows[0]["bucket"]
         words = [unpack(r["words"], np.int64) for r in rows]
-        context = np.concatenate([np.repeat(unpack(r["contexts"], np.int64), unpack(r["runs"], np.int64)) for r in rows])
+        context = np.concatenate([np.repeat(np.cumsum(unpack(r["contexts"], np.int64)), unpack(r["runs"], np.int64)) for r in rows])
         hot = np.concatenate([np.repeat(unpack(r["hot"], bool), unpack(r["runs"], np.int64)) for r in rows])
-        n = np.concatenate([unpack(r["counts"], np.int64) for r in rows])
-        lower = np.concatenate([unpack(r["lower"], np.float64) for r in rows])
-        sender = np.repeat(np.arange(len(rows)), [len(w) for w in words])
+        n = np.concatenate([unpack(r["counts"], np.int32) for r in rows])
+        edges = np.concatenate([[0], np.cumsum([len(w) for w in words])])
         word = np.concatenate(words)
-        by = np.lexsort((word, context))
-        new = np.concatenate([[True], (context[by][1:] != context[by][:-1]) | (word[by][1:] != word[by][:-1])])
-        group = np.empty(len(by), np.int64)
-        group[by] = np.cumsum(new) - 1
+        del words
+        by, new = by_pair(context, word)
+        group = np.empty(len(by), np.int32)
+        group[by] = np.cumsum(new, dtype=np.int32) - 1
         total = np.bincount(group, weights=n).astype(np.int64)
         one = by[new]
+        del by, new, n
         seen = total > 0
-        number = np.where(seen, FIRST + (np.cumsum(seen) - 1) * buckets + bucket, UNSEEN)
+        # numbers by falling count: frequent n-grams get small ones, which pack well
+        number = np.full(len(total), UNSEEN, np.int64)
+        order_ = np.flatnonzero(seen)[np.argsort(-total[seen], kind="stable")]
+        number[order_] = FIRST + np.arange(len(order_)) * buckets + bucket
         out = []
-        edges = np.concatenate([[0], np.cumsum([len(w) for w in words])])
         counts = [pack(total[group[a:b]]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         numbers = [pack(number[group[a:b]]) if numbered else pack(np.zeros(0, np.int64)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         out.append(_frame(kind=["reply"] * len(rows), bucket=[bucket] * len(rows), chunk=[r["chunk"] for r in rows], counts=counts, numbers=numbers))
         at = one[seen]
-        out.append(_frame(kind=["gram"] * len(at), bucket=np.full(len(at), bucket, np.int32), context=context[at], word=word[at], count=total[seen], number=number[seen]))
+        out.append(_frame(kind=["gram"], bucket=[bucket], contexts=[pack(context[at])], words=[pack(word[at])], counts=[pack(total[seen])], numbers=[pack(number[seen])]))
         low = np.bincount(np.minimum(total[seen], CUTOFF + 2), minlength=CUTOFF + 3)[1 : CUTOFF + 2]
-        out.append(_frame(kind=["total"], bucket=[bucket], count=[int(total.sum())], number=[int(seen.sum())], low=[low]))
+        out.append(_frame(kind=["total"], bucket=[bucket], total=[int(total.sum())], distinct=[int(seen.sum())], low=[low]))
         if order > 1:
             missed = np.flatnonzero(total[group] == 0)
             if len(missed):
-                pairs = np.unique(np.column_stack([sender[missed], context[missed]]), axis=0)
+                sender = np.searchsorted(edges, missed, side="right") - 1
+                pairs = np.unique(np.column_stack([sender, context[missed]]), axis=0)
                 out.append(_frame(kind=["need"] * len(pairs), bucket=np.full(len(pairs), bucket, np.int32), chunk=np.array([r["chunk"] for r in rows])[pairs[:, 0]], context=pairs[:, 1]))
             # sums of the contexts that somebody needs; a hot context lies in several buckets, and some other may need it
             wanted = np.unique(np.concatenate([context[missed], context[hot]]))
@@ -292,7 +336,8 @@ def _count(order: int, buckets: int, numbered: bool):
             g_at = np.searchsorted(wanted, g_context)
             take = seen & (g_at < len(wanted)) & (wanted[np.minimum(g_at, max(len(wanted) - 1, 0))] == g_context) if len(wanted) else np.zeros(len(one), bool)
             if take.any():
-                g_at, c, p = g_at[take], total[take], lower[one][take]
+                g_at, c = g_at[take], total[take]
+                p = np.concatenate([_lower(r, levels) for r in rows])[one[take]]
                 cells = np.bincount(g_at * (CUTOFF + 1) + np.minimum(c, CUTOFF + 1) - 1, minlength=len(wanted) * (CUTOFF + 1)).reshape(-1, CUTOFF + 1)[:, :CUTOFF]
                 big = np.bincount(g_at, weights=np.where(c > CUTOFF, c, 0), minlength=len(wanted)).astype(np.int64)
                 freed = np.bincount(g_at, weights=p, minlength=len(wanted))
@@ -305,13 +350,30 @@ def _count(order: int, buckets: int, numbered: bool):
 
 @dataclass
 class Model:
-    """The fitted model: n-gram tables by order (context, word, count, number), their levels, and the chunks."""
+    """The fitted model: n-gram tables by order, packed one row per bucket of contexts, their levels, and the chunks."""
 
-    tables: list[DataFrame]
+    parts: list[DataFrame]
     levels: list[Level]
     chunks: DataFrame
     buckets: int
     train_docs: int
+    name: str  # of the chunks' bucketed table
+
+    def close(self) -> None:
+        """Take the chunks' table out of the catalog; call it when the scores are written."""
+        self.chunks.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def table(self, order: int) -> DataFrame:
+        """The n-grams of one order, a row each: bucket, context, word, count, number."""
+        names = [x.split()[0] for x in GRAM_SCHEMA.split(", ")]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in _rows_of(batch):
+                    columns = [unpack(row[c], np.int64) for c in ("contexts", "words", "counts", "numbers")]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), row["bucket"], np.int32)), *map(pa.array, columns)], names=names)
+
+        return self.parts[order - 1].mapInArrow(run, GRAM_SCHEMA)
 
 
 def fit(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, bucket_tokens: int = BUCKET_TOKENS) -> Model:
@@ -327,26 +389,28 @@ def fit(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "t
     ).first()
     buckets, train_docs = max(1, -(-int(sums[0] or 0) // bucket_tokens)), int(sums[1] or 0)
     levels: list[Level] = []
-    tables: list[DataFrame] = []
+    tables: list[DataFrame] = []  # packed
     for k in range(1, order + 1):
         asked = chunks.mapInArrow(_requests(k, buckets, train_docs, list(levels)), REQUEST_SCHEMA)
-        answers = staged(asked.groupBy("bucket").applyInArrow(_count(k, buckets, k < order or k == 1), ANSWER_SCHEMA), f"lm-order{k}")
-        totals = answers.where("kind = 'total'").agg(F.sum("count"), F.sum("number"), *[F.sum(F.get("low", i)) for i in range(CUTOFF + 1)]).first()
+        answers = staged(asked.groupBy("bucket").applyInArrow(_count(k, buckets, k < order or k == 1, list(levels)), ANSWER_SCHEMA), f"lm-order{k}")
+        totals = answers.where("kind = 'total'").agg(F.sum("total"), F.sum("distinct"), *[F.sum(F.get("low", i)) for i in range(CUTOFF + 1)]).first()
         low = [int(x or 0) for x in totals[2:]]
         level = Level(discounts(low), int(totals[0] or 0), int(totals[1] or 0))
         if k == 1:
             used = level.total - sum(r * n * (1 - d) for r, (n, d) in enumerate(zip(low, level.discount, strict=False), 1))
             level.unknown = 1 - used / (level.total + 1)
         levels.append(level)
-        tables.append(answers.where("kind = 'gram'").select("context", "word", "count", "number"))
-        replies = answers.where("kind = 'reply'").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts", "numbers")).alias(f"replies{k}"))
-        chunks = chunks.join(replies, "chunk", "left")
+        tables.append(answers.where("kind = 'gram'").select("bucket", "contexts", "words", "counts", "numbers"))
+        # dealt like the bucketed chunks, whose tokens so never move
+        replies = answers.where("kind = 'reply'").repartition(parts, "chunk").groupBy("chunk")
+        replies = replies.agg(F.collect_list(F.struct("bucket", "counts", "numbers")).alias(f"replies{k}"))
+        chunks = chunks.join(replies.hint("merge"), "chunk", "left")
         if k > 1:
-            chunks = chunks.join(_weights(answers, level, tables[k - 2], train_docs, k), "chunk", "left")
-    return Model(tables, levels, chunks, buckets, train_docs)
+            chunks = chunks.join(_weights(answers, level, k, parts).hint("merge"), "chunk", "left")
+    return Model(tables, levels, chunks, buckets, train_docs, name)
 
 
-def _weights(answers: DataFrame, level: Level, shorter: DataFrame, train_docs: int, k: int) -> DataFrame:
+def _weights(answers: DataFrame, level: Level, k: int, parts: int) -> DataFrame:
     """(chunk, weights): the backoff weights that the chunk needs."""
     sums = answers.where("kind = 'context'").groupBy("context").agg(
         *[F.sum(F.get("low", i)).alias(f"n{i + 1}") for i in range(CUTOFF)], F.sum("big").alias("big"), F.sum("freed").alias("freed")
@@ -357,7 +421,7 @@ def _weights(answers: DataFrame, level: Level, shorter: DataFrame, train_docs: i
     weight = (1 - kept / (count + 1)) / F.greatest(1 - F.col("freed"), F.lit(1e-12))
     weights = sums.select("context", weight.alias("weight"))
     need = answers.where("kind = 'need'").select("chunk", "context").distinct()
-    return need.join(weights, "context").groupBy("chunk").agg(F.collect_list(F.struct("context", "weight")).alias(f"weights{k}"))
+    return need.join(weights, "context").repartition(parts, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("context", "weight")).alias(f"weights{k}"))
 
 
 SCORE_SCHEMA = "id long, train boolean, n_tokens long, n_known long, base_score double, score double"

@@ -160,7 +160,8 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 10 == 0
     model = katz.fit(docs, ~held_out, order=2)
-    rows = katz.score(model)
+    rows = staged(katz.score(model), "lm-scores")
+    model.close()
     return rows.select(
         F.col("id").alias("doc_id"),
         (~F.col("train")).alias("held_out"),

@@ -69,7 +69,7 @@ def test_scores_equal_brute_force(request, name, order, monkeypatch):
     for r, w in zip(rows, want):
         assert tuple(r)[:4] == w[:4]
         assert r["base_score"] == pytest.approx(w[4], rel=1e-9, abs=1e-9) and r["score"] == pytest.approx(w[5], rel=1e-9, abs=1e-9)
-    assert model.levels[0].total == total and [t.count() for t in model.tables] == [len(c) for c in count[1:]]
+    assert model.levels[0].total == total and [model.table(k).count() for k in range(1, order + 1)] == [len(c) for c in count[1:]]
     vocabulary = [g[0] for g in known]
     for h in list(after[order])[:10]:
         assert sum(p(order, (*h, w)) for w in vocabulary) + p(order, (*h, b"\x00")) == pytest.approx(1)
