@@ -2,6 +2,12 @@
 
 Each stage calls one operator of ``kestrel.llm``; its result is written as Parquet
 and read back as the next stage's documents.
+
+Defined results: a document with null or empty text is rejected by the quality rules (it has
+too few words); a null id, source or other column is kept; repeated rows are one document after
+the second stage; equally small ids are told apart by their texts' hashes; an empty table goes
+through all stages; extra columns pass through whatever their names (the last stage's columns
+get leading underscores where a document column is called ``shard`` or ``slot``).
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ SHARDS = 40
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops every document that fails a rule of policy v2."""
     rows = quality.ledger(docs, "text", keep=docs.columns)
-    return rows.where(quality.passes("v2")).select(*docs.columns)
+    return rows.where(quality.passes("v2", rows.columns[-1])).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,8 @@ from kestrel.session import scratch_path
 #: A word is a run of bytes other than blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
+#: Bytes of text that a Python worker turns into objects at a time.
+BLOCK = 4 << 20
 
 
 def staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -113,7 +113,8 @@ def contained_items(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    (digest,) = fresh(docs, "dec_hash")
-    found = staged(contained_items(docs, items, id_col, text_col, **options).select(F.col("id").alias("dec_id"), F.col("text_hash").alias("dec_key")).distinct(), "contaminated")
-    same = ref(id_col).eqNullSafe(F.col("dec_id")) & (F.col(digest) == F.col("dec_key"))
+    digest, bad_id, bad_key = fresh(docs, "dec_hash", "dec_id", "dec_key")
+    found = contained_items(docs, items, id_col, text_col, **options).select("id", "text_hash").distinct()
+    found = staged(found, "contaminated").toDF(bad_id, bad_key)
+    same = ref(id_col).eqNullSafe(ref(bad_id)) & (ref(digest) == ref(bad_key))
     return docs.withColumn(digest, F.xxhash64(ref(text_col))).join(found, same, "left_anti").drop(digest)

@@ -10,7 +10,8 @@ back to the pages: page texts are never shuffled line by line and put together a
 
 Defined results: null texts have no lines and an empty text; null hosts form one site; lines are
 compared trimmed, empty lines are dropped; repeated rows count as pages of their own; an empty
-table gives an empty result; all input columns but the text pass through.
+table gives an empty result; all input columns but the dropped ones pass through, and the result's
+columns get leading underscores where an input column has their name.
 """
 
 from __future__ import annotations
@@ -52,9 +53,8 @@ def boilerplate(pages: DataFrame, host_col: str, lines_col: str, ratio: float =
 
 def drop_boilerplate(df: DataFrame, lines: Column, host: Column, drop_cols: tuple[str, ...] = (), ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``df`` less ``drop_cols`` plus clean_text, n_lines, n_dropped."""
-    clash = {c.lower() for c in df.columns if c not in drop_cols} & {"clean_text", "n_lines", "n_dropped"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} clash with the result's; rename or drop them")
+    rest = [c for c in df.columns if c not in drop_cols]
+    clean, n_lines, n_dropped = fresh(df.select(*[ref(c) for c in rest]), "clean_text", "n_lines", "n_dropped")
     site, own, key, gone = fresh(df, "ld_site", "ld_lines", "ld_key", "ld_drop")
     keyed = df.withColumn(site, host).withColumn(own, lines)
     found = staged(boilerplate(keyed.select(ref(site), ref(own)), site, own, ratio, min_pages), "boilerplate").toDF(key, gone)
@@ -62,8 +62,8 @@ def drop_boilerplate(df: DataFrame, lines: Column, host: Column, drop_cols: tupl
     kept = F.filter(ref(own), lambda x: F.coalesce(~F.array_contains(ref(gone), x), F.lit(True)))
     rows = rows.withColumn(gone, kept)
     return rows.select(
-        *[ref(c) for c in df.columns if c not in drop_cols],
-        F.array_join(ref(gone), "\n").alias("clean_text"),
-        F.size(ref(own)).cast("long").alias("n_lines"),
-        (F.size(ref(own)) - F.size(ref(gone))).cast("long").alias("n_dropped"),
+        *[ref(c) for c in rest],
+        F.array_join(ref(gone), "\n").alias(clean),
+        F.size(ref(own)).cast("long").alias(n_lines),
+        (F.size(ref(own)) - F.size(ref(gone))).cast("long").alias(n_dropped),
     )

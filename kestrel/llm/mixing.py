@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, fresh, mix64, ref, split_words, staged
+from .common import BLOCK, as_bytes, fresh, mix64, ref, spans, staged
 
 BLOCK_WORDS = 1 << 16
 SLICE_ROWS = 1 << 11
@@ -46,8 +46,10 @@ def word_counts(df: DataFrame, text_col: str, out: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = np.array([len(t.split()) for t in as_bytes(batch.column(batch.num_columns - 1))], np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n)], names=[*batch.schema.names[:-1], out])
+            for lo, hi in spans(batch.column(batch.num_columns - 1), BLOCK):
+                part = batch.slice(lo, hi - lo)
+                n = np.array([len(t.split()) for t in as_bytes(part.columns[-1])], np.int64)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n)], names=[*batch.schema.names[:-1], out])
 
     kept = [f for f in df.schema.fields if f.name != text_col]
     return df.select(*[ref(f.name) for f in kept], ref(text_col)).mapInArrow(run, T.StructType([*kept, T.StructField(out, T.LongType())]))
@@ -156,6 +158,8 @@ def plan(
     of source names to a weight each. The list of sources is the mix's definition
     and the only thing the driver holds.
     """
+    if clash := [c for c in sized.columns if c.lower().startswith("m_") or c.lower() in ("source_size", "target", "copies")]:
+        raise ValueError(f"leave {clash} out of the plan's input; mix() carries other columns")
     spark = sized.sparkSession
     order = order if order is not None else F.xxhash64(*[ref(c) for c in sized.columns], F.lit(seed))
     totals = sized.groupBy(ref(source_col).alias("s")).agg(F.sum(ref(size_col)).cast("long").alias("n"), F.count("*").alias("rows")).collect()
@@ -246,10 +250,11 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     keys = [id_col, source_col, digest]
     one = lean.groupBy(*[ref(k) for k in keys]).agg(F.sum(ref(size)).alias(size))
     planned = plan(staged(one, "mix-rows"), source_col=source_col, size_col=size, seed=seed, **options)
-    planned = planned.where(F.size("copies") > 0).select(*[ref(k).alias(f"p_{i}") for i, k in enumerate(keys)], F.explode("copies").alias(shard))
+    drawn = fresh(df, "mix_id", "mix_source", "mix_key")
+    planned = planned.where(F.size("copies") > 0).select(*[ref(k).alias(p) for k, p in zip(keys, drawn, strict=True)], F.explode("copies").alias(shard))
     rows = df.withColumn(digest, F.xxhash64(ref(text_col)))
-    same = [ref(k).eqNullSafe(F.col(f"p_{i}")) for i, k in enumerate(keys)]
-    joined = rows.join(planned, same[0] & same[1] & same[2]).drop(*[f"p_{i}" for i in range(len(keys))])
+    same = [ref(k).eqNullSafe(ref(p)) for k, p in zip(keys, drawn, strict=True)]
+    joined = rows.join(planned, same[0] & same[1] & same[2]).drop(*drawn)
     return joined.withColumn(order, F.xxhash64(ref(id_col), ref(digest), ref(shard), F.lit(seed))).drop(digest)
 
 

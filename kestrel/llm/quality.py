@@ -8,8 +8,8 @@ aggregating the bit patterns: no text is read again.
 
 Defined results: a null text counts as empty; an empty text has all measures 0
 and fails ``few_words``; repeated rows get equal rows; an empty table gives an
-empty ledger; columns of the input that clash with ledger columns are refused by
-name (``select`` or rename before), all others are kept.
+empty ledger; where an input column has the name of a ledger column, the input's
+stays and the ledger's gets leading underscores.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, blocks, mix64, ref, split_words, starts, sums
+from .common import BLOCK, as_bytes, blocks, fresh, mix64, ref, spans, split_words, starts, sums
 
 WINDOW = 8
 MEASURES = (
@@ -150,12 +150,15 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
 def _measure_batches(text_col: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = measure(as_bytes(batch.column(batch.schema.get_field_index(text_col))))
+            at = batch.schema.get_field_index(text_col)
             kept = [j for j, name in enumerate(batch.schema.names) if name in keep]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(j) for j in kept] + [pa.array(found[m], pa.int64()) for m in MEASURES],
-                names=[batch.schema.names[j] for j in kept] + list(MEASURES),
-            )
+            for lo, hi in spans(batch.column(at), BLOCK):
+                part = batch.slice(lo, hi - lo)
+                found = measure(as_bytes(part.column(at)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(j) for j in kept] + [pa.array(found[m], pa.int64()) for m in MEASURES],
+                    names=[batch.schema.names[j] for j in kept] + list(MEASURES),
+                )
 
     return run
 
@@ -169,16 +172,13 @@ def bits(rules=RULES) -> Column:
 
 
 def ledger(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, rules=RULES) -> DataFrame:
-    """Columns ``keep`` (default: all but the text), the measures, and ``failed_bits``."""
+    """Columns ``keep`` (default: all but the text), the measures, and (last) ``failed_bits``."""
     keep = [c for c in df.columns if c != text_col] if keep is None else keep
-    clash = {c.lower() for c in keep} & {*MEASURES, "failed_bits"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} clash with the ledger's; rename or leave them out")
-    rows = df.select(*[ref(c) for c in dict.fromkeys([*keep, text_col])])
-    kept = [f for f in rows.schema.fields if f.name in keep]
-    schema = T.StructType([*kept, *(T.StructField(m, T.LongType()) for m in MEASURES)])
-    measured = rows.mapInArrow(_measure_batches(text_col, [f.name for f in kept]), schema)
-    return measured.withColumn("failed_bits", bits(rules))
+    inner = [f"kept_{i}" for i in range(len(keep))]
+    rows = df.select(*[ref(c).alias(i) for c, i in zip(keep, inner, strict=True)], ref(text_col).alias("ledger_text"))
+    schema = T.StructType([*rows.schema.fields[:-1], *(T.StructField(m, T.LongType()) for m in MEASURES)])
+    measured = rows.mapInArrow(_measure_batches("ledger_text", inner), schema).withColumn("failed_bits", bits(rules))
+    return measured.toDF(*keep, *fresh(df.select(*[ref(c) for c in keep]), *MEASURES, "failed_bits"))
 
 
 def mask(policy: str | tuple[str, ...], rules=RULES) -> int:

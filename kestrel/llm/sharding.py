@@ -15,8 +15,8 @@ from the mean by at most one fine range, whatever a hot key holds.
 
 Defined results: null keys, ids and sizes are allowed (null size: 0; a null key is one
 group); rows equal in key and id stay together; an empty table gives an empty result
-with the same columns; all other input columns pass through, and working columns avoid
-their names.
+with the same columns; all input columns pass through, and the result's columns get leading
+underscores where an input column has their name.
 """
 
 from __future__ import annotations
@@ -85,9 +85,7 @@ def shard(
 
     Rows with equal ``key`` (any expression that can be hashed) share a shard unless they exceed a fine range.
     """
-    clash = {c.lower() for c in df.columns} & {"shard", "slot"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} clash with the result's; rename or drop them")
+    shard_col, slot_col = fresh(df, "shard", "slot")
     names = ("key", "tie", "size", "range", "pos", "rank", "row", "at", "bytes", "rows", "total", "first")
     k, tie, n, rng, pos, rank, row, at, nbytes, nrows, total, first = fresh(df, *[f"s_{x}" for x in names])
     keyed = df.withColumn(k, F.xxhash64(key)).withColumn(tie, F.xxhash64(ref(id_col))).withColumn(n, F.coalesce(size.cast("long"), F.lit(0).cast("long")))
@@ -115,8 +113,8 @@ def shard(
         rows = rows.withColumn(pos, middle).join(F.broadcast(offsets), F.col(rng) == F.col(at))  # about shards * fineness rows
         cell = F.floor((F.col(nbytes) + F.col(pos)) * shards / F.col(total))
         chosen = F.when(F.col(total) > 0, F.least(cell, F.lit(shards - 1))).otherwise(0).cast("int")
-        return rows.withColumn("shard", chosen).withColumn(row, F.col(nrows) + F.col(rank))
+        return rows.withColumn(shard_col, chosen).withColumn(row, F.col(nrows) + F.col(rank))
 
-    firsts = locate(lean).groupBy(F.col("shard").alias(at)).agg(F.min(row).alias(first))
-    rows = locate(keyed).drop(at).join(F.broadcast(firsts), F.col("shard") == F.col(at))  # one row per shard
-    return rows.select(*[ref(c) for c in df.columns], "shard", (F.col(row) - F.col(first)).cast("long").alias("slot"))
+    firsts = locate(lean).groupBy(ref(shard_col).alias(at)).agg(F.min(row).alias(first))
+    rows = locate(keyed).drop(at).join(F.broadcast(firsts), ref(shard_col) == F.col(at))  # one row per shard
+    return rows.select(*[ref(c) for c in df.columns], ref(shard_col), (F.col(row) - F.col(first)).cast("long").alias(slot_col))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, blocks, fresh, ref, staged, starts
+from .common import BLOCK, as_bytes, blocks, fresh, ref, spans, staged, starts
 from .components import components
 
 SEED = 42
@@ -67,8 +67,10 @@ def with_fingerprint(df: DataFrame, text_col: str, out: str, keep: list[str], sh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = fingerprints(as_bytes(batch.column(batch.num_columns - 1)), shingle, seed)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))], names=[*keep, out])
+            for lo, hi in spans(batch.column(batch.num_columns - 1), BLOCK):
+                part = batch.slice(lo, hi - lo)
+                found = fingerprints(as_bytes(part.columns[-1]), shingle, seed)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found.view(np.int64))], names=[*keep, out])
 
     kept = df.select(*[ref(c) for c in keep])
     rows = df.select(*[ref(c) for c in keep], ref(text_col).alias(fresh(df, "sim_text")[0]))
@@ -179,7 +181,7 @@ def hex16(fp: Column) -> Column:
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``df`` less near-duplicates: of each component the row with the smallest id stays (ties: smallest text hash)."""
-    (digest,) = fresh(df, "sim_digest")
+    digest, sim_id, sim_key = fresh(df, "sim_digest", "sim_id", "sim_key")
     hashed = df.select(ref(id_col), F.xxhash64(ref(text_col)).alias(digest), ref(text_col))
     rows = near_duplicates(hashed, id_col, text_col, keep=[digest], **options)
     rows = rows.groupBy(ref(id_col).alias("sim_id"), F.col(digest).alias("sim_key")).agg(
@@ -187,10 +189,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     )
     group = ("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone"))
     first = F.min_by(F.struct("sim_id", "sim_key", "n"), F.struct(F.col("sim_id").isNull(), "sim_id", "sim_key")).alias("k")
-    kept = staged(rows.groupBy(*group).agg(first).select("k.*"), "kept")
+    kept = staged(rows.groupBy(*group).agg(first).select("k.*"), "kept").toDF(sim_id, sim_key, "n")
     docs = df.withColumn(digest, F.xxhash64(ref(text_col)))
-    same = ref(id_col).eqNullSafe(F.col("sim_id")) & (F.col(digest) == F.col("sim_key"))
-    single = docs.join(kept.where("n = 1"), same, "left_semi")
+    same = ref(id_col).eqNullSafe(ref(sim_id)) & (ref(digest) == ref(sim_key))
+    single = docs.join(kept.where("n = 1").drop("n"), same, "left_semi")
     # rows equal in id and text are one document
-    repeated = docs.join(kept.where("n > 1"), same, "left_semi").dropDuplicates([id_col, digest])
+    repeated = docs.join(kept.where("n > 1").drop("n"), same, "left_semi").dropDuplicates([id_col, digest])
     return single.unionByName(repeated).drop(digest)

@@ -29,7 +29,8 @@ def odd(spark):
         (7, "Été     x\x1cy  z\n\nz <|endoftext|> [INST] \\ </s>", "fr", "c", 9),
     ]
     df = spark.createDataFrame(rows, DOCS)
-    for name in ("size", "s_key", "m_key", "hash", "key", "h", "shingle", "sim_digest", "dec_hash", "mix_size", "range", "node"):
+    for name in ("size", "s_key", "m_key", "hash", "key", "h", "shingle", "sim_digest", "dec_hash", "mix_size", "range", "node", "shard", "slot", "n_words", "failed_bits",
+                 "sim_id", "sim_key", "dec_id", "dec_key", "mix_id", "mix_shard", "clean_text", "fingerprint", "copies", "target", "text_hash", "kept_0"):
         df = df.selectExpr("*", f"'x' AS {name}")
     return df
 

@@ -66,9 +66,12 @@ def test_policies_and_ablations(documents):
             assert got[rule]["kept_without"] == sum(b & whole & ~one == 0 for b in bits)
 
 
-def test_clashing_column_is_named(documents):
-    with pytest.raises(ValueError, match="n_words"):
-        quality.ledger(documents.withColumn("n_words", F.lit(1)), "text")
+def test_clashing_columns_stay(documents):
+    df = documents.select("doc_id", "text", F.lit("mine").alias("n_words"), F.lit(5).alias("Failed_Bits"))
+    rows = quality.ledger(df, "text")
+    assert rows.columns[:3] == ["doc_id", "n_words", "Failed_Bits"] and rows.columns[3] == "_n_words" and rows.columns[-1] == "_failed_bits"
+    plain = {r["doc_id"]: r["n_words"] for r in quality.ledger(documents, "text").collect()}
+    assert all(r["n_words"] == "mine" and r["_n_words"] == plain[r["doc_id"]] for r in rows.collect())
 
 
 def test_clean_labelled_documents_stay(spark, documents):
