@@ -2,12 +2,13 @@
 
 1. The longest rule that fits a url decides it. A rule fits its host and all subdomains,
    if the url's path starts with the rule's path (of equally long rules the longer host's).
-2. Host edges come from the pages' links (``href`` and ``src`` to another host), and join a
-   subdomain with the nearest host above it that occurs.
+2. Host edges come from the pages' links (``href`` and ``src`` to another host), and join every
+   host with the one above it (a.b.example.com, b.example.com, example.com), also where that
+   one has no page. Bare public suffixes join nobody, unless they have pages themselves.
 3. Hosts with pages that a rule allows (blocks) are seeds, with that many pages as mass.
    Trust is personalised PageRank from the allowed seeds along the links; distrust is the
    same from the blocked seeds against the links: who links to bad hosts is suspect.
-   Both are summed as a power series, round by round, until little mass is left.
+   Both are summed as a power series, round by round, until little mass of either is left.
 4. A page without a rule is blocked if distrust makes up more than ``threshold`` of its
    host's trust and distrust; hosts that neither reaches are allowed.
 
@@ -66,14 +67,26 @@ def decide(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     return rows.withColumn("best", best).select(*[ref(c) for c in pages.columns], F.col("best.rule").alias("rule"), F.col("best.ruled").alias("ruled"))
 
 
+def bare_suffix(host: Column) -> Column:
+    """Names under which anybody registers: one label (com), or a usual second label of a country (co.uk)."""
+    name = F.regexp_replace(host, r":\d*$", "")
+    return name.rlike(r"^[^.]*$") | name.rlike(r"^(ac|co|com|edu|gob|gouv|gov|govt|gv|ltd|mil|ne|net|nom|or|org|plc|sch)\.[a-z]{2}$")
+
+
 def host_edges(pages: DataFrame, html_col: str = "html", host_col: str = "host") -> DataFrame:
-    """(src, dst, n): links between different hosts, and subdomains with the nearest host above them."""
+    """(src, dst, n): links between different hosts, and hosts with the nearest node above them.
+
+    Nodes are the hosts with pages and all hosts above them that are no bare public suffix.
+    """
     found = F.array_distinct(F.transform(F.regexp_extract_all(ref(html_col), F.lit(r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'\s<>]+)"""), 1), lower_ascii))
     links = pages.select(ref(host_col).alias("src"), F.explode(found).alias("dst")).where("src <> dst and src <> ''")
     links = links.groupBy("src", "dst").agg(F.count("*").alias("n"))
     hosts = pages.select(ref(host_col).alias("h")).where("h <> ''").distinct()
-    above = hosts.select("h", F.posexplode(suffixes(F.col("h"))).alias("up", "top")).where("up > 0")
-    present = above.join(hosts.select(F.col("h").alias("top")), "top")
+    is_name = ~F.col("h").rlike(r"(^|\.)\d+(:\d*)?$")  # addresses have no host above them
+    above = hosts.where(is_name).select(F.explode(suffixes(F.col("h"))).alias("h")).where(~bare_suffix(F.col("h")))
+    nodes = hosts.unionAll(above).distinct()
+    up = nodes.where(is_name).select("h", F.posexplode(suffixes(F.col("h"))).alias("up", "top")).where("up > 0")
+    present = up.join(nodes.select(F.col("h").alias("top")), "top")
     nearest = present.groupBy("h").agg(F.min_by("top", "up").alias("top"))
     family = nearest.select(F.col("h").alias("src"), F.col("top").alias("dst")).unionAll(nearest.select(F.col("top").alias("src"), F.col("h").alias("dst")))
     return links.unionAll(family.withColumn("n", F.lit(1).cast("long"))).groupBy("src", "dst").agg(F.sum("n").alias("n"))
