@@ -95,7 +95,8 @@ def host_edges(pages: DataFrame, html_col: str = "html", host_col: str = "host")
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, left: float = 0.01) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust, distrust) over edges (src, dst, n).
 
-    Trust moves along the edges, distrust against them. Ends when at most ``left`` of the seeds' mass still moves.
+    Trust moves along the edges, distrust against them. Ends when of each kind at most ``left`` of its own
+    seeds' mass still moves: a kind with few seeds goes as far as one with many.
     """
     along = edges.select(F.lit("trust").alias("kind"), "src", "dst", "n")
     against = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
@@ -104,13 +105,14 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, left: f
     steps = staged(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("total")).alias("p")), "host-steps")
     mass = F.stack(F.lit(2), F.lit("trust"), F.col("trust").cast("double"), F.lit("distrust"), F.col("distrust").cast("double"))
     moving = staged(seeds.select("host", mass.alias("kind", "x")).where("x > 0"), "host-mass")
-    total = moving.agg(F.sum("x")).first()[0] or 0.0
-    rounds, now = [moving], total
-    while now > left * total:
+    of_kind = lambda: {r["kind"]: r["x"] for r in moving.groupBy("kind").agg(F.sum("x").alias("x")).collect()}
+    total = now = of_kind()
+    rounds = [moving]
+    while any(now.get(k, 0.0) > left * x for k, x in total.items()):
         arrived = moving.withColumnRenamed("host", "src").join(steps, ["kind", "src"])
         moving = staged(arrived.groupBy(F.col("dst").alias("host"), "kind").agg(F.sum(F.col("x") * F.col("p") * damping).alias("x")), "host-mass")
         rounds.append(moving)
-        now = moving.agg(F.sum("x")).first()[0] or 0.0
+        now = of_kind()
     all_rounds = rounds[0]
     for r in rounds[1:]:
         all_rounds = all_rounds.unionByName(r)

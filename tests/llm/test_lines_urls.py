@@ -113,6 +113,14 @@ def test_propagation_equals_power_series(spark):
         assert got[h]["distrust"] == pytest.approx(distrust.get(h, 0), abs=1e-5)
 
 
+def test_few_seeds_of_a_kind_go_as_far_as_many(spark):
+    edges = [("h1", "bad", 1), ("h2", "h1", 1), ("h3", "h2", 1), ("h4", "h3", 1)]
+    seeds = spark.createDataFrame([("hot", 1000, 0), ("bad", 0, 1)], "host string, trust long, distrust long")
+    got = {r["host"]: r["distrust"] for r in urls.propagate(spark.createDataFrame(edges, "src string, dst string, n long"), seeds).collect()}
+    want = walk([(d, s, n) for s, d, n in edges], {"bad": 1}, 0.85)
+    assert {h: got.get(h, 0) for h in want} == pytest.approx(want)
+
+
 def test_links_reach_hosts_without_rules(spark):
     rows = [(i, "http://bad.com/x", "") for i in range(3)] + [(10, "http://friend.net/", "<a href='//bad.com/1'>"), (11, "http://good.net/", ""), (12, "http://sub.good.net/", "")]
     rows += [(20, "http://ok.org/", '<a HREF = "https://good.net/x">')]
