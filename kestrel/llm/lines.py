@@ -1,7 +1,7 @@
 """Line dedup by site-relative frequency. DataFrame functions only.
 
 A line's frequency on a site is the number of the site's pages that contain it, divided by
-the site's number of pages. Lines above ``ratio`` on a site with at least ``min_pages`` pages
+the site's number of pages. Lines above ``ratio`` that occur on more than one page of a site
 are boilerplate there and are dropped from all its pages; the same line elsewhere stays.
 
 Pages are reduced to distinct lines and pre-aggregated before the shuffle. A site has at most
@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from .common import fresh, ref, staged
 
-RATIO, MIN_PAGES = 0.2, 5
+RATIO = 0.2
+#: Not used here: OP5_SQL still exempts smaller sites.
+MIN_PAGES = 5
 
 #: Elements that begin a new line; fixed values.
 BLOCK_TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|meta|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|title|tr|ul"
@@ -41,23 +43,23 @@ def text_lines(text: Column) -> Column:
     return F.filter(lines, lambda x: x != "")
 
 
-def boilerplate(pages: DataFrame, host_col: str, lines_col: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, host_col: str, lines_col: str, ratio: float = RATIO) -> DataFrame:
     """(site, drop): each site's boilerplate lines."""
     host = ref(host_col).alias("site")
-    total = pages.groupBy(host).agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    total = pages.groupBy(host).agg(F.count("*").alias("pages"))
     on = pages.select(host, F.explode(F.array_distinct(ref(lines_col))).alias("line")).groupBy("site", "line").agg(F.count("*").alias("n"))
     total = total.withColumnRenamed("site", "t_site")
     often = on.where("n > 1").join(total, F.col("site").eqNullSafe(F.col("t_site"))).where(F.col("n") > ratio * F.col("pages"))
     return often.groupBy("site").agg(F.collect_set("line").alias("drop"))
 
 
-def drop_boilerplate(df: DataFrame, lines: Column, host: Column, drop_cols: tuple[str, ...] = (), ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(df: DataFrame, lines: Column, host: Column, drop_cols: tuple[str, ...] = (), ratio: float = RATIO) -> DataFrame:
     """``df`` less ``drop_cols`` plus clean_text, n_lines, n_dropped."""
     rest = [c for c in df.columns if c not in drop_cols]
     clean, n_lines, n_dropped = fresh(df.select(*[ref(c) for c in rest]), "clean_text", "n_lines", "n_dropped")
     site, own, key, gone = fresh(df, "ld_site", "ld_lines", "ld_key", "ld_drop")
     keyed = df.withColumn(site, host).withColumn(own, lines)
-    found = staged(boilerplate(keyed.select(ref(site), ref(own)), site, own, ratio, min_pages), "boilerplate").toDF(key, gone)
+    found = staged(boilerplate(keyed.select(ref(site), ref(own)), site, own, ratio), "boilerplate").toDF(key, gone)
     rows = keyed.join(found, ref(site).eqNullSafe(ref(key)), "left")
     kept = F.filter(ref(own), lambda x: F.coalesce(~F.array_contains(ref(gone), x), F.lit(True)))
     rows = rows.withColumn(gone, kept)

@@ -50,6 +50,13 @@ def test_same_line_elsewhere_stays(spark):
     assert got[0] == "" and got[6] == "top\nx" and got[9] == "y9"
 
 
+def test_small_sites_are_cleaned(spark):
+    rows = [(i, f"s{n}", f"menu\nown {n} {i}") for n in range(1, 5) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, site string, text string")
+    got = {(r["site"], r["id"]): r["clean_text"] for r in lines.drop_boilerplate(df, lines.text_lines(F.col("text")), F.col("site")).collect()}
+    assert got == {(s, i): t if s == "s1" else t.split("\n")[1] for i, s, t in rows}
+
+
 def test_unclosed_markup_is_linear(spark):
     df = spark.range(1).select(F.concat(F.repeat(F.lit("<!-- <script <p "), 200_000), F.repeat(F.lit("<"), 200_000)).alias("html"))
     assert df.select(F.size(lines.html_lines(F.col("html"))).alias("n")).first()["n"] >= 0
