@@ -164,6 +164,12 @@ def links(distinct: DataFrame, fp_col: str, max_distance: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
     """One row per input row: id, columns ``keep``, ``fingerprint`` (long) and ``component_id``."""
+    rows = _rooted(df, id_col, text_col, shingle, max_distance, seed, keep)
+    return rows.select(*[ref(c) for c in rows.columns[:-1]])
+
+
+def _rooted(df: DataFrame, id_col: str, text_col: str, shingle: int = 3, max_distance: int = 2, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
+    """``near_duplicates`` and, as last column, the component's smallest fingerprint: it tells components apart whose smallest ids are equal or null."""
     keep = [c for c in keep or [] if c != id_col]
     prints = staged(with_fingerprint(df, text_col, "fingerprint", [id_col, *keep], shingle, seed), "fingerprints")
     distinct = prints.groupBy("fingerprint").agg(F.min(ref(id_col)).alias("first"))
@@ -171,8 +177,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = distinct.join(found, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     rooted = staged(rooted, "roots")
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    root = fresh(prints, "sim_root")[0]
     # one row per distinct fingerprint on the right; a hot fingerprint on the left is split by the skew join
-    return prints.join(rooted.join(named, "root").select("fingerprint", "component_id"), "fingerprint", "left").select(ref(id_col), *[ref(c) for c in keep], "fingerprint", "component_id")
+    return prints.join(rooted.join(named, "root").select("fingerprint", "component_id", F.col("root").alias(root)), "fingerprint", "left").select(
+        ref(id_col), *[ref(c) for c in keep], "fingerprint", "component_id", root
+    )
 
 
 def hex16(fp: Column) -> Column:
@@ -183,13 +192,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     """The rows of ``df`` less near-duplicates: of each component the row with the smallest id stays (ties: smallest text hash)."""
     digest, sim_id, sim_key = fresh(df, "sim_digest", "sim_id", "sim_key")
     hashed = df.select(ref(id_col), F.xxhash64(ref(text_col)).alias(digest), ref(text_col))
-    rows = near_duplicates(hashed, id_col, text_col, keep=[digest], **options)
-    rows = rows.groupBy(ref(id_col).alias("sim_id"), F.col(digest).alias("sim_key")).agg(
-        F.count("*").alias("n"), F.first("component_id").alias("component_id"), F.first("fingerprint").alias("fingerprint")
-    )
-    group = ("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone"))
+    rows = _rooted(hashed, id_col, text_col, keep=[digest], **options)
+    rows = rows.groupBy(F.col(rows.columns[-1]).alias("root"), ref(id_col).alias("sim_id"), F.col(digest).alias("sim_key")).agg(F.count("*").alias("n"))
     first = F.min_by(F.struct("sim_id", "sim_key", "n"), F.struct(F.col("sim_id").isNull(), "sim_id", "sim_key")).alias("k")
-    kept = staged(rows.groupBy(*group).agg(first).select("k.*"), "kept").toDF(sim_id, sim_key, "n")
+    kept = staged(rows.groupBy("root").agg(first).select("k.*"), "kept").toDF(sim_id, sim_key, "n")
     docs = df.withColumn(digest, F.xxhash64(ref(text_col)))
     same = ref(id_col).eqNullSafe(ref(sim_id)) & (ref(digest) == ref(sim_key))
     single = docs.join(kept.where("n = 1").drop("n"), same, "left_semi")

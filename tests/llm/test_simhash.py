@@ -92,3 +92,25 @@ def test_keep_one(request, name):
         c = comp[brute_print(r["text"])]
         ids[c] = min(ids.get(c, r["doc_id"]), r["doc_id"])
     assert all(r["doc_id"] == ids.get(comp[brute_print(r["text"])]) for r in kept)
+
+
+def test_keep_one_tells_components_of_one_id_apart(spark):
+    a, b = "one two three four five six", "red green blue white black grey"
+    rows = [(5, a), (9, a), (5, b), (7, b)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == [(5, a), (5, b)]
+
+
+def test_keep_one_joins_null_ids(spark):
+    prints, n = {}, 0
+    base = [f"w{i}" for i in range(60)]
+    while True:  # two texts 1 bit apart
+        n += 1
+        text = " ".join([*base, f"x{n}"])
+        p = brute_print(text)
+        near = next((prints[p ^ (1 << k)] for k in range(64) if p ^ (1 << k) in prints), None)
+        if near:
+            break
+        prints[p] = text
+    rows = [(None, near), (None, text)]
+    assert simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
