@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, katz, lines, mixing, quality, records, sharding, simhash, urls
+from . import chat, decontaminate, katz, lines, merkle, mixing, quality, records, sharding, simhash, urls
 from .common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,6 +231,64 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32", "file", "offset", "length")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the manifest of all documents; a seventh of the rows tampered with."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = {c: F.col(c) for c in docs.columns}
+    hit = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 7 == 0
+    altered = F.when(hit, merkle.leaf(*(fields | {"n_chars": F.col("n_chars") + 1}).values()))
+    rows = docs.withColumn("altered", altered)
+    out = merkle.manifest(rows, merkle.leaf(*fields.values()), F.col("lang"), [F.col("doc_id")], keep=["doc_id", "altered"])
+    folded = merkle.fold(F.coalesce("altered", "leaf"), F.col("proof")).alias("folded_root")
+    out = out.select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"), folded)
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: Unsigned CRC-32 of a decimal number, bit by bit.
+def _crc32_sql(number: str) -> str:
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {step}), 4294967295)"
+
+
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+OP12_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {_LEAF} AS leaf, CASE WHEN {_crc32_sql("doc_id")} % 7 = 0 THEN {_LEAF.replace("n_chars", "(n_chars + 1)")} END AS altered FROM documents
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, row_number() OVER () AS k FROM d
+), low AS (
+  SELECT lang, 0 AS h, list(leaf ORDER BY i) AS nodes FROM r GROUP BY lang
+  UNION ALL
+  SELECT lang, h + 1, list_transform(range(1, len(nodes) + 1, 2), lambda j: sha256(nodes[j] || coalesce(nodes[j + 1], ''))) FROM low WHERE len(nodes) > 1
+), sub AS (
+  SELECT lang, h AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM low WHERE len(nodes) = 1
+), high AS (
+  SELECT 0 AS h, list(subroot ORDER BY g) AS nodes FROM sub
+  UNION ALL
+  SELECT h + 1, list_transform(range(1, len(nodes) + 1, 2), lambda j: sha256(nodes[j] || coalesce(nodes[j + 1], ''))) FROM high WHERE len(nodes) > 1
+), steps AS (
+  SELECT k, low.h AS h, (i >> low.h) % 2 AS odd, coalesce(nodes[xor(i >> low.h, 1) + 1], '') AS other
+  FROM r JOIN low ON r.lang IS NOT DISTINCT FROM low.lang AND len(nodes) > 1
+  UNION ALL
+  SELECT k, height + high.h, (g >> high.h) % 2, coalesce(nodes[xor(g >> high.h, 1) + 1], '')
+  FROM r JOIN sub ON r.lang IS NOT DISTINCT FROM sub.lang JOIN high ON len(nodes) > 1
+), proof AS (
+  SELECT k, string_agg(other, '' ORDER BY h) AS others FROM steps GROUP BY k
+), fold AS (
+  SELECT k, 0 AS h, coalesce(altered, leaf) AS node FROM r
+  UNION ALL
+  SELECT fold.k, fold.h + 1, sha256(CASE WHEN odd = 1 THEN other || node ELSE node || other END) FROM fold JOIN steps ON fold.k = steps.k AND fold.h = steps.h
+), last AS (
+  SELECT k, arg_max(node, h) AS folded_root FROM fold GROUP BY k
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(others, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM r JOIN sub ON r.lang IS NOT DISTINCT FROM sub.lang JOIN last ON r.k = last.k LEFT JOIN proof ON r.k = proof.k,
+  (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat": op1_chat,
     "op2_simhash": op2_simhash,
@@ -242,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_records": op10_records,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -249,4 +308,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_quality": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
     "op8_decontamination": OP8_SQL,
+    "op12_merkle": OP12_SQL,
 }
