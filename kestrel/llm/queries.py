@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, katz, lines, merkle, mixing, quality, records, sharding, simhash, urls
+from . import chat, decontaminate, katz, lines, merkle, mixing, quality, records, secret_scan, sharding, simhash, trie, urls
 from .common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,6 +231,16 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32", "file", "offset", "length")
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: the base patterns, and runs that look random to the Markov models."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secret_scan.train(secret_scan.samples(docs))
+    rows = secret_scan.scan(docs, model)
+    base = F.filter("spans", lambda s: s["rank"] < len(secret_scan.BASE))
+    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secret_scan.BASE]
+    return rows.select("doc_id", *counts, F.sha2(secret_scan.written(base), 256).alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof in the manifest of all documents; a seventh of the rows tampered with."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -289,6 +299,60 @@ FROM r JOIN sub ON r.lang IS NOT DISTINCT FROM sub.lang JOIN last ON r.k = last.
 """
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt on the heads of every hundredth one."""
+    convs, _ = trie.encode(table(spark, sf_dir, "conversations"))
+    heads = convs.where("conv % 100 = 0").select(F.col("conv").alias("base"), F.slice("turns", 1, 5).alias("head"))
+    h = (F.crc32(F.encode(F.col("conv").cast("string"), "utf-8")) % 6).cast("int")
+    joined = convs.join(heads, F.col("conv") - F.col("conv") % 100 == F.col("base"), "left")
+    head = F.slice(F.coalesce("head", F.array().cast(trie.TURNS)), F.lit(1), h)
+    own = F.slice("turns", h + 1, F.size("turns"))
+    rebuilt = joined.select("conv", F.coalesce(F.concat(head, own), "turns").alias("turns"))
+    nodes = trie.build(rebuilt)
+    return nodes.select(
+        F.col("conv").alias("conv_id"),
+        "depth",
+        F.col("parent_conv").alias("parent_conv_id"),
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        "ends_sha256",
+    )
+
+
+OP13_SQL = f"""
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), own AS (
+  SELECT c, list(dense_rank ORDER BY turn NULLS FIRST, role, text) AS ids, list(length(text) ORDER BY turn NULLS FIRST, role, text) AS chars
+  FROM (SELECT *, dense_rank() OVER (ORDER BY role, text) AS dense_rank FROM t) GROUP BY c
+), cut AS (
+  SELECT *, ({_crc32_sql("c")} % 6)::BIGINT AS h FROM own
+), seq AS (
+  SELECT cut.c, list_concat(coalesce(own.ids, [])[1:h], cut.ids[h+1:]) AS ids, list_concat(coalesce(own.chars, [])[1:h], cut.chars[h+1:]) AS chars
+  FROM cut LEFT JOIN own ON own.c = cut.c - cut.c % 100
+), at AS (
+  SELECT c, d, CASE WHEN d = 0 THEN 0 ELSE chars[d] END AS chars, d = len(ids) AS ends, min(c) OVER (PARTITION BY d, ids[1:d]) AS node
+  FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM seq)
+), node AS (
+  SELECT node, d, count(*) AS n_convs, any_value(chars) AS chars, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM at GROUP BY node, d
+), tree AS (
+  SELECT node.*, up.node AS parent FROM node LEFT JOIN at up ON up.c = node.node AND up.d = node.d - 1
+), kids AS (
+  SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM tree WHERE d > 0 GROUP BY 1, 2
+), whole AS (
+  SELECT tree.*, coalesce(n_children, 0) AS n_children FROM tree LEFT JOIN kids ON tree.node = kids.node AND tree.d = kids.d
+), below AS (
+  SELECT up.node, up.d, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * whole.chars)::BIGINT AS saved_tokens
+  FROM whole JOIN at up ON up.c = whole.node AND up.d <= whole.d GROUP BY up.node, up.d
+)
+SELECT whole.node AS conv_id, whole.d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM whole JOIN below ON whole.node = below.node AND whole.d = below.d
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat": op1_chat,
     "op2_simhash": op2_simhash,
@@ -300,7 +364,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_records": op10_records,
+    "op11_secrets": op11_secrets,
     "op12_merkle": op12_merkle,
+    "op13_trie": op13_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -309,4 +375,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
     "op8_decontamination": OP8_SQL,
     "op12_merkle": OP12_SQL,
+    "op13_trie": OP13_SQL,
 }

@@ -185,6 +185,6 @@ def test_pipeline_stages_take_odd_and_empty_tables(spark, request, name):
 def test_native_queries_run_no_python(spark):
     from ..conftest import plan_text
 
-    for name in ("op1_chat", "op3_sharding", "op5_line_dedup", "op8_decontamination"):
+    for name in ("op1_chat", "op3_sharding", "op5_line_dedup", "op8_decontamination", "op11_secrets"):
         text = plan_text(QUERIES[name](spark, SF_SMALL).where(F.lit(True)))
         assert not re.search("Python|Pandas|Arrow", text), name
