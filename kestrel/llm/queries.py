@@ -237,7 +237,11 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = secret_scan.train(secret_scan.samples(docs))
     rows = secret_scan.scan(docs, model)
     base = F.filter("spans", lambda s: s["rank"] < len(secret_scan.BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secret_scan.BASE]
+
+    def count(rank: int):
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(secret_scan.BASE)]
     return rows.select("doc_id", *counts, F.sha2(secret_scan.written(base), 256).alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"))
 
 
@@ -325,28 +329,28 @@ OP13_SQL = f"""
 WITH t AS (
   SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
 ), own AS (
-  SELECT c, list(dense_rank ORDER BY turn NULLS FIRST, role, text) AS ids, list(length(text) ORDER BY turn NULLS FIRST, role, text) AS chars
-  FROM (SELECT *, dense_rank() OVER (ORDER BY role, text) AS dense_rank FROM t) GROUP BY c
+  SELECT c, list(id ORDER BY turn NULLS FIRST, role, text) AS ids, list(length(text) ORDER BY turn NULLS FIRST, role, text) AS chars
+  FROM (SELECT *, dense_rank() OVER (ORDER BY role, text) AS id FROM t) GROUP BY c
 ), cut AS (
   SELECT *, ({_crc32_sql("c")} % 6)::BIGINT AS h FROM own
 ), seq AS (
   SELECT cut.c, list_concat(coalesce(own.ids, [])[1:h], cut.ids[h+1:]) AS ids, list_concat(coalesce(own.chars, [])[1:h], cut.chars[h+1:]) AS chars
   FROM cut LEFT JOIN own ON own.c = cut.c - cut.c % 100
-), at AS (
+), heads AS (
   SELECT c, d, CASE WHEN d = 0 THEN 0 ELSE chars[d] END AS chars, d = len(ids) AS ends, min(c) OVER (PARTITION BY d, ids[1:d]) AS node
   FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM seq)
 ), node AS (
   SELECT node, d, count(*) AS n_convs, any_value(chars) AS chars, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
-  FROM at GROUP BY node, d
+  FROM heads GROUP BY node, d
 ), tree AS (
-  SELECT node.*, up.node AS parent FROM node LEFT JOIN at up ON up.c = node.node AND up.d = node.d - 1
+  SELECT node.*, up.node AS parent FROM node LEFT JOIN heads up ON up.c = node.node AND up.d = node.d - 1
 ), kids AS (
   SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM tree WHERE d > 0 GROUP BY 1, 2
 ), whole AS (
   SELECT tree.*, coalesce(n_children, 0) AS n_children FROM tree LEFT JOIN kids ON tree.node = kids.node AND tree.d = kids.d
 ), below AS (
   SELECT up.node, up.d, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * whole.chars)::BIGINT AS saved_tokens
-  FROM whole JOIN at up ON up.c = whole.node AND up.d <= whole.d GROUP BY up.node, up.d
+  FROM whole JOIN heads up ON up.c = whole.node AND up.d <= whole.d GROUP BY up.node, up.d
 )
 SELECT whole.node AS conv_id, whole.d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
 FROM whole JOIN below ON whole.node = below.node AND whole.d = below.d

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kestrel.llm import secret_scan as ss
 from kestrel.llm.queries import QUERIES
 
-from ..conftest import SF_SMALL, plan_text
+from ..conftest import SF_MID, plan_text
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -125,11 +125,12 @@ def test_odd_rows(spark, odd, none, model):
     assert ss.scan(none, model).count() == 0 and ss.train(ss.samples(none)) is None
 
 
-def test_op11(spark, documents):
-    df = QUERIES["op11_secrets"](spark, SF_SMALL)
+def test_op11(spark):
+    documents = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    df = QUERIES["op11_secrets"](spark, SF_MID)
     assert not re.search("Python|Pandas|Arrow", plan_text(df))
     rows = {r.doc_id: r for r in df.collect()}
-    assert len(rows) == documents.count()
+    assert len(rows) == documents.count() and sum(r.n_assign for r in rows.values()) > 0
     for d in documents.collect():
         r, want = rows[d.doc_id], base(d.text or "")
         said = ",".join(f"{ss.KINDS[k]}:{a}:{b}" for a, k, b in want)
