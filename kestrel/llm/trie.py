@@ -41,7 +41,7 @@ BLOCK_IDS = 1 << 16
 
 TURNS = "array<struct<id:long,chars:int>>"
 _SEQUENCES = "part int, piece int, ids array<long>, chars array<int>, n long, low long, ends string"
-_NODES = """depth long, turn_id long, conv long, n_convs long, n_children long, n_leaves long, spent long, own long, ends_sha256 string,
+_NODES = """part int, piece int, depth long, turn_id long, conv long, n_convs long, n_children long, n_leaves long, spent long, own long, ends_sha256 string,
 shared boolean, key binary, parent_key binary, parent_conv long"""
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
@@ -72,11 +72,13 @@ def build(convs: DataFrame, shard_turns: int = SHARD_TURNS, block_ids: int = BLO
     merged = nodes.where("shared").groupBy("key").agg(
         *[F.max(c).alias(c) for c in ("depth", "turn_id", "ends_sha256", "parent_key")],
         F.min("conv").alias("conv"),
+        F.min(F.struct("part", "piece")).alias("at"),
         *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "spent", "own")],
     )
-    every = nodes.where("NOT shared").drop("shared", "key").unionByName(merged.drop("key"), allowMissingColumns=True)
-    parents = merged.select(F.col("key").alias("parent_key"), F.col("conv").alias("merged_conv"))
-    return every.join(parents, "parent_key", "left").select(
+    # a shard's rows meet the merged nodes of their own shard, so that the root's children are no hot key
+    parents = nodes.where("shared").select("part", "piece", "key").join(merged.select("key", F.col("conv").alias("merged_conv")), "key")
+    every = nodes.where("NOT shared").unionByName(merged.select("*", "at.*").drop("at"), allowMissingColumns=True)
+    return every.drop("key").join(parents.withColumnRenamed("key", "parent_key"), ["part", "piece", "parent_key"], "left").select(
         "depth",
         "turn_id",
         "conv",
@@ -239,6 +241,8 @@ def _nodes(shard: pa.Table) -> pa.Table:
             chain = keys[tree.parent[node]] + tree.turn[node].to_bytes(8, "big", signed=True) if node else b""
             keys[node] = hashlib.sha256(chain).digest()
     columns = {
+        "part": [shard["part"][0].as_py()] * size,
+        "piece": [shard["piece"][0].as_py()] * size,
         "depth": tree.depth,
         "turn_id": [t if i else None for i, t in enumerate(tree.turn)],
         "conv": smallest,
@@ -253,5 +257,5 @@ def _nodes(shard: pa.Table) -> pa.Table:
         "parent_key": [keys.get(p) for p in tree.parent],
         "parent_conv": [None if p < 0 or p in keys else smallest[p] for p in tree.parent],
     }
-    types = [pa.int64()] * 8 + [pa.string(), pa.bool_(), pa.binary(), pa.binary(), pa.int64()]
+    types = [pa.int32()] * 2 + [pa.int64()] * 8 + [pa.string(), pa.bool_(), pa.binary(), pa.binary(), pa.int64()]
     return pa.table([pa.array(c, t) for c, t in zip(columns.values(), types, strict=True)], list(columns))
