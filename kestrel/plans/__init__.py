@@ -10,6 +10,7 @@ def _load_all() -> None:
         ml_queries,
         parse_queries,
         relational_queries,
+        state_queries,
         stream_queries,
         text_queries,
     )

@@ -14,6 +14,7 @@ from .jobs import (
     run,
     score,
 )
+from .state import MERGE_SESSIONS, distinct, interval_join, late_rows, results, running_counts, sessions, windows
 from .sources import (
     POST_SCHEMA,
     filter_posts,
@@ -28,11 +29,15 @@ from .sources import (
 __all__ = [
     "add_partitions",
     "ETL_PARTITIONS",
+    "MERGE_SESSIONS",
     "POST_SCHEMA",
     "count_batch",
     "count_per_batch",
     "create_partitioned_table",
+    "distinct",
     "filter_posts",
+    "interval_join",
+    "late_rows",
     "land_batch",
     "list_partitions",
     "parse_numbers",
@@ -47,6 +52,10 @@ __all__ = [
     "read_stream",
     "read_text_stream",
     "repair",
+    "results",
     "run",
+    "running_counts",
     "score",
+    "sessions",
+    "windows",
 ]

@@ -32,6 +32,7 @@ def run(
     timeout_s: float | None = None,
     name: str | None = None,
     grace_s: float = 30.0,
+    output_mode: str | None = None,
 ) -> StreamingQuery:
     """Run ``foreach_batch`` on each micro-batch.
 
@@ -44,6 +45,8 @@ def run(
     writer = stream.writeStream.foreachBatch(foreach_batch).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
+    if output_mode:
+        writer = writer.outputMode(output_mode)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif interval:
