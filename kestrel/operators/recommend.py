@@ -6,11 +6,14 @@ checkpoints go to the session's checkpoint folder (see ``kestrel.session``).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import scratch_path, shared_dir
+from .ordered import running
 
 
 RATINGS_PER_BLOCK = 2_000_000
@@ -69,6 +72,69 @@ def predict(model: ALSModel, df: DataFrame, cold_start: str = "nan") -> DataFram
     return model.transform(df)
 
 
+@dataclass
+class KeyedModel:
+    """An ALS model over users and items of any type, with their dictionaries (key, id)."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+    user: str
+    item: str
+
+
+def dictionary(df: DataFrame, column: str) -> DataFrame:
+    """``(key, id)``: the distinct non-null values of ``column`` with dense ids 0, 1, ...
+
+    The values are range-partitioned and numbered with one offset per partition
+    (:func:`kestrel.operators.ordered.running`); the table is written to the shared folder, so ids stay what they are.
+    """
+    keys = df.select(F.col(f"`{column}`").alias("key")).where("key IS NOT NULL").distinct()
+    path = scratch_path(df.sparkSession, "dictionary")
+    numbered = running(keys, ["key"], number="id", unique=True).select("key", (F.col("id") - 1).alias("id"))
+    numbered.write.parquet(path)
+    return df.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
+#: spark.ml's ALS takes ids below this.
+MAX_IDS = 2**31 - 1
+
+
+def _with_ids(df: DataFrame, users: DataFrame, items: DataFrame, user: str, item: str) -> DataFrame:
+    """``df`` plus ``_user`` and ``_item``; -1 where a key is null or in no dictionary."""
+    for ids, column, name in ((users, user, "_user"), (items, item, "_item")):
+        found = ids.select(F.col("key").alias("_key"), F.col("id").cast("int").alias("_id"))
+        df = df.join(found, F.col(f"`{column}`") == F.col("_key"), "left").withColumn(name, F.coalesce("_id", F.lit(-1))).drop("_key", "_id")
+    return df
+
+
+def fit_keyed(ratings: DataFrame, user: str = "userId", item: str = "movieId", rating: str = "rating", **options) -> KeyedModel:
+    """M4 for string or 64-bit users and items: :func:`fit` over dictionary ids.
+
+    Rows with a null user, item or rating are left out. ``options`` as for :func:`fit`.
+    """
+    users, items = dictionary(ratings, user), dictionary(ratings, item)
+    for ids, name in ((users, user), (items, item)):
+        n = ids.count()
+        if n > MAX_IDS:
+            raise ValueError(f"{n} different values of {name}; ALS takes at most {MAX_IDS}")
+    coded = _with_ids(ratings.where(F.col(rating).isNotNull()), users, items, user, item).where("_user >= 0 AND _item >= 0")
+    model = fit(coded.select("_user", "_item", F.col(rating).alias("_rating")), user="_user", item="_item", rating="_rating", **options)
+    return KeyedModel(model, users, items, user, item)
+
+
+def predict_keyed(model: KeyedModel, df: DataFrame, cold_start: str = "nan") -> DataFrame:
+    """M5 for :func:`fit_keyed`: ``df`` plus ``prediction``; null and unseen keys give NaN or are dropped."""
+    coded = _with_ids(df, model.users, model.items, model.user, model.item)
+    return predict(model.model, coded, cold_start).drop("_user", "_item")
+
+
+def factors(model: KeyedModel) -> tuple[DataFrame, DataFrame]:
+    """``(key, features)`` of the users and of the items, under their own keys."""
+    users, items = ((ids.join(f, "id").select("key", "features")) for ids, f in ((model.users, model.model.userFactors), (model.items, model.model.itemFactors)))
+    return users, items
+
+
 def score_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """M6: predictions for given ``(user, item)`` pairs (no rating column needed)."""
     return predict(model, pairs, "nan")

@@ -6,8 +6,10 @@ from .registry import ORACLE_SQL, QUERIES, table
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from . import (  # noqa: F401
+        aggregate_queries,
         graph_queries,
         ml_queries,
+        ordered_queries,
         parse_queries,
         relational_queries,
         state_queries,

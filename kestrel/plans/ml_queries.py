@@ -167,6 +167,32 @@ def als_false_positive_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.false_positives(rec.predict(model, test), _items(spark, sf_dir), low=FP_LOW, high=FP_HIGH, limit=100)
 
 
+def _named(df: DataFrame) -> DataFrame:
+    """The same ratings under other keys: users as text, items as 64-bit numbers beyond an int."""
+    user = F.concat(F.lit("customer/"), F.sha1(F.col("userId").cast("string")))
+    return df.select(user.alias("userId"), (F.col("movieId").cast("long") * 3_000_000_019).alias("movieId"), "rating")
+
+
+@query("als_keyed_facts", f"""with r as (select 'customer/' || sha1(o_custkey::varchar) u, l_partkey::bigint * 3000000019 i, l_shipdate >= timestamp '{SPLIT_DATE}' test
+  from lineitem join orders on l_orderkey = o_orderkey),
+f as (select test, u in (select u from r where not test) and i in (select i from r where not test) known from r)
+select count(*) n, sum((not known)::int)::bigint n_nan, sum(known::int)::bigint n_known, 0::bigint n_bad from f where test""")
+def als_keyed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 on wide keys: predictions for all test pairs, NaN exactly for users or items unseen in training."""
+    train, test = _split(spark, sf_dir)
+    model = rec.fit_keyed(_named(train))
+    out = rec.predict_keyed(model, _named(test))
+    nan = F.isnan("prediction")
+    bad = F.col("prediction").isNull() | (~nan & (F.abs("prediction") > 100))
+    return out.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in (("n", F.lit(True)), ("n_nan", nan), ("n_known", ~nan), ("n_bad", bad))])
+
+
+@query("als_keyed_predict")
+def als_keyed_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _split(spark, sf_dir)
+    return rec.predict_keyed(rec.fit_keyed(_named(train)), _named(test))
+
+
 @query("als_score_pairs")
 def als_score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test = _als(spark, sf_dir)
