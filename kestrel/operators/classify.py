@@ -142,54 +142,79 @@ def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothin
     return NBTables(word_counts, labels, log_prior, log_den, smoothing, vocab, feature_space, hashed)
 
 
+#: Up to so many classes a word's gains are columns that are summed side by side; beyond, rows.
+WIDE_CLASSES = 64
+
+
 def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: str = "text",
                    prediction: str = "prediction", keep: list[str] | None = None) -> DataFrame:
     """M3 (exact form): one prediction for every row of ``df``, with the columns ``keep`` (default: ``doc``).
 
     score(c) = log_prior(c) + sum over in-vocabulary words w of
     k(row, w) * (ln(n(c, w) + s) - ln_den(c)); unseen words are ignored unless the model
-    has a feature space. Rows are told apart by a number given before their words are
-    exploded, so repeated keys and equal texts stay rows of their own. One scan: the
-    kept columns ride on the row's first word, rows without words keep one empty entry.
-    The word table is joined by its written size: a small one is broadcast, else adaptive
-    execution splits hot words.
+    has a feature space.
+
+    Rows go by a 128-bit hash of their kept columns and text, so nothing depends on how rows are
+    numbered when a task runs again; equal rows share one score and come back as often as they
+    came in. A row's words are counted first (on the map side), then joined to the word
+    table, by its written size: a small one is broadcast, else adaptive execution splits hot
+    words. Texts and kept columns are not shuffled with the words; the scores are joined back once.
     """
     keep = [doc] if keep is None else keep
-    s, n = model.smoothing, len(model.labels)
-    ln_s = math.log(s)
     names = [f"_kept{i}" for i in range(len(keep))]
-    # the number is given in a projection of its own: beside the explode it would count words
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).alias(k) for c, k in zip(keep, names, strict=True)],
-                     _words(text, model.hashed, model.feature_space).alias("_words"))
-    rows = rows.select("_row", *names, F.posexplode_outer("_words").alias("_at", "word"))
-    # ``_at`` is null for a row without words
-    lead = F.coalesce(F.col("_at"), F.lit(0)) == 0
-    toks = rows.select("_row", "word", *[F.when(lead, F.col(k)).alias(k) for k in names])
-    hit = F.lit(1) if model.feature_space else F.when(F.col("counts").isNotNull(), 1).otherwise(0)
-    known = F.when(F.col("word").isNull(), 0).otherwise(hit)
-    joined = toks.join(model.word_counts, "word", "left").select("_row", *names, known.alias("_k"), F.posexplode_outer("counts").alias("_i", "_c"))
-    # a word is counted once, with the first of its classes (``_i`` is null for an unknown word)
-    once = F.coalesce(F.col("_i"), F.lit(0)) == 0
-    gain = F.log(F.col("_c.n") + F.lit(s)) - F.lit(ln_s)
-    per_class = joined.groupBy("_row", F.col("_c.y").alias("_y")).agg(
-        F.sum(F.when(once, F.col("_k")).otherwise(0)).alias("_k"), F.sum(gain).alias("_s"),
-        *[F.first(F.when(once, F.col(k)), ignorenulls=True).alias(k) for k in names],
-    )
-    per_row = per_class.groupBy("_row").agg(
-        F.sum("_k").alias("_K"), F.collect_list(F.struct("_y", "_s")).alias("_sums"), *[F.first(k, ignorenulls=True).alias(k) for k in names]
-    )
-    kept = [F.col(k).alias(c) for c, k in zip(keep, names, strict=True)]
-    if n == 0:
-        return per_row.select(*kept, F.lit(None).alias(prediction))
-    label_type = per_class.schema["_y"].dataType
+    source = df.select(*[F.col(c).alias(k) for c, k in zip(keep, names, strict=True)], F.col(text).alias("_text"))
+    rows = source.select(F.xxhash64(*names, "_text").alias("_k1"), F.xxhash64(F.lit(1), "_text", *names).alias("_k2"), *names, "_text")
+    key = ["_k1", "_k2"]
+    label_type = model.word_counts.schema["counts"].dataType.elementType["y"].dataType
+    if not model.labels:
+        return rows.select(*[F.col(k).alias(c) for c, k in zip(keep, names, strict=True)], F.lit(None).cast(label_type).alias(prediction))
+
+    words = rows.select(*key, F.posexplode(_words("_text", model.hashed, model.feature_space)).alias("_at", "word"))
+    # ``_copies``: the row's first word occurs once per copy of the row
+    counted = words.groupBy(*key, "word").agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_at") == 0, 1)).alias("_copies"))
+    scores = _wide_scores(model, counted, key) if len(model.labels) <= WIDE_CLASSES else _long_scores(model, counted, key)
+    ln_s = math.log(model.smoothing)
     classes = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(y).cast(label_type).alias("y"), F.lit(p).alias("prior"), F.lit(d).alias("den"))
                         for i, (y, p, d) in enumerate(zip(model.labels, model.log_prior, model.log_denominator, strict=True))])
 
     def score(c: Column) -> Column:
-        own = F.get(F.filter("_sums", lambda x: x["_y"].eqNullSafe(c["y"])), 0)["_s"]
-        total = c["prior"] + F.coalesce(own, F.lit(0.0)) + F.col("_K").cast("double") * (F.lit(ln_s) - c["den"])
+        copies = F.coalesce("_copies", F.lit(1))
+        own = F.coalesce(F.element_at("_gains", c["i"]), F.lit(0.0)) / copies
+        known = F.coalesce("_known", F.lit(0)) / copies  # a row without words has no scores
         # Highest score wins; on a tie the earlier class (lower index) wins, as in spark.ml.
-        return F.struct(total.alias("score"), (-c["i"]).alias("order"), c["y"].alias("label"))
+        return F.struct((c["prior"] + own + known * (F.lit(ln_s) - c["den"])).alias("score"), (-c["i"]).alias("order"), c["y"].alias("label"))
 
+    joined = rows.drop("_text").join(scores, key, "left")
     best = F.array_max(F.transform(classes, score))
-    return per_row.select(*kept, best["label"].alias(prediction))
+    return joined.select(*[F.col(k).alias(c) for c, k in zip(keep, names, strict=True)], best["label"].alias(prediction))
+
+
+def _gain(model: NBTables, n: Column) -> Column:
+    return F.log(n + F.lit(model.smoothing)) - F.lit(math.log(model.smoothing))
+
+
+def _wide_scores(model: NBTables, counted: DataFrame, key: list[str]) -> DataFrame:
+    """key, _known, _copies, _gains (map from class index): one sum per class."""
+    def of(y) -> Column:
+        return F.coalesce(_gain(model, F.get(F.filter("counts", lambda c: c["y"].eqNullSafe(F.lit(y))), 0)["n"]), F.lit(0.0))
+
+    table = model.word_counts.select("word", *[of(y).alias(f"_g{i}") for i, y in enumerate(model.labels)])
+    hit = F.lit(True) if model.feature_space else F.col("_g0").isNotNull()
+    sums = [F.sum(F.col("_n") * F.coalesce(f"_g{i}", F.lit(0.0))).alias(f"_g{i}") for i in range(len(model.labels))]
+    summed = counted.join(table, "word", "left").groupBy(*key).agg(F.sum(F.when(hit, F.col("_n")).otherwise(0)).alias("_known"), F.sum("_copies").alias("_copies"), *sums)
+    pairs = [c for i in range(len(model.labels)) for c in (F.lit(i), F.col(f"_g{i}"))]
+    return summed.select(*key, "_known", "_copies", F.create_map(*pairs).alias("_gains"))
+
+
+def _long_scores(model: NBTables, counted: DataFrame, key: list[str]) -> DataFrame:
+    """The same with a row per class that shares a word with the text."""
+    index = F.create_map(*[x for i, y in enumerate(model.labels) if y is not None for x in (F.lit(y), F.lit(i))])
+    null = model.labels.index(None) if None in model.labels else None
+    joined = counted.join(model.word_counts, "word", "left")
+    hit = F.lit(True) if model.feature_space else F.col("counts").isNotNull()
+    totals = joined.groupBy(*key).agg(F.sum(F.when(hit, F.col("_n")).otherwise(0)).alias("_known"), F.sum("_copies").alias("_copies"))
+    per_class = joined.select(*key, "_n", F.explode("counts").alias("_c"))
+    at = F.coalesce(F.try_element_at(index, F.col("_c.y")), F.lit(null))
+    gains = per_class.groupBy(*key, at.alias("_i")).agg(F.sum(F.col("_n") * _gain(model, F.col("_c.n"))).alias("_g"))
+    gains = gains.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("_i", "_g"))).alias("_gains"))
+    return totals.join(gains, key, "left")

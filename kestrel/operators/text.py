@@ -24,6 +24,7 @@ from pyspark.sql.types import IntegralType
 
 from ..functions import basename, normalize, tokenize
 from ..sources.stopwords import SPANISH_STOP_WORDS
+from .ordered import running
 
 DEFAULT_BLOCK_SIZE = 100_000
 
@@ -79,6 +80,7 @@ def postings(
     block_size: int = DEFAULT_BLOCK_SIZE,
     as_text: bool = True,
     sort: bool = False,
+    by_rank: bool = False,
 ) -> DataFrame:
     """Per word and block, the ``(doc, n)`` list sorted by (-n, doc).
 
@@ -87,6 +89,10 @@ def postings(
     than ``block_size`` documents (all of them, below that many documents) has
     a single block 0.
 
+    Blocks are ranges of document numbers (strings: hash buckets). ``by_rank=True`` makes them by
+    the document's place among the word's documents instead: every block but the last is full
+    whatever the ids are, for one more pass over the counts.
+
     ``sort=True`` returns the rows ordered by (word, block) (O2) with a single
     shuffle: the counts are range-partitioned on (word, block) before grouping
     (that partitioning already clusters each group, so the aggregate adds no
@@ -94,7 +100,11 @@ def postings(
     land in different ranges; one block holds at most ``block_size`` entries.
     """
     dtype = counts.schema[doc].dataType
-    if isinstance(dtype, IntegralType):
+    if by_rank:
+        # (word, doc) is unique in counts; numbered over range partitions, so a hot word is many tasks
+        blocked = running(counts, [doc], keys=["word"], number="_nth", unique=True)
+        blocked = blocked.withColumn("block", F.expr(f"(_nth - 1) div {int(block_size)}")).drop("_nth")
+    elif isinstance(dtype, IntegralType):
         # Integral division (a double quotient would round ids above 2^53).
         blocked = counts.withColumn("block", F.expr(f"`{doc}` div {int(block_size)}").cast("long"))
     else:

@@ -64,6 +64,18 @@ def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nb.predict_tables(model, docs, doc="doc_id", text="text", prediction="pred")
 
 
+_MOOD = "case when toxic = 1 then 0 when quality = 0 then 2 else 4 end"
+
+
+@query("nb_three_labels", nb_oracle_sql().replace("l.quality y", f"{_MOOD} y").replace("select quality y", f"select {_MOOD} y"))
+def nb_three_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 / M3 with the original job's labels 0, 2 and 4: toxic, poor and good documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.expr(_MOOD).alias("label"))
+    model = nb.fit_tables(docs.join(labels, "doc_id"), text="text", label="label")
+    return nb.predict_tables(model, docs, doc="doc_id", text="text", prediction="pred")
+
+
 @query("nb_hash_space_predict", nb_oracle_sql(feature_space=nb.HASH_FEATURES))
 def nb_hash_space_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original job's model (2^20 hashed features) computed exactly, i.e. without

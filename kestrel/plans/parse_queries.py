@@ -19,9 +19,11 @@ from ..sources import (
     parse_ratings,
     parse_vectors,
     read_csv,
+    read_csv_records,
     read_csv_strings,
     read_lines,
     write,
+    write_csv_records,
 )
 from .registry import query, table
 
@@ -155,6 +157,19 @@ def csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=schema, names=["polarity", "id", "date", "query", "user", "tweet"], **CSV_EXACT)
 
 
+@query(
+    "csv_records",
+    """select doc_id, lang, case when doc_id % 9 <> 0 then source end source, 'a' || chr(30) || '"b|,' || chr(10) || chr(31) || 'e ' || text || chr(13) || chr(10) as text from documents""",
+)
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free text with line breaks, quotes and the control characters themselves, in files that can be split."""
+    odd = F.concat(F.lit('a\x1e"b|,\n\x1fe '), F.col("text"), F.lit("\r\n"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", F.when(F.col("doc_id") % 9 != 0, F.col("source")).alias("source"), odd.alias("text"))
+    path = scratch_path(spark, "csv-records")
+    write_csv_records(rows, path)
+    return read_csv_records(spark, path, "doc_id long, lang string, source string, text string")
+
+
 @query("read_lines_counts", """select line, count(*) n from (select unnest(string_split(replace(replace(text, chr(13) || chr(10), chr(10)),
 chr(13), chr(10)), chr(10))) line from documents) group by 1""")
 def read_lines_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,17 @@
 """Sources, parsers and sinks."""
 
-from .files import CSV_EXACT, format_pairs, read_csv, read_csv_strings, read_documents, read_lines, write
+from .files import (
+    CSV_EXACT,
+    CSV_RECORDS,
+    format_pairs,
+    read_csv,
+    read_csv_records,
+    read_csv_strings,
+    read_documents,
+    read_lines,
+    write,
+    write_csv_records,
+)
 from .parsers import (
     MOVIE_SCHEMA,
     RATING_SCHEMA,
@@ -14,6 +25,7 @@ from .stopwords import SPANISH_STOP_WORDS, stop_words_frame
 
 __all__ = [
     "CSV_EXACT",
+    "CSV_RECORDS",
     "MOVIE_SCHEMA",
     "RATING_SCHEMA",
     "SPANISH_STOP_WORDS",
@@ -24,9 +36,11 @@ __all__ = [
     "parse_ratings",
     "parse_vectors",
     "read_csv",
+    "read_csv_records",
     "read_csv_strings",
     "read_documents",
     "read_lines",
     "stop_words_frame",
     "write",
+    "write_csv_records",
 ]

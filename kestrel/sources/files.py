@@ -82,6 +82,37 @@ def read_csv(
     return df.toDF(*names) if names else df
 
 
+#: CSV settings of files whose records end with U+001E and hold that character nowhere else: line
+#: breaks in texts are plain characters, so Spark splits such files over tasks (``multiLine`` cannot).
+CSV_RECORDS = {**CSV_EXACT, "multiLine": "false", "lineSep": "\x1e"}
+_ESCAPE, _END = "\x1f", "\x1e"
+
+
+def write_csv_records(df: DataFrame, path: str, partition_by: list[str] | str | None = None) -> None:
+    """K1: free text as CSV that can be split: records end with U+001E.
+
+    A U+001E inside a text is written as U+001F "e" and a U+001F as U+001F "f", which
+    :func:`read_csv_records` takes back.
+    """
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+
+    def safe(name: str):
+        return F.replace(F.replace(F.col(f"`{name}`"), F.lit(_ESCAPE), F.lit(_ESCAPE + "f")), F.lit(_END), F.lit(_ESCAPE + "e"))
+
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in parts]
+    write(df.withColumns({c: safe(c) for c in texts}), path, fmt="csv", partition_by=parts, **CSV_RECORDS)
+
+
+def read_csv_records(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """Files of :func:`write_csv_records`, split over tasks, every text as it was."""
+    df = spark.read.schema(schema).options(**CSV_RECORDS).csv(path)
+
+    def plain(name: str):
+        return F.replace(F.replace(F.col(f"`{name}`"), F.lit(_ESCAPE + "e"), F.lit(_END)), F.lit(_ESCAPE + "f"), F.lit(_ESCAPE))
+
+    return df.withColumns({f.name: plain(f.name) for f in df.schema.fields if isinstance(f.dataType, StringType)})
+
+
 def format_pairs(df: DataFrame, name: str = "name", text: str = "text") -> DataFrame:
     """The crawl's text format: one ``(name,text)`` line per row -> ``(value)``."""
     return df.select(F.concat(F.lit("("), F.col(name).cast("string"), F.lit(","), F.col(text), F.lit(")")).alias("value"))

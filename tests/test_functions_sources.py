@@ -213,3 +213,21 @@ def test_csv_exact_round_trip(spark, tmp_dir):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     write(df, f"{tmp_dir}/c", fmt="csv", **CSV_EXACT)
     assert rows(read_csv(spark, f"{tmp_dir}/c", "i int, t string", **CSV_EXACT)) == list(enumerate(texts))
+
+
+def test_csv_records_split_and_every_text_comes_back(spark, tmp_dir):
+    from kestrel.sources import read_csv_records, write_csv_records
+
+    texts = ['a\n"b",|\r\n', "", " ", "\x1e", "\x1f", "\x1fe\x1ff\x1e\x1f", None, "null", "é x", '"', "x" * 3000 + "\n" * 50]
+    df = spark.createDataFrame([(i, t, "p%d" % (i % 2)) for i, t in enumerate(texts * 40)], "id long, t string, p string")
+    write_csv_records(df.coalesce(1), f"{tmp_dir}/c")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        back = read_csv_records(spark, f"{tmp_dir}/c", "id long, t string, p string")
+        assert back.rdd.getNumPartitions() > 3  # one file, many tasks
+        assert rows(back) == rows(df)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    write_csv_records(df, f"{tmp_dir}/d", partition_by="p")
+    assert rows(read_csv_records(spark, f"{tmp_dir}/d", "id long, t string, p string")) == rows(df)

@@ -204,3 +204,27 @@ def test_als_blocks_follow_the_ratings(spark, monkeypatch):
     monkeypatch.setattr(rec, "RATINGS_PER_BLOCK", 10)
     rec.fit(ratings, max_iter=1)
     assert seen["numUserBlocks"] == seen["numItemBlocks"] == 20
+
+
+def test_predictions_do_not_depend_on_row_order_and_repeats_come_back(spark):
+    train = spark.createDataFrame([("good good nice", 4), ("bad sad", 0), ("bad meh", 2)], "text string, label int")
+    posts = [("hot", "good day")] * 300 + [("hot", "bad sad")] * 5 + [("hot", None)] * 3 + [(None, "meh meh")]
+    df = spark.createDataFrame(posts, "name string, text string").repartition(6)  # an unordered shuffle before
+    for options in ({}, {"feature_space": 1 << 20}, {"feature_space": 1 << 20, "hashed": True}):
+        model = nb.fit_tables(train, **options)
+        got = rows(nb.predict_tables(model, df, keep=["name", "text"]).select("name", "text", "prediction"))
+        assert {t: p for _, t, p in got if t} == {"good day": 4, "bad sad": 0, "meh meh": 2}
+        assert sorted(map(repr, ((n, t) for n, t, _ in got))) == sorted(map(repr, posts))
+
+
+def test_wide_and_long_scores_agree(spark, monkeypatch):
+    train = spark.createDataFrame([(f"w{i % 9} w{i % 4} x", None if i == 3 else i % 7) for i in range(60)], "text string, label int")
+    docs = spark.createDataFrame([(i, f"w{i % 9} w{i % 5} new x x") for i in range(40)] + [(99, "")], "doc_id long, text string")
+    for options in ({}, {"feature_space": 1 << 10, "hashed": True}):
+        model = nb.fit_tables(train, **options)
+        wide = rows(nb.predict_tables(model, docs))
+        monkeypatch.setattr(nb, "WIDE_CLASSES", 0)
+        assert rows(nb.predict_tables(model, docs)) == wide
+        monkeypatch.undo()
+    empty = nb.fit_tables(train.where("false"))
+    assert rows(nb.predict_tables(empty, docs.limit(1))) == [(0, None)]

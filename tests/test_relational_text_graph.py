@@ -238,3 +238,14 @@ def test_postings_sorted_output_is_global_order(spark):
     assert hashed and all("doc_id" in h for h in hashed)  # only the counts' shuffle is hashed
     assert "Exchange rangepartitioning(word" in plan  # the postings need just one range shuffle
     assert rows(out) == rows(tx.postings(counts, doc="doc_id", block_size=50))
+
+
+def test_postings_by_rank_fill_their_blocks(spark):
+    # a hot word in 95 documents with scattered numbers, string ids too
+    docs = spark.createDataFrame([(i * 7_919_317, "hot" + (" rare" if i % 30 == 0 else "")) for i in range(95)], "doc_id long, text string")
+    for df in (docs, docs.withColumn("doc_id", F.sha1(F.col("doc_id").cast("string")))):
+        counts = tx.term_counts(df, doc="doc_id", text="text")
+        out = tx.postings(counts, doc="doc_id", block_size=10, as_text=False, by_rank=True)
+        sizes = {(r.word, r.block): len(r.postings) for r in out.collect()}
+        assert sizes == {**{("hot", b): 10 for b in range(9)}, ("hot", 9): 5, ("rare", 0): 4}
+        assert out.selectExpr("explode(postings) AS p").select("p.doc").distinct().count() == 95

@@ -190,3 +190,20 @@ def test_add_partitions_in_many_statements(spark, tmp_dir):
         assert st.list_partitions(spark, name).count() == 25
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_batch_of_one_task_lands_without_a_shuffle(spark, tmp_dir):
+    df = spark.range(0, 1000, 1, 1).select(F.col("id"), F.expr("date_add(date'2024-01-01', int(id % 10))").alias("d"))
+    st.land_batch(df, 0, f"{tmp_dir}/etl", "d", ["id"])
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp_dir}/etl").where("path like '%.csv'").count()
+    assert files == 10 and st.read_partitioned(spark, f"{tmp_dir}/etl", [("id", "long")]).count() == 1000
+
+
+def test_posts_of_kafka_rows(spark):
+    # the columns of Kafka's source; values are bytes, one of them no JSON, one null
+    recs = [json.dumps({"user": {"lang": "en", "name": "a"}, "text": "Warm day", "possiblySensitive": False}).encode(), b"{broken", None,
+            json.dumps({"user": {"lang": "en", "name": "b"}, "text": "cold", "possiblySensitive": True}).encode()]
+    schema = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int"
+    df = spark.createDataFrame([(None, r, "posts", 0, i, None, 0) for i, r in enumerate(recs)], schema)
+    posts = st.parse_posts(df)
+    assert posts.count() == 4 and rows(st.filter_posts(posts)) == [("a", "Warm day")]
