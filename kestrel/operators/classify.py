@@ -102,6 +102,10 @@ def _words(text: str, hashed: bool, feature_space: int | None) -> Column:
     return F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(feature_space)).cast("string"))
 
 
+#: Up to so many classes a word's counts and gains are columns side by side; beyond, rows.
+WIDE_CLASSES = 64
+
+
 def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothing: float = 1.0,
                feature_space: int | None = None, hashed: bool = False) -> NBTables:
     """M2 (exact form): per-class word counts as a DataFrame; class totals on the driver.
@@ -111,9 +115,9 @@ def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothin
     smoothed zero count), which is the model a hashed feature space of that size gives,
     minus hash collisions; ``hashed=True`` adds those too (words become hash numbers).
 
-    Classes are counted as rows (word, class, n), pre-aggregated on the map side, so
-    neither many classes nor a class with most of the rows gathers in one task. The
-    word table is written to the shared folder.
+    Words are counted per class side by side, pre-aggregated on the map side (beyond
+    ``WIDE_CLASSES`` classes as rows (word, class, n)), so neither many classes nor a class with most
+    of the rows gathers in one task. The word table is written to the shared folder.
     """
     if hashed and not feature_space:
         raise ValueError("hashed=True needs feature_space")
@@ -123,11 +127,17 @@ def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothin
     labels = [r["_y"] for r in classes]
 
     toks = rows.select("_y", F.explode(_words("_t", hashed, feature_space)).alias("word"))
-    counted = toks.groupBy("word", "_y").agg(F.count(F.lit(1)).alias("n"))
     # The model table is used by every later prediction (every micro-batch of a
     # stream): write it once to the shared folder, which also cuts its lineage (a lost
     # executor never re-runs the training) and tells the planner its size.
-    word_counts = counted.groupBy("word").agg(F.collect_list(F.struct(F.col("_y").alias("y"), "n")).alias("counts"))
+    if 0 < len(labels) <= WIDE_CLASSES:  # one shuffle, a count per class side by side
+        label_type = rows.schema["_y"].dataType
+        counts = [F.count(F.when(F.col("_y").eqNullSafe(F.lit(y)), 1)).alias(f"_n{i}") for i, y in enumerate(labels)]
+        pairs = F.array(*[F.struct(F.lit(y).cast(label_type).alias("y"), F.col(f"_n{i}").alias("n")) for i, y in enumerate(labels)])
+        word_counts = toks.groupBy("word").agg(*counts).select("word", F.filter(pairs, lambda c: c["n"] > 0).alias("counts"))
+    else:
+        counted = toks.groupBy("word", "_y").agg(F.count(F.lit(1)).alias("n"))
+        word_counts = counted.groupBy("word").agg(F.collect_list(F.struct(F.col("_y").alias("y"), "n")).alias("counts"))
     path = scratch_path(df.sparkSession, "word-counts")
     word_counts.write.parquet(path)
     word_counts = df.sparkSession.read.schema(word_counts.schema).parquet(path)
@@ -142,10 +152,6 @@ def fit_tables(df: DataFrame, text: str = "text", label: str = "label", smoothin
     return NBTables(word_counts, labels, log_prior, log_den, smoothing, vocab, feature_space, hashed)
 
 
-#: Up to so many classes a word's gains are columns that are summed side by side; beyond, rows.
-WIDE_CLASSES = 64
-
-
 def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: str = "text",
                    prediction: str = "prediction", keep: list[str] | None = None) -> DataFrame:
     """M3 (exact form): one prediction for every row of ``df``, with the columns ``keep`` (default: ``doc``).
@@ -156,8 +162,8 @@ def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: st
 
     Rows go by a 128-bit hash of their kept columns and text, so nothing depends on how rows are
     numbered when a task runs again; equal rows share one score and come back as often as they
-    came in. A row's words are counted first (on the map side), then joined to the word
-    table, by its written size: a small one is broadcast, else adaptive execution splits hot
+    came in. The words are joined to the word table, by its written size: a small one is
+    broadcast and each row's sums are made on the map side, else adaptive execution splits hot
     words. Texts and kept columns are not shuffled with the words; the scores are joined back once.
     """
     keep = [doc] if keep is None else keep
@@ -170,9 +176,7 @@ def predict_tables(model: NBTables, df: DataFrame, doc: str = "doc_id", text: st
         return rows.select(*[F.col(k).alias(c) for c, k in zip(keep, names, strict=True)], F.lit(None).cast(label_type).alias(prediction))
 
     words = rows.select(*key, F.posexplode(_words("_text", model.hashed, model.feature_space)).alias("_at", "word"))
-    # ``_copies``: the row's first word occurs once per copy of the row
-    counted = words.groupBy(*key, "word").agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_at") == 0, 1)).alias("_copies"))
-    scores = _wide_scores(model, counted, key) if len(model.labels) <= WIDE_CLASSES else _long_scores(model, counted, key)
+    scores = _wide_scores(model, words, key) if len(model.labels) <= WIDE_CLASSES else _long_scores(model, words, key)
     ln_s = math.log(model.smoothing)
     classes = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(y).cast(label_type).alias("y"), F.lit(p).alias("prior"), F.lit(d).alias("den"))
                         for i, (y, p, d) in enumerate(zip(model.labels, model.log_prior, model.log_denominator, strict=True))])
@@ -193,28 +197,33 @@ def _gain(model: NBTables, n: Column) -> Column:
     return F.log(n + F.lit(model.smoothing)) - F.lit(math.log(model.smoothing))
 
 
-def _wide_scores(model: NBTables, counted: DataFrame, key: list[str]) -> DataFrame:
+def _totals(hit: Column) -> list[Column]:
+    """Known words, and copies of the row: its first word occurs once in each."""
+    return [F.count(F.when(hit, 1)).alias("_known"), F.count(F.when(F.col("_at") == 0, 1)).alias("_copies")]
+
+
+def _wide_scores(model: NBTables, words: DataFrame, key: list[str]) -> DataFrame:
     """key, _known, _copies, _gains (map from class index): one sum per class."""
     def of(y) -> Column:
         return F.coalesce(_gain(model, F.get(F.filter("counts", lambda c: c["y"].eqNullSafe(F.lit(y))), 0)["n"]), F.lit(0.0))
 
     table = model.word_counts.select("word", *[of(y).alias(f"_g{i}") for i, y in enumerate(model.labels)])
     hit = F.lit(True) if model.feature_space else F.col("_g0").isNotNull()
-    sums = [F.sum(F.col("_n") * F.coalesce(f"_g{i}", F.lit(0.0))).alias(f"_g{i}") for i in range(len(model.labels))]
-    summed = counted.join(table, "word", "left").groupBy(*key).agg(F.sum(F.when(hit, F.col("_n")).otherwise(0)).alias("_known"), F.sum("_copies").alias("_copies"), *sums)
+    sums = [F.sum(F.coalesce(f"_g{i}", F.lit(0.0))).alias(f"_g{i}") for i in range(len(model.labels))]
+    summed = words.join(table, "word", "left").groupBy(*key).agg(*_totals(hit), *sums)
     pairs = [c for i in range(len(model.labels)) for c in (F.lit(i), F.col(f"_g{i}"))]
     return summed.select(*key, "_known", "_copies", F.create_map(*pairs).alias("_gains"))
 
 
-def _long_scores(model: NBTables, counted: DataFrame, key: list[str]) -> DataFrame:
+def _long_scores(model: NBTables, words: DataFrame, key: list[str]) -> DataFrame:
     """The same with a row per class that shares a word with the text."""
     index = F.create_map(*[x for i, y in enumerate(model.labels) if y is not None for x in (F.lit(y), F.lit(i))])
     null = model.labels.index(None) if None in model.labels else None
-    joined = counted.join(model.word_counts, "word", "left")
+    joined = words.join(model.word_counts, "word", "left")
     hit = F.lit(True) if model.feature_space else F.col("counts").isNotNull()
-    totals = joined.groupBy(*key).agg(F.sum(F.when(hit, F.col("_n")).otherwise(0)).alias("_known"), F.sum("_copies").alias("_copies"))
-    per_class = joined.select(*key, "_n", F.explode("counts").alias("_c"))
+    totals = joined.groupBy(*key).agg(*_totals(hit))
+    per_class = joined.select(*key, F.explode("counts").alias("_c"))
     at = F.coalesce(F.try_element_at(index, F.col("_c.y")), F.lit(null))
-    gains = per_class.groupBy(*key, at.alias("_i")).agg(F.sum(F.col("_n") * _gain(model, F.col("_c.n"))).alias("_g"))
+    gains = per_class.groupBy(*key, at.alias("_i")).agg(F.sum(_gain(model, F.col("_c.n"))).alias("_g"))
     gains = gains.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("_i", "_g"))).alias("_gains"))
     return totals.join(gains, key, "left")
