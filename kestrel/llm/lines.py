@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from .common import fresh, ref, staged
 
 RATIO = 0.2
-#: Not used here: OP5_SQL still exempts smaller sites.
-MIN_PAGES = 5
 
 #: Elements that begin a new line; fixed values.
 BLOCK_TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|meta|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|title|tr|ul"
