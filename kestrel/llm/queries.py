@@ -147,7 +147,7 @@ WITH p AS (
 ), t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 l AS (SELECT host, unnest(list_distinct(lines)) AS line FROM p),
 f AS (SELECT host, line, count(*) AS n FROM l GROUP BY host, line),
-b AS (SELECT f.host, list(line) AS drop_ FROM f JOIN t ON f.host = t.host WHERE n > 1 AND pages >= {lines.MIN_PAGES} AND n > {lines.RATIO} * pages GROUP BY f.host),
+b AS (SELECT f.host, list(line) AS drop_ FROM f JOIN t ON f.host = t.host WHERE n > 1 AND n > {lines.RATIO} * pages GROUP BY f.host),
 k AS (
   SELECT page_id, url, len(lines) AS n_lines, list_filter(lines, lambda x: NOT list_contains(coalesce(drop_, []), x)) AS kept
   FROM p LEFT JOIN b ON p.host = b.host
@@ -156,10 +156,10 @@ SELECT page_id, url, array_to_string(kept, chr(10)) AS clean_text, n_lines, n_li
 """
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A bigram Katz model of nine tenths of the documents; all documents scored."""
+    """A trigram Katz model of nine tenths of the documents; all documents scored."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 10 == 0
-    model = katz.fit(docs, ~held_out, order=2)
+    model = katz.fit(docs, ~held_out, order=3)
     rows = staged(katz.score(model), "lm-scores")
     model.close()
     return rows.select(

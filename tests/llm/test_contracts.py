@@ -61,7 +61,7 @@ def test_op3(spark, docs):
 def test_op6(spark, docs):
     _, rows = run(spark, "op6_lm_scoring")
     train = [zlib.crc32(str(d["doc_id"]).encode()) % 10 != 0 for d in docs]
-    scores, count, _, _ = katz_scores([d["text"] for d in docs], train, 2)
+    scores, count, _, _ = katz_scores([d["text"] for d in docs], train, 3)
     want = {d["doc_id"]: (not t, s) for d, t, s in zip(docs, train, scores)}
     assert len(rows) == len(want)
     for r in rows:
