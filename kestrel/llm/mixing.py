@@ -6,8 +6,8 @@
    two-level prefix sum (slices of the hash, then rows inside a slice) gives every
    row its exact position in words without gathering a source anywhere.
 3. The order is cut into blocks of ``block_size`` words. A source's target is its
-   quota: so many whole passes, then blocks from the start of the order, then the
-   rows of the one block where the quota ends that still fit.
+   quota: so many whole passes, then blocks from the start of the order, then, in
+   order, the rows of the next ``LOOK`` blocks that still fit.
 4. The quotas of all sources (block copies) are split among ``shards`` outputs by a
    binary tree. Every node draws from a multivariate hypergeometric law how many
    block copies of each source go left, so each shard is a random share and the
@@ -16,12 +16,14 @@
 5. Inside a shard rows are ordered by a keyed hash.
 
 A node's draw is seeded by the node, a row's hash by the row, so reruns and
-retried tasks agree. The driver holds one number per source, not per row.
+retried tasks agree. Equal rows are told apart by a repeat number, so they get places of their
+own. The driver holds one number per source, not per row.
 
 Defined results: a null source is a source of its own, last in order; a null or
 empty text has size 0 and no words are taken from it (``copies`` 0, unless its
-source is taken whole); ties in the order hold rows that are equal in all columns
-the hash sees; repeated rows count each; an empty table gives an empty mix.
+source is taken whole); repeated rows count each in ``plan`` (``mix`` draws rows equal in id, source
+and text together); an empty table gives an empty mix; a mix of 10^9 block copies or more is
+refused: a larger ``block_size`` makes fewer of them.
 """
 
 from __future__ import annotations
@@ -39,6 +41,10 @@ from .common import BLOCK, as_bytes, fresh, mix64, ref, spans, staged
 
 BLOCK_WORDS = 1 << 16
 SLICE_ROWS = 1 << 11
+#: Blocks that are searched for rows to fill the end of a quota.
+LOOK = 4
+#: Equal rows that are numbered in one task.
+REPEATS = 1 << 12
 
 
 def word_counts(df: DataFrame, text_col: str, out: str) -> DataFrame:
@@ -73,6 +79,8 @@ class SplitTree:
     """Leaf of every block copy: a pure function of the quotas, the number of shards and the seed."""
 
     def __init__(self, quotas: list[int], shards: int, seed: int):
+        if sum(quotas) >= 1_000_000_000:  # the generator's range
+            raise ValueError(f"{sum(quotas)} block copies: take a larger block_size")
         self.quotas, self.shards, self.seed = np.array(quotas, np.int64), shards, seed
         self._left: dict[tuple[int, int], np.ndarray] = {}
 
@@ -111,12 +119,7 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -
         return 0
     if bad <= 0:
         return min(good, draws)
-    if good + bad < 1_000_000_000:
-        return int(rng.hypergeometric(good, bad, draws))
-    # beyond the generator's range: the normal law with the same mean and variance, inside the support
-    n, p = good + bad, good / (good + bad)
-    x = rng.normal(draws * p, (draws * p * (1 - p) * (n - draws) / (n - 1)) ** 0.5)
-    return int(min(max(round(x), draws - bad, 0), good, draws))
+    return int(rng.hypergeometric(good, bad, draws))
 
 
 def permute(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -139,6 +142,18 @@ def cycle_weights(names: list[str | None], cycle: tuple[float, ...] = (1, 2, 3))
     return {n: float(cycle[i % len(cycle)]) for i, n in enumerate(order)}
 
 
+def _numbered(rows: DataFrame, repeat: str) -> DataFrame:
+    """``rows`` with a number from 0 for each group of equal rows.
+
+    Equal rows are counted (on the map side first) and unfolded again, many of them by
+    several tasks, so the numbers depend on the rows alone.
+    """
+    counted = rows.groupBy(*[ref(c) for c in rows.columns]).agg((F.count("*") - 1).alias(repeat))
+    parts = counted.withColumn("m_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col(repeat), F.lit(REPEATS).cast("long"))))
+    dealt = parts.repartition(*[ref(c) for c in rows.columns], F.col("m_part"))
+    return dealt.withColumn(repeat, F.explode(F.sequence("m_part", F.least(F.col(repeat), F.col("m_part") + REPEATS - 1)))).drop("m_part")
+
+
 def plan(
     sized: DataFrame,
     weights=cycle_weights,
@@ -161,7 +176,8 @@ def plan(
     if clash := [c for c in sized.columns if c.lower().startswith("m_") or c.lower() in ("source_size", "target", "copies")]:
         raise ValueError(f"leave {clash} out of the plan's input; mix() carries other columns")
     spark = sized.sparkSession
-    order = order if order is not None else F.xxhash64(*[ref(c) for c in sized.columns], F.lit(seed))
+    repeat = "m_repeat"
+    order = order if order is not None else F.xxhash64(*[ref(c) for c in sized.columns], F.lit(seed), F.col(repeat))
     totals = sized.groupBy(ref(source_col).alias("s")).agg(F.sum(ref(size_col)).cast("long").alias("n"), F.count("*").alias("rows")).collect()
     names = [r["s"] for r in totals]
     weight = weights(names)
@@ -175,10 +191,9 @@ def plan(
     sources = spark.createDataFrame(
         [(n, i, sizes[i], target[i]) for i, n in enumerate(names)], "m_source string, m_index int, source_size long, target double"
     )
-    rows = sized.withColumn("m_key", order).withColumn("m_slice", F.pmod(F.shiftrightunsigned("m_key", 16), F.lit(slices)))
-    within = Window.partitionBy(ref(source_col), F.col("m_slice")).orderBy("m_key").rowsBetween(Window.unboundedPreceding, -1)
-    slice_totals = sized.withColumn("m_key", order).withColumn("m_slice", F.pmod(F.shiftrightunsigned("m_key", 16), F.lit(slices)))
-    slice_totals = slice_totals.groupBy(ref(source_col).alias("m_source"), F.col("m_slice").alias("m_at")).agg(F.sum(ref(size_col)).alias("m_n"))
+    rows = _numbered(sized, repeat).withColumn("m_key", order).withColumn("m_slice", F.pmod(F.shiftrightunsigned("m_key", 16), F.lit(slices))).drop(repeat)
+    within = Window.partitionBy(ref(source_col), F.col("m_slice")).orderBy("m_key").rowsBetween(Window.unboundedPreceding, -1)  # rows with one key are equal
+    slice_totals = rows.groupBy(ref(source_col).alias("m_source"), F.col("m_slice").alias("m_at")).agg(F.sum(ref(size_col)).alias("m_n"))
     ahead = Window.partitionBy("m_source").orderBy("m_at").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slice_totals.select("m_source", "m_at", F.coalesce(F.sum("m_n").over(ahead), F.lit(0)).alias("m_before"))
     placed = (
@@ -196,12 +211,12 @@ def plan(
     rest = F.col("target") - F.col("m_passes") * F.col("source_size")
     placed = placed.withColumn("m_rest", rest).withColumn("m_cut", F.floor(F.col("m_rest") / block_size) * block_size)
     whole = (F.col("m_rest") > 0) & (F.col("m_pos") + size <= F.col("m_cut"))
-    edge = (F.col("m_rest") > 0) & ~whole & (size > 0) & (F.col("m_pos") < F.col("m_cut") + block_size)
+    edge = (F.col("m_rest") > 0) & ~whole & (size > 0) & (F.col("m_pos") < F.col("m_cut") + LOOK * block_size)
     placed = placed.withColumn("m_copies", F.col("m_passes") + whole.cast("long"))
     plain, last = placed.where(~edge), placed.where(edge)
 
     def fit(rows: pa.Table) -> pa.Table:
-        """Rows of one source around its last block (a bounded group): in order, each that still fits."""
+        """Rows of one source in the blocks after its last whole one (a bounded group): in order, each that still fits."""
         rows = rows.sort_by([("m_pos", "ascending"), ("m_key", "ascending")])
         room, take = rows["m_rest"][0].as_py() - rows["m_pos"][0].as_py(), []
         for n in rows[size_col].to_pylist():
@@ -217,17 +232,21 @@ def plan(
     for s, t, p in zip(sizes, target, per_pass, strict=True):
         passes_, left = divmod(t, s) if s else (0, 0.0)
         quotas.append(int(passes_) * p + (int(left // block_size) + 1 if left else 0))
+    SplitTree(quotas, shards, seed)  # refuses too many copies here, not in a task
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, blocks_of = SplitTree(quotas, shards, seed), np.array(per_pass, np.int64)
         for batch in batches:
             get = lambda c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
             copies, source, block = get("m_copies").astype(np.int64), get("m_index").astype(np.int64), get("m_pos").astype(np.int64) // block_size
+            ends = (get("m_cut") // block_size).astype(np.int64)
             bounds = np.concatenate([[0], np.cumsum(copies)])
             row = np.repeat(np.arange(len(copies)), copies)
             nth = np.arange(len(row)) - bounds[row]
             # rows without words at the very end of the order start no block of their own
-            at = nth * blocks_of[source[row]] + np.minimum(block[row], blocks_of[source[row]] - 1)
+            of = np.minimum(block[row], blocks_of[source[row]] - 1)
+            of = np.where(nth == get("m_passes")[row], np.minimum(of, ends[row]), of)  # a fill counts for the block it fills
+            at = nth * blocks_of[source[row]] + of
             shard = tree.leaves(source[row], at) if len(row) else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(shard, pa.int64()))
             kept = [i for i, n in enumerate(batch.schema.names) if n in out_names]
@@ -244,18 +263,22 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     The plan is made on (id, source, hash of the text, size) and joined back once; rows with
     the same id, source and text are copies of one row and are drawn together.
     """
-    size, digest, n, shard, order = fresh(df, "mix_size", "mix_digest", "mix_rows", "mix_shard", "mix_order")
+    size, digest, shard, order = fresh(df, "mix_size", "mix_digest", "mix_shard", "mix_order")
     lean = word_counts(df.select(ref(id_col), ref(source_col), F.xxhash64(ref(text_col)).alias(digest), ref(text_col)), text_col, size)
-    lean = staged(lean, "mix-sizes")
     keys = [id_col, source_col, digest]
-    one = lean.groupBy(*[ref(k) for k in keys]).agg(F.sum(ref(size)).alias(size))
+    one = staged(lean, "mix-sizes").groupBy(*[ref(k) for k in keys]).agg(F.sum(ref(size)).alias(size))
     planned = plan(staged(one, "mix-rows"), source_col=source_col, size_col=size, seed=seed, **options)
     drawn = fresh(df, "mix_id", "mix_source", "mix_key")
-    planned = planned.where(F.size("copies") > 0).select(*[ref(k).alias(p) for k, p in zip(keys, drawn, strict=True)], F.explode("copies").alias(shard))
+    copies = deal_out(planned.select(*[ref(k).alias(p) for k, p in zip(keys, drawn, strict=True)], "copies"), [drawn[0], drawn[2]], seed, shard, order)
     rows = df.withColumn(digest, F.xxhash64(ref(text_col)))
     same = [ref(k).eqNullSafe(ref(p)) for k, p in zip(keys, drawn, strict=True)]
-    joined = rows.join(planned, same[0] & same[1] & same[2]).drop(*drawn)
-    return joined.withColumn(order, F.xxhash64(ref(id_col), ref(digest), ref(shard), F.lit(seed))).drop(digest)
+    return rows.join(copies, same[0] & same[1] & same[2]).drop(*drawn, digest)
+
+
+def deal_out(planned: DataFrame, keys: list[str], seed: int = 42, shard: str = "mix_shard", order: str = "mix_order") -> DataFrame:
+    """One row per copy of a plan: its columns without ``copies``, its shard, and its place in the shard's order (a hash of ``keys`` and the shard)."""
+    rows = planned.where(F.size("copies") > 0).withColumn(shard, F.explode("copies")).drop("copies")
+    return rows.withColumn(order, F.xxhash64(*[ref(k) for k in keys], ref(shard), F.lit(seed)))
 
 
 def write_shards(mixed: DataFrame, path: str, shard_col: str = "mix_shard", order_col: str = "mix_order") -> None:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import scratch_path
+
 from . import chat, decontaminate, katz, lines, merkle, mixing, quality, records, secret_scan, sharding, simhash, trie, urls
 from .common import staged, table
 
@@ -214,12 +216,26 @@ FROM m WHERE 10 * n_matched >= 8 * n_shingles
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sources mixed to weights 1, 2, 3, ...; words taken per document."""
+    """All sources mixed to weights 1, 2, 3, ...; the shards are written shuffled, and what they hold is read back per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    sized = staged(mixing.word_counts(docs, "text", "size"), "mix-sizes")
-    out = mixing.plan(sized)
-    n = F.size("copies").cast("long")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * n).alias("taken"), n.alias("n_copies"))
+    planned = mixing.plan(staged(mixing.word_counts(docs, "text", "size"), "mix-sizes"))
+    planned = staged(planned.withColumn("row", F.monotonically_increasing_id()), "mix-plan")
+    path = scratch_path(spark, "mix-shards")
+    copies = mixing.deal_out(planned.select("row", "doc_id", "source", "size", "copies"), ["doc_id", "source", "size"])
+    mixing.write_shards(copies, path)
+    held = spark.read.schema("row long, doc_id long, source string, size long, mix_shard int").parquet(path)
+    shards = F.sort_array(F.collect_list("mix_shard")).alias("shards")  # at most three
+    held = held.groupBy("row").agg(F.sum("size").alias("words"), F.count("*").alias("n"), shards)
+    rows = planned.drop("copies").join(held, "row", "left")
+    return rows.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("words", F.lit(0)).alias("taken"),
+        F.coalesce("n", F.lit(0)).alias("n_copies"),
+        F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
+    )
 
 
 def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kestrel.llm import quality
+from kestrel.llm import mixing, quality
 from kestrel.llm.queries import QUERIES, URL_RULES
 
 from ..conftest import SF_SMALL
@@ -99,10 +99,46 @@ def test_op9(spark, docs):
     for r in rows:
         s = source[r["doc_id"]]
         assert (r["size"], r["source_size"]) == (size[r["doc_id"]], total[s]) and r["target"] == pytest.approx(target[s])
-        assert r["taken"] <= 3 * r["size"] and (r["taken"] == 0 or r["taken"] % r["size"] == 0)
+        assert r["taken"] <= 3 * r["size"] and r["taken"] == r["n_copies"] * r["size"] and len(r["shards"]) == r["n_copies"]
+        assert r["shards"] == sorted(r["shards"]) and all(0 <= x < 16 for x in r["shards"])
         taken[s] += r["taken"]
     assert all(taken[s] <= target[s] + 1e-6 for s in names)
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, run(spark, "op9_mixing")[1]))
+    assert sorted(map(repr, rows)) == sorted(map(repr, run(spark, "op9_mixing")[1]))
+    assert len({x for r in rows for x in r["shards"]}) > 8
+    assert {r["doc_id"]: r["taken"] for r in rows} == taken_plainly(docs, size, source, target)
+
+
+def taken_plainly(docs, size, source, target, block=mixing.BLOCK_WORDS):
+    """Words taken of each document: whole passes, then, in the keyed order, what is before the cut or still fits after it."""
+    import xxhash
+
+    def key(d):
+        """Spark's xxhash64 of (doc_id, source, size, seed, repeat 0), signed."""
+        at = 42
+        for v in (d["doc_id"], d["source"], size[d["doc_id"]], np.int32(42), 0):
+            raw = v.encode() if isinstance(v, str) else v.tobytes() if isinstance(v, np.int32) else int(v).to_bytes(8, "little", signed=True)
+            at = xxhash.xxh64_intdigest(raw, seed=at) if v is not None else at
+        return at - (1 << 64) if at >> 63 else at
+
+    most = max(Counter(source.values()).values())
+    slices = max(1, -(-most // mixing.SLICE_ROWS))
+    out = {}
+    for s in set(source.values()):
+        line = sorted((d for d in docs if d["source"] == s), key=lambda d: ((key(d) % (1 << 64) >> 16) % slices, key(d)))
+        total = sum(size[d["doc_id"]] for d in line)
+        passes = int(target[s] // total) if total else 0
+        rest = target[s] - passes * total
+        cut, at, room = rest // block * block, 0, None
+        for d in line:
+            n = size[d["doc_id"]]
+            take = rest > 0 and at + n <= cut
+            if rest > 0 and not take and n > 0 and at < cut + mixing.LOOK * block:
+                room = rest - at if room is None else room
+                take = n <= room
+                room -= n if take else 0
+            out[d["doc_id"]] = n * (passes + bool(take))
+            at += n
+    return out
 
 
 def test_op10(spark, docs):

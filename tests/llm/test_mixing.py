@@ -97,3 +97,24 @@ def test_shards_are_written_in_shuffled_order(spark, documents, tmp_path):
         files = sorted((tmp_path / "mix" / f"mix_shard={shard}").glob("*.parquet"))
         got = [r["doc_id"] for f in files for r in spark.read.parquet(str(f)).collect()]
         assert sorted(got) == sorted(want) and got == want and got != sorted(got)
+
+
+def test_equal_rows_are_spread_and_drawn_alike(spark):
+    rows = [(None, "hot", 3)] * 20_000 + [(i, "b", 5) for i in range(200)]
+    sized = staged(spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(6), "t")
+    numbered = mixing._numbered(sized, "m_repeat")
+    assert numbered.count() == len(rows)
+    assert numbered.where("source = 'hot'").selectExpr("count(distinct m_repeat) n", "max(m_repeat) top").first() == (20_000, 19_999)
+    out = mixing.plan(sized, block_size=1000, slice_rows=500, shards=4)
+    got = taken(out.collect())
+    target = {r["source"]: r["target"] for r in out.select("source", "target").distinct().collect()}
+    assert all(0 <= target[s] - got[s] < 5 for s in target)
+    # equal rows have keys, hence slices, of their own
+    key = mixing.F.xxhash64(*sized.columns, mixing.F.lit(42), mixing.F.col("m_repeat"))
+    assert numbered.select(key.alias("k")).distinct().count() == len(rows)
+
+
+def test_too_many_block_copies_are_refused(spark):
+    sized = staged(spark.createDataFrame([(1, "a", 2_000_000_000)], "doc_id long, source string, size long"), "t")
+    with pytest.raises(ValueError, match="block_size"):
+        mixing.plan(sized, block_size=1)
