@@ -131,6 +131,20 @@ FROM b
 """
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of policy v2 does over all documents, from their written ledger."""
+    rows = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    return quality.ablations(staged(rows.select("doc_id", "failed_bits"), "ledger"), "v2")
+
+
+ABLATIONS_SQL = f"""
+SELECT rule, sum(((p & bit) <> 0)::INT)::BIGINT AS failed, sum((p = bit)::INT)::BIGINT AS failed_only, sum(((p & ({quality.mask("v2")} - bit)) = 0)::INT)::BIGINT AS kept_without
+FROM (SELECT failed_bits & {quality.mask("v2")} AS p FROM ({OP4_SQL})),
+  (VALUES {", ".join(f"('{r}', {quality.mask((r,))})" for r in quality.POLICIES["v2"])}) AS rules(rule, bit)
+GROUP BY rule
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each host dropped from all pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -378,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_sharding": op3_sharding,
     "op4_quality": op4_quality,
+    "quality_ablations": quality_ablations,
     "op5_line_dedup": op5_line_dedup,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_url_filters": op7_url_filters,
@@ -392,6 +407,7 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_chat": OP1_SQL,
     "op4_quality": OP4_SQL,
+    "quality_ablations": ABLATIONS_SQL,
     "op5_line_dedup": OP5_SQL,
     "op8_decontamination": OP8_SQL,
     "op12_merkle": OP12_SQL,

@@ -189,7 +189,11 @@ def hex16(fp: Column) -> Column:
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` less near-duplicates: of each component the row with the smallest id stays (ties: smallest text hash)."""
+    """The rows of ``df`` less near-duplicates: of each component the row with the smallest id stays.
+
+    Ties: the smallest text hash; rows equal in id and text are one document, of which the row with the
+    smallest hash of all columns stays, so reruns agree.
+    """
     digest, sim_id, sim_key = fresh(df, "sim_digest", "sim_id", "sim_key")
     hashed = df.select(ref(id_col), F.xxhash64(ref(text_col)).alias(digest), ref(text_col))
     rows = _rooted(hashed, id_col, text_col, keep=[digest], **options)
@@ -199,6 +203,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     docs = df.withColumn(digest, F.xxhash64(ref(text_col)))
     same = ref(id_col).eqNullSafe(ref(sim_id)) & (ref(digest) == ref(sim_key))
     single = docs.join(kept.where("n = 1").drop("n"), same, "left_semi")
-    # rows equal in id and text are one document
-    repeated = docs.join(kept.where("n > 1").drop("n"), same, "left_semi").dropDuplicates([id_col, digest])
+    (whole,) = fresh(docs, "sim_row")
+    repeated = docs.join(kept.where("n > 1").drop("n"), same, "left_semi").groupBy(ref(id_col).alias(sim_id), ref(digest).alias(sim_key))
+    row = F.struct(*[ref(c) for c in docs.columns])
+    repeated = repeated.agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias(whole)).select(f"{whole}.*")
     return single.unionByName(repeated).drop(digest)

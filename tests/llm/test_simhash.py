@@ -114,3 +114,11 @@ def test_keep_one_joins_null_ids(spark):
         prints[p] = text
     rows = [(None, near), (None, text)]
     assert simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
+
+
+def test_keep_one_of_rows_that_differ_elsewhere(spark):
+    """Rows equal in id and text but not in source: the same one stays, however the table is dealt."""
+    rows = [(1, "one two three four", s, {"k": s}) for s in ("a", "b", None)] + [(None, "five six seven", s, {}) for s in ("x", "y")] + [(2, "eight nine ten", "z", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, m map<string,string>")
+    outs = [sorted(map(repr, simhash.keep_one(df.repartition(n), shingle=3, max_distance=2).collect())) for n in (1, 5)]
+    assert outs[0] == outs[1] and len(outs[0]) == 3
