@@ -3,9 +3,11 @@
 Each stage calls one operator of ``kestrel.llm``; its result is written as Parquet
 and read back as the next stage's documents.
 
+A stage's input folder is removed when the next stage's is written.
+
 Defined results: a document with null or empty text is rejected by the quality rules (it has
 too few words); a null id, source or other column is kept; repeated rows are one document after
-the second stage; equally small ids are told apart by their texts' hashes; an empty table goes
+the second stage (the row with the smallest hash of all columns); equally small ids are told apart by their texts' hashes; an empty table goes
 through all stages; extra columns pass through whatever their names (the last stage's columns
 get leading underscores where a document column is called ``shard`` or ``slot``).
 """
@@ -18,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import decontaminate, mixing, quality, sharding, simhash
-from kestrel.llm.common import staged, table
+from kestrel.llm.common import table
+from kestrel.session import remove_scratch, scratch_path
 
 SHARDS = 40
 
@@ -63,7 +66,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:  # nothing reads the stage's input any more
+            remove_scratch(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
