@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
@@ -104,4 +105,6 @@ def cluster_settings(
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.files.maxPartitionBytes": str(part),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        # a hot key's rows become few sessions before the shuffle (kestrel.streaming.sessions)
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
