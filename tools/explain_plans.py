@@ -29,22 +29,21 @@ HEADLINE = [
 
 
 NOTES = {
-    "enrich_with_counts": "The right side's hottest key is measured first (one aggregation job): no hot key here, so "
-                          "a plain left outer join (a hot right key would switch to inner join + anti join on the "
-                          "distinct keys). Per-year counts come from a cached aggregate, broadcast after a checked "
-                          "count; the range sort ends with the order key so hot (y, q) pairs split.",
+    "enrich_with_counts": "A plain left outer join, both sides shuffled on the key (a hot right key: skew_safe=True). "
+                          "The per-year counts are a small aggregate that adaptive execution broadcasts at run time; "
+                          "the range sort ends with the order key so hot (y, q) pairs split.",
     "index_counts": "One Generate (explode of the split) feeding an InSet stop-word filter and a partial aggregate: "
                     "one shuffle, keyed by (word, doc).",
     "index_postings": "The counts are range-partitioned on (word, block) before grouping: that partitioning already "
                       "clusters each group, so the aggregate adds no exchange and a local sort gives the global "
                       "order (one shuffle after the counts). A group holds at most block_size entries.",
     "graph_top_routes": "Partial aggregate of trips into edges, then TakeOrderedAndProject: no global sort.",
-    "graph_least_in": "Vertex semi-join below the degree aggregate; vertices come from a cached, counted table.",
-    "graph_triplets": "Two semi-joins of edges with vertices (broadcast only after the size check).",
+    "graph_least_in": "Vertex semi-join below the degree aggregate.",
+    "graph_triplets": "Two semi-joins of edges with vertices; adaptive execution picks the join by the sizes it shuffled.",
     "rating_stats": "Exact distinct users and items in one pass: Expand + partial aggregate.",
-    "nb_predict": "The model table (exact row count known) is broadcast, so raw tokens join it map-side and the "
-                  "per-document partial aggregate is the only shuffle; without broadcasts, (doc, word) counts meet "
-                  "the table in a sort-merge join. Class priors and denominators are literals.",
+    "nb_predict": "The model table (its written size known) is broadcast, so words join it map-side and the sums per "
+                  "document are the only shuffle of words; without broadcasts a sort-merge join on the word. The "
+                  "scores are joined back to the rows by a 128-bit hash of their content.",
     "stream_count_per_batch": "Reads the landed per-batch counts back and sums them (the stream itself ran per batch).",
 }
 
