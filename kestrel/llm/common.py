@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import itertools
 from collections.abc import Iterator, Sequence
 
@@ -35,6 +36,16 @@ def staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFr
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished queries now.
+
+    Its cleaner acts when the driver collects garbage, which may be long after a result was
+    written, while the executors' disks fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

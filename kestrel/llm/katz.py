@@ -44,11 +44,11 @@ from pyspark.sql import functions as F
 
 from kestrel.session import scratch_path
 
-from .common import as_bytes, mix64, ref, spans, staged, starts, sums
+from .common import as_bytes, mix64, ref, release_shuffles, spans, staged, starts, sums
 
 CHUNK_BYTES = 4 << 20
 #: Tokens that a bucket of n-grams gets on average; contexts beyond HOT tokens are dealt over several buckets.
-BUCKET_TOKENS, HOT = 3_000_000, 500_000
+BUCKET_TOKENS, HOT = 1_500_000, 500_000
 CUTOFF = 5
 END, START, UNSEEN = 0, 1, 2  # hash of the end token; numbers of the start context and of all that training did not see
 FIRST = 3  # first free number
@@ -393,6 +393,7 @@ def fit(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "t
     for k in range(1, order + 1):
         asked = chunks.mapInArrow(_requests(k, buckets, train_docs, list(levels)), REQUEST_SCHEMA)
         answers = staged(asked.groupBy("bucket").applyInArrow(_count(k, buckets, k < order or k == 1, list(levels)), ANSWER_SCHEMA), f"lm-order{k}")
+        release_shuffles(spark)
         totals = answers.where("kind = 'total'").agg(F.sum("total"), F.sum("distinct"), *[F.sum(F.get("low", i)) for i in range(CUTOFF + 1)]).first()
         low = [int(x or 0) for x in totals[2:]]
         level = Level(discounts(low), int(totals[0] or 0), int(totals[1] or 0))
