@@ -154,12 +154,12 @@ ETL_PARTITIONS = ["depYear", "depMonth", "depDay"]
 
 
 def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns: list[str], sep: str = "|",
-               files_per_day: int | None = None, table: str | None = None) -> None:
+               files_per_day: int | None = None, table: str | None = None, rebalance: bool = True) -> None:
     """K4: write one batch under ``depYear=YYYY/depMonth=MM/depDay=DD/batch_id=N``.
 
     Dynamic partition overwrite: writing the same ``batch_id`` again replaces
-    only that batch's folders, so a replayed batch adds nothing. A batch of several
-    partitions is first rebalanced by day: adaptive execution gives each day as many files as its
+    only that batch's folders, so a replayed batch adds nothing. Rows are first
+    rebalanced by day (``rebalance=False``: written as they are dealt): adaptive execution gives each day as many files as its
     size asks for and splits a day that holds most of the batch.
     ``files_per_day=k`` instead shuffles rows by day and a hash of the row into k
     buckets: at most k files per day. The text format is CSV with doubled quotes
@@ -176,8 +176,7 @@ def land_batch(batch: DataFrame, batch_id: int, path: str, ts_col: str, columns:
         year.alias("depYear"), month.alias("depMonth"), day.alias("depDay"),
         F.lit(batch_id).cast("long").alias("batch_id"),
     )
-    # one task writes one file a day at most: nothing to gain by a shuffle
-    dealt = out.hint("rebalance", *ETL_PARTITIONS) if out.rdd.getNumPartitions() > 1 else out
+    dealt = out.hint("rebalance", *ETL_PARTITIONS) if rebalance else out
     if files_per_day:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(int(files_per_day)))
         dealt = out.repartition(*[F.col(c) for c in ETL_PARTITIONS], salt)
@@ -211,7 +210,9 @@ def partitioned_etl(
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, batch_id, path, ts_col, columns, sep, files_per_day, table)
+        # a micro-batch of one task writes one file a day at most: nothing to gain by a shuffle
+        many = batch.rdd.getNumPartitions() > 1
+        land_batch(batch, batch_id, path, ts_col, columns, sep, files_per_day, table, rebalance=many)
         if on_batch is not None:
             on_batch(batch_id)
 

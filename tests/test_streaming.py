@@ -192,11 +192,23 @@ def test_add_partitions_in_many_statements(spark, tmp_dir):
         spark.sql(f"DROP TABLE {name}")
 
 
-def test_a_batch_of_one_task_lands_without_a_shuffle(spark, tmp_dir):
+def test_a_batch_of_one_task_lands_as_it_is(spark, tmp_dir, monkeypatch):
+    seen = []
+    real = st.jobs.land_batch
+
+    def spy(*args, **options):
+        seen.append(options["rebalance"])
+        real(*args, **options)
+
+    monkeypatch.setattr(st.jobs, "land_batch", spy)
     df = spark.range(0, 1000, 1, 1).select(F.col("id"), F.expr("date_add(date'2024-01-01', int(id % 10))").alias("d"))
-    st.land_batch(df, 0, f"{tmp_dir}/etl", "d", ["id"])
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp_dir}/etl").where("path like '%.csv'").count()
-    assert files == 10 and st.read_partitioned(spark, f"{tmp_dir}/etl", [("id", "long")]).count() == 1000
+    for n in (1, 4):
+        df.repartition(n).write.parquet(f"{tmp_dir}/in{n}")
+        stream = st.read_stream(spark, f"{tmp_dir}/in{n}", df.schema, openCostInBytes="1")
+        st.partitioned_etl(stream, f"{tmp_dir}/etl{n}", "d", ["id"], f"{tmp_dir}/ck{n}", available_now=True)
+        assert st.read_partitioned(spark, f"{tmp_dir}/etl{n}", [("id", "long")]).count() == 1000
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp_dir}/etl1").where("path like '%.csv'").count()
+    assert files == 10 and seen[0] is False
 
 
 def test_posts_of_kafka_rows(spark):
