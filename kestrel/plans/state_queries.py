@@ -37,13 +37,18 @@ def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", "user_id", "event_type", "value", at.alias("ts"), part.cast("int").alias("part"))
 
 
-def _play(spark: SparkSession, rows: DataFrame, job: Callable[[DataFrame, str, str], object]) -> str:
-    """Run ``job(stream, out, checkpoint)`` once per part; the output folder."""
+#: Rows of a part per state store, about.
+STORE_ROWS = 50_000
+
+
+def _play(spark: SparkSession, rows: DataFrame, job: Callable[..., object]) -> str:
+    """Run ``job(stream, out, checkpoint, state_partitions=n)`` once per part; the output folder."""
+    stores = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(4, rows.count() // (PARTS * STORE_ROWS)))
     folder, out, ckpt = (scratch_path(spark, x) for x in ("arrivals", "state", "state-ckpt"))
     schema = rows.drop("part").schema
     for part in range(PARTS):
         rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(folder)
-        job(st.read_stream(spark, folder, schema), out, ckpt)
+        job(st.read_stream(spark, folder, schema), out, ckpt, available_now=True, state_partitions=stores)
     return out
 
 
@@ -56,8 +61,8 @@ def _aggs() -> list:
 
 
 def _tumbling(spark: SparkSession, sf_dir: str) -> str:
-    return _play(spark, _arriving(spark, sf_dir), lambda s, out, ckpt: st.windows(
-        s, "ts", ["event_type"], _aggs(), timedelta(hours=6), out, ckpt, delay=DELAY, available_now=True))
+    return _play(spark, _arriving(spark, sf_dir), lambda s, out, ckpt, **how: st.windows(
+        s, "ts", ["event_type"], _aggs(), timedelta(hours=6), out, ckpt, delay=DELAY, **how))
 
 
 _H6 = 6 * 3_600_000_000
@@ -89,8 +94,8 @@ select event_type, make_timestamp(s) window_start, make_timestamp(s + {_H10}) wi
 from x where s + {_H10} > wm and s + {_H10} <= (select max(wm) from w) group by 1, 2, 3""")
 def stream_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of ten hours every four hours; a late row still counts in its windows that are open."""
-    out = _play(spark, _arriving(spark, sf_dir), lambda s, out, ckpt: st.windows(
-        s, "ts", ["event_type"], _aggs(), timedelta(hours=10), out, ckpt, slide=timedelta(hours=4), delay=DELAY, available_now=True))
+    out = _play(spark, _arriving(spark, sf_dir), lambda s, out, ckpt, **how: st.windows(
+        s, "ts", ["event_type"], _aggs(), timedelta(hours=10), out, ckpt, slide=timedelta(hours=4), delay=DELAY, **how))
     return st.results(spark, out).select("event_type", *_ntz("window_start", "window_end"), "n", "top")
 
 
@@ -115,8 +120,8 @@ def _sessions_sql() -> str:
 @query("stream_session_windows", _sessions_sql())
 def stream_session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions per user: rows less than twelve hours apart."""
-    out = _play(spark, _arriving(spark, sf_dir), lambda s, out, ckpt: st.sessions(
-        s, "ts", ["user_id"], [F.count(F.lit(1)).alias("n")], timedelta(hours=12), out, ckpt, delay=DELAY, available_now=True))
+    out = _play(spark, _arriving(spark, sf_dir), lambda s, out, ckpt, **how: st.sessions(
+        s, "ts", ["user_id"], [F.count(F.lit(1)).alias("n")], timedelta(hours=12), out, ckpt, delay=DELAY, **how))
     return st.results(spark, out).select("user_id", *_ntz("window_start", "window_end"), "n")
 
 
@@ -141,8 +146,8 @@ def _running_sql() -> str:
 @query("stream_running_counts", _running_sql())
 def stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts per user over all parts; a user idle for two days is closed and starts anew."""
-    out = _play(spark, _arriving(spark, sf_dir), lambda s, out, ckpt: st.running_counts(
-        s, "ts", "user_id", timedelta(days=2), out, ckpt, delay=DELAY, available_now=True))
+    out = _play(spark, _arriving(spark, sf_dir), lambda s, out, ckpt, **how: st.running_counts(
+        s, "ts", "user_id", timedelta(days=2), out, ckpt, delay=DELAY, **how))
     return st.results(spark, out).select("user_id", "n", *_ntz("last"), "closed")
 
 
@@ -157,7 +162,7 @@ def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 select event_id, event_type, 1::bigint n from o where us > wm""")
 def stream_distinct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event once, though a fifth comes again with the next part and some come 200 times."""
-    out = _play(spark, _replayed(spark, sf_dir), lambda s, out, ckpt: st.distinct(s, "ts", ["event_id"], out, ckpt, delay=DELAY, available_now=True))
+    out = _play(spark, _replayed(spark, sf_dir), lambda s, out, ckpt, **how: st.distinct(s, "ts", ["event_id"], out, ckpt, delay=DELAY, **how))
     return st.results(spark, out).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -175,11 +180,11 @@ select click_id, purchase_id from p where purchase_id is not null or us + {_WITH
 def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each click with the user's purchases in the two days after it; clicks without one once their time is over."""
 
-    def job(stream: DataFrame, out: str, ckpt: str) -> None:
+    def job(stream: DataFrame, out: str, ckpt: str, **how) -> None:
         clicks = stream.where("event_type = 'click'").select("user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
         buys = stream.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
         st.interval_join(clicks, buys, ["user_id"], "click_ts", "purchase_ts", timedelta(0), timedelta(days=2), out, ckpt,
-                         how="left_outer", delay=DELAY, available_now=True)
+                         how="left_outer", delay=DELAY, **how)
 
     return st.results(spark, _play(spark, _arriving(spark, sf_dir), job)).select("click_id", "purchase_id")
 

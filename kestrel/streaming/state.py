@@ -15,6 +15,10 @@ and replaces its own rows.
 Layout of ``out``: ``rows/kind=<result | late | no_time>/batch_id=<n>`` and ``clock/batch_id=<n>``;
 :func:`results` and :func:`late_rows` read them. Rows without event time are ``no_time`` rows.
 
+``state_partitions`` (an option of all jobs; default: the session's shuffle partitions) is the number of
+state stores per operator. It is fixed by a job's first run. Each store costs some files per
+batch, so small streams want few, large ones as many as the cluster has cores.
+
 Scale: windows, sessions and dedup shuffle by their keys after Spark's partial aggregation
 (sessions merge within map partitions first, see :func:`sessions`); running counts are
 pre-aggregated per Arrow batch, so a hot key sends few rows; an interval join is keyed by
@@ -57,7 +61,7 @@ def _text(span: timedelta) -> str:
     return f"{_millis(span)} milliseconds"
 
 
-def _run(result: DataFrame, sides: Mapping[str, _Side], out: str, checkpoint: str, mode: str, **run_options) -> StreamingQuery:
+def _run(result: DataFrame, sides: Mapping[str, _Side], out: str, checkpoint: str, mode: str, state_partitions: int | None = None, **run_options) -> StreamingQuery:
     union = result.select(F.struct("*").alias("result"))
     for name, side in sides.items():
         union = union.unionByName(side.rows.select(F.struct("*").alias(name)), allowMissingColumns=True)
@@ -82,7 +86,14 @@ def _run(result: DataFrame, sides: Mapping[str, _Side], out: str, checkpoint: st
         marked.where("kind IS NOT NULL").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch_id").parquet(f"{out}/rows")
         _write_clock(spark, out, batch_id, before, seen.get, sides)
 
-    return run(union, body, checkpoint, output_mode=mode, **run_options)
+    # a query takes the setting when it starts; its checkpoint keeps it from then on
+    conf, name = union.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before_run = conf.get(name)
+    try:
+        conf.set(name, str(state_partitions or before_run))
+        return run(union, body, checkpoint, output_mode=mode, **run_options)
+    finally:
+        conf.set(name, before_run)
 
 
 def _read_clock(spark: SparkSession, out: str, batch_id: int) -> dict[str, int]:
