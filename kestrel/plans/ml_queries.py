@@ -114,7 +114,8 @@ regexp_replace(text, ' +$', '') = '' then 0 else len(string_split(regexp_replace
 def nb_features_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: the hashed term-frequency vectors hold every word once."""
     docs = table(spark, sf_dir, "documents").select("text")
-    vectors = nb.features(docs).select(vector_to_array("features").alias("f"))
+    # the vectors' stored values; as arrays they would hold all 2^20 features of every text
+    vectors = nb.features(docs).select(F.unwrap_udt("features")["values"].alias("f"))
     return vectors.agg(F.count("*").alias("n"), F.sum(F.aggregate("f", F.lit(0.0), lambda a, x: a + x)).alias("n_words"))
 
 

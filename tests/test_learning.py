@@ -228,3 +228,15 @@ def test_wide_and_long_scores_agree(spark, monkeypatch):
         monkeypatch.undo()
     empty = nb.fit_tables(train.where("false"))
     assert rows(nb.predict_tables(empty, docs.limit(1))) == [(0, None)]
+
+
+def test_feature_facts_read_stored_values_only(spark, tmp_dir, monkeypatch):
+    from kestrel.plans import ml_queries
+
+    def dense(*_):
+        raise AssertionError("an array of all 2^20 features for each text")
+
+    monkeypatch.setattr(ml_queries, "vector_to_array", dense)
+    texts = ["a b a", "", "   ", "x  y ", "b"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    assert tuple(ml_queries.nb_features_facts(spark, tmp_dir).first()) == (5, 8.0)  # the inner empty word counts
