@@ -86,30 +86,46 @@ def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str],
 
     A span belongs to the first level whose bins (``smallest`` times the level's factor) are as long
     as itself, so it touches at most two bins there; longer spans use as many bins of the last
-    level as they need. It is listed at its own and all higher levels. Two spans meet at the
-    higher of their two levels, in the bin where their overlap starts and in no other: an exact
-    rule, so no pair is found twice and nothing is deduplicated. The join is an equi-join on
-    (``on``, level, bin) that adaptive execution can split; no nested loop.
+    level as they need. Two spans meet at the higher of their two levels, in the bin where their
+    overlap starts and in no other: an exact rule, so no pair is found twice and nothing is
+    deduplicated. At each level the spans that belong there meet the other side's spans of that
+    and lower levels, never lower ones among themselves, whose bins would be far too wide. Only
+    levels that the other side has are listed (one small job finds them). The join is an equi-join
+    on (``on``, side and level, bin) that adaptive execution can split; no nested loop.
     """
+    n = len(levels)
 
-    def listed(df: DataFrame, span: tuple[str, str], tag: str) -> DataFrame:
+    def placed(df: DataFrame, span: tuple[str, str], tag: str) -> DataFrame:
         lo, hi = (position(df, c) for c in span)
-        own = F.lit(len(levels) - 1)
-        for k in range(len(levels) - 2, -1, -1):
+        own = F.lit(n - 1)
+        for k in range(n - 2, -1, -1):
             own = F.when(hi - lo <= smallest * levels[k], k).otherwise(own)
-        named = df.select(F.struct("*").alias(f"{tag}_row"), lo.alias(f"{tag}_lo"), hi.alias(f"{tag}_hi"), own.alias(f"{tag}_own")).where(f"{tag}_lo < {tag}_hi")
-        size = F.element_at(F.array(*[F.lit(smallest * f).cast("long") for f in levels]), F.col(f"{tag}_level") + 1)
-        rows = named.select("*", F.explode(F.sequence(F.col(f"{tag}_own"), F.lit(len(levels) - 1))).alias(f"{tag}_level"))
-        first, last = (x - F.pmod(x, size) for x in (F.col(f"{tag}_lo"), F.col(f"{tag}_hi") - 1))  # a bin goes by its start
-        return rows.select("*", size.alias(f"{tag}_size"), F.explode(F.sequence(first, last, size)).alias(f"{tag}_bin"))
+        return df.select(F.struct("*").alias(f"{tag}_row"), lo.alias(f"{tag}_lo"), hi.alias(f"{tag}_hi"), own.alias("own")).where(f"{tag}_lo < {tag}_hi")
+
+    a, b = placed(left, left_span, "l"), placed(right, right_span, "r")
+    found = a.select(F.lit("l").alias("side"), "own").unionByName(b.select(F.lit("r").alias("side"), "own")).distinct().collect()  # at most 2 x levels
+    in_left, in_right = (sorted(r["own"] for r in found if r["side"] == side) for side in "lr")
+
+    # Where the left span's level is the higher one or both are equal, the pair meets at place = level; else at n + level.
+    left_places = {k: [k] * any(r <= k for r in in_right) + [n + r for r in in_right if r > k] for k in range(n)}
+    right_places = {k: [n + k] * any(x < k for x in in_left) + [x for x in in_left if x >= k] for k in range(n)}
+
+    def size(place: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(smallest * f).cast("long") for f in levels]), F.pmod(place, F.lit(n)) + 1)
+
+    def listed(df: DataFrame, tag: str, places: dict[int, list[int]]) -> DataFrame:
+        table = F.array(*[F.array(*[F.lit(p) for p in places[k]]).cast("array<int>") for k in range(n)])
+        rows = df.select(f"{tag}_row", f"{tag}_lo", f"{tag}_hi", F.explode(F.element_at(table, F.col("own") + 1)).alias(f"{tag}_place"))
+        wide = size(F.col(f"{tag}_place"))
+        first, last = (x - F.pmod(x, wide) for x in (F.col(f"{tag}_lo"), F.col(f"{tag}_hi") - 1))  # a bin goes by its start
+        return rows.select("*", F.explode(F.sequence(first, last, wide)).alias(f"{tag}_bin"))
 
-    a, b = listed(left, left_span, "l"), listed(right, right_span, "r")
     start = F.greatest("l_lo", "r_lo")
-    cond = (F.col("l_level") == F.col("r_level")) & (F.col("l_bin") == F.col("r_bin")) & (F.greatest("l_own", "r_own") == F.col("l_level"))
-    cond = cond & (start < F.least("l_hi", "r_hi")) & (start - F.pmod(start, F.col("l_size")) == F.col("l_bin"))
+    cond = (F.col("l_place") == F.col("r_place")) & (F.col("l_bin") == F.col("r_bin"))
+    cond = cond & (start < F.least("l_hi", "r_hi")) & (start - F.pmod(start, size(F.col("l_place"))) == F.col("l_bin"))
     for x, y in on:
         cond = cond & (F.col("l_row")[x] == F.col("r_row")[y])
-    return a.join(b, cond).select("l_row.*", "r_row.*")
+    return listed(a, "l", left_places).join(listed(b, "r", right_places), cond).select("l_row.*", "r_row.*")
 
 
 #: A column to order by: its name (ascending, nulls first), or the name and "desc" (nulls last).

@@ -114,3 +114,25 @@ def test_ranks(spark):
     assert rows(got) == want
     whole = ordered.ranks(df, ["v", "t"]).agg(F.min("rank"), F.max("dense_rank")).first()
     assert whole == (1, len({(r[3], r[2]) for r in data}))
+
+
+def test_overlap_join_lists_short_spans_only_where_longer_ones_are(spark):
+    """Short spans far apart: in wide bins all pairs would be compared, 16 million here."""
+    a = spark.range(0, 4000, 1, 4).selectExpr("id AS i", "id * 100 AS lo", "id * 100 + 5 AS hi")
+    b = spark.range(0, 4000, 1, 4).selectExpr("id AS j", "id * 100 + 3 AS f", "id * 100 + 9 AS t")
+    got = ordered.overlap_join(a, b, ("lo", "hi"), ("f", "t"), smallest=8)
+    assert got.where("i = j").count() == got.count() == 4000
+    # one list of bins for each side: no row stands in the wider levels, which no span belongs to
+    steps = {r["l_place"] for r in _listed_places(got)}
+    assert steps == {0}
+
+
+def _listed_places(df):
+    """Places that the join's left input lists its spans at."""
+    from pyspark.sql import DataFrame
+
+    left = df._jdf.queryExecution().analyzed()
+    while left.nodeName() != "Join":
+        left = left.children().head()
+    one = df.sparkSession._jvm.org.apache.spark.sql.classic.Dataset.ofRows(df.sparkSession._jsparkSession, left.children().head())
+    return DataFrame(one, df.sparkSession).select("l_place").distinct().collect()
