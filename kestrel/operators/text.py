@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -61,9 +61,14 @@ def term_counts(
     text: str = "text",
     stop_words: Iterable[str] | DataFrame = SPANISH_STOP_WORDS,
     unicode: bool = False,
+    block_size: int | None = None,
 ) -> DataFrame:
     """A3: occurrences of each word in each document -> ``(word, doc, n)``.
 
+    ``block_size`` (integral documents) adds the ``block`` of :func:`postings` and deals the tokens by
+    (word, block), so that counting and the postings need one shuffle in all. One task then has
+    a word's tokens of ``block_size`` documents: for small blocks.
+
     When the stop words include ``""`` (the default set does) every empty token
     is dropped anyway, so the tokenizer skips its pass that drops trailing empties.
     """
@@ -71,9 +76,17 @@ def term_counts(
         stop_words = tuple(stop_words)
     empties_filtered = not isinstance(stop_words, DataFrame) and "" in stop_words
     kept = remove_stop_words(tokens(df, doc, text, unicode, jvm_empties=not empties_filtered), stop_words)
+    if block_size is not None:
+        kept = kept.withColumn("block", _block(doc, block_size)).repartition("word", "block")
+        return kept.groupBy("word", "block", doc).agg(F.count(F.lit(1)).alias("n"))
     return kept.groupBy("word", doc).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _block(doc: str, block_size: int) -> Column:
+    # Integral division (a double quotient would round ids above 2^53).
+    return F.expr(f"`{doc}` div {int(block_size)}").cast("long")
+
+
 def postings(
     counts: DataFrame,
     doc: str = "doc",
@@ -81,6 +94,7 @@ def postings(
     as_text: bool = True,
     sort: bool = False,
     by_rank: bool = False,
+    dealt: bool = False,
 ) -> DataFrame:
     """Per word and block, the ``(doc, n)`` list sorted by (-n, doc).
 
@@ -91,7 +105,8 @@ def postings(
 
     Blocks are ranges of document numbers (strings: hash buckets). ``by_rank=True`` makes them by
     the document's place among the word's documents instead: every block but the last is full
-    whatever the ids are, for one more pass over the counts.
+    whatever the ids are, for one more pass over the counts. ``dealt=True``: the counts come from
+    :func:`term_counts` with the same ``block_size``; no further shuffle is needed.
 
     ``sort=True`` returns the rows ordered by (word, block) (O2) with a single
     shuffle: the counts are range-partitioned on (word, block) before grouping
@@ -105,8 +120,8 @@ def postings(
         blocked = running(counts, [doc], keys=["word"], number="_nth", unique=True)
         blocked = blocked.withColumn("block", F.expr(f"(_nth - 1) div {int(block_size)}")).drop("_nth")
     elif isinstance(dtype, IntegralType):
-        # Integral division (a double quotient would round ids above 2^53).
-        blocked = counts.withColumn("block", F.expr(f"`{doc}` div {int(block_size)}").cast("long"))
+        # counts that were dealt by their blocks (term_counts) keep that column, hence their partitions
+        blocked = counts if dealt else counts.withColumn("block", _block(doc, block_size))
     else:
         # String keys: hash buckets, as many per word as its document count needs.
         df_w = counts.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))

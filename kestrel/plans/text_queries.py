@@ -39,15 +39,21 @@ def crawl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The write only lays out the input the whole-file reader expects (a folder with
     one file per document, the id on the first line); on real data that folder already exists
-    and only the read + crawl part runs.
+    and only the read + crawl part runs. The rows are dealt over all cores first, and each
+    task moves its own files to the folder when it commits: left to the end, the driver
+    would move them one by one. The files are opened once: the crawl is written, then counted.
     """
-    path = scratch_path(spark, "crawl-files")
-    docs = table(spark, sf_dir, "documents")
-    write(docs.select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value")), path, fmt="text", maxRecordsPerFile="1")
+    path, crawl_path = scratch_path(spark, "crawl-files"), scratch_path(spark, "crawled")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    docs = table(spark, sf_dir, "documents").repartition(tasks)
+    lines = docs.select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value"))
+    write(lines, path, fmt="text", maxRecordsPerFile="1", **{"mapreduce.fileoutputcommitter.algorithm.version": "2"})
     files = read_documents(spark, path)
     split = F.instr("text", "\n")
     named = files.select("name", F.substring_index("text", "\n", 1).cast("long").alias("doc_id"), F.substr("text", split + 1).alias("text"))
     crawled = tx.crawl(named)
+    write(crawled.coalesce(tasks), crawl_path)  # Spark gives a task a few dozen small files only
+    crawled = spark.read.schema(crawled.schema).parquet(crawl_path)
     names = crawled.groupBy("name").agg(F.count("*").alias("n_of_name"))
     return crawled.join(names, "name").select("doc_id", "text", "n_of_name")
 
@@ -124,8 +130,8 @@ string_agg('(' || doc_id || ',' || n || ')', ', ' order by n desc, doc_id) posti
 )
 def index_postings_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: frequent words have several blocks of at most 50 documents."""
-    counts = tx.term_counts(table(spark, sf_dir, "documents"), doc="doc_id", text="text")
-    return tx.postings(counts, doc="doc_id", block_size=50)
+    counts = tx.term_counts(table(spark, sf_dir, "documents"), doc="doc_id", text="text", block_size=50)
+    return tx.postings(counts, doc="doc_id", block_size=50, dealt=True)
 
 
 @query(

@@ -249,3 +249,13 @@ def test_postings_by_rank_fill_their_blocks(spark):
         sizes = {(r.word, r.block): len(r.postings) for r in out.collect()}
         assert sizes == {**{("hot", b): 10 for b in range(9)}, ("hot", 9): 5, ("rare", 0): 4}
         assert out.selectExpr("explode(postings) AS p").select("p.doc").distinct().count() == 95
+
+
+def test_postings_of_dealt_counts_need_one_shuffle(spark):
+    docs = spark.createDataFrame([(i % 150 - 30, f"hot w{i % 7} hot x{i}") for i in range(300)], "doc long, text string").repartition(3)
+    plain = tx.postings(tx.term_counts(docs), block_size=20)
+    dealt = tx.postings(tx.term_counts(docs, block_size=20), block_size=20, dealt=True)
+    from .conftest import plan_text
+
+    assert plan_text(dealt).count("Exchange hashpartitioning") == 1
+    assert rows(dealt) == rows(plain)
