@@ -231,3 +231,24 @@ def test_csv_records_split_and_every_text_comes_back(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     write_csv_records(df, f"{tmp_dir}/d", partition_by="p")
     assert rows(read_csv_records(spark, f"{tmp_dir}/d", "id long, t string, p string")) == rows(df)
+
+
+def test_crawl_files_opens_each_file_once_from_all_cores(spark, tmp_dir, monkeypatch):
+    from kestrel.plans import text_queries
+
+    read, lines = [], []
+    real_read, real_write = text_queries.read_documents, text_queries.write
+
+    def write(df, path, **options):
+        lines.append((options, df.rdd.getNumPartitions()))
+        real_write(df, path, **options)
+
+    monkeypatch.setattr(text_queries, "write", write)
+    monkeypatch.setattr(text_queries, "read_documents", lambda s, path: read.append(path) or real_read(s, path))
+    data = [(i, f"  line {i}\n\n  next") for i in range(40)] + [(40, None), (41, "")]
+    spark.createDataFrame(data, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_dir}/documents.parquet")
+    out = text_queries.crawl_files(spark, tmp_dir)
+    assert lines[0][0]["fmt"] == "text" and lines[0][1] >= 8  # a table in one piece is dealt out
+    assert read[0] not in {f.rsplit("/", 1)[0].removeprefix("file://") for f in out.inputFiles()}  # the result reads the written crawl
+    got = {r.doc_id: (r.text, r.n_of_name) for r in out.collect()}
+    assert got[3] == ("line 3 next", 1) and len(got) == 42
