@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, shared_dir
-from .ordered import running
+from .ordered import _written, running
 
 
-RATINGS_PER_BLOCK = 2_000_000
+#: A factor goes once to each block of the other side that needs it, so the bytes shuffled per iteration
+#: grow with the number of blocks until all of a key's ratings lie in different ones. Few, large blocks
+#: keep them in line with the keys: at this size a block is some 200 MB, twice that while it is built.
+RATINGS_PER_BLOCK = 20_000_000
 
 
 def rating_stats(ratings: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
@@ -119,14 +122,28 @@ def fit_keyed(ratings: DataFrame, user: str = "userId", item: str = "movieId", r
         if n > MAX_IDS:
             raise ValueError(f"{n} different values of {name}; ALS takes at most {MAX_IDS}")
     coded = _with_ids(ratings.where(F.col(rating).isNotNull()), users, items, user, item).where("_user >= 0 AND _item >= 0")
-    model = fit(coded.select("_user", "_item", F.col(rating).alias("_rating")), user="_user", item="_item", rating="_rating", **options)
+    # written once: the fit reads its ratings more than once, and each time would join the wide keys again
+    coded = _written(coded.select("_user", "_item", F.col(rating).alias("_rating")))
+    model = fit(coded, user="_user", item="_item", rating="_rating", **options)
     return KeyedModel(model, users, items, user, item)
 
 
 def predict_keyed(model: KeyedModel, df: DataFrame, cold_start: str = "nan") -> DataFrame:
-    """M5 for :func:`fit_keyed`: ``df`` plus ``prediction``; null and unseen keys give NaN or are dropped."""
-    coded = _with_ids(df, model.users, model.items, model.user, model.item)
-    return predict(model.model, coded, cold_start).drop("_user", "_item")
+    """M5 for :func:`fit_keyed`: ``df`` plus ``prediction``; null and unseen keys give NaN or are dropped.
+
+    The factors get their own keys first, so each row of ``df`` is dealt twice: by its user and by
+    its item, not also by their ids.
+    """
+    columns = df.columns
+    for found, column, name in zip(factors(model), (model.user, model.item), ("_u", "_i"), strict=True):
+        found = found.select(F.col("key").alias("_key"), F.col("features").alias(name))
+        df = df.join(found, F.col(f"`{column}`") == F.col("_key"), "left").drop("_key")
+    # summed in single precision, in order, as ALSModel does
+    product = F.aggregate(F.zip_with("_u", "_i", lambda a, b: a * b), F.lit(0).cast("float"), lambda s, x: s + x)
+    known = F.col("_u").isNotNull() & F.col("_i").isNotNull()
+    if cold_start == "drop":
+        df = df.where(known)
+    return df.select(*[F.col(f"`{c}`") for c in columns], F.when(known, product).otherwise(F.lit(float("nan")).cast("float")).alias("prediction"))
 
 
 def factors(model: KeyedModel) -> tuple[DataFrame, DataFrame]:

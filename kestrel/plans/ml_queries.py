@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import classify as nb
 from ..operators import cluster as km
 from ..operators import recommend as rec
+from ..session import scratch_path
 from ..sources import parse_vectors
 from .registry import query, table
 
@@ -131,11 +132,13 @@ def _split(spark: SparkSession, sf_dir: str):
         F.col("o_custkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("movieId"),
         (F.lit(1) + F.col("l_linenumber") % 5).cast("double").alias("rating"),
-        F.col("l_shipdate"),
+        (F.col("l_shipdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz")).alias("_train"),
     )
-    train = r.where(F.col("l_shipdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz")).drop("l_shipdate")
-    test = r.where(F.col("l_shipdate") >= F.lit(SPLIT_DATE).cast("timestamp_ntz")).drop("l_shipdate")
-    return train, test
+    # joined once: the fit reads the ratings twice, the predictions read the test ratings
+    path = scratch_path(spark, "ratings")
+    r.write.parquet(path)
+    r = spark.read.schema(r.schema).parquet(path)
+    return r.where("_train").drop("_train"), r.where("NOT _train").drop("_train")
 
 
 def _als(spark: SparkSession, sf_dir: str):

@@ -137,3 +137,14 @@ def test_als_is_the_fixed_point_of_a_plain_als(spark):
             q = {j: solve([(i, r) for i, k, r in data if k == j], p) for j in items}
         best = min(best, loss(p, q))
     assert loss(users, items) <= best * 1.02
+
+
+def test_keyed_predictions_deal_rows_by_their_keys_only(spark):
+    from .conftest import plan_text
+
+    df = spark.createDataFrame([(f"u{i % 9}", i % 5, float(i % 4)) for i in range(60)], "userId string, movieId long, rating double")
+    model = rec.fit_keyed(df, rank=2, max_iter=1)
+    plan = plan_text(rec.predict_keyed(model, df), "simple")
+    assert "UDF" not in plan and plan.count("Join") == 4  # two for the rows, two that give the factors their keys
+    ids = rec.predict(model.model, rec._with_ids(df, model.users, model.items, "userId", "movieId"))
+    assert sorted(r.prediction for r in ids.collect()) == sorted(r.prediction for r in rec.predict_keyed(model, df).collect())

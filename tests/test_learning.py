@@ -240,3 +240,16 @@ def test_feature_facts_read_stored_values_only(spark, tmp_dir, monkeypatch):
     texts = ["a b a", "", "   ", "x  y ", "b"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
     assert tuple(ml_queries.nb_features_facts(spark, tmp_dir).first()) == (5, 8.0)  # the inner empty word counts
+
+
+def test_als_ratings_are_joined_once(spark, tmp_dir):
+    from kestrel.plans import ml_queries
+
+    spark.createDataFrame([(i, i % 5) for i in range(40)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_dir}/orders.parquet")
+    lines = spark.createDataFrame([(i % 40, i % 7, i % 4, 1990 + i % 12) for i in range(300)], "l_orderkey long, l_partkey long, l_linenumber int, y int")
+    lines = lines.selectExpr("l_orderkey", "l_partkey", "l_linenumber", "make_date(nullif(y, 1995), 6, 1)::timestamp_ntz AS l_shipdate")
+    lines.write.parquet(f"{tmp_dir}/lineitem.parquet")
+    train, test = ml_queries._split(spark, tmp_dir)
+    assert (train.count(), test.count()) == (200, 75)  # a line without a date is in neither
+    assert train.columns == test.columns == ["userId", "movieId", "rating"]
+    assert all("parquet" in f and "ratings-" in f for df in (train, test) for f in df.inputFiles())
