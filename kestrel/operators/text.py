@@ -12,21 +12,26 @@ Scale notes
   cut into blocks of at most ``block_size`` documents. For integral document
   ids the block is ``doc div block_size``, an exact bound without any ranking.
   Inside a block the entries are sorted by (-n, doc).
+* Blocks by rank cut the documents' order into slices: a word's list is collected per slice,
+  and only the list lengths are added up over a word's slices. A hot word is as many groups
+  as there are slices, and a block's documents move once more only if it spans two slices.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..functions import basename, normalize, tokenize
 from ..sources.stopwords import SPANISH_STOP_WORDS
-from .ordered import running
+from .ordered import _written
 
 DEFAULT_BLOCK_SIZE = 100_000
+#: Documents per slice, about, of an index with blocks by rank.
+SLICE_DOCS = 50_000
 
 
 def crawl(df: DataFrame, name: str = "name", text: str = "text", strip_path: bool = True) -> DataFrame:
@@ -62,12 +67,15 @@ def term_counts(
     stop_words: Iterable[str] | DataFrame = SPANISH_STOP_WORDS,
     unicode: bool = False,
     block_size: int | None = None,
+    slice_docs: int | None = None,
 ) -> DataFrame:
     """A3: occurrences of each word in each document -> ``(word, doc, n)``.
 
     ``block_size`` (integral documents) adds the ``block`` of :func:`postings` and deals the tokens by
     (word, block), so that counting and the postings need one shuffle in all. One task then has
-    a word's tokens of ``block_size`` documents: for small blocks.
+    a word's tokens of ``block_size`` documents: for small blocks. ``slice_docs`` does the same for
+    blocks by rank: it adds the document's ``slice`` (slices of about that many documents, in the documents'
+    order) and deals the tokens by (word, slice).
 
     When the stop words include ``""`` (the default set does) every empty token
     is dropped anyway, so the tokenizer skips its pass that drops trailing empties.
@@ -76,10 +84,10 @@ def term_counts(
         stop_words = tuple(stop_words)
     empties_filtered = not isinstance(stop_words, DataFrame) and "" in stop_words
     kept = remove_stop_words(tokens(df, doc, text, unicode, jvm_empties=not empties_filtered), stop_words)
-    if block_size is not None:
-        kept = kept.withColumn("block", _block(doc, block_size)).repartition("word", "block")
-        return kept.groupBy("word", "block", doc).agg(F.count(F.lit(1)).alias("n"))
-    return kept.groupBy("word", doc).agg(F.count(F.lit(1)).alias("n"))
+    dealt = {"block": _block(doc, block_size)} if block_size is not None else {"slice": _slice(df, doc, slice_docs)} if slice_docs is not None else {}
+    for part, place in dealt.items():
+        kept = kept.withColumn(part, place).repartition("word", part)
+    return kept.groupBy("word", *dealt, doc).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _block(doc: str, block_size: int) -> Column:
@@ -87,6 +95,57 @@ def _block(doc: str, block_size: int) -> Column:
     return F.expr(f"`{doc}` div {int(block_size)}").cast("long")
 
 
+def _slice(df: DataFrame, doc: str, slice_docs: int) -> Column:
+    """The slice of a document: its place among bounds that cut the documents' order into about equal parts.
+
+    Null documents come first, as in a sort. Only the bounds, one per slice, reach the driver.
+    """
+    docs = df.select(F.col(doc).alias("doc")).where("doc IS NOT NULL").distinct()
+    parts = -(-docs.count() // slice_docs)
+    if parts <= 1:
+        return F.lit(0)
+    ranged = docs.repartitionByRange(parts, "doc").groupBy(F.spark_partition_id().alias("part")).agg(F.min("doc").alias("low"))
+    bounds = sorted(r["low"] for r in ranged.collect())
+
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(F.col(doc) < F.lit(bounds[mid]), among(lo, mid - 1)).otherwise(among(mid, hi))
+
+    return F.when(F.col(doc).isNull(), 0).otherwise(among(0, len(bounds) - 1))
+
+
+def _by_rank(counts: DataFrame, doc: str, block_size: int) -> DataFrame:
+    """``(word, block, _p)``, ``_p`` the block's ``struct(doc, n)``: blocks by the document's place in its word's list.
+
+    ``counts`` has the documents' ``slice`` and is dealt by (word, slice).
+    """
+    size = int(block_size)
+    lists = counts.groupBy("word", "slice").agg(F.sort_array(F.collect_list(F.struct(F.col(doc).alias("doc"), "n"))).alias("_p"))
+    lists = _written(lists.withColumn("len", F.size("_p").cast("long")))
+    ahead = lists.select(F.col("word").alias("a_word"), F.col("slice").alias("a_slice"), "len")
+    # one row per slice of a word
+    along, word = (Window.partitionBy("a_word").orderBy("a_slice").rowsBetween(Window.unboundedPreceding, x) for x in (-1, Window.unboundedFollowing))
+    ahead = ahead.select("a_word", "a_slice", "len", F.coalesce(F.sum("len").over(along), F.lit(0)).alias("ahead"), F.sum("len").over(word).alias("all"))
+    # a word of one slice has all of its blocks there
+    ahead = ahead.where(F.col("all") > F.col("len")).drop("len")
+    placed = lists.join(ahead, (F.col("word") == F.col("a_word")) & (F.col("slice") == F.col("a_slice")), "left")
+    placed = _written(placed.select("word", "_p", "len", F.coalesce("ahead", F.lit(0)).alias("ahead"), F.coalesce("all", "len").alias("all")))
+
+    upto = F.col("ahead") + F.col("len")
+    begin, end = lambda b: F.greatest(b * size, F.col("ahead")), lambda b: F.least(b * size + size, upto)
+    whole = lambda b: end(b) - begin(b) == F.least(F.lit(size), F.col("all") - b * size)
+    blocks = F.sequence(F.floor(F.col("ahead") / size), F.floor((upto - 1) / size))
+
+    def pieces(which: Callable[[Column], Column]) -> DataFrame:
+        piece = lambda b: F.struct(b.alias("block"), F.slice("_p", (begin(b) - F.col("ahead") + 1).cast("int"), (end(b) - begin(b)).cast("int")).alias("_p"))
+        return placed.select("word", F.explode(F.transform(F.filter(blocks, which), piece)).alias("x")).select("word", "x.block", "x._p")
+
+    cut = pieces(lambda b: ~whole(b)).groupBy("word", "block").agg(F.flatten(F.collect_list("_p")).alias("_p"))
+    return pieces(whole).unionByName(cut)
+
+
 def postings(
     counts: DataFrame,
     doc: str = "doc",
@@ -105,8 +164,8 @@ def postings(
 
     Blocks are ranges of document numbers (strings: hash buckets). ``by_rank=True`` makes them by
     the document's place among the word's documents instead: every block but the last is full
-    whatever the ids are, for one more pass over the counts. ``dealt=True``: the counts come from
-    :func:`term_counts` with the same ``block_size``; no further shuffle is needed.
+    whatever the ids are. ``dealt=True``: the counts come from :func:`term_counts` with the same
+    ``block_size`` (by rank: with ``slice_docs``) and are not shuffled again.
 
     ``sort=True`` returns the rows ordered by (word, block) (O2) with a single
     shuffle: the counts are range-partitioned on (word, block) before grouping
@@ -116,9 +175,9 @@ def postings(
     """
     dtype = counts.schema[doc].dataType
     if by_rank:
-        # (word, doc) is unique in counts; numbered over range partitions, so a hot word is many tasks
-        blocked = running(counts, [doc], keys=["word"], number="_nth", unique=True)
-        blocked = blocked.withColumn("block", F.expr(f"(_nth - 1) div {int(block_size)}")).drop("_nth")
+        if not dealt:
+            counts = counts.withColumn("slice", _slice(counts, doc, SLICE_DOCS)).repartition("word", "slice")
+        found = _by_rank(counts, doc, block_size)
     elif isinstance(dtype, IntegralType):
         # counts that were dealt by their blocks (term_counts) keep that column, hence their partitions
         blocked = counts if dealt else counts.withColumn("block", _block(doc, block_size))
@@ -128,11 +187,15 @@ def postings(
         with_df = counts.join(df_w, "word")
         nb = F.greatest(F.lit(1), F.ceil(F.col("_df") / F.lit(block_size)))
         blocked = with_df.withColumn("block", F.pmod(F.xxhash64(F.col(doc)), nb).cast("long")).drop("_df")
-    if sort:
-        blocked = blocked.repartitionByRange("word", "block")
-    grouped = blocked.groupBy("word", "block").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("neg_n"), F.col(doc).alias("doc")))).alias("_p")
-    )
+    if by_rank:
+        found = found.repartitionByRange("word", "block") if sort else found
+        entries = F.transform("_p", lambda x: F.struct((-x["n"]).alias("neg_n"), x["doc"].alias("doc")))
+        grouped = found.select("word", "block", F.sort_array(entries).alias("_p"))
+    else:
+        blocked = blocked.repartitionByRange("word", "block") if sort else blocked
+        grouped = blocked.groupBy("word", "block").agg(
+            F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("neg_n"), F.col(doc).alias("doc")))).alias("_p")
+        )
     if as_text:
         entry = lambda x: F.concat(F.lit("("), x["doc"].cast("string"), F.lit(","), (-x["neg_n"]).cast("string"),
                                    F.lit(")"))

@@ -259,3 +259,34 @@ def test_postings_of_dealt_counts_need_one_shuffle(spark):
 
     assert plan_text(dealt).count("Exchange hashpartitioning") == 1
     assert rows(dealt) == rows(plain)
+
+
+@pytest.mark.parametrize("ids", ["long", "text"])
+def test_postings_by_rank_join_blocks_over_slices(spark, monkeypatch, ids):
+    # slices of about 13 documents, blocks of 5; a null document comes first, one document comes twice
+    key = (lambda i: i * 7_919_317 % 10_007) if ids == "long" else (lambda i: f"d{i * 7_919_317 % 10_007}")
+    data = [(key(i), " ".join(["hot"] * (1 + i % 3) + [f"w{i % 9}"])) for i in range(95)] + [(None, "hot w1 w1"), (key(4), "hot")]
+    df = spark.createDataFrame(data, f"doc {'long' if ids == 'long' else 'string'}, text string").repartition(4)
+    found = {}
+    for doc, text in data:
+        for w in text.split():
+            found.setdefault(w, {}).setdefault(doc, 0)
+            found[w][doc] += 1
+    due = []
+    for w, docs in found.items():
+        order = sorted(docs.items(), key=lambda x: (x[0] is not None, x[0]))
+        for b in range(0, len(order), 5):
+            due.append((w, b // 5, [(d, n) for d, n in sorted(order[b : b + 5], key=lambda x: (-x[1], x[0] is not None, x[0]))]))
+    dealt = tx.postings(tx.term_counts(df, slice_docs=13), block_size=5, as_text=False, by_rank=True, dealt=True)
+    monkeypatch.setattr(tx, "SLICE_DOCS", 13)
+    plain = tx.postings(tx.term_counts(df), block_size=5, as_text=False, by_rank=True, sort=True)
+    for out in (dealt, plain):
+        assert sorted((r.word, r.block, [tuple(p) for p in r.postings]) for r in out.collect()) == sorted(due, key=lambda x: x[:2])
+        assert out.schema["block"].dataType.simpleString() == "bigint"
+
+
+def test_postings_by_rank_shuffle_the_tokens_once(spark):
+    df = spark.createDataFrame([(i, f"hot w{i % 7}") for i in range(50)], "doc long, text string")
+    counts = tx.term_counts(df, slice_docs=10)
+    lists = counts.groupBy("word", "slice").agg(F.collect_list("doc"))
+    assert plan_text(lists).count("Exchange hashpartitioning") == 1
