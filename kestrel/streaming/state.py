@@ -21,7 +21,7 @@ batch, so small streams want few, large ones as many as the cluster has cores.
 
 Scale: windows, sessions and dedup shuffle by their keys after Spark's partial aggregation
 (sessions merge within map partitions first, see :func:`sessions`); running counts are
-pre-aggregated per Arrow batch, so a hot key sends few rows; an interval join is keyed by
+pre-aggregated per Arrow batch, so a hot key sends few rows, and held by buckets of keys; an interval join is keyed by
 (key, time bucket), so a hot key spreads over its buckets.
 """
 
@@ -34,6 +34,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BinaryType, DataType, DecimalType, FractionalType, TimestampType
 
 from .jobs import run
 
@@ -207,31 +208,53 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts:
     return _run(result, sides, out, checkpoint, "append", **run_options)
 
 
+#: Groups of keys that :func:`running_counts` keeps its state by.
+KEY_BUCKETS = 4096
+
+
+def _key_text(key: str, dtype: DataType) -> tuple[Column, Callable[[Column], Column]]:
+    """A key as text, equal for equal keys only, and the way back."""
+    col = F.col(f"`{key}`")
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(col).cast("string"), lambda x: F.timestamp_micros(x.cast("long"))
+    if isinstance(dtype, BinaryType):
+        return F.base64(col), lambda x: F.unbase64(x)
+    plain = col + F.lit(0).cast(dtype) if isinstance(dtype, FractionalType) and not isinstance(dtype, DecimalType) else col  # -0.0 is 0.0
+    return plain.cast("string"), lambda x: x.cast(dtype)
+
+
 def running_counts(stream: DataFrame, ts: str, key: str, timeout: timedelta, out: str, checkpoint: str,
-                   resolution: timedelta = timedelta(minutes=1), delay: timedelta = timedelta(0), **run_options) -> StreamingQuery:
+                   resolution: timedelta = timedelta(minutes=1), delay: timedelta = timedelta(0), buckets: int = KEY_BUCKETS, **run_options) -> StreamingQuery:
     """Running counts per key, kept over batches; a key idle for ``timeout`` is closed and starts anew.
 
     Event times count as the end of their ``resolution`` (a bucket of time), which makes lateness and
     timeouts independent of how rows are dealt to tasks. A batch emits ``(key, n, last, closed)`` with
     ``closed = false`` for each key it has rows of; a timeout emits the final count with
     ``closed = true`` and forgets the key.
+
+    The state has a row per hash bucket of keys, not per key: a call of the state operator costs about
+    as much as counting a thousand rows, and a batch makes at most ``buckets`` of them however many keys
+    it has. A bucket's timer is that of its first key to close. ``buckets`` is fixed by a job's first run; more of
+    them for more than some ten thousand keys each.
     """
     import pyarrow as pa
 
-    dtype = stream.schema[key].dataType.simpleString()
+    text, back = _key_text(key, stream.schema[key].dataType)
     step = _micros(resolution)
     tick = F.timestamp_micros(F.unix_micros(ts) - F.pmod(F.unix_micros(ts), F.lit(step)) + step)
-    ticks = stream.where(F.col(ts).isNotNull()).select(F.col(key).alias("key"), tick.alias("at"), F.lit(1).cast("long").alias("n"))
+    ticks = stream.where(F.col(ts).isNotNull()).select(text.alias("key"), tick.alias("at"), F.lit(1).cast("long").alias("n"))
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = pa.Table.from_batches([batch]).group_by(["key", "at"]).aggregate([("n", "sum")])
             yield from whole.select(["key", "at", "n_sum"]).rename_columns(["key", "at", "n"]).to_batches()
 
-    combined = ticks.mapInArrow(combine, f"key {dtype}, at timestamp, n long").withWatermark("at", _text(delay))
-    schema = f"key {dtype}, n long, last timestamp, closed boolean"
-    counted = combined.groupBy("key").applyInPandasWithState(_counter(_millis(timeout)), schema, "n long, last long", "update", "EventTimeTimeout")
-    result = counted.select(F.col("key").alias(key), "n", "last", "closed")
+    combined = ticks.mapInArrow(combine, "key string, at timestamp, n long").withWatermark("at", _text(delay))
+    bucket = F.when(F.col("key").isNull(), -1).otherwise(F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    bucketed = combined.select(bucket.alias("bucket"), "key", "at", F.unix_millis("at").alias("ms"), "n").groupBy("bucket")
+    counted = bucketed.applyInPandasWithState(_counter(_millis(timeout)), "key string, n long, ms long, closed boolean",
+                                              "keys array<string>, counts array<long>, lasts array<long>", "update", "EventTimeTimeout")
+    result = counted.select(back(F.col("key")).alias(key), "n", F.timestamp_millis("ms").alias("last"), "closed")
     rows = stream.select("*", tick.alias("_tick"))
     side = _Side(rows, "_tick", delay, lambda at, closed: (at <= closed).cast("int"))
     return _run(result, {"row": side}, out, checkpoint, "update", **run_options)
@@ -242,28 +265,28 @@ def _counter(timeout_ms: int):
 
     import pandas as pd
 
-    def step(key, parts, state):
+    def step(bucket, parts, state):
         warnings.simplefilter("ignore", FutureWarning)  # Spark's own concatenation of empty frames
-        n, last = state.get if state.exists else (0, None)
+        counts = {k: (n, last) for k, n, last in zip(*state.get, strict=True)} if state.exists else {}
         out = []
-
-        def emit(closed: bool) -> None:
-            out.append((key[0], n, pd.Timestamp(last, unit="ms", tz="UTC"), closed))
-
-        if state.hasTimedOut:
-            emit(True)
+        if counts:  # idle for too long, whether rows came now or not
+            now = state.getCurrentWatermarkMs()
+            out = [(k, n, last, True) for k, (n, last) in counts.items() if last + timeout_ms < now]
+            for k, *_ in out:
+                del counts[k]
+        seen = set()
+        for part in () if state.hasTimedOut else parts:
+            keys = part["key"].tolist() if bucket[0] >= 0 else [None] * len(part)
+            for k, n, ms in zip(keys, part["n"].tolist(), part["ms"].tolist(), strict=True):
+                before, last = counts.get(k, (0, ms))
+                counts[k] = before + n, max(last, ms)
+                seen.add(k)
+        out += [(k, *counts[k], False) for k in seen]
+        if counts:
+            state.update((list(counts), [n for n, _ in counts.values()], [last for _, last in counts.values()]))
+            state.setTimeoutTimestamp(min(last for _, last in counts.values()) + timeout_ms)
+        elif state.exists:
             state.remove()
-        else:
-            if last is not None and last + timeout_ms < state.getCurrentWatermarkMs():
-                emit(True)  # idle for too long before these rows came
-                n, last = 0, None
-            for part in parts:
-                n += int(part["n"].sum())
-                top = int(part["at"].max().timestamp() * 1000)
-                last = top if last is None else max(last, top)
-            state.update((n, last))
-            state.setTimeoutTimestamp(last + timeout_ms)
-            emit(False)
-        yield pd.DataFrame(out, columns=["key", "n", "last", "closed"])
+        yield pd.DataFrame(out, columns=["key", "n", "ms", "closed"])
 
     return step

@@ -144,6 +144,38 @@ def test_running_counts_time_out_and_start_anew(spark, tmp_dir):
     assert [r.id for r in st.late_rows(spark, out).collect()] == [7]
 
 
+@pytest.mark.parametrize("kind", ["string", "long", "date", "timestamp", "binary", "double"])
+def test_running_counts_hold_keys_by_buckets(spark, tmp_dir, kind):
+    # 2 buckets of 41 keys and null: each key times out by itself; numbers above 2^53 stay what they are
+    parts = [[(i, None if i % 41 == 40 else i % 41, i % 10) for i in range(200)],
+             [(300 + i, i, 100 + i) for i in range(20)], [(400, 7, 190)], [(500, 99, 600)]]
+    make = {"string": lambda k: f"k{k}", "long": lambda k: 2**60 + k, "date": lambda k: (T0 + timedelta(days=k)).date(), "timestamp": lambda k: T0 + timedelta(microseconds=k),
+            "binary": lambda k: bytearray([255, k]), "double": lambda k: k / 7}[kind]
+    typed = [[(i, None if k is None else make(k), t) for i, k, t in part] for part in parts]
+    out = play(spark, tmp_dir, typed, lambda s, out, ckpt: st.running_counts(
+        s, "ts", "key", timedelta(minutes=60), out, ckpt, delay=timedelta(minutes=20), buckets=2, available_now=True), f"id long, key {kind}, ts timestamp")
+    state, mark, top, due = {}, None, None, []
+    for part in parts:
+        seen = set()
+        for _, k, t in part:
+            if mark is None or t + 1 > mark:
+                n, last = state.get(k, (0, 0))
+                if n and k not in seen and last + 60 < mark:
+                    due.append((k, n, last, True))
+                    n, last = 0, 0
+                state[k] = (n + 1, max(last, t + 1))
+                seen.add(k)
+        due += [(k, *state[k], False) for k in seen]
+        top = max(t + 1 for _, _, t in part)
+        mark = top - 20
+        for k in [k for k, (_, last) in state.items() if last + 60 < mark]:
+            due.append((k, *state.pop(k), True))
+    text = lambda k: None if k is None else make(k)
+    plain = lambda k: bytes(k) if isinstance(k, bytearray) else k.replace(tzinfo=UTC) if isinstance(k, datetime) else k
+    got = Counter((plain(r.key), r.n, minutes(r["last"]), r.closed) for r in st.results(spark, out).collect())
+    assert got == Counter((plain(text(k)), n, last, closed) for k, n, last, closed in due)
+
+
 def test_distinct_counts_replays_once(spark, tmp_dir):
     parts = events(2, 300)
     parts[1] += parts[0][::3] + parts[1][::2]
