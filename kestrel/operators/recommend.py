@@ -18,8 +18,11 @@ from .ordered import _written, running
 
 #: A factor goes once to each block of the other side that needs it, so the bytes shuffled per iteration
 #: grow with the number of blocks until all of a key's ratings lie in different ones. Few, large blocks
-#: keep them in line with the keys: at this size a block is some 200 MB, twice that while it is built.
-RATINGS_PER_BLOCK = 20_000_000
+#: keep them in line with the keys: at this size a block is some 320 MB, twice that while it is built.
+RATINGS_PER_BLOCK = 32_000_000
+#: The fewest blocks. User factors start from random numbers drawn block by block, so the number of user
+#: blocks is part of a model's result; item factors are computed from them, in however many blocks.
+MIN_USER_BLOCKS, MIN_ITEM_BLOCKS = 10, 4
 
 
 def rating_stats(ratings: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
@@ -47,12 +50,12 @@ def fit(
 
     Each iteration runs one task per user block and per item block and moves factors
     between all pairs of blocks. By default a block holds about ``RATINGS_PER_BLOCK``
-    ratings (one count of the ratings; at least 10 blocks), so the number of pairs
-    follows the data and not the size of the cluster. Keys must fit an int, as
-    spark.ml's ALS demands.
+    ratings (one count of the ratings; at least 10 user and 4 item blocks), so the number of pairs
+    follows the data and not the size of the cluster. Few item blocks mean few copies of the
+    user factors, the larger half of the bytes moved. Keys must fit an int, as spark.ml's ALS demands.
     """
     shared_dir(ratings.sparkSession)  # ALS checkpoints its factor lineage here
-    blocks = num_blocks or max(10, -(-ratings.count() // RATINGS_PER_BLOCK))
+    needed = num_blocks or -(-ratings.count() // RATINGS_PER_BLOCK)
     als = ALS(
         rank=rank,
         maxIter=max_iter,
@@ -63,8 +66,8 @@ def fit(
         seed=seed,
         coldStartStrategy=cold_start,
         checkpointInterval=5,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=num_blocks or max(MIN_USER_BLOCKS, needed),
+        numItemBlocks=num_blocks or max(MIN_ITEM_BLOCKS, needed),
     )
     return als.fit(ratings)
 

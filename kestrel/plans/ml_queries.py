@@ -126,14 +126,15 @@ SPLIT_DATE = "1999-01-01"
 
 
 def _split(spark: SparkSession, sf_dir: str):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    r = li.join(orders, li.l_orderkey == orders.o_orderkey).select(
-        F.col("o_custkey").cast("int").alias("userId"),
+    # narrow before the join: of a line only its item, rating and side of the split are shuffled
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
         F.col("l_partkey").cast("int").alias("movieId"),
         (F.lit(1) + F.col("l_linenumber") % 5).cast("double").alias("rating"),
         (F.col("l_shipdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz")).alias("_train"),
     )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("userId"))
+    r = li.join(orders, li.l_orderkey == orders.o_orderkey).select("userId", "movieId", "rating", "_train")
     # joined once: the fit reads the ratings twice, the predictions read the test ratings
     path = scratch_path(spark, "ratings")
     r.write.parquet(path)

@@ -206,6 +206,22 @@ def test_als_blocks_follow_the_ratings(spark, monkeypatch):
     assert seen["numUserBlocks"] == seen["numItemBlocks"] == 20
 
 
+def test_als_item_blocks_are_few_and_leave_the_model_alone(spark, monkeypatch):
+    ratings = spark.createDataFrame([(i % 40, i * i % 31, float(i % 5)) for i in range(600)], "userId int, movieId int, rating double")
+    seen, real = {}, rec.ALS
+
+    def spy(**kwargs):
+        seen.update(kwargs)
+        return real(**kwargs)
+
+    monkeypatch.setattr(rec, "ALS", spy)
+    few = {r.id: r.features for r in rec.fit(ratings, max_iter=3).itemFactors.collect()}
+    assert (seen["numUserBlocks"], seen["numItemBlocks"]) == (10, 4)
+    many = {r.id: r.features for r in rec.fit(ratings, max_iter=3, num_blocks=10).itemFactors.collect()}
+    assert few.keys() == many.keys()
+    assert all(np.allclose(few[i], many[i], rtol=1e-3, atol=1e-4) for i in few)
+
+
 def test_predictions_do_not_depend_on_row_order_and_repeats_come_back(spark):
     train = spark.createDataFrame([("good good nice", 4), ("bad sad", 0), ("bad meh", 2)], "text string, label int")
     posts = [("hot", "good day")] * 300 + [("hot", "bad sad")] * 5 + [("hot", None)] * 3 + [(None, "meh meh")]
