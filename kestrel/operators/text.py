@@ -67,27 +67,53 @@ def term_counts(
     stop_words: Iterable[str] | DataFrame = SPANISH_STOP_WORDS,
     unicode: bool = False,
     block_size: int | None = None,
-    slice_docs: int | None = None,
 ) -> DataFrame:
     """A3: occurrences of each word in each document -> ``(word, doc, n)``.
 
     ``block_size`` (integral documents) adds the ``block`` of :func:`postings` and deals the tokens by
     (word, block), so that counting and the postings need one shuffle in all. One task then has
-    a word's tokens of ``block_size`` documents: for small blocks. ``slice_docs`` does the same for
-    blocks by rank: it adds the document's ``slice`` (slices of about that many documents, in the documents'
-    order) and deals the tokens by (word, slice).
+    a word's tokens of ``block_size`` documents: for small blocks.
 
     When the stop words include ``""`` (the default set does) every empty token
     is dropped anyway, so the tokenizer skips its pass that drops trailing empties.
     """
+    kept = _kept(df, doc, text, stop_words, unicode)
+    if block_size is not None:
+        kept = kept.withColumn("block", _block(doc, block_size)).repartition("word", "block")
+        return kept.groupBy("word", "block", doc).agg(F.count(F.lit(1)).alias("n"))
+    return kept.groupBy("word", doc).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _kept(df: DataFrame, doc: str, text: str, stop_words: Iterable[str] | DataFrame, unicode: bool) -> DataFrame:
+    """The tokens that are no stop words."""
     if not isinstance(stop_words, DataFrame):
         stop_words = tuple(stop_words)
     empties_filtered = not isinstance(stop_words, DataFrame) and "" in stop_words
-    kept = remove_stop_words(tokens(df, doc, text, unicode, jvm_empties=not empties_filtered), stop_words)
-    dealt = {"block": _block(doc, block_size)} if block_size is not None else {"slice": _slice(df, doc, slice_docs)} if slice_docs is not None else {}
-    for part, place in dealt.items():
-        kept = kept.withColumn(part, place).repartition("word", part)
-    return kept.groupBy("word", *dealt, doc).agg(F.count(F.lit(1)).alias("n"))
+    return remove_stop_words(tokens(df, doc, text, unicode, jvm_empties=not empties_filtered), stop_words)
+
+
+def term_lists(
+    df: DataFrame,
+    doc: str = "doc",
+    text: str = "text",
+    stop_words: Iterable[str] | DataFrame = SPANISH_STOP_WORDS,
+    unicode: bool = False,
+    slice_docs: int = SLICE_DOCS,
+) -> DataFrame:
+    """The counts of :func:`term_counts` as lists -> ``(word, slice, entries)``, for :func:`postings` by rank.
+
+    ``entries`` holds ``struct(doc, n)`` in the documents' order, for the documents of one slice (about
+    ``slice_docs`` of them, in that order). The tokens are dealt by (word, slice) and counted
+    as runs of their sorted documents, so there is one shuffle and no group per (word, document).
+    """
+    kept = _kept(df, doc, text, stop_words, unicode).withColumn("slice", _slice(df, doc, slice_docs)).repartition("word", "slice")
+    lists = kept.groupBy("word", "slice").agg(F.sort_array(F.collect_list(doc)).alias("docs"), F.count_if(F.col(doc).isNull()).alias("nulls"))
+    places = F.when(F.size("docs") > 0, F.sequence(F.lit(0), F.size("docs") - 1)).otherwise(F.array().cast("array<int>"))
+    first = lambda i: (i == 0) | (F.get("docs", i) != F.get("docs", i - 1))
+    lists = lists.withColumn("runs", F.filter(places, first))
+    entry = lambda i, k: F.struct(F.get("docs", i).alias("doc"), (F.coalesce(F.get("runs", k + 1), F.size("docs")) - i).cast("long").alias("n"))
+    none = F.when(F.col("nulls") > 0, F.array(F.struct(F.lit(None).cast(df.schema[doc].dataType).alias("doc"), F.col("nulls").alias("n")))).otherwise(F.array())
+    return lists.select("word", "slice", F.concat(none, F.transform("runs", entry)).alias("entries"))
 
 
 def _block(doc: str, block_size: int) -> Column:
@@ -116,14 +142,17 @@ def _slice(df: DataFrame, doc: str, slice_docs: int) -> Column:
     return F.when(F.col(doc).isNull(), 0).otherwise(among(0, len(bounds) - 1))
 
 
-def _by_rank(counts: DataFrame, doc: str, block_size: int) -> DataFrame:
-    """``(word, block, _p)``, ``_p`` the block's ``struct(doc, n)``: blocks by the document's place in its word's list.
-
-    ``counts`` has the documents' ``slice`` and is dealt by (word, slice).
-    """
+def _by_rank(lists: DataFrame, block_size: int) -> DataFrame:
+    """``(word, block, _p)``, ``_p`` the block's ``struct(doc, n)``: blocks by the document's place in its word's list."""
     size = int(block_size)
-    lists = counts.groupBy("word", "slice").agg(F.sort_array(F.collect_list(F.struct(F.col(doc).alias("doc"), "n"))).alias("_p"))
-    lists = _written(lists.withColumn("len", F.size("_p").cast("long")))
+    # collected from sorted rows: Spark's hash form holds 128 groups a task and then sorts twice
+    conf, name = lists.sparkSession.conf, "spark.sql.execution.useObjectHashAggregateExec"
+    before = conf.get(name)
+    try:
+        conf.set(name, "false")
+        lists = _written(lists.select("word", "slice", F.col("entries").alias("_p"), F.size("entries").cast("long").alias("len")))
+    finally:
+        conf.set(name, before)
     ahead = lists.select(F.col("word").alias("a_word"), F.col("slice").alias("a_slice"), "len")
     # one row per slice of a word
     along, word = (Window.partitionBy("a_word").orderBy("a_slice").rowsBetween(Window.unboundedPreceding, x) for x in (-1, Window.unboundedFollowing))
@@ -165,7 +194,7 @@ def postings(
     Blocks are ranges of document numbers (strings: hash buckets). ``by_rank=True`` makes them by
     the document's place among the word's documents instead: every block but the last is full
     whatever the ids are. ``dealt=True``: the counts come from :func:`term_counts` with the same
-    ``block_size`` (by rank: with ``slice_docs``) and are not shuffled again.
+    ``block_size`` (by rank: they are the lists of :func:`term_lists`) and are not shuffled again.
 
     ``sort=True`` returns the rows ordered by (word, block) (O2) with a single
     shuffle: the counts are range-partitioned on (word, block) before grouping
@@ -173,12 +202,13 @@ def postings(
     exchange) and each partition is then sorted locally. A hot word's blocks
     land in different ranges; one block holds at most ``block_size`` entries.
     """
-    dtype = counts.schema[doc].dataType
     if by_rank:
+        lists = counts
         if not dealt:
-            counts = counts.withColumn("slice", _slice(counts, doc, SLICE_DOCS)).repartition("word", "slice")
-        found = _by_rank(counts, doc, block_size)
-    elif isinstance(dtype, IntegralType):
+            sliced = counts.withColumn("slice", _slice(counts, doc, SLICE_DOCS)).groupBy("word", "slice")
+            lists = sliced.agg(F.sort_array(F.collect_list(F.struct(F.col(doc).alias("doc"), "n"))).alias("entries"))
+        found = _by_rank(lists, block_size)
+    elif isinstance(counts.schema[doc].dataType, IntegralType):
         # counts that were dealt by their blocks (term_counts) keep that column, hence their partitions
         blocked = counts if dealt else counts.withColumn("block", _block(doc, block_size))
     else:

@@ -143,5 +143,5 @@ select word, block, string_agg('(' || doc || ',' || n || ')', ', ' order by n de
 def index_postings_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 / O9 with scattered document numbers: blocks by rank are full, blocks by number would hold one each."""
     docs = table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id") * 2654435761 % 4294967296)
-    counts = tx.term_counts(docs, doc="doc_id", text="text", slice_docs=tx.SLICE_DOCS)
-    return tx.postings(counts, doc="doc_id", block_size=20, by_rank=True, dealt=True)
+    lists = tx.term_lists(docs, doc="doc_id", text="text")
+    return tx.postings(lists, block_size=20, by_rank=True, dealt=True)

@@ -277,7 +277,7 @@ def test_postings_by_rank_join_blocks_over_slices(spark, monkeypatch, ids):
         order = sorted(docs.items(), key=lambda x: (x[0] is not None, x[0]))
         for b in range(0, len(order), 5):
             due.append((w, b // 5, [(d, n) for d, n in sorted(order[b : b + 5], key=lambda x: (-x[1], x[0] is not None, x[0]))]))
-    dealt = tx.postings(tx.term_counts(df, slice_docs=13), block_size=5, as_text=False, by_rank=True, dealt=True)
+    dealt = tx.postings(tx.term_lists(df, slice_docs=13), block_size=5, as_text=False, by_rank=True, dealt=True)
     monkeypatch.setattr(tx, "SLICE_DOCS", 13)
     plain = tx.postings(tx.term_counts(df), block_size=5, as_text=False, by_rank=True, sort=True)
     for out in (dealt, plain):
@@ -287,6 +287,5 @@ def test_postings_by_rank_join_blocks_over_slices(spark, monkeypatch, ids):
 
 def test_postings_by_rank_shuffle_the_tokens_once(spark):
     df = spark.createDataFrame([(i, f"hot w{i % 7}") for i in range(50)], "doc long, text string")
-    counts = tx.term_counts(df, slice_docs=10)
-    lists = counts.groupBy("word", "slice").agg(F.collect_list("doc"))
+    lists = tx.term_lists(df, slice_docs=10)
     assert plan_text(lists).count("Exchange hashpartitioning") == 1
