@@ -7,14 +7,17 @@ probability is 0; all words unseen in training share one unknown word.
 
 How the work is spread:
 
-1. Texts become chunks (a few MB of text each): distinct words and token numbers. They are
-   written once, bucketed by chunk.
+1. Texts become chunks (a few MB of text each): distinct words and token numbers, bucketed by
+   chunk. Once the words are counted, the chunks are written again with each word's count and
+   number in place of its hash, and the first copy goes.
 2. Order by order, each chunk sends its distinct n-grams, counted, to the hash bucket of their
    context; contexts with more than ``HOT`` occurrences are dealt over several buckets by word.
    So a frequent n-gram is one row per chunk, however many documents hold it. A bucket adds up
    the counts, writes its part of the n-gram table (one packed row of contexts, words, counts
    and numbers; ``Model.table`` gives them a row each) and answers
-   each chunk in the chunk's own order: counts and numbers, nothing else travels back.
+   each chunk in the chunk's own order: counts and numbers, nothing else travels back. The
+   bucket also tells a chunk which n-grams no other chunk holds: all n-grams of the highest
+   order that begin with one of these are in that chunk, which counts and weighs them itself.
 3. The discounts follow from the counts of counts, backoff weights from sums per context (the
    probability that discounting freed, over the lower-order probability of unseen words).
 4. Each chunk evaluates every token recursively: the discounted count if its n-gram was seen,
@@ -32,6 +35,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,10 +43,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.session import scratch_path
+from kestrel.session import remove_scratch, scratch_path
 
 from .common import as_bytes, mix64, ref, release_shuffles, spans, staged, starts, sums
 
@@ -79,6 +83,32 @@ def by_pair(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return by, np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])])
 
 
+def _dealt(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts the entries of each bucket together, else as they are, and where each bucket begins in it."""
+    bucket = bucket.astype(np.uint16) if buckets < 1 << 16 else bucket
+    by = np.argsort(bucket, kind="stable")
+    return by, np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
+
+
+def _word_buckets(words: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix64(words) % np.uint64(buckets)).astype(np.int64)
+
+
+def _merged(order: int, bucket: np.ndarray, buckets: int, reply: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    """The buckets' answers in the order of the asked n-grams: count, number, whether only this chunk holds it."""
+    count, number, private = np.zeros(len(bucket), np.int64), np.full(len(bucket), UNSEEN, np.int64), np.zeros(len(bucket), bool)
+    by, edge = _dealt(bucket, buckets)
+    for b, (counts, ranks, own) in reply.items():
+        at = by[edge[b] : edge[b + 1]]
+        count[at] = counts
+        if len(ranks):
+            ranks = np.cumsum(ranks, dtype=np.int64) if order > 1 else ranks.astype(np.int64)
+            number[at] = np.where(counts > 0, FIRST + ranks * buckets + b, UNSEEN)
+        if len(own):
+            private[at] = own
+    return count, number, private
+
+
 CHUNK_SCHEMA = "chunk long, ids array<long>, train array<boolean>, lengths array<long>, words binary, tokens binary"
 
 
@@ -152,155 +182,200 @@ class Chunk:
     buckets: int
     train_docs: int
     levels: list[Level]
-    replies: list[dict[int, tuple[np.ndarray, np.ndarray]]]
-    weights: list[dict[int, float]]
+    weights: list[tuple[np.ndarray, np.ndarray]]  # contexts and their weights, of the orders from 2 on
     probability: np.ndarray = field(init=False)
 
     def __post_init__(self):
         self.lengths = np.array(self.row["lengths"], np.int64)
-        self.words, self.tokens = unpack(self.row["words"], np.uint64), unpack(self.row["tokens"], np.uint32)
+        self.tokens = unpack(self.row["tokens"], np.uint32)
         first = starts(self.lengths)[:-1]
         self.first = np.zeros(len(self.tokens), bool)
         self.first[first] = True
         self.trained = np.repeat(np.array(self.row["train"], bool), self.lengths)
-        self.context = np.zeros(len(self.tokens), np.int64)  # number of each token's context at the current order
-        self.context_count = np.full(len(self.tokens), self.levels[0].total if self.levels else 0, np.int64)
-        for order, reply in enumerate(self.replies, 1):
-            self._answer(order, reply)
+        if self.levels:
+            self._words()
+        for order in range(2, len(self.levels) + 1):
+            self._answer(order, _reply_of(self.row, order))
+
+    def _distinct(self, at: np.ndarray):
+        """Distinct n-grams of these tokens: context, word, training count, a token that has it; and each token's place."""
+        by, new = by_pair(self.context[at], self.word[at])
+        at = at[by]
+        group = np.cumsum(new, dtype=np.int32) - 1
+        place = np.full(len(self.tokens), -1, np.int32)
+        place[at] = group
+        one = at[new]
+        return self.context[one], self.word[one], np.bincount(group[self.trained[at]], minlength=len(one)), one, place
 
     def grams(self, order: int):
-        """Distinct n-grams of this order: context, word, training count, what gives the lower probability, context count, bucket; and each token's place.
+        """Distinct n-grams of this order that are asked for: context, word, training count, counts of the n-gram without its first word and of that one's context, context count, bucket; and each token's place.
 
-        The lower probability of a bigram follows from its word's count, which packs better than the number itself.
+        Where training saw the n-gram, the two counts give the lower probability.
         """
         if order == 1:
-            n = np.bincount(self.tokens[self.trained], minlength=len(self.words))
-            context, lower, heavy = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
-            return context, self.words.view(np.int64), n, lower, heavy, (mix64(self.words) % np.uint64(self.buckets)).astype(np.int64), self.tokens
-        live = np.flatnonzero(self.context != UNSEEN)
-        context, word = self.context[live], self.word[live]
-        by, new = by_pair(context, word)
-        context, word = context[by], word[by]
-        live = live[by]
-        place = np.full(len(self.tokens), -1, np.int32)
-        place[live] = np.cumsum(new, dtype=np.int32) - 1
-        n = np.bincount(place[live[self.trained[live]]], minlength=int(new.sum()))
-        one = live[new]
+            words = unpack(self.row["words"], np.uint64)
+            n, none = np.bincount(self.tokens[self.trained], minlength=len(words)), np.zeros(len(words), np.int64)
+            return none, words.view(np.int64), n, none, none, none, _word_buckets(words, self.buckets), self.tokens
+        context, word, n, one, place = self._distinct(np.flatnonzero((self.context != UNSEEN) & ~self.owned))
         heavy = self.context_count[one]
         spread = np.maximum(1, -(-heavy // HOT)).astype(np.uint64)
-        bucket = (mix64(context[new] + 1) + mix64(word[new] + 7) % spread) % np.uint64(self.buckets)
-        return context[new], word[new], n, (self.known if order == 2 else self.probability)[one], heavy, bucket.astype(np.int64), place
-
-    def _answer(self, order: int, reply: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
-        context, word, _, _, _, bucket, place = self.grams(order)
-        count, number = np.zeros(len(word), np.int64), np.full(len(word), UNSEEN, np.int64)
-        for b, (c, i) in reply.items():
-            at = np.flatnonzero(bucket == b)
-            count[at] = c
-            if len(i):
-                number[at] = i
+        bucket = (mix64(context + 1) + mix64(word + 7) % spread) % np.uint64(self.buckets)
+        return context, word, n, self.lower[one], self.above[one], heavy, bucket.astype(np.int64), place
+
+    def own_grams(self):
+        """Distinct n-grams whose context no other chunk holds: as ``_distinct`` gives them."""
+        return self._distinct(np.flatnonzero((self.context != UNSEEN) & self.owned))
+
+    def _words(self) -> None:
+        level, count = self.levels[0], unpack(self.row["counts"], np.int64)
+        number = np.where(count > 0, np.cumsum(unpack(self.row["numbers"], np.int64)), UNSEEN)
+        self.word, self.known = number[self.tokens], count[self.tokens]
+        p = level.probability(self.known, np.int64(level.total))
+        self.probability = np.where(self.known > 0, p, level.unknown)
+        self.context_count = np.full(len(self.tokens), level.total, np.int64)
+        self._next(self.known, self.word, unpack(self.row["private"], bool)[self.tokens])
+
+    def _answer(self, order: int, reply: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        bucket, place = self.grams(order)[-2:]
+        count, number, private = (np.append(x, none)[place] for x, none in zip(_merged(order, bucket, self.buckets, reply), (0, UNSEEN, False), strict=True))
         level = self.levels[order - 1]
-        if order == 1:
-            self.word, self.known = number[place], count[place]
-            p = level.probability(self.known, np.int64(level.total))
-            self.probability = np.where(self.known > 0, p, level.unknown)
-            own, own_count = self.word, self.known
-        else:
-            has = place >= 0
-            own_count, own = np.append(count, 0)[place], np.append(number, UNSEEN)[place]
-            p = level.probability(own_count, self.context_count)
-            weight = np.ones(len(place))
-            table = self.weights[order - 1]
-            if table:
-                keys = np.fromiter(table.keys(), np.int64, len(table))
-                values = np.fromiter(table.values(), np.float64, len(table))
-                by = np.argsort(keys)
-                keys, values = keys[by], values[by]
-                found = np.minimum(np.searchsorted(keys, self.context), len(keys) - 1)
-                weight = np.where(has & (keys[found] == self.context), values[found], 1.0)
-            self.probability = np.where(own_count > 0, p, weight * self.probability)
-        # the next order's context is this order's n-gram that ends one token earlier
-        self.context = np.where(self.first, START, np.roll(np.where(own_count > 0, own, UNSEEN), 1))
-        self.context_count = np.where(self.first, self.train_docs, np.roll(own_count, 1))
+        weight = np.ones(len(place))
+        keys, values = self.weights[order - 2]
+        if len(keys):
+            by = np.argsort(keys)
+            keys, values = keys[by], values[by]
+            found = np.minimum(np.searchsorted(keys, self.context), len(keys) - 1)
+            weight = np.where((place >= 0) & (keys[found] == self.context), values[found], 1.0)
+        if self.owned.any():
+            context, _, n, one, own_place = self.own_grams()
+            group = np.cumsum(np.concatenate([[False], context[1:] != context[:-1]]))
+            lower = np.where(n > 0, self.levels[order - 2].probability(self.lower[one], self.above[one]), 0.0)
+            kept = np.bincount(group, weights=level.probability(n, np.int64(0))) / (np.bincount(group, weights=n) + 1)
+            own_weight = (1 - kept) / np.maximum(1 - np.bincount(group, weights=lower), 1e-12)
+            count = np.where(own_place >= 0, n[own_place], count)
+            weight = np.where(own_place >= 0, own_weight[group][own_place], weight)
+        self.probability = np.where(count > 0, level.probability(count, self.context_count), weight * self.probability)
+        self._next(count, number, private)
+
+    def _next(self, count: np.ndarray, number: np.ndarray, private: np.ndarray) -> None:
+        """The next order's context is this order's n-gram that ends one token earlier."""
+        self.lower, self.above = count, self.context_count
+        self.context = np.where(self.first, START, np.roll(np.where(count > 0, number, UNSEEN), 1))
+        self.context_count = np.where(self.first, self.train_docs, np.roll(count, 1))
+        self.owned = ~self.first & np.roll(private, 1)  # no other chunk holds the context
         if not self.train_docs:
             self.context[:] = UNSEEN
 
 
 def _rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dictionaries; lists of contexts and weights as two arrays."""
     for i in range(batch.num_rows):
-        yield batch.slice(i, 1).to_pylist()[0]
+        row = {}
+        for name, column in zip(batch.schema.names, batch.columns, strict=True):
+            one = column.slice(i, 1)
+            row[name] = tuple(x.to_numpy(zero_copy_only=False) for x in one.flatten().flatten()) if name.startswith("weights") else one.to_pylist()[0]
+        yield row
+
+
+def _reply_of(row: dict, order: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    return {x["bucket"]: (unpack(x["counts"], np.int64), unpack(x["numbers"], np.int32), unpack(x["private"], bool)) for x in row[f"replies{order}"] or []}
 
 
 def _chunk_of(row: dict, buckets: int, train_docs: int, levels: list[Level]) -> Chunk:
-    replies, weights = [], []
-    for order in range(1, len(levels) + 1):
-        replies.append({x["bucket"]: (unpack(x["counts"], np.int64), unpack(x["numbers"], np.int64)) for x in row[f"replies{order}"] or []})
-        weights.append({x["context"]: x["weight"] for x in row.get(f"weights{order}") or []})
-    return Chunk(row, buckets, train_docs, levels, replies, weights)
+    orders = range(2, len(levels) + 1)
+    return Chunk(row, buckets, train_docs, levels, [row[f"weights{order}"] for order in orders])
+
+
+#: A chunk whose words are counted: by place, frequent words first, each word's count, the step from the number
+#: before to its own, and whether only this chunk holds it.
+COUNTED_SCHEMA = "chunk long, ids array<long>, train array<boolean>, lengths array<long>, tokens binary, counts binary, numbers binary, private binary"
 
 
-REQUEST_SCHEMA = "bucket int, chunk long, contexts binary, runs binary, hot binary, words binary, counts binary, levels binary, lower binary"
+def _counted(buckets: int):
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), *[pa.binary()] * 4]
+    names = [x.split()[0] for x in COUNTED_SCHEMA.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows_of(batch):
+                bucket = _word_buckets(unpack(row["words"], np.uint64), buckets)
+                count, number, private = _merged(1, bucket, buckets, _reply_of(row, 1))
+                by = np.argsort(np.where(count > 0, number, np.iinfo(np.int64).max), kind="stable")
+                place = np.empty(len(by), np.uint32)
+                place[by] = np.arange(len(by))
+                row["tokens"] = pack(place[unpack(row["tokens"], np.uint32)])
+                row |= {"counts": pack(count[by]), "numbers": pack(np.diff(number[by], prepend=0)), "private": pack(private[by])}
+                yield pa.RecordBatch.from_arrays([pa.array([row[n]], t) for n, t in zip(names, kinds, strict=True)], names=names)
+
+    return run
+
+
+REQUEST_SCHEMA = "bucket int, chunk long, contexts binary, runs binary, hot binary, above binary, words binary, counts binary, lower binary, own binary"
 _ANSWER = pa.schema(
     [("kind", pa.string()), ("bucket", pa.int32()), ("chunk", pa.int64())]
-    + [(c, pa.binary()) for c in ("contexts", "words", "counts", "numbers")]
+    + [(c, pa.binary()) for c in ("contexts", "words", "counts", "numbers", "private")]
     + [("context", pa.int64()), ("total", pa.int64()), ("distinct", pa.int64()), ("low", pa.list_(pa.int64())), ("big", pa.int64()), ("freed", pa.float64())]
 )
 ANSWER_SCHEMA = (
-    "kind string, bucket int, chunk long, contexts binary, words binary, counts binary, numbers binary, "
+    "kind string, bucket int, chunk long, contexts binary, words binary, counts binary, numbers binary, private binary, "
     "context long, total long, distinct long, low array<long>, big long, freed double"
 )
-#: One row per n-gram of a model table, as ``Model.table`` gives it.
+#: One row per n-gram of a model table, as ``Model.table`` gives it. Null for n-grams that a chunk
+#: counted itself: their bucket, and their number, which only a higher order would use.
 GRAM_SCHEMA = "bucket int, context long, word long, count long, number long"
 
 
+def _tally(total: np.ndarray) -> np.ndarray:
+    """Of the counts of seen n-grams: their sum, how many there are, and how many have each count up to the one beyond the cutoff."""
+    return np.concatenate([[total.sum(), len(total)], np.bincount(np.minimum(total, CUTOFF + 2), minlength=CUTOFF + 3)[1 : CUTOFF + 2]]).astype(np.int64)
+
+
 def _requests(order: int, buckets: int, train_docs: int, levels: list[Level]):
     names = [x.split()[0] for x in REQUEST_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows_of(batch):
-                context, word, n, lower, heavy, bucket, _ = _chunk_of(row, buckets, train_docs, levels).grams(order)
-                by = np.argsort(bucket, kind="stable")
-                edge = np.searchsorted(bucket[by], np.arange(buckets + 1))
+                chunk = _chunk_of(row, buckets, train_docs, levels)
+                context, word, n, lower, above, heavy, bucket, _ = chunk.grams(order)
+                own = np.zeros(0, np.int64)
+                if order > 1 and chunk.owned.any():
+                    own = chunk.own_grams()[2]
+                    own = _tally(own[own > 0])
+                del chunk
+                by, edge = _dealt(bucket, buckets)
                 out = []
-                for b in range(buckets):
+                for b in np.flatnonzero(np.diff(edge)) if len(by) else [0]:  # somebody has to hear of own n-grams
                     at = by[edge[b] : edge[b + 1]]
-                    if len(at):
-                        new = np.flatnonzero(np.concatenate([[True], context[at][1:] != context[at][:-1]]))
-                        runs = np.diff(np.concatenate([new, [len(at)]]))
-                        distinct, code = np.unique(lower[at], return_inverse=True)  # few values
-                        out.append((
-                            b, row["chunk"], pack(np.diff(context[at][new], prepend=0)), pack(runs), pack(heavy[at][new] > HOT),
-                            pack(word[at]), pack(n[at].astype(np.int32)), pack(distinct), pack(code.astype(np.uint32)),
-                        ))
+                    new = at[np.concatenate([[True], context[at][1:] != context[at][:-1]])] if len(at) else at
+                    runs = np.diff(np.append(np.searchsorted(context[at], context[new]), len(at)))
+                    out.append((
+                        int(b), row["chunk"], pack(np.diff(context[new], prepend=0)), pack(runs), pack(heavy[new] > HOT), pack(above[new]),
+                        pack(word[at]), pack(n[at].astype(np.int32)), pack(lower[at]), pack(own),
+                    ))
+                    own = own[:0]
+                del context, word, n, lower, above, heavy, bucket, by
                 pa.default_memory_pool().release_unused()
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.int64() if i == 1 else pa.binary()) for i, c in enumerate(zip(*out, strict=True))], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.int64() if i == 1 else pa.binary()) for i, c in enumerate(zip(*out, strict=True))], names=names)
 
     return run
 
 
-def _lower(row: dict, levels: list[Level]) -> np.ndarray:
-    """Lower-order probabilities of one request's n-grams."""
-    code = unpack(row["lower"], np.uint32)
-    if len(levels) > 1:
-        return unpack(row["levels"], np.float64)[code]
-    count = unpack(row["levels"], np.int64)
-    return np.where(count > 0, levels[0].probability(count, np.int64(levels[0].total)), levels[0].unknown)[code]
-
-
 def _frame(**columns) -> pa.Table:
     n = len(next(iter(columns.values())))
     return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _ANSWER], schema=_ANSWER)
 
 
-def _count(order: int, buckets: int, numbered: bool, levels: list[Level]):
+def _count(order: int, buckets: int, numbered: bool, private: bool, levels: list[Level]):
+    """numbered: the chunks get the numbers; private: they also hear which n-grams no other chunk holds."""
+
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         bucket = rows[0]["bucket"]
         words = [unpack(r["words"], np.int64) for r in rows]
-        context = np.concatenate([np.repeat(np.cumsum(unpack(r["contexts"], np.int64)), unpack(r["runs"], np.int64)) for r in rows])
-        hot = np.concatenate([np.repeat(unpack(r["hot"], bool), unpack(r["runs"], np.int64)) for r in rows])
+        runs = [unpack(r["runs"], np.int64) for r in rows]
+        context = np.concatenate([np.repeat(np.cumsum(unpack(r["contexts"], np.int64)), n) for r, n in zip(rows, runs, strict=True)])
+        hot = np.concatenate([np.repeat(unpack(r["hot"], bool), n) for r, n in zip(rows, runs, strict=True)])
         n = np.concatenate([unpack(r["counts"], np.int32) for r in rows])
         edges = np.concatenate([[0], np.cumsum([len(w) for w in words])])
         word = np.concatenate(words)
@@ -312,18 +387,26 @@ def _count(order: int, buckets: int, numbered: bool, levels: list[Level]):
         one = by[new]
         del by, new, n
         seen = total > 0
-        # numbers by falling count: frequent n-grams get small ones, which pack well
-        number = np.full(len(total), UNSEEN, np.int64)
-        order_ = np.flatnonzero(seen)[np.argsort(-total[seen], kind="stable")]
-        number[order_] = FIRST + np.arange(len(order_)) * buckets + bucket
+        # words are numbered by falling count, as frequent ones then get small numbers, which pack well; higher orders
+        # in the order of the n-grams, so that a chunk's ranks ascend and their differences are small
+        at = np.flatnonzero(seen)
+        if order == 1:
+            rank = np.zeros(len(total), np.int32)
+            rank[at[np.argsort(-total[at], kind="stable")]] = np.arange(len(at))
+        else:
+            rank = np.maximum(np.cumsum(seen, dtype=np.int32) - 1, 0)
         out = []
-        counts = [pack(total[group[a:b]]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        numbers = [pack(number[group[a:b]]) if numbered else pack(np.zeros(0, np.int64)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        out.append(_frame(kind=["reply"] * len(rows), bucket=[bucket] * len(rows), chunk=[r["chunk"] for r in rows], counts=counts, numbers=numbers))
-        at = one[seen]
-        out.append(_frame(kind=["gram"], bucket=[bucket], contexts=[pack(context[at])], words=[pack(word[at])], counts=[pack(total[seen])], numbers=[pack(number[seen])]))
-        low = np.bincount(np.minimum(total[seen], CUTOFF + 2), minlength=CUTOFF + 3)[1 : CUTOFF + 2]
-        out.append(_frame(kind=["total"], bucket=[bucket], total=[int(total.sum())], distinct=[int(seen.sum())], low=[low]))
+        parts = [group[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        counts = [pack(total[g]) for g in parts]
+        numbers = [pack((np.diff(rank[g], prepend=np.int32(0)) if order > 1 else rank[g]) if numbered else rank[:0]) for g in parts]
+        alone = seen & (np.bincount(group, minlength=len(total)) == 1) if private else seen[:0]
+        privates = [pack(alone[g] if private else alone) for g in parts]
+        out.append(_frame(kind=["reply"] * len(rows), bucket=[bucket] * len(rows), chunk=[r["chunk"] for r in rows], counts=counts, numbers=numbers, private=privates))
+        # the ranks of higher orders are the places in this row
+        ranks = rank[at] if order == 1 else rank[:0]
+        out.append(_frame(kind=["gram"], bucket=[bucket], contexts=[pack(context[one[at]])], words=[pack(word[one[at]])], counts=[pack(total[at])], numbers=[pack(ranks)]))
+        tally = np.sum([_tally(total[at]), *[x for r in rows if len(x := unpack(r["own"], np.int64))]], axis=0)
+        out.append(_frame(kind=["total"], bucket=[bucket], total=tally[:1], distinct=tally[1:2], low=[tally[2:]]))
         if order > 1:
             missed = np.flatnonzero(total[group] == 0)
             if len(missed):
@@ -337,7 +420,9 @@ def _count(order: int, buckets: int, numbered: bool, levels: list[Level]):
             take = seen & (g_at < len(wanted)) & (wanted[np.minimum(g_at, max(len(wanted) - 1, 0))] == g_context) if len(wanted) else np.zeros(len(one), bool)
             if take.any():
                 g_at, c = g_at[take], total[take]
-                p = np.concatenate([_lower(r, levels) for r in rows])[one[take]]
+                above = np.concatenate([np.repeat(unpack(r["above"], np.int64), n) for r, n in zip(rows, runs, strict=True)])[one[take]]
+                lower = np.concatenate([unpack(r["lower"], np.int64) for r in rows])[one[take]]
+                p = levels[order - 2].probability(lower, above)
                 cells = np.bincount(g_at * (CUTOFF + 1) + np.minimum(c, CUTOFF + 1) - 1, minlength=len(wanted) * (CUTOFF + 1)).reshape(-1, CUTOFF + 1)[:, :CUTOFF]
                 big = np.bincount(g_at, weights=np.where(c > CUTOFF, c, 0), minlength=len(wanted)).astype(np.int64)
                 freed = np.bincount(g_at, weights=p, minlength=len(wanted))
@@ -350,7 +435,10 @@ def _count(order: int, buckets: int, numbered: bool, levels: list[Level]):
 
 @dataclass
 class Model:
-    """The fitted model: n-gram tables by order, packed one row per bucket of contexts, their levels, and the chunks."""
+    """The fitted model: n-gram tables by order, packed one row per bucket of contexts, their levels, and the chunks.
+
+    The chunks hold the n-grams of the highest order whose context no other chunk has.
+    """
 
     parts: list[DataFrame]
     levels: list[Level]
@@ -365,15 +453,50 @@ class Model:
 
     def table(self, order: int) -> DataFrame:
         """The n-grams of one order, a row each: bucket, context, word, count, number."""
-        names = [x.split()[0] for x in GRAM_SCHEMA.split(", ")]
+        names, buckets, train_docs = [x.split()[0] for x in GRAM_SCHEMA.split(", ")], self.buckets, self.train_docs
+        types, below = [pa.int32(), *[pa.int64()] * 4], self.levels[: order - 1]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in _rows_of(batch):
-                    columns = [unpack(row[c], np.int64) for c in ("contexts", "words", "counts", "numbers")]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), row["bucket"], np.int32)), *map(pa.array, columns)], names=names)
+                    context, word, count = (unpack(row[c], np.int64) for c in ("contexts", "words", "counts"))
+                    rank = unpack(row["numbers"], np.int32).astype(np.int64) if order == 1 else np.arange(len(word))
+                    columns = np.full(len(word), row["bucket"]), context, word, count, FIRST + rank * buckets + row["bucket"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-        return self.parts[order - 1].mapInArrow(run, GRAM_SCHEMA)
+        def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in _rows_of(batch):
+                    context, word, count, *_ = _chunk_of(row, buckets, train_docs, below).own_grams()
+                    columns = [x[count > 0] for x in (context, word, count)]
+                    null = [pa.nulls(len(columns[0]), t) for t in (types[0], types[-1])]
+                    yield pa.RecordBatch.from_arrays([null[0], *[pa.array(c, pa.int64()) for c in columns], null[1]], names=names)
+
+        rows = self.parts[order - 1].mapInArrow(run, GRAM_SCHEMA)
+        return rows.unionByName(self.chunks.mapInArrow(own, GRAM_SCHEMA)) if 1 < order == len(self.levels) else rows
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of each query in this block when it ends, not when the driver's garbage is collected."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def _bucketed(chunks: DataFrame, parts: int) -> tuple[str, str]:
+    """Writes chunks as a table in ``parts`` buckets: its name and folder."""
+    name, path = f"lm_chunks_{uuid.uuid4().hex[:12]}", scratch_path(chunks.sparkSession, "lm-chunks")
+    with _shuffles_dropped(chunks.sparkSession):
+        chunks.write.bucketBy(parts, "chunk").option("path", path).saveAsTable(name)
+    return name, path
 
 
 def fit(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, bucket_tokens: int = BUCKET_TOKENS) -> Model:
@@ -381,8 +504,7 @@ def fit(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "t
     spark = df.sparkSession
     rows = df.select(ref(id_col).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"), ref(text_col).alias("text"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    name, path = f"lm_chunks_{uuid.uuid4().hex[:12]}", scratch_path(spark, "lm-chunks")
-    rows.mapInArrow(_chunks, CHUNK_SCHEMA).write.bucketBy(parts, "chunk").option("path", path).saveAsTable(name)
+    name, path = _bucketed(rows.mapInArrow(_chunks, CHUNK_SCHEMA), parts)
     chunks = spark.table(name)
     sums = chunks.agg(
         F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)), F.sum(F.size(F.filter("train", lambda x: x)))
@@ -392,7 +514,9 @@ def fit(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "t
     tables: list[DataFrame] = []  # packed
     for k in range(1, order + 1):
         asked = chunks.mapInArrow(_requests(k, buckets, train_docs, list(levels)), REQUEST_SCHEMA)
-        answers = staged(asked.groupBy("bucket").applyInArrow(_count(k, buckets, k < order or k == 1, list(levels)), ANSWER_SCHEMA), f"lm-order{k}")
+        counted = asked.groupBy("bucket").applyInArrow(_count(k, buckets, k < order, k == order - 1, list(levels)), ANSWER_SCHEMA)
+        with _shuffles_dropped(spark):
+            answers = staged(counted, f"lm-order{k}")
         release_shuffles(spark)
         totals = answers.where("kind = 'total'").agg(F.sum("total"), F.sum("distinct"), *[F.sum(F.get("low", i)) for i in range(CUTOFF + 1)]).first()
         low = [int(x or 0) for x in totals[2:]]
@@ -404,9 +528,16 @@ def fit(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "t
         tables.append(answers.where("kind = 'gram'").select("bucket", "contexts", "words", "counts", "numbers"))
         # dealt like the bucketed chunks, whose tokens so never move
         replies = answers.where("kind = 'reply'").repartition(parts, "chunk").groupBy("chunk")
-        replies = replies.agg(F.collect_list(F.struct("bucket", "counts", "numbers")).alias(f"replies{k}"))
+        replies = replies.agg(F.collect_list(F.struct("bucket", "counts", "numbers", "private")).alias(f"replies{k}"))
         chunks = chunks.join(replies.hint("merge"), "chunk", "left")
-        if k > 1:
+        if k == 1:
+            hashed, hashes = name, path
+            name, path = _bucketed(chunks.mapInArrow(_counted(buckets), COUNTED_SCHEMA), parts)
+            spark.sql(f"DROP TABLE IF EXISTS {hashed}")
+            remove_scratch(spark, hashes)
+            release_shuffles(spark)
+            chunks = spark.table(name)
+        else:
             chunks = chunks.join(_weights(answers, level, k, parts).hint("merge"), "chunk", "left")
     return Model(tables, levels, chunks, buckets, train_docs, name)
 
@@ -442,6 +573,7 @@ def score(model: Model) -> DataFrame:
                 base = np.log10((chunk.known + 0.1) / (levels[0].total + 0.1 * (levels[0].seen + 1)))
                 columns = [row["ids"], row["train"], chunk.lengths, total((chunk.known > 0).astype(np.int64)), total(base), total(np.log10(chunk.probability))]
                 types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                del chunk, base  # before the next one is built
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     return model.chunks.mapInArrow(run, SCORE_SCHEMA)

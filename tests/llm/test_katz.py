@@ -100,3 +100,33 @@ def test_packing():
 
     for a in (np.zeros(0, np.int64), np.arange(1000) * 7919 - 5, np.array([0.5, -1e300]), np.array([True, False])):
         assert (katz.unpack(katz.pack(a), a.dtype) == a).all()
+
+
+def test_contexts_of_one_chunk_are_not_sent(spark):
+    # each document lies in a chunk of its own and shares half its words with another
+    own = [" ".join(f"a{i}x{j % 40}" if j % 2 else f"s{j % 50}" for j in range(200)) for i in range(6)]
+    texts = [*own, own[0], "s1 s2 s3 never", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartitionByRange(len(texts), "doc_id")
+    train = [i % 4 != 3 for i in range(len(texts))]
+    for order in (2, 3):
+        model = katz.fit(df, F.col("doc_id") % 4 != 3, order=order, bucket_tokens=100)
+        scores, count, _, _ = brute(texts, train, order)
+        rows = sorted(katz.score(model).collect(), key=lambda r: r["id"])
+        assert [r["score"] for r in rows] == pytest.approx(scores, rel=1e-9)
+        kept = model.table(order).agg(F.count("*"), F.sum("count"), F.count("bucket")).first()
+        assert kept[0] == len(count[order]) and kept[1] == sum(count[order].values())
+        assert 0 < kept[2] < kept[0]  # the buckets counted the shared ones only
+        assert model.table(order).select("context", "word").distinct().count() == kept[0]
+        assert "words" not in model.chunks.columns  # hashes are not kept beside the numbers
+        model.close()
+
+
+def test_shuffle_files_go_with_their_query(spark, monkeypatch):
+    monkeypatch.setattr(katz, "release_shuffles", lambda spark: None)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name, None), []
+    stage = katz.staged
+    monkeypatch.setattr(katz, "staged", lambda df, where: seen.append(spark.conf.get(name)) or stage(df, where))
+    df = spark.createDataFrame([(1, "a b a"), (2, "b a b")], "doc_id long, text string")
+    katz.fit(df, F.lit(True), order=3).close()
+    assert seen == ["true"] * 3 and spark.conf.get(name, None) == before
