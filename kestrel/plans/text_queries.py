@@ -12,6 +12,9 @@ from ..sources import format_pairs, parse_pairs, read_documents, read_lines, sto
 from ..sources.stopwords import SPANISH_STOP_WORDS
 from .registry import query, table
 
+#: Files of one scan of the whole-file reader in crawl_files, and of one folder (more than 32 folders are listed by tasks).
+FILES_PER_READ, FILES_PER_FOLDER = 100_000, 2_000
+
 
 def _sql_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in dict.fromkeys(words))
@@ -34,26 +37,39 @@ def crawl_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("crawl_files", f"select doc_id, {_NORMALIZE_SQL} as text, 1::bigint as n_of_name from documents")
 def crawl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 end to end: every document lands as a file of its own in one folder of the shared
+    """S1 end to end: every document lands as a file of its own under one folder of the shared
     folder; the folder is read back one row per file and crawled, and file names are compared.
 
-    The write only lays out the input the whole-file reader expects (a folder with
-    one file per document, the id on the first line); on real data that folder already exists
+    The write only lays out the input the whole-file reader expects (folders with
+    one file per document, the id on the first line); on real data they already exist
     and only the read + crawl part runs. The rows are dealt over all cores first, and each
-    task moves its own files to the folder when it commits: left to the end, the driver
-    would move them one by one. The files are opened once: the crawl is written, then counted.
+    task writes its own files. A row's file and folder follow from its place in the table, so a
+    repeated task writes the same ones. The driver holds a scan's list of files: the folders are
+    read in batches of about ``FILES_PER_READ`` files, listed by the tasks. The files are
+    opened once: the crawl is written, then counted.
     """
     path, crawl_path = scratch_path(spark, "crawl-files"), scratch_path(spark, "crawled")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    docs = table(spark, sf_dir, "documents").repartition(tasks)
-    lines = docs.select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value"))
-    write(lines, path, fmt="text", maxRecordsPerFile="1", **{"mapreduce.fileoutputcommitter.algorithm.version": "2"})
-    files = read_documents(spark, path)
-    split = F.instr("text", "\n")
-    named = files.select("name", F.substring_index("text", "\n", 1).cast("long").alias("doc_id"), F.substr("text", split + 1).alias("text"))
-    crawled = tx.crawl(named)
-    write(crawled.coalesce(tasks), crawl_path)  # Spark gives a task a few dozen small files only
-    crawled = spark.read.schema(crawled.schema).parquet(crawl_path)
+    docs = table(spark, sf_dir, "documents", spread=False)
+    n = docs.count()
+    batches, folders = max(1, -(-n // FILES_PER_READ)), max(1, -(-min(n, FILES_PER_READ) // FILES_PER_FOLDER))
+    line = F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value")
+    lines = docs.select(F.monotonically_increasing_id().alias("place"), line)
+    deal = F.xxhash64("place")
+    lines = lines.select(
+        F.pmod(deal, F.lit(batches)).alias("batch"),
+        F.pmod(F.shiftright(deal, 32), F.lit(folders)).alias("folder"),
+        F.format_string("%d.txt", "place").alias("file"),
+        "value",
+    ).repartition(tasks, "file")
+    write(lines, path, fmt="text", partition_by=["batch", "folder"], file_names="file")
+    for batch in range(batches):
+        files = read_documents(spark, f"{path}/batch={batch}/*" if n else path)
+        split = F.instr("text", "\n")
+        named = files.select("name", F.substring_index("text", "\n", 1).cast("long").alias("doc_id"), F.substr("text", split + 1).alias("text"))
+        crawled = tx.crawl(named)
+        write(crawled.coalesce(tasks), f"{crawl_path}/{batch}")  # Spark gives a task a few dozen small files only
+    crawled = spark.read.schema(crawled.schema).parquet(f"{crawl_path}/*")
     names = crawled.groupBy("name").agg(F.count("*").alias("n_of_name"))
     return crawled.join(names, "name").select("doc_id", "text", "n_of_name")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from ..functions import decode_file_name, jvm_trim
 
@@ -119,13 +119,70 @@ def format_pairs(df: DataFrame, name: str = "name", text: str = "text") -> DataF
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | str | None = None,
-          **options) -> None:
+          file_names: str | None = None, **options) -> None:
     """K1: replace whatever is at ``path`` with ``df`` (optionally in ``key=value`` folders).
 
     ``fmt="text"`` needs a single string column besides the partition columns
-    (use :func:`format_pairs`).
+    (use :func:`format_pairs`). With ``file_names``, a column of plain names that occur once, every
+    row becomes a text file of its own (partition columns must be whole numbers then).
     """
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if file_names is not None:
+        if fmt != "text" or options:
+            raise ValueError("file_names goes with fmt='text' and no options")
+        _write_each(df, path, file_names, parts)
+        return
     writer = df.write.mode("overwrite").format(fmt).options(**options)
-    if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if parts:
+        writer = writer.partitionBy(*parts)
     writer.save(path)
+
+
+def _write_each(df: DataFrame, path: str, names: str, parts: list[str]) -> None:
+    """A text file per row, written by the tasks.
+
+    Hadoop's local file system starts a process whenever it sets a permission, some four times per
+    file; in a mounted folder the tasks therefore open the files themselves. A file appears under its
+    name when it is whole, and a repeated task replaces its files with the same ones.
+    Other stores get Spark's writer, whose tasks move their own files; it picks the names.
+    """
+    texts = df.drop(names)
+    text = [c for c in texts.columns if c not in parts]
+    if len(text) != 1 or not all(isinstance(df.schema[c].dataType, IntegralType) for c in parts):
+        raise ValueError(f"one text column and whole numbers as folders, not {texts.schema.simpleString()}")
+    mounted = _new_folder(df.sparkSession, path)
+    if mounted is None:
+        each = {"maxRecordsPerFile": "1", "mapreduce.fileoutputcommitter.algorithm.version": "2"}
+        write(texts, path, fmt="text", partition_by=parts, **each)
+        return
+
+    def save(batches):  # nested: tasks need no copy of this module
+        import os
+        import uuid
+
+        hidden, made = f".{uuid.uuid4().hex}", set()  # readers skip names with a dot first
+        for batch in batches:
+            for folder, name, text in zip(*(batch.column(i) for i in range(3)), strict=True):
+                place = f"{mounted}/{folder.as_py()}"
+                if place not in made:
+                    os.makedirs(place, exist_ok=True)
+                    made.add(place)
+                with open(f"{place}/{hidden}", "wb") as file:
+                    file.write(text.as_py() or b"")
+                    file.write(b"\n")
+                os.replace(f"{place}/{hidden}", f"{place}/{name.as_py()}")  # between folders, renames wait for each other
+        yield from ()
+
+    values = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))) for c in parts]
+    rows = df.select(F.concat_ws("/", *values), F.col(names).cast("string"), F.col(text[0]).cast("binary"))
+    rows.mapInArrow(save, "saved long").write.format("noop").mode("overwrite").save()
+
+
+def _new_folder(spark: SparkSession, path: str) -> str | None:
+    """Makes ``path`` an empty folder; its local path if it is mounted (the same on every machine), else None."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(folder, True)
+    fs.mkdirs(folder)
+    uri = fs.resolvePath(folder).toUri()
+    return uri.getPath().rstrip("/") if uri.getScheme() == "file" else None

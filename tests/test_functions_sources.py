@@ -252,3 +252,57 @@ def test_crawl_files_opens_each_file_once_from_all_cores(spark, tmp_dir, monkeyp
     assert read[0] not in {f.rsplit("/", 1)[0].removeprefix("file://") for f in out.inputFiles()}  # the result reads the written crawl
     got = {r.doc_id: (r.text, r.n_of_name) for r in out.collect()}
     assert got[3] == ("line 3 next", 1) and len(got) == 42
+
+
+def test_crawl_files_reads_folders_in_bounded_batches(spark, tmp_dir, monkeypatch):
+    from kestrel.plans import text_queries
+
+    found = []
+    real_read = text_queries.read_documents
+
+    def read(s, path):
+        folder = path.removeprefix("file://").removesuffix("/*")
+        found.append({d: sorted(names) for d, _, names in os.walk(folder) if d != folder})
+        return real_read(s, path)
+
+    monkeypatch.setattr(text_queries, "read_documents", read)
+    monkeypatch.setattr(text_queries, "FILES_PER_READ", 100)
+    monkeypatch.setattr(text_queries, "FILES_PER_FOLDER", 20)
+    data = [(i // 2, f"  line {i}\r\n\n  next") for i in range(480)] + [(7, None), (8, ""), (9, "\n"), (9, "é\x00\n\n b")]  # ids repeat
+    spark.createDataFrame(data, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = text_queries.crawl_files(spark, tmp_dir)
+    expected = [(i // 2, f"line {i} next", 1) for i in range(480)] + [(7, "", 1), (8, "", 1), (9, "", 1), (9, "é\x00 b", 1)]
+    assert rows(got, "doc_id", "text", "n_of_name") == expected
+    sizes = [sum(map(len, folders.values())) for folders in found]
+    assert len(sizes) == 5 and sum(sizes) == len(data) and max(sizes) < 200  # a scan's list stays small
+    assert max(len(names) for folders in found for names in folders.values()) < 60
+    names = [n for folders in found for in_folder in folders.values() for n in in_folder]
+    assert len(set(names)) == len(data) and all(n.endswith(".txt") for n in names)  # no checksum or unfinished files
+
+
+def test_crawl_files_of_no_documents(spark, tmp_dir):
+    from kestrel.plans import text_queries
+
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    assert text_queries.crawl_files(spark, tmp_dir).collect() == []
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_write_names_a_file_per_row(spark, tmp_dir, monkeypatch, mounted):
+    if not mounted:  # a store that only Spark's writer reaches
+        monkeypatch.setattr(sources.files, "_new_folder", lambda s, path: None)
+    path = f"{tmp_dir}/each"
+    texts = ["a\nb", "", None, "é\r", "x" * 100_000]
+    df = spark.createDataFrame([(i % 2, f"n {i}.txt", t) for i, t in enumerate(texts)], "part int, name string, text string")
+    sources.write(df.limit(1), path, fmt="text", partition_by="part", file_names="name")
+    sources.write(df.repartition(3), path, fmt="text", partition_by="part", file_names="name")  # overwrite, not append
+    back = sources.read_documents(spark, path)
+    assert rows(back, "part", "text") == [(i % 2, (t or "") + "\n") for i, t in enumerate(texts)]
+    if mounted:
+        assert rows(back, "name") == [(f"n {i}.txt",) for i in range(5)]
+        sources.write(df.drop("part"), path, fmt="text", file_names="name")  # in one folder
+        assert sorted(os.listdir(path)) == [f"n {i}.txt" for i in range(5)]
+    with pytest.raises(ValueError, match="one text column"):
+        sources.write(df, path, fmt="text", file_names="name")
+    with pytest.raises(ValueError, match="fmt='text'"):
+        sources.write(df, path, partition_by="part", file_names="name")
