@@ -141,8 +141,8 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str
 def _write_each(df: DataFrame, path: str, names: str, parts: list[str]) -> None:
     """A text file per row, written by the tasks.
 
-    Hadoop's local file system starts a process whenever it sets a permission, some four times per
-    file; in a mounted folder the tasks therefore open the files themselves. A file appears under its
+    Hadoop's local file system starts a process whenever it sets a permission on a file; in a
+    mounted folder the tasks therefore open the files themselves. A file appears under its
     name when it is whole, and a repeated task replaces its files with the same ones.
     Other stores get Spark's writer, whose tasks move their own files; it picks the names.
     """
